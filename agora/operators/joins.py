@@ -1,0 +1,30 @@
+"""Join helpers: broadcast only behind a measured size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a lookup side may have to be broadcast without a runtime decision.
+DEFAULT_BROADCAST_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, limit: int) -> bool:
+    """True when ``df`` has at most ``limit`` rows (reads at most limit+1 rows)."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def broadcast_if_small(df: DataFrame, probe: DataFrame | None = None,
+                       max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint on ``df`` when ``probe`` (default ``df``) is proven small.
+
+    ``probe`` is a cheap upper bound of ``df``'s row count, e.g. the raw table a
+    deduplicated lookup is built from. Above the bound no hint is given and the
+    join is left to the planner and AQE, which still broadcasts at runtime
+    when the measured shuffle output is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise sort-merge
+    joins (splitting skewed partitions).
+    """
+    if row_count_at_most(probe if probe is not None else df, max_rows):
+        return F.broadcast(df)
+    return df

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The marts are batch models with full-refresh loads; there is no watermark,
+time window, stateful operator or incremental model to reproduce, so no
+Structured Streaming query is defined here.
+"""
