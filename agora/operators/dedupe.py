@@ -56,10 +56,10 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Order],
     """One row per ``keys``: the first by ``order``. Returns ``keys + columns``.
 
     ``order`` must be total within a key for a deterministic result (end it
-    with a unique column). The aggregate direction follows the first sort key.
+    with a unique column).
     """
     columns = [c for c in (columns or df.columns) if c not in keys]
-    want_max = order[0][1].lower() == "desc"
+    want_max = _aggregate_direction(df, order)
     key = _key_struct(df, order, want_max)
     payload = F.struct(*[F.col(c) for c in columns])
     pick = F.max_by(payload, key) if want_max else F.min_by(payload, key)
