@@ -4,9 +4,11 @@ A window with ORDER BY and no PARTITION BY moves every row into one task.
 Here the rows are range-partitioned on the full sort key instead, sorted
 inside each partition, and checkpointed to the shared checkpoint folder, which
 fixes partition contents and order (and survives executor loss). One small
-aggregate then counts rows per partition; running offsets over those counts
-(one row per partition, a proven bound) are broadcast back, and a row's global
-position is its partition's offset plus its index inside the partition.
+aggregate then counts rows per partition (one number per range partition, a
+bound set by the partition count, not the data); their running sums become a
+literal offsets array, and a row's global position is its partition's offset
+plus its index inside the partition: a narrow projection over the checkpoint,
+with no join, window or further shuffle.
 
 Ties: the sort key must be total (end it with a unique column) for the result
 to be deterministic; ``order`` NULLs sort last in both directions.
@@ -16,7 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agora.session import ensure_checkpoint_dir
@@ -38,23 +41,28 @@ def with_global_position(df: DataFrame, order: Sequence[Order],
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = sort_columns(order)
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .checkpoint(eager=True))
+    # the range partitioner samples its input and the shuffle reads it again:
+    # keep the input for the duration so it is computed once
+    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranged = (staged.repartitionByRange(n, *keys)
+                        .sortWithinPartitions(*keys)
+                        .checkpoint(eager=True))
+    finally:
+        staged.unpersist()
+    pid = F.spark_partition_id()
+    # rows per range partition: at most n small rows reach the driver
+    counts = dict(ranged.groupBy(pid.alias("p")).count().collect())
+    offsets, total = [], 0
+    for p in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(p, 0)
+    offset = F.element_at(F.expr(f"array({', '.join(f'{o}L' for o in offsets) or 'CAST(0 AS BIGINT)'})"),
+                          pid + 1)
     # monotonically_increasing_id = (partition index << 33) + index in partition
-    tagged = ranged.select("*", F.spark_partition_id().alias("_pid"),
-                           F.monotonically_increasing_id().alias("_mid"))
-    per_partition = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per range partition: the window below sees at most n rows
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_partition.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy()).alias(_TOTAL))
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (tagged.join(F.broadcast(offsets), "_pid", "inner")
-                  .withColumn(_POS, F.col("_offset") + local)
-                  .drop("_pid", "_mid", "_offset"))
+    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
+    return ranged.select("*", (offset + local).alias(_POS),
+                         F.lit(total).cast("bigint").alias(_TOTAL))
 
 
 def ntile_of(position: Column, total: Column, k: int) -> Column:

@@ -31,7 +31,6 @@ from agora.functions.compat import (
     weighted_avg,
 )
 from agora.operators.dedupe import first_by
-from agora.operators.joins import broadcast_if_small
 from agora.plans.staging import geo_by_zip
 
 
@@ -96,10 +95,10 @@ def int_orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame
 
 # ------------------------------------------------------------------- geo grain
 
-def geo_lookup(geolocation: DataFrame, raw_geolocation: DataFrame | None = None) -> DataFrame:
-    """One point per zip, broadcast when the raw point table is proven small."""
-    probe = geolocation if raw_geolocation is None else raw_geolocation
-    return broadcast_if_small(geo_by_zip(geolocation), probe)
+def geo_lookup(geolocation: DataFrame) -> DataFrame:
+    """One point per zip. Joined without a hint: AQE broadcasts it when the
+    measured aggregate is small and sort-merge joins it otherwise."""
+    return geo_by_zip(geolocation)
 
 
 def with_geo(entities: DataFrame, geo: DataFrame, prefix: str) -> DataFrame:

@@ -79,6 +79,10 @@ class Pipeline:
     def stg_order_reviews(self) -> DataFrame:
         return staging.stg_order_reviews(self.raw["order_reviews"])
 
+    @cached_property
+    def latest_review_scores(self) -> DataFrame:
+        return staging.latest_review_scores(self.raw["order_reviews"])
+
     @cached_property
     def stg_product_category_name_translation(self) -> DataFrame:
         return staging.stg_product_category_name_translation(
@@ -99,13 +103,13 @@ class Pipeline:
 
     @cached_property
     def geo(self) -> DataFrame:
-        return enrich.geo_lookup(self.stg_geolocation, self.raw["geolocation"])
+        return enrich.geo_lookup(self.stg_geolocation)
 
     # -------------------------------------------------------- intermediate
     @cached_property
     def int_orders_enriched(self) -> DataFrame:
         return enrich.int_orders_enriched(self.stg_orders, self.stg_order_items,
-                                          self.stg_order_payments, self.stg_order_reviews)
+                                          self.stg_order_payments, self.latest_review_scores)
 
     @cached_property
     def customer_places(self) -> DataFrame:

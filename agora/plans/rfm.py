@@ -41,20 +41,24 @@ def rfm_scores(dim_customers: DataFrame, as_of: dt.datetime | None = None,
     1 on recency. ``recency_desc=True`` reverses that order (most recent
     scores 5).
     """
-    base = dim_customers.where(F.col("customer_segment") != "no_orders")
-    if as_of is None:
-        # one scalar for the whole table, computed by a distributed aggregate
-        as_of = base.agg(F.max("last_order_at")).first()[0]
-    scored = base.select(
-        "customer_id",
-        days_between("last_order_at", _ntz_literal(as_of)).alias("recency_days"),
+    base = dim_customers.where(F.col("customer_segment") != "no_orders").select(
+        "customer_id", "last_order_at",
+        F.to_date("last_order_at").alias("_last_day"),
         F.col("total_orders").alias("frequency"),
         F.col("lifetime_gmv").alias("monetary"))
-    r_dir = "desc" if recency_desc else "asc"
-    for measure, score, direction in (("recency_days", "r_score", r_dir),
-                                      ("frequency", "f_score", "asc"),
-                                      ("monetary", "m_score", "asc")):
-        scored = global_rank(scored, [(measure, direction), ("customer_id", "asc")],
+    # Recency is the day count back from one date, so its ascending order is
+    # the descending order of the last order's day (ties alike): the quintile
+    # needs no as-of date, and the date is read afterwards from the ranked,
+    # checkpointed table instead of a separate pass over the whole input.
+    r_dir = "asc" if recency_desc else "desc"
+    scored = global_rank(base, [("_last_day", r_dir), ("customer_id", "asc")],
+                         ntiles={"r_score": 5}, num_partitions=num_partitions)
+    if as_of is None:
+        as_of = scored.agg(F.max("last_order_at")).first()[0]
+    scored = scored.withColumn(
+        "recency_days", days_between("last_order_at", _ntz_literal(as_of)))
+    for measure, score in (("frequency", "f_score"), ("monetary", "m_score")):
+        scored = global_rank(scored, [(measure, "asc"), ("customer_id", "asc")],
                              ntiles={score: 5}, num_partitions=num_partitions)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from agora.functions.compat import days_between, to_int
 from agora.operators.dedupe import pick_one
-from agora.operators.joins import broadcast_if_small
 
 TS = "timestamp_ntz"
 
@@ -65,6 +64,23 @@ def sentiment_of(score) -> F.Column:
              .otherwise("negative"))
 
 
+def latest_review_scores(reviews: DataFrame) -> DataFrame:
+    """order_id, review_score, sentiment of each order's latest review.
+
+    Same pick as :func:`stg_order_reviews`, carrying only the fixed-width
+    fields through the shuffle (no comment text).
+    """
+    score = to_int("review_score", reviews.schema["review_score"].dataType)
+    typed = reviews.select(
+        "order_id", "review_id", score.alias("review_score"),
+        F.col("review_answer_timestamp").cast(TS).alias("review_answered_at"))
+    latest = pick_one(typed, ["order_id"],
+                      [("review_answered_at", "desc"), ("review_id", "desc")],
+                      ["review_score"])
+    return latest.select("order_id", "review_score",
+                         sentiment_of(F.col("review_score")).alias("sentiment"))
+
+
 def stg_order_reviews(reviews: DataFrame) -> DataFrame:
     """Latest review per order (answer time desc, NULLs last; ties: review_id desc)."""
     typed = reviews.select(
@@ -88,9 +104,10 @@ def stg_product_category_name_translation(translation: DataFrame) -> DataFrame:
 
 def stg_products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category (fallback: original name, then 'unknown')."""
+    # The category list is a small lookup: the planner broadcasts it from the
+    # scan's size estimate, and AQE does so from its measured size at runtime;
+    # a large list falls back to a sort-merge join.
     lookup = stg_product_category_name_translation(translation)
-    # the category list is a small lookup; broadcast only when its size is proven
-    lookup = broadcast_if_small(lookup, translation)
     p = products.alias("p")
     joined = p.join(lookup.alias("t"),
                     F.col("p.product_category_name") == F.col("t.product_category_name"), "left")

@@ -9,6 +9,8 @@ mapping adds no shuffle except the ``distinct`` of the category list.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -175,17 +177,46 @@ def map_order_reviews(orders: DataFrame) -> DataFrame:
         (F.col("o_orderdate") + _days(31 + F.col("k"))).alias("review_answer_timestamp"))
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# raw table -> (mapping function, source tables it reads)
+MAPPINGS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
+    "orders": (map_orders, ("orders",)),
+    "customers": (map_customers, ("customer", "nation")),
+    "order_items": (map_order_items, ("lineitem",)),
+    "order_payments": (map_order_payments, ("orders",)),
+    "order_reviews": (map_order_reviews, ("orders",)),
+    "products": (map_products, ("part",)),
+    "sellers": (map_sellers, ("supplier", "nation")),
+    "product_category_name_translation": (map_category_translation, ("part",)),
+    "geolocation": (map_geolocation, ("nation", "region")),
+}
+
+
+class RawTables(Mapping[str, DataFrame]):
+    """The nine raw tables, each mapped on first use (unused ones cost nothing)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir = spark, sf_dir
+        self._sources: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
+
+    def _source(self, name: str) -> DataFrame:
+        if name not in self._sources:
+            self._sources[name] = read_source(self._spark, self._dir, name)
+        return self._sources[name]
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._tables:
+            build, sources = MAPPINGS[table]
+            self._tables[table] = build(*[self._source(s) for s in sources])
+        return self._tables[table]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(MAPPINGS)
+
+    def __len__(self) -> int:
+        return len(MAPPINGS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     """The nine raw marketplace tables over the test tables in ``sf_dir``."""
-    src = {name: read_source(spark, sf_dir, name) for name in SOURCE_TABLES}
-    return {
-        "orders": map_orders(src["orders"]),
-        "customers": map_customers(src["customer"], src["nation"]),
-        "order_items": map_order_items(src["lineitem"]),
-        "order_payments": map_order_payments(src["orders"]),
-        "order_reviews": map_order_reviews(src["orders"]),
-        "products": map_products(src["part"]),
-        "sellers": map_sellers(src["supplier"], src["nation"]),
-        "product_category_name_translation": map_category_translation(src["part"]),
-        "geolocation": map_geolocation(src["nation"], src["region"]),
-    }
+    return RawTables(spark, sf_dir)
