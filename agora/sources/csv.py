@@ -57,7 +57,7 @@ def read_raw_folder(spark: SparkSession, folder: str,
         try:
             df = read_raw_csv(spark, path, table)
         except AnalysisException as exc:  # path not found
-            log.warning("%s not found, skipping %s (%s)", name, table, exc.getErrorClass())
+            log.warning("%s not found, skipping %s (%s)", name, table, exc.getCondition())
             continue
         tables[table] = df
     return tables
