@@ -48,14 +48,24 @@ def order_items_summary(items: DataFrame) -> DataFrame:
 
 def order_payments_summary(payments: DataFrame) -> DataFrame:
     """Payment totals; the primary type is the highest-value payment's type
-    (value desc, NULLs last; ties: payment_type asc)."""
-    primary = first_by("payment_type", [("payment_value", "desc"), ("payment_type", "asc")],
-                       payments)
-    return payments.groupBy("order_id").agg(
-        F.sum("payment_value").alias("total_payment_value"),
-        F.max("installments").alias("max_installments"),
+    (value desc, NULLs last; ties: payment_type asc).
+
+    Payments are first rolled up per (order, type) with numeric buffers only
+    (a hash aggregate); the per-type maximum value decides the primary type,
+    since the largest single payment belongs to the type with the largest
+    maximum. The second level sees one row per (order, type).
+    """
+    per_type = payments.groupBy("order_id", "payment_type").agg(
+        F.sum("payment_value").alias("type_value"),
+        F.max("installments").alias("type_installments"),
+        F.max("payment_value").alias("type_top_value"))
+    primary = first_by("payment_type", [("type_top_value", "desc"), ("payment_type", "asc")],
+                       per_type)
+    return per_type.groupBy("order_id").agg(
+        F.sum("type_value").alias("total_payment_value"),
+        F.max("type_installments").alias("max_installments"),
         primary.alias("primary_payment_type"),
-        F.countDistinct("payment_type").alias("payment_methods_used"))
+        F.count("payment_type").alias("payment_methods_used"))
 
 
 def int_orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame,
