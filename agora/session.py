@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove a ranking's checkpoint files once its DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # no call-site capture (a JVM round trip) on every DataFrame/Column call
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
