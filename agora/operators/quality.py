@@ -315,10 +315,24 @@ def pipeline_resolver(pipeline) -> Callable[[Check, str], DataFrame]:
     return resolve
 
 
-def run_checks(pipeline, kind: str | None = None, models: Sequence[str] | None = None) -> DataFrame:
-    """Report over the declared checks (optionally one kind / some models)."""
+ORDER_GRAIN_CONSUMERS = ("dim_customers", "dim_products", "dim_sellers", "fct_orders",
+                         "mart_revenue_monthly", "mart_delivery_performance",
+                         "mart_seller_health")
+
+
+def run_checks(pipeline, kind: str | None = None, models: Sequence[str] | None = None,
+               share_orders: bool = True) -> DataFrame:
+    """Report over the declared checks (optionally one kind / some models).
+
+    When several checked models read the order-grain table, it is first
+    checkpointed once (``share_orders``) so the report's branches read it
+    instead of each recomputing it.
+    """
     chosen = [c for c in CHECKS
               if (kind is None or c.kind == kind) and (models is None or c.model in models)]
+    consumers = {c.model for c in chosen if c.model in ORDER_GRAIN_CONSUMERS}
+    if share_orders and len(consumers) > 1 and "int_orders_enriched" not in pipeline.__dict__:
+        pipeline.share_orders("checkpoint")
     return report(chosen, pipeline_resolver(pipeline))
 
 
