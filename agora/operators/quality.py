@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW_LEVEL = ("not_null", "accepted_values", "between", "assert_positive")
+FAILURES_SCHEMA = "audit"
 
 
 @dataclass(frozen=True)
@@ -336,7 +337,7 @@ def run_checks(pipeline, kind: str | None = None, models: Sequence[str] | None =
     return report(chosen, pipeline_resolver(pipeline))
 
 
-def store_failures(pipeline, spark: SparkSession, schema: str = "audit",
+def store_failures(pipeline, spark: SparkSession, schema: str = FAILURES_SCHEMA,
                    warehouse: str | None = None) -> dict[str, str]:
     """Write the failing rows of every failing check (full refresh per check)."""
     from agora.sources.sinks import write_table

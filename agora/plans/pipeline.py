@@ -218,6 +218,21 @@ class Pipeline:
         return written
 
 
+    def check(self, spark: SparkSession, kind: str | None = None,
+              store_failures: bool = False, warehouse: str | None = None) -> DataFrame:
+        """Run the declared data-quality checks; optionally store failing rows.
+
+        Returns the report (one row per check). With ``store_failures`` the
+        failing rows of each failing check are written to the ``audit`` schema
+        (or under ``warehouse``), as full refreshes.
+        """
+        from agora.operators import quality
+
+        if store_failures:
+            quality.store_failures(self, spark, quality.FAILURES_SCHEMA, warehouse)
+        return quality.run_checks(self, kind=kind)
+
+
 def from_testdata(spark: SparkSession, sf_dir: str, **kwargs) -> Pipeline:
     from agora.sources.testdata import raw_tables
     return Pipeline(raw_tables(spark, sf_dir), **kwargs)

@@ -121,3 +121,17 @@ def test_declared_checks_on_shop(shop):
     assert ("dim_sellers", "one_star_rate", "between") in failing
     assert ("mart_seller_health", "seller_id", "unique") not in failing
     assert dq.delivered_without_items(shop.fct_orders).count() == 0
+
+
+def test_store_failures_writes_failing_rows(spark, tmp_path):
+    from agora.plans.pipeline import Pipeline
+    from tests.fixtures import shop_pipeline
+
+    pipe = shop_pipeline(spark)
+    written = dq.store_failures(pipe, spark, warehouse=str(tmp_path))
+    assert "between_dim_sellers_one_star_rate" in written
+    stored = spark.read.parquet(written["between_dim_sellers_one_star_rate"])
+    assert rows(stored, "seller_id", "one_star_rate") == [("s1", 2.0)]
+    assert all(not name.startswith("unique_") for name in written)
+    report = Pipeline(dict(pipe.raw)).check(spark, kind="not_null")
+    assert report.count() == 54
