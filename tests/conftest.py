@@ -13,8 +13,10 @@ from agora.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("local[4]", app_name="agora-tests", shuffle_partitions=4)
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = build_session("local[4]", app_name="agora-tests", shuffle_partitions=4,
+                            extra={"spark.sql.warehouse.dir": warehouse})
     yield session
     session.stop()
 

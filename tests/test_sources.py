@@ -88,3 +88,20 @@ def test_invariants_on_testdata(spark):
     n = health.count()
     assert sorted(r.revenue_rank for r in health.collect()) == list(range(1, n + 1))
     assert p.raw["orders"].where(F.col("order_id").isNull()).count() == 0
+
+
+def test_catalog_tables_by_layer_schema(spark, shop):
+    pipe = Pipeline(dict(shop.raw))
+    written = pipe.build(spark, names=("fct_orders", "mart_revenue_monthly"))
+    assert written == {"fct_orders": "`core`.`fct_orders`",
+                       "mart_revenue_monthly": "`analytics`.`mart_revenue_monthly`"}
+    assert spark.table("core.fct_orders").count() == 4
+    pipe.build(spark, names=("fct_orders",))            # full refresh: same rows
+    assert spark.table("core.fct_orders").count() == 4
+
+
+def test_date_window_keeps_orders_in_range(spark, shop):
+    import datetime as dt
+
+    pipe = Pipeline(dict(shop.raw), date_window=(dt.date(2018, 3, 1), dt.date(2018, 3, 31)))
+    assert sorted(r.order_id for r in pipe.fct_orders.collect()) == ["o1", "o2", "o3"]
