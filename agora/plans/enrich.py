@@ -4,10 +4,13 @@ Shape of the plans, with scale in mind:
 
 * Aggregate before joining: every fact is rolled up to the grain of the join
   key first, so joins never fan out and their inputs shrink.
-* Item-weighted order measures (per seller / per product) are computed from
-  items pre-collapsed to distinct (seller|product, order) pairs with an item
-  count ``n``: the join to the order grain moves one row per pair instead of
-  one per item, and ``count(distinct order_id)`` becomes ``count(*)``.
+* Seller and product measures come from items pre-collapsed once to distinct
+  (seller|product, order) pairs with an item count ``n`` and price/freight
+  sums: item totals, averages and ``count(distinct order_id)`` are sums and
+  counts over pairs, and the item-weighted order measures join one row per
+  pair (not per item) to the order grain. The same pair aggregate feeds both
+  uses (one shuffle, reused); the other distinct count is a small
+  (key, other) distinct.
 * All aggregates are partial (map-side combined); a key holding a third of
   the rows sends one partial row per map task through the shuffle.
 * Joins on order_id / customer_id / seller_id / product_id sort-merge on the
@@ -199,8 +202,23 @@ def int_customer_order_history(orders_enriched: DataFrame, customers: DataFrame)
 # --------------------------------------------------------------- product grain
 
 def _pairs(items: DataFrame, key: str) -> DataFrame:
-    """Distinct (key, order_id) pairs with their item count ``n``."""
-    return items.groupBy(key, "order_id").agg(F.count(F.lit(1)).alias("n"))
+    """Items collapsed to distinct (key, order_id) pairs: item count ``n`` and the
+    price / freight sums and non-null counts of the pair's items."""
+    return items.groupBy(key, "order_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("item_price").alias("price_sum"),
+        F.count("item_price").alias("price_n"),
+        F.sum("freight_value").alias("freight_sum"),
+        F.count("freight_value").alias("freight_n"))
+
+
+def _mean(total: str, count: str):
+    return F.sum(total) / F.nullif(F.sum(count), F.lit(0))
+
+
+def _distinct_count(items: DataFrame, key: str, other: str, name: str) -> DataFrame:
+    return (items.select(key, other).distinct()
+                 .groupBy(key).agg(F.count(other).alias(name)))
 
 
 def int_products_enriched(products: DataFrame, items: DataFrame,
@@ -212,27 +230,30 @@ def int_products_enriched(products: DataFrame, items: DataFrame,
     without the final 'unknown' fallback it is the staged category whenever
     the original name is present, and NULL otherwise.
     """
-    ia = items.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("times_ordered"),
-        F.countDistinct("order_id").alias("distinct_orders"),
-        F.countDistinct("seller_id").alias("distinct_sellers"),
-        F.sum("item_price").alias("total_revenue"),
-        F.avg("item_price").alias("avg_item_price"),
-        F.avg("freight_value").alias("avg_freight_value"),
-        F.sum("freight_value").alias("total_freight_value")).alias("ia")
-    reviewed = orders_enriched.where(F.col("review_score").isNotNull()).select(
-        "order_id", "review_score", "days_to_deliver")
-    pairs = _pairs(items, "product_id").join(reviewed, "order_id", "inner")
-    ra = pairs.groupBy("product_id").agg(
-        weighted_avg("review_score", "n").alias("avg_review_score"),
-        weighted_avg("days_to_deliver", "n").alias("avg_days_to_deliver"),
-        F.sum(F.when(F.col("review_score") == 1, F.col("n")).otherwise(0)).cast("bigint")
-         .alias("one_star_count"),
-        F.count(F.lit(1)).alias("reviewable_orders")).alias("ra")
+    pairs = _pairs(items, "product_id")
+    scores = orders_enriched.select("order_id", "review_score", "days_to_deliver")
+    # one row per (product, order): all-order measures and reviewed-order
+    # measures are conditional aggregates of a single pass
+    with_orders = pairs.join(scores, "order_id", "left")
+    reviewed, n = F.col("review_score").isNotNull(), F.col("n")
+    ia = (with_orders.groupBy("product_id").agg(
+              F.sum("n").alias("times_ordered"),
+              F.count("order_id").alias("distinct_orders"),
+              F.sum("price_sum").alias("total_revenue"),
+              _mean("price_sum", "price_n").alias("avg_item_price"),
+              _mean("freight_sum", "freight_n").alias("avg_freight_value"),
+              F.sum("freight_sum").alias("total_freight_value"),
+              weighted_avg("review_score", "n").alias("avg_review_score"),
+              weighted_avg(F.when(reviewed, F.col("days_to_deliver")), "n")
+               .alias("avg_days_to_deliver"),
+              F.sum(F.when(F.col("review_score") == 1, n).otherwise(0)).cast("bigint")
+               .alias("one_star_count"),
+              F.count(F.when(reviewed, F.lit(1))).alias("reviewable_orders"))
+          .join(_distinct_count(items, "product_id", "seller_id", "distinct_sellers"),
+                "product_id", "left")).alias("ia")
     p = products.alias("p")
-    joined = (p.join(ia, F.col("p.product_id") == F.col("ia.product_id"), "left")
-               .join(ra, F.col("p.product_id") == F.col("ra.product_id"), "left"))
-    reviewable = F.coalesce("ra.reviewable_orders", F.lit(0))
+    joined = p.join(ia, F.col("p.product_id") == F.col("ia.product_id"), "left")
+    reviewable = F.coalesce("ia.reviewable_orders", F.lit(0))
     avg_price = F.col("ia.avg_item_price")
     return joined.select(
         F.col("p.product_id").alias("product_id"),
@@ -257,10 +278,10 @@ def int_products_enriched(products: DataFrame, items: DataFrame,
         F.col("ia.total_freight_value").alias("total_freight_value"),
         F.when(avg_price > 0, F.col("ia.avg_freight_value") / avg_price)
          .alias("freight_to_price_ratio"),
-        F.col("ra.avg_review_score").alias("avg_review_score"),
-        F.col("ra.avg_days_to_deliver").alias("avg_days_to_deliver"),
-        F.coalesce("ra.one_star_count", F.lit(0)).alias("one_star_count"),
-        F.when(reviewable > 0, float_ratio("ra.one_star_count", "ra.reviewable_orders"))
+        F.col("ia.avg_review_score").alias("avg_review_score"),
+        F.col("ia.avg_days_to_deliver").alias("avg_days_to_deliver"),
+        F.coalesce("ia.one_star_count", F.lit(0)).alias("one_star_count"),
+        F.when(reviewable > 0, float_ratio("ia.one_star_count", "ia.reviewable_orders"))
          .alias("one_star_rate"))
 
 
@@ -274,36 +295,43 @@ def int_sellers_enriched(sellers: DataFrame, geo: DataFrame, items: DataFrame,
     the seller's item rows in it; rates divide by the seller's distinct orders
     (all statuses for lateness, delivered for one-star).
     """
-    ia = items.groupBy("seller_id").agg(
-        F.countDistinct("order_id").alias("total_orders"),
-        F.count(F.lit(1)).alias("total_items_sold"),
-        F.countDistinct("product_id").alias("distinct_products"),
-        F.sum("item_price").alias("total_revenue"),
-        F.sum("freight_value").alias("total_freight_collected"),
-        F.avg("item_price").alias("avg_item_price")).alias("ia")
-    delivered = orders_enriched.where(F.col("order_status") == "delivered").select(
-        "order_id", "days_to_deliver", "review_score", "is_late_delivery",
-        F.when(F.col("estimated_delivery_at").isNotNull(),
-               days_between("shipped_at", "estimated_delivery_at")).alias("promised_window"))
-    pairs = _pairs(items, "seller_id").join(delivered, "order_id", "inner")
-    n = F.col("n")
-    op = pairs.groupBy("seller_id").agg(
-        weighted_avg("days_to_deliver", "n").alias("avg_days_to_deliver"),
-        weighted_avg("promised_window", "n").alias("avg_promised_window"),
-        F.sum(F.when(F.col("is_late_delivery"), n).otherwise(0)).cast("bigint").alias("late_orders"),
-        F.count(F.lit(1)).alias("scorable_orders"),
-        weighted_avg("review_score", "n").alias("avg_review_score"),
-        F.sum(F.when(F.col("review_score") == 1, n).otherwise(0)).cast("bigint")
-         .alias("one_star_reviews"),
-        F.sum(F.when(F.col("review_score") == 5, n).otherwise(0)).cast("bigint")
-         .alias("five_star_reviews")).alias("op")
+    promised = F.when(F.col("estimated_delivery_at").isNotNull(),
+                      days_between("shipped_at", "estimated_delivery_at"))
+    perf = orders_enriched.select(
+        "order_id", (F.col("order_status") == "delivered").alias("delivered"),
+        "days_to_deliver", "review_score", "is_late_delivery", promised.alias("promised_window"))
+    # one row per (seller, order): all-order measures and delivered-order
+    # measures are conditional aggregates of a single pass
+    with_orders = _pairs(items, "seller_id").join(perf, "order_id", "left")
+    d, n, score = F.coalesce("delivered", F.lit(False)), F.col("n"), F.col("review_score")
+
+    def on_delivered(c):
+        return F.when(d, F.col(c))
+
+    ia = (with_orders.groupBy("seller_id").agg(
+              F.count("order_id").alias("total_orders"),
+              F.sum("n").alias("total_items_sold"),
+              F.sum("price_sum").alias("total_revenue"),
+              F.sum("freight_sum").alias("total_freight_collected"),
+              _mean("price_sum", "price_n").alias("avg_item_price"),
+              weighted_avg(on_delivered("days_to_deliver"), "n").alias("avg_days_to_deliver"),
+              weighted_avg(on_delivered("promised_window"), "n").alias("avg_promised_window"),
+              F.sum(F.when(d & F.col("is_late_delivery"), n).otherwise(0)).cast("bigint")
+               .alias("late_orders"),
+              F.count(F.when(d, F.lit(1))).alias("scorable_orders"),
+              weighted_avg(on_delivered("review_score"), "n").alias("avg_review_score"),
+              F.sum(F.when(d & (score == 1), n).otherwise(0)).cast("bigint")
+               .alias("one_star_reviews"),
+              F.sum(F.when(d & (score == 5), n).otherwise(0)).cast("bigint")
+               .alias("five_star_reviews"))
+          .join(_distinct_count(items, "seller_id", "product_id", "distinct_products"),
+                "seller_id", "left")).alias("ia")
     s = with_geo(sellers, geo, "seller").alias("s")
-    joined = (s.join(ia, F.col("s.seller_id") == F.col("ia.seller_id"), "left")
-               .join(op, F.col("s.seller_id") == F.col("op.seller_id"), "left"))
+    joined = s.join(ia, F.col("s.seller_id") == F.col("ia.seller_id"), "left")
     total_orders = F.coalesce("ia.total_orders", F.lit(0))
     revenue = F.coalesce("ia.total_revenue", F.lit(0)).cast("double")
-    late = F.coalesce("op.late_orders", F.lit(0))
-    scorable = F.coalesce("op.scorable_orders", F.lit(0))
+    late = F.coalesce("ia.late_orders", F.lit(0))
+    scorable = F.coalesce("ia.scorable_orders", F.lit(0))
     return joined.select(
         F.col("s.seller_id").alias("seller_id"), "s.zip_code_prefix", "s.state", "s.city",
         "s.seller_lat", "s.seller_lng",
@@ -314,13 +342,13 @@ def int_sellers_enriched(sellers: DataFrame, geo: DataFrame, items: DataFrame,
         F.coalesce("ia.total_freight_collected", F.lit(0)).cast("double")
          .alias("total_freight_collected"),
         "ia.avg_item_price",
-        "op.avg_days_to_deliver", "op.avg_promised_window",
+        "ia.avg_days_to_deliver", "ia.avg_promised_window",
         late.alias("late_orders"),
         F.when(total_orders > 0, float_ratio(late, "ia.total_orders")).alias("late_delivery_rate"),
-        "op.avg_review_score",
-        F.coalesce("op.one_star_reviews", F.lit(0)).alias("one_star_reviews"),
-        F.coalesce("op.five_star_reviews", F.lit(0)).alias("five_star_reviews"),
-        F.when(scorable > 0, float_ratio("op.one_star_reviews", "op.scorable_orders"))
+        "ia.avg_review_score",
+        F.coalesce("ia.one_star_reviews", F.lit(0)).alias("one_star_reviews"),
+        F.coalesce("ia.five_star_reviews", F.lit(0)).alias("five_star_reviews"),
+        F.when(scorable > 0, float_ratio("ia.one_star_reviews", "ia.scorable_orders"))
          .alias("one_star_rate"),
-        ((revenue > 10000) & (F.coalesce("op.avg_review_score", F.lit(5.0)) < 3))
+        ((revenue > 10000) & (F.coalesce("ia.avg_review_score", F.lit(5.0)) < 3))
          .alias("is_high_revenue_low_rating"))
