@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agora.functions.compat import days_between, float_ratio, sum_flag, trunc_ts
@@ -81,14 +81,17 @@ def mart_delivery_performance(fct: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def state_concentration(sellers: DataFrame) -> DataFrame:
-    """Sellers per state and their share (%) of all sellers."""
+    """Sellers per state and their share (%) of all sellers.
+
+    The total is one number from a distributed count; it is divided into the
+    per-state counts as a literal, so no window gathers rows into one task.
+    """
+    total = sellers.count()
     per_state = sellers.groupBy("state").agg(F.count(F.lit(1)).alias("sellers_in_state"))
-    # one row per distinct state: the total over the aggregate is a tiny window
-    everyone = Window.partitionBy()
     return per_state.select(
         "state", "sellers_in_state",
-        (F.col("sellers_in_state") * F.lit(100.0)
-         / F.sum("sellers_in_state").over(everyone)).alias("pct_of_all_sellers"))
+        (F.col("sellers_in_state") * F.lit(100.0) / F.lit(float(total)))
+         .alias("pct_of_all_sellers"))
 
 
 SELLER_HEALTH_COLUMNS = (
