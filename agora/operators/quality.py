@@ -16,8 +16,8 @@ grouped count), and once per relationship (a left-anti join).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -322,21 +322,43 @@ ORDER_GRAIN_CONSUMERS = ("dim_customers", "dim_products", "dim_sellers", "fct_or
 
 
 def run_checks(pipeline, kind: str | None = None, models: Sequence[str] | None = None,
-               share_orders: bool = True) -> DataFrame:
+               share_orders: bool = True,
+               severity: str | Mapping[str, str] | None = None) -> DataFrame:
     """Report over the declared checks (optionally one kind / some models).
 
+    ``severity`` overrides the default ``warn``: one value for every check, or
+    a mapping from model name to severity (e.g. ``error`` for the marts).
     When several checked models read the order-grain table, it is first
     checkpointed once (``share_orders``) so the report's branches read it
     instead of each recomputing it.
     """
     chosen = [c for c in CHECKS
               if (kind is None or c.kind == kind) and (models is None or c.model in models)]
+    if severity is not None:
+        chosen = [replace(c, severity=severity if isinstance(severity, str)
+                          else severity.get(c.model, c.severity)) for c in chosen]
     consumers = {c.model for c in chosen if c.model in ORDER_GRAIN_CONSUMERS}
     if share_orders and len(consumers) > 1 and "int_orders_enriched" not in pipeline.__dict__:
         pipeline.share_orders("checkpoint")
     return report(chosen, pipeline_resolver(pipeline))
 
 
+class DataQualityError(Exception):
+    """Raised when a check of severity ``error`` has failures."""
+
+
+def raise_on_error(report: DataFrame) -> DataFrame:
+    """Fail when any ``error``-severity check failed; return the report otherwise.
+
+    Collects only the failing error rows (at most one per declared check).
+    """
+    failed = report.where((F.col("severity") == "error") & (F.col("failures") > 0)).collect()
+    if failed:
+        lines = ", ".join(f"{r.test}({r.model}.{r.column_name})={r.failures}" for r in failed)
+        raise DataQualityError(f"{len(failed)} failing checks: {lines}")
+    return report
+
+
 def store_failures(pipeline, spark: SparkSession, schema: str = FAILURES_SCHEMA,
                    warehouse: str | None = None) -> dict[str, str]:
     """Write the failing rows of every failing check (full refresh per check)."""

@@ -219,18 +219,21 @@ class Pipeline:
 
 
     def check(self, spark: SparkSession, kind: str | None = None,
-              store_failures: bool = False, warehouse: str | None = None) -> DataFrame:
+              store_failures: bool = False, warehouse: str | None = None,
+              severity: str | dict[str, str] | None = None) -> DataFrame:
         """Run the declared data-quality checks; optionally store failing rows.
 
-        Returns the report (one row per check). With ``store_failures`` the
-        failing rows of each failing check are written to the ``audit`` schema
-        (or under ``warehouse``), as full refreshes.
+        Returns the report (one row per check; severity ``warn`` unless
+        overridden). With ``store_failures`` the failing rows of each failing
+        check are written to the ``audit`` schema (or under ``warehouse``), as
+        full refreshes. ``quality.raise_on_error(report)`` fails the run on
+        failing ``error`` checks.
         """
         from agora.operators import quality
 
         if store_failures:
             quality.store_failures(self, spark, quality.FAILURES_SCHEMA, warehouse)
-        return quality.run_checks(self, kind=kind)
+        return quality.run_checks(self, kind=kind, severity=severity)
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, **kwargs) -> Pipeline:

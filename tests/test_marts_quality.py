@@ -135,3 +135,14 @@ def test_store_failures_writes_failing_rows(spark, tmp_path):
     assert all(not name.startswith("unique_") for name in written)
     report = Pipeline(dict(pipe.raw)).check(spark, kind="not_null")
     assert report.count() == 54
+
+
+def test_severity_override_and_raise(shop):
+    report = dq.run_checks(shop, kind="between",
+                           severity={"dim_sellers": "error", "mart_seller_health": "error"})
+    sev = {(r.model, r.column_name): (r.severity, r.status) for r in report.collect()}
+    assert sev[("dim_sellers", "one_star_rate")] == ("error", "error")
+    assert sev[("fct_orders", "gross_order_value")] == ("warn", "pass")
+    with pytest.raises(dq.DataQualityError, match="one_star_rate"):
+        dq.raise_on_error(report)
+    assert dq.raise_on_error(dq.run_checks(shop, kind="unique", severity="error")).count() == 14
