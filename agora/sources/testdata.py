@@ -5,6 +5,12 @@ by the DuckDB oracle (``agora.oracle``): every amount comes from ``floor`` of
 the source values, so sums do not depend on row order. Ids stay BIGINT.
 Each raw table is a narrow projection of one fact or dimension table, so the
 mapping adds no shuffle except the ``distinct`` of the category list.
+
+The key arithmetic (``%``) in the mapping shapes the marketplace, it does not
+sample it: it assigns statuses, payment splits and second reviews, and leaves
+out some orders, items and payments so that customers without orders, sellers
+without sales and orders without payments exist. Every row of the source tables
+is read by every query, and the mapped tables grow linearly with them.
 """
 
 from __future__ import annotations
