@@ -6,11 +6,11 @@ Shape of the plans, with scale in mind:
   key first, so joins never fan out and their inputs shrink.
 * Seller and product measures come from items pre-collapsed once to distinct
   (seller|product, order) pairs with an item count ``n`` and price/freight
-  sums: item totals, averages and ``count(distinct order_id)`` are sums and
-  counts over pairs, and the item-weighted order measures join one row per
-  pair (not per item) to the order grain. The same pair aggregate feeds both
-  uses (one shuffle, reused); the other distinct count is a small
-  (key, other) distinct.
+  sums. The pairs are left-joined to the order grain (one row per pair, not
+  per item) and a single group-by computes all-order measures (item totals,
+  averages, ``count(distinct order_id)`` as a count of pairs) and the
+  item-weighted delivered/reviewed measures as conditional aggregates. The
+  other distinct count is a small (key, other) distinct.
 * All aggregates are partial (map-side combined); a key holding a third of
   the rows sends one partial row per map task through the shuffle.
 * Joins on order_id / customer_id / seller_id / product_id sort-merge on the
