@@ -105,3 +105,15 @@ def test_date_window_keeps_orders_in_range(spark, shop):
 
     pipe = Pipeline(dict(shop.raw), date_window=(dt.date(2018, 3, 1), dt.date(2018, 3, 31)))
     assert sorted(r.order_id for r in pipe.fct_orders.collect()) == ["o1", "o2", "o3"]
+
+
+def test_command_line_load_and_rfm(spark, tmp_path, capsys):
+    from agora.__main__ import main
+
+    src = str(tmp_path / "csv")
+    os.makedirs(src)
+    _write(src, RAW_FILES["product_category_name_translation"], TRANSLATION)
+    assert main(["load", "--csv", src, "--raw", str(tmp_path / "raw")]) == 0
+    assert "product_category_name_translation" in capsys.readouterr().out
+    assert main(["rfm", "--testdata", "/root/testdata/sf0.001", "--as-of", "2000-01-01"]) == 0
+    assert "customer_count" in capsys.readouterr().out
