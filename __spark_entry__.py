@@ -49,25 +49,25 @@ MODELS = (
 )
 
 # Operator-level queries: the custom operators on whole tables.
-def _op_global_row_number(p: Pipeline) -> DataFrame:
+def _global_row_number_query(p: Pipeline) -> DataFrame:
     orders = p.int_orders_enriched.select("order_id", "gross_order_value")
     return global_rank(orders, [("gross_order_value", "desc"), ("order_id", "asc")],
                        row_number="order_rank")
 
 
-def _op_global_ntile(p: Pipeline) -> DataFrame:
+def _global_ntile_query(p: Pipeline) -> DataFrame:
     orders = p.int_orders_enriched.select("order_id", "total_payment_value")
     return global_rank(orders, [("total_payment_value", "asc"), ("order_id", "asc")],
                        ntiles={"payment_decile": 10, "payment_septile": 7})
 
 
-def _op_latest_per_key(p: Pipeline) -> DataFrame:
+def _latest_per_key_query(p: Pipeline) -> DataFrame:
     return pick_one(p.stg_orders, ["customer_id"],
                     [("purchased_at", "desc"), ("order_id", "desc")],
                     ["order_id", "purchased_at", "order_status"])
 
 
-def _op_first_by_order(p: Pipeline) -> DataFrame:
+def _first_by_order_query(p: Pipeline) -> DataFrame:
     return enrich.order_payments_summary(p.stg_order_payments).select(
         "order_id", "primary_payment_type")
 
@@ -86,10 +86,10 @@ QUESTIONS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "q_seller_concentration": lambda p: questions.seller_concentration(p.dim_sellers),
     "q_freight_by_state": lambda p: questions.freight_share_by_state(p.dim_customers),
     "q_purchase_cohorts": lambda p: questions.purchase_cohorts(p.int_customer_order_history),
-    "op_global_row_number": _op_global_row_number,
-    "op_global_ntile": _op_global_ntile,
-    "op_latest_per_key": _op_latest_per_key,
-    "op_first_by_order": _op_first_by_order,
+    "global_row_number": _global_row_number_query,
+    "global_ntile": _global_ntile_query,
+    "latest_per_key": _latest_per_key_query,
+    "first_by_order": _first_by_order_query,
     "dq_unique": lambda p: dq.run_checks(p, kind="unique"),
     "dq_not_null": lambda p: dq.run_checks(p, kind="not_null"),
     "dq_accepted_values": lambda p: dq.run_checks(p, kind="accepted_values"),
@@ -168,21 +168,21 @@ SELECT cohort_month, count(*) AS customers, CAST(sum(total_orders) AS BIGINT) AS
        sum(lifetime_value) AS lifetime_value,
        CAST(sum(CASE WHEN total_orders > 1 THEN 1 ELSE 0 END) AS BIGINT) AS repeat_customers
 FROM int_customer_order_history GROUP BY cohort_month""",
-    "op_global_row_number": """
+    "global_row_number": """
 SELECT order_id, gross_order_value,
        row_number() OVER (ORDER BY gross_order_value DESC NULLS LAST, order_id) AS order_rank
 FROM int_orders_enriched""",
-    "op_global_ntile": """
+    "global_ntile": """
 SELECT order_id, total_payment_value,
        ntile(10) OVER (ORDER BY total_payment_value ASC NULLS LAST, order_id) AS payment_decile,
        ntile(7) OVER (ORDER BY total_payment_value ASC NULLS LAST, order_id) AS payment_septile
 FROM int_orders_enriched""",
-    "op_latest_per_key": """
+    "latest_per_key": """
 SELECT customer_id, order_id, purchased_at, order_status FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id
                                ORDER BY purchased_at DESC NULLS LAST, order_id DESC) AS rn
   FROM stg_orders) ranked WHERE rn = 1""",
-    "op_first_by_order": "SELECT order_id, primary_payment_type FROM order_payments_agg",
+    "first_by_order": "SELECT order_id, primary_payment_type FROM order_payments_agg",
 }
 
 

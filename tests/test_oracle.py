@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 DEFAULT = ("int_orders_enriched", "int_sellers_enriched", "mart_revenue_monthly",
            "mart_delivery_performance", "mart_seller_health", "rfm_segmentation",
-           "op_global_ntile", "op_latest_per_key", "q_on_time_share", "dq_accepted_values")
+           "global_ntile", "latest_per_key", "q_on_time_share", "dq_accepted_values")
 NAMES = sorted(entry.queries()) if os.environ.get("AGORA_FULL_ORACLE") else DEFAULT
 
 
