@@ -34,17 +34,33 @@ def sort_columns(order: Sequence[Order]) -> list[Column]:
             for c, d in order]
 
 
+# Rows one range partition is sized for when the partition count is derived
+# from the data (a sorted partition of this size fits an executor's memory).
+ROWS_PER_RANGE_PARTITION = 2_000_000
+
+
 def with_global_position(df: DataFrame, order: Sequence[Order],
-                         num_partitions: int | None = None) -> DataFrame:
-    """Add ``_gpos`` (0-based position in ``order``) and ``_gtotal`` (row count)."""
+                         num_partitions: int | None = None,
+                         rows_per_partition: int = ROWS_PER_RANGE_PARTITION) -> DataFrame:
+    """Add ``_gpos`` (0-based position in ``order``) and ``_gtotal`` (row count).
+
+    Without ``num_partitions`` the range partitions number
+    ceil(rows / ``rows_per_partition``), at most ``spark.sql.shuffle.partitions``,
+    so a ranking of a few million rows does not run thousands of tiny tasks
+    and one of billions spreads over the whole cluster.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = sort_columns(order)
-    # the range partitioner samples its input and the shuffle reads it again:
-    # keep the input for the duration so it is computed once
+    # the row count, the range partitioner's sample and the shuffle all read
+    # the input: keep it for the duration so it is computed once
     staged = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if num_partitions:
+            n = num_partitions
+        else:
+            cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            n = max(1, min(cap, -(-staged.count() // rows_per_partition)))
         ranged = (staged.repartitionByRange(n, *keys)
                         .sortWithinPartitions(*keys)
                         .checkpoint(eager=True))

@@ -56,3 +56,13 @@ def test_plan_has_no_single_partition_exchange(spark):
     assert "SinglePartition" not in plan
     assert "Window" not in plan
     assert got.rdd.getNumPartitions() == 4
+
+
+def test_partition_count_follows_row_count(spark):
+    from agora.operators.ranking import with_global_position
+
+    df = _data(spark, 503)
+    ranked = with_global_position(df, [("v", "asc"), ("id", "asc")], rows_per_partition=100)
+    assert ranked.rdd.getNumPartitions() == 4      # ceil(503 / 100) capped by 4 shuffle partitions
+    got = ranked.select("id", (F.col("_gpos") + 1).alias("rn"))
+    assert rows(got) == rows(_expected(df, "asc", 5).select("id", "rn"))
