@@ -39,46 +39,63 @@ def sort_columns(order: Sequence[Order]) -> list[Column]:
 ROWS_PER_RANGE_PARTITION = 2_000_000
 
 
-def with_global_position(df: DataFrame, order: Sequence[Order],
-                         num_partitions: int | None = None,
-                         rows_per_partition: int = ROWS_PER_RANGE_PARTITION) -> DataFrame:
-    """Add ``_gpos`` (0-based position in ``order``) and ``_gtotal`` (row count).
+def positions(df: DataFrame, order: Sequence[Order], num_partitions: int | None = None,
+              rows_per_partition: int = ROWS_PER_RANGE_PARTITION,
+              row_count: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` with ``_gpos`` (0-based position in ``order``) and ``_gtotal``, and the row count.
 
     Without ``num_partitions`` the range partitions number
     ceil(rows / ``rows_per_partition``), at most ``spark.sql.shuffle.partitions``,
     so a ranking of a few million rows does not run thousands of tiny tasks
-    and one of billions spreads over the whole cluster.
+    and one of billions spreads over the whole cluster. ``row_count``, when
+    already known (a second ordering of the same rows), saves the count.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     keys = sort_columns(order)
-    # the row count, the range partitioner's sample and the shuffle all read
-    # the input: keep it for the duration so it is computed once
-    staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = df
     try:
         if num_partitions:
             n = num_partitions
         else:
-            cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            n = max(1, min(cap, -(-staged.count() // rows_per_partition)))
+            if row_count is None:
+                # the count, the range sample and the shuffle read the input:
+                # keep it for the duration so it is computed once
+                staged = df.persist(StorageLevel.MEMORY_AND_DISK)
+                row_count = staged.count()
+            n = max(1, min(cap, -(-row_count // rows_per_partition)))
+        if n > 1 and staged is df:
+            staged = df.persist(StorageLevel.MEMORY_AND_DISK)  # sampled, then shuffled
         ranged = (staged.repartitionByRange(n, *keys)
                         .sortWithinPartitions(*keys)
                         .checkpoint(eager=True))
     finally:
-        staged.unpersist()
+        if staged is not df:
+            staged.unpersist()
     pid = F.spark_partition_id()
-    # rows per range partition: at most n small rows reach the driver
-    counts = dict(ranged.groupBy(pid.alias("p")).count().collect())
-    offsets, total = [], 0
-    for p in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(p, 0)
+    if n == 1 and row_count is not None:
+        offsets, total = [0], row_count
+    else:
+        # rows per range partition: at most n small rows reach the driver
+        counts = dict(ranged.groupBy(pid.alias("p")).count().collect())
+        offsets, total = [], 0
+        for p in range(max(counts, default=-1) + 1):
+            offsets.append(total)
+            total += counts.get(p, 0)
     offset = F.element_at(F.expr(f"array({', '.join(f'{o}L' for o in offsets) or 'CAST(0 AS BIGINT)'})"),
                           pid + 1)
     # monotonically_increasing_id = (partition index << 33) + index in partition
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
     return ranged.select("*", (offset + local).alias(_POS),
-                         F.lit(total).cast("bigint").alias(_TOTAL))
+                         F.lit(total).cast("bigint").alias(_TOTAL)), total
+
+
+def with_global_position(df: DataFrame, order: Sequence[Order],
+                         num_partitions: int | None = None,
+                         rows_per_partition: int = ROWS_PER_RANGE_PARTITION) -> DataFrame:
+    """Add ``_gpos`` (0-based position in ``order``) and ``_gtotal`` (row count)."""
+    return positions(df, order, num_partitions, rows_per_partition)[0]
 
 
 def ntile_of(position: Column, total: Column, k: int) -> Column:
@@ -95,17 +112,36 @@ def ntile_of(position: Column, total: Column, k: int) -> Column:
              .cast("bigint"))
 
 
-def global_rank(df: DataFrame, order: Sequence[Order], row_number: str | None = None,
-                ntiles: Mapping[str, int] | None = None,
-                num_partitions: int | None = None) -> DataFrame:
-    """Add a global ``row_number`` column and/or ``ntile`` columns over one ordering."""
-    ranked = with_global_position(df, order, num_partitions)
+def _rank_columns(row_number: str | None, ntiles: Mapping[str, int] | None) -> list[Column]:
     cols = []
     if row_number:
         cols.append((F.col(_POS) + 1).cast("bigint").alias(row_number))
     for name, k in (ntiles or {}).items():
         cols.append(ntile_of(F.col(_POS), F.col(_TOTAL), k).alias(name))
-    return ranked.select(*[c for c in df.columns], *cols)
+    return cols
+
+
+def global_rank(df: DataFrame, order: Sequence[Order], row_number: str | None = None,
+                ntiles: Mapping[str, int] | None = None,
+                num_partitions: int | None = None) -> DataFrame:
+    """Add a global ``row_number`` column and/or ``ntile`` columns over one ordering."""
+    ranked, _ = positions(df, order, num_partitions)
+    return ranked.select(*df.columns, *_rank_columns(row_number, ntiles))
+
+
+def global_ranks(df: DataFrame, specs: Sequence[tuple[Sequence[Order], str | None,
+                                                       Mapping[str, int] | None]],
+                 num_partitions: int | None = None) -> DataFrame:
+    """Several orderings of the same rows, ranked one after the other.
+
+    Each spec is ``(order, row_number_name, {ntile_name: k})``. The rows are
+    counted once; each later ordering starts from the previous checkpoint.
+    """
+    out, total = df, None
+    for order, row_number, ntiles in specs:
+        ranked, total = positions(out, order, num_partitions, row_count=total)
+        out = ranked.select(*out.columns, *_rank_columns(row_number, ntiles))
+    return out
 
 
 def global_row_number(df: DataFrame, order: Sequence[Order], name: str = "row_number",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agora.functions.compat import days_between, float_ratio, sum_flag, trunc_ts
-from agora.operators.ranking import global_rank
+from agora.operators.ranking import global_ranks
 
 REVENUE_STATUSES = ("delivered", "shipped", "processing", "approved")
 
@@ -109,11 +109,10 @@ def mart_seller_health(dim_sellers: DataFrame, num_partitions: int | None = None
     (range partitions + offsets), never a single-partition window.
     """
     active = dim_sellers.where(F.col("total_orders") > 0)
-    by_revenue = global_rank(active, [("total_revenue", "desc"), ("seller_id", "asc")],
-                             row_number="revenue_rank", ntiles={"revenue_decile": 10},
-                             num_partitions=num_partitions)
-    ranked = global_rank(by_revenue, [("avg_review_score", "desc"), ("seller_id", "asc")],
-                         row_number="review_rank", num_partitions=num_partitions)
+    ranked = global_ranks(active, [
+        ([("total_revenue", "desc"), ("seller_id", "asc")], "revenue_rank", {"revenue_decile": 10}),
+        ([("avg_review_score", "desc"), ("seller_id", "asc")], "review_rank", None),
+    ], num_partitions=num_partitions)
     share = state_concentration(dim_sellers).select(
         "state", "sellers_in_state", F.col("pct_of_all_sellers").alias("pct_sellers_in_state"))
     joined = ranked.alias("r").join(share.alias("sc"), F.col("r.state") == F.col("sc.state"), "left")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agora.functions.compat import days_between, round_half_away
-from agora.operators.ranking import global_rank
+from agora.operators.ranking import global_ranks
 
 
 def _ntz_literal(value: dt.datetime | dt.date | None) -> F.Column:
@@ -51,15 +51,15 @@ def rfm_scores(dim_customers: DataFrame, as_of: dt.datetime | None = None,
     # needs no as-of date, and the date is read afterwards from the ranked,
     # checkpointed table instead of a separate pass over the whole input.
     r_dir = "asc" if recency_desc else "desc"
-    scored = global_rank(base, [("_last_day", r_dir), ("customer_id", "asc")],
-                         ntiles={"r_score": 5}, num_partitions=num_partitions)
+    scored = global_ranks(base, [
+        ([("_last_day", r_dir), ("customer_id", "asc")], None, {"r_score": 5}),
+        ([("frequency", "asc"), ("customer_id", "asc")], None, {"f_score": 5}),
+        ([("monetary", "asc"), ("customer_id", "asc")], None, {"m_score": 5}),
+    ], num_partitions=num_partitions)
     if as_of is None:
         as_of = scored.agg(F.max("last_order_at")).first()[0]
     scored = scored.withColumn(
         "recency_days", days_between("last_order_at", _ntz_literal(as_of)))
-    for measure, score in (("frequency", "f_score"), ("monetary", "m_score")):
-        scored = global_rank(scored, [(measure, "asc"), ("customer_id", "asc")],
-                             ntiles={score: 5}, num_partitions=num_partitions)
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")
     return scored.select(
         "customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",

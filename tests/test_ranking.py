@@ -66,3 +66,16 @@ def test_partition_count_follows_row_count(spark):
     assert ranked.rdd.getNumPartitions() == 4      # ceil(503 / 100) capped by 4 shuffle partitions
     got = ranked.select("id", (F.col("_gpos") + 1).alias("rn"))
     assert rows(got) == rows(_expected(df, "asc", 5).select("id", "rn"))
+
+
+def test_chained_rankings_count_once(spark):
+    from agora.operators.ranking import global_ranks
+
+    df = _data(spark, 503)
+    got = global_ranks(df, [([("v", "asc"), ("id", "asc")], "rn_asc", {"nt_asc": 5}),
+                            ([("v", "desc"), ("id", "asc")], "rn_desc", {"nt_desc": 10})])
+    asc = _expected(df, "asc", 5).withColumnRenamed("rn", "rn_asc").withColumnRenamed("nt", "nt_asc")
+    desc = _expected(df, "desc", 10).withColumnRenamed("rn", "rn_desc").withColumnRenamed("nt", "nt_desc")
+    want = asc.join(desc, "id")
+    cols = ("id", "rn_asc", "nt_asc", "rn_desc", "nt_desc")
+    assert rows(got, *cols) == rows(want, *cols)
