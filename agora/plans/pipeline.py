@@ -154,7 +154,9 @@ class Pipeline:
     # ----------------------------------------------------------- analytics
     @cached_property
     def mart_revenue_monthly(self) -> DataFrame:
-        return marts.mart_revenue_monthly(self.stg_order_items, self.int_products_enriched,
+        # only (product_id, category_name_english) is read: the product
+        # dimension carries both, and in a build it is already written
+        return marts.mart_revenue_monthly(self.stg_order_items, self.dim_products,
                                           self.fct_orders)
 
     @cached_property
@@ -201,11 +203,17 @@ class Pipeline:
         """Register staging views and write the marts (full refresh).
 
         With ``warehouse`` the marts are written as ``<warehouse>/<schema>/<name>``
-        files, else as catalog tables ``<schema>.<name>``.
+        files, else as catalog tables ``<schema>.<name>``. As with table
+        materialization, a mart written earlier in the build is read back from
+        its table by the marts after it (``fct_orders`` by the revenue and
+        delivery marts, ``dim_sellers`` by seller health), which cuts their
+        lineage at a durable table instead of recomputing it.
         """
         for name, layer in LAYERS.items():
             if layer == "staging":
                 sinks.register_view(self.model(name), name)
+        for name in (*MARTS, "rfm_segmentation"):
+            self.__dict__.pop(name, None)  # rebuild from the raw tables
         self.share_orders(share)
         written = {}
         try:
@@ -213,6 +221,7 @@ class Pipeline:
                 schema = sinks.LAYER_SCHEMAS[LAYERS[name]]
                 path = None if warehouse is None else f"{warehouse.rstrip('/')}/{schema}/{name}"
                 written[name] = sinks.write_table(spark, self.model(name), name, schema, path)
+                self.__dict__[name] = sinks.read_table(spark, written[name])
         finally:
             self.release()
         return written

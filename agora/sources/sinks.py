@@ -42,3 +42,10 @@ def write_table(spark: SparkSession, df: DataFrame, name: str, schema: str | Non
     full = f"`{database}`.`{name}`"
     df.write.mode("overwrite").format(fmt).saveAsTable(full)
     return full
+
+
+def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> DataFrame:
+    """Open what :func:`write_table` wrote (a catalog name or a path)."""
+    if location.startswith("`"):
+        return spark.table(location)
+    return spark.read.format(fmt).load(location)
