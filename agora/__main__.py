@@ -30,6 +30,8 @@ def _pipeline(spark, args) -> Pipeline:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="agora", description=__doc__.splitlines()[0])
     parser.add_argument("--master", default=None)
+    parser.add_argument("--driver-memory", default=None,
+                        help="heap of a JVM started from here (local runs), e.g. 16g")
     sub = parser.add_subparsers(dest="command", required=True)
     load = sub.add_parser("load", help="CSV files -> raw tables (overwrite)")
     load.add_argument("--csv", required=True)
@@ -51,7 +53,8 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--as-of", default=None, help="YYYY-MM-DD (default: latest order)")
             p.add_argument("--recency-desc", action="store_true")
     args = parser.parse_args(argv)
-    spark = build_session(args.master)
+    extra = {"spark.driver.memory": args.driver_memory} if args.driver_memory else None
+    spark = build_session(args.master, extra=extra)
 
     if args.command == "load":
         for result in csv_source.load_raw(spark, args.csv, args.raw):
@@ -60,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     pipe = _pipeline(spark, args)
     if args.command == "run":
         for name, where in pipe.build(spark, args.warehouse, share=args.share).items():
-            print(f"built {name:<30} -> {where}")
+            print(f"built {name:<30} {pipe.timings[name]:7.1f}s -> {where}")
         return 0
     if args.command == "test":
         from agora.operators import quality

@@ -9,6 +9,7 @@ checkpoint folder) and released afterwards.
 from __future__ import annotations
 
 import datetime as dt
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -53,6 +54,7 @@ class Pipeline:
     rfm_as_of: dt.datetime | None = None
     rfm_recency_desc: bool = False
     _materialized: list[DataFrame] = field(default_factory=list, repr=False)
+    timings: dict[str, float] = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------- staging
     @cached_property
@@ -218,10 +220,12 @@ class Pipeline:
         written = {}
         try:
             for name in names:
+                started = time.perf_counter()
                 schema = sinks.LAYER_SCHEMAS[LAYERS[name]]
                 path = None if warehouse is None else f"{warehouse.rstrip('/')}/{schema}/{name}"
                 written[name] = sinks.write_table(spark, self.model(name), name, schema, path)
                 self.__dict__[name] = sinks.read_table(spark, written[name])
+                self.timings[name] = time.perf_counter() - started
         finally:
             self.release()
         return written
