@@ -10,7 +10,8 @@ Shape of the plans, with scale in mind:
   per item) and a single group-by computes all-order measures (item totals,
   averages, ``count(distinct order_id)`` as a count of pairs) and the
   item-weighted delivered/reviewed measures as conditional aggregates. The
-  other distinct count is a small (key, other) distinct.
+  other distinct count is a small (key, other) distinct. This relies on
+  order_id being unique in the order grain (a declared unique check).
 * All aggregates are partial (map-side combined); a key holding a third of
   the rows sends one partial row per map task through the shuffle.
 * Joins on order_id / customer_id / seller_id / product_id sort-merge on the
