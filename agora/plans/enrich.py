@@ -41,13 +41,30 @@ from agora.plans.staging import geo_by_zip
 # ---------------------------------------------------------------- order grain
 
 def order_items_summary(items: DataFrame) -> DataFrame:
-    return items.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("item_count"),
-        F.countDistinct("product_id").alias("distinct_products"),
-        F.countDistinct("seller_id").alias("distinct_sellers"),
-        F.sum("item_price").alias("items_revenue"),
-        F.sum("freight_value").alias("freight_revenue"),
-        F.sum("total_item_value").alias("gross_order_value"))
+    """Item count, distinct products and sellers, and sums per order.
+
+    Items collapse to (order, product) pairs carrying their count and sums, so
+    distinct products is a count of pairs; distinct sellers is a count over a
+    narrow (order, seller) distinct. Both are hash aggregates and end
+    partitioned by order_id, so their join (and the join to the orders) needs
+    no further shuffle; no row is expanded per distinct column.
+    """
+    by_product = items.groupBy("order_id", "product_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("item_price").alias("items"),
+        F.sum("freight_value").alias("freight"),
+        F.sum("total_item_value").alias("gross"))
+    per_order = by_product.groupBy("order_id").agg(
+        F.sum("n").alias("item_count"),
+        F.count("product_id").alias("distinct_products"),
+        F.sum("items").alias("items_revenue"),
+        F.sum("freight").alias("freight_revenue"),
+        F.sum("gross").alias("gross_order_value"))
+    sellers = _distinct_count(items, "order_id", "seller_id", "distinct_sellers")
+    return per_order.join(sellers, "order_id", "left").select(
+        "order_id", "item_count", "distinct_products",
+        F.coalesce("distinct_sellers", F.lit(0)).alias("distinct_sellers"),
+        "items_revenue", "freight_revenue", "gross_order_value")
 
 
 def order_payments_summary(payments: DataFrame) -> DataFrame:
