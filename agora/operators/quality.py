@@ -302,6 +302,8 @@ def report(checks: Sequence[Check], resolve: Callable[[Check, str], DataFrame])
             failing = violations(check, resolve)
             parts.append(failing.agg(F.count(F.lit(1)).alias("n"))
                          .select(_report_row(check, F.col("n")).alias("r")).select("r.*"))
+    if not parts:
+        raise ValueError("no checks selected")
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
