@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+from contextlib import contextmanager
 
 import pytest
 
@@ -36,3 +37,19 @@ def rows(df, *cols):
 def shop(spark):
     from tests.fixtures import shop_pipeline
     return shop_pipeline(spark)
+
+
+@contextmanager
+def conf(spark, **settings):
+    """Set runtime SQL settings for a block and restore them after."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

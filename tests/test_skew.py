@@ -1,31 +1,14 @@
 """A product holding a third of all line items: AQE splits the hot join partition,
 and the result is the same as without skew handling."""
 
-from contextlib import contextmanager
-
 from pyspark.sql import functions as F
 
 from agora.plans.pipeline import Pipeline, from_testdata
-from tests.conftest import rows
+from tests.conftest import conf, rows
 
 SF = "/root/testdata/sf0.001"
 
 
-@contextmanager
-def conf(spark, **settings):
-    old = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-
-
 def _skewed(spark) -> Pipeline:
     raw = dict(from_testdata(spark, SF).raw)
     items = raw["order_items"]

@@ -119,3 +119,18 @@ def test_command_line_load_and_rfm(spark, tmp_path, capsys):
     assert "product_category_name_translation" in capsys.readouterr().out
     assert main(["rfm", "--testdata", "/root/testdata/sf0.001", "--as-of", "2000-01-01"]) == 0
     assert "customer_count" in capsys.readouterr().out
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from tests.conftest import conf
+
+    def run():
+        p = from_testdata(spark, "/root/testdata/sf0.001")
+        return [sorted(map(str, df.collect()))
+                for df in (p.fct_orders, p.int_customer_order_history, p.mart_revenue_monthly)]
+
+    with conf(spark, **{"spark.sql.session.timeZone": "UTC"}):
+        utc = run()
+    with conf(spark, **{"spark.sql.session.timeZone": "America/Sao_Paulo"}):
+        local = run()
+    assert utc == local
