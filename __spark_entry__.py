@@ -189,5 +189,5 @@ SELECT customer_id, order_id, purchased_at, order_status FROM (
 def oracle_sql() -> dict[str, str]:
     out = {name: oracle.model_sql(name) for name in MODELS}
     out.update({name: oracle.with_clause(sql.strip()) for name, sql in _QUESTION_SQL.items()})
-    out.update(dq.oracle_sql())
+    out.update(oracle.dq_oracle_sql())
     return out

@@ -378,62 +378,3 @@ def store_failures(pipeline, spark: SparkSession, schema: str = FAILURES_SCHEMA,
         path = None if warehouse is None else f"{warehouse.rstrip('/')}/{schema}/{name}"
         written[name] = write_table(spark, violations(check, resolve), name, schema, path)
     return written
-
-
-# ------------------------------------------------------------------- oracle
-_SOURCE_CTE = {
-    "orders": "src_orders", "customers": "src_customers", "order_items": "src_order_items",
-    "products": "src_products", "sellers": "src_sellers", "order_reviews": "src_order_reviews",
-    "order_payments": "src_order_payments",
-    "product_category_name_translation": "src_translation",
-}
-
-
-def _sql_literal(v) -> str:
-    return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
-
-
-def check_sql(check: Check) -> str:
-    """DuckDB SQL of one report row."""
-    table = _SOURCE_CTE[check.model] if check.source else check.model
-    col = check.column
-    head = (f"SELECT '{check.model}' AS model, '{col}' AS column_name, '{check.kind}' AS test, "
-            f"'{check.args}' AS args, '{check.severity}' AS severity, ")
-    if check.kind == "not_null":
-        body = f"count(*) AS failures FROM {table} WHERE {col} IS NULL"
-    elif check.kind == "accepted_values":
-        values = ", ".join(_sql_literal(v) for v in check.values)
-        body = f"count(DISTINCT {col}) AS failures FROM {table} WHERE {col} NOT IN ({values})"
-    elif check.kind == "between":
-        conds = []
-        if check.min_value is not None:
-            conds.append(f"{col} < {check.min_value}")
-        if check.max_value is not None:
-            conds.append(f"{col} > {check.max_value}")
-        body = f"count(*) AS failures FROM {table} WHERE {' OR '.join(conds)}"
-    elif check.kind == "unique":
-        body = (f"count(*) AS failures FROM (SELECT {col} FROM {table} WHERE {col} IS NOT NULL "
-                f"GROUP BY {col} HAVING count(*) > 1) dup")
-    elif check.kind == "relationships":
-        body = (f"count(*) AS failures FROM {table} child WHERE child.{col} IS NOT NULL AND NOT "
-                f"EXISTS (SELECT 1 FROM {check.to_model} parent "
-                f"WHERE parent.{check.to_field} = child.{col})")
-    else:
-        raise ValueError(check.kind)
-    return head + body
-
-
-def oracle_sql() -> dict[str, str]:
-    from agora import oracle
-
-    out = {}
-    for kind in ("unique", "not_null", "accepted_values", "between", "relationships"):
-        union = "\nUNION ALL\n".join(check_sql(c) for c in CHECKS if c.kind == kind)
-        final = (f"SELECT model, column_name, test, args, severity, failures, "
-                 f"CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status "
-                 f"FROM (\n{union}\n) checks")
-        out[f"dq_{kind}"] = oracle.with_clause(final)
-    out["dq_delivered_without_items"] = oracle.with_clause(
-        "SELECT order_id, order_status, item_count FROM fct_orders "
-        "WHERE order_status = 'delivered' AND item_count = 0")
-    return out
