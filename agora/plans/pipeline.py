@@ -156,10 +156,13 @@ class Pipeline:
     # ----------------------------------------------------------- analytics
     @cached_property
     def mart_revenue_monthly(self) -> DataFrame:
-        # only (product_id, category_name_english) is read: the product
-        # dimension carries both, and in a build it is already written
+        # Only (product_id, category_name_english) is read from the products:
+        # the product dimension carries both, and in a build it is already
+        # written. No customer column is read from the orders: the order grain
+        # is the order fact without its row-preserving customer join
+        # (customer_id is unique in customers, a declared check).
         return marts.mart_revenue_monthly(self.stg_order_items, self.dim_products,
-                                          self.fct_orders)
+                                          self.int_orders_enriched)
 
     @cached_property
     def mart_delivery_performance(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8): one warm-up pass over all queries, then ``$BENCH_RUNS``
-(default 3) timed runs per query, each on a freshly built plan and forced by
+(default 5) timed runs per query, each on a freshly built plan and forced by
 a ``noop`` write (every column computed, nothing collected). Prints one JSON
 line with the median seconds per query; ``value`` is their sum.
 """
@@ -40,7 +40,7 @@ def _run(spark, sf_dir: str, build) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
     spark = build_session(f"local[{cpus}]", app_name="agora-bench",
                           shuffle_partitions=partitions,
