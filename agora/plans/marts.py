@@ -46,16 +46,26 @@ def mart_revenue_monthly(items: DataFrame, products_enriched: DataFrame,
                         F.col("category_name_english").asc_nulls_last()))
 
 
-def mart_delivery_performance(fct: DataFrame, items: DataFrame) -> DataFrame:
-    """Delivered orders by (customer state, seller); an order counts once per seller in it."""
+def mart_delivery_performance(orders: DataFrame, customer_places: DataFrame,
+                              items: DataFrame) -> DataFrame:
+    """Delivered orders by (customer state, seller); an order counts once per seller in it.
+
+    ``orders`` is the order grain (the order fact without its customer
+    columns) and ``customer_places`` gives each customer_id its state, as in
+    the fact. The sellers are joined on order_id first, where the order grain
+    is already partitioned, and the state after, so the order rows cross the
+    network once.
+    """
     delivered_at, estimated = F.col("delivered_at"), F.col("estimated_delivery_at")
-    orders = (fct.where(F.col("order_status") == "delivered")
-              .select("order_id", "customer_state", "days_to_deliver", "is_late_delivery",
-                      "review_score", "review_sentiment", "order_month",
-                      F.when(delivered_at.isNotNull() & estimated.isNotNull(),
-                             days_between(estimated, delivered_at)).alias("days_late")))
+    delivered = (orders.where(F.col("order_status") == "delivered")
+                 .select("order_id", "customer_id", "days_to_deliver", "is_late_delivery",
+                         "review_score", "review_sentiment", "order_month",
+                         F.when(delivered_at.isNotNull() & estimated.isNotNull(),
+                                days_between(estimated, delivered_at)).alias("days_late")))
     order_sellers = items.select("order_id", "seller_id").distinct()
-    base = orders.join(order_sellers, "order_id", "inner")
+    states = customer_places.select("customer_id", F.col("state").alias("customer_state"))
+    base = (delivered.join(order_sellers, "order_id", "inner")
+                     .join(states, "customer_id", "left"))
     late = F.col("is_late_delivery")
     out = base.groupBy("customer_state", "seller_id").agg(
         F.count(F.lit(1)).alias("delivered_orders"),

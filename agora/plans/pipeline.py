@@ -166,7 +166,8 @@ class Pipeline:
 
     @cached_property
     def mart_delivery_performance(self) -> DataFrame:
-        return marts.mart_delivery_performance(self.fct_orders, self.stg_order_items)
+        return marts.mart_delivery_performance(self.int_orders_enriched, self.customer_places,
+                                               self.stg_order_items)
 
     @cached_property
     def mart_seller_health(self) -> DataFrame:
