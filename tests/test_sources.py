@@ -134,3 +134,14 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     with conf(spark, **{"spark.sql.session.timeZone": "America/Sao_Paulo"}):
         local = run()
     assert utc == local
+
+
+def test_build_with_checkpointed_order_grain(spark, tmp_path, shop):
+    pipe = Pipeline(dict(shop.raw))
+    written = pipe.build(spark, warehouse=str(tmp_path / "wh"), share="checkpoint",
+                         names=("fct_orders", "mart_delivery_performance"))
+    assert spark.read.parquet(written["fct_orders"]).count() == 4
+    assert spark.read.parquet(written["mart_delivery_performance"]).count() == 2
+    # the order grain now reads its checkpoint, not the raw tables
+    plan = pipe.int_orders_enriched._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in plan or "ExistingRDD" in plan
