@@ -36,8 +36,11 @@ def main(argv: list[str] | None = None) -> int:
     load = sub.add_parser("load", help="CSV files -> raw tables (overwrite)")
     load.add_argument("--csv", required=True)
     load.add_argument("--raw", required=True)
+    helps = {"run": "staging views + core/analytics marts (full refresh)",
+             "test": "declared data-quality checks (report, stored failures)",
+             "rfm": "RFM segment summary"}
     for name in ("run", "test", "rfm"):
-        p = sub.add_parser(name)
+        p = sub.add_parser(name, help=helps[name])
         src = p.add_mutually_exclusive_group(required=True)
         src.add_argument("--raw")
         src.add_argument("--testdata")
