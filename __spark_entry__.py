@@ -23,6 +23,14 @@ from agora.plans import enrich, questions  # noqa: E402
 from agora.plans.pipeline import Pipeline, from_testdata  # noqa: E402
 from agora.operators import quality as dq  # noqa: E402
 
+# The training-data operators are optional: their queries are added when the
+# subpackage is there (an error inside it is not swallowed).
+if os.path.exists(os.path.join(os.path.dirname(os.path.abspath(__file__)),
+                               "agora", "llm", "queries.py")):
+    from agora.llm import queries as llm
+else:
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +117,8 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _model(name) for name in MODELS}
     out.update({name: _from_pipeline(build) for name, build in QUESTIONS.items()})
+    if llm:
+        out.update(llm.QUERIES)
     return out
 
 
@@ -192,4 +202,6 @@ def oracle_sql() -> dict[str, str]:
     out = {name: oracle.model_sql(name) for name in MODELS}
     out.update({name: oracle.with_clause(sql.strip()) for name, sql in _QUESTION_SQL.items()})
     out.update(oracle.dq_oracle_sql())
+    if llm:
+        out.update(llm.ORACLE_SQL)
     return out
