@@ -24,10 +24,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.common import id_text, map_batches
+from agora.llm.common import Memo, id_text, map_batches
 
-# Pre-tokens remembered per Python worker; the memo is emptied when full.
-MEMO_ENTRIES = 500_000
+# Pre-tokens remembered per generation of a Python worker's memo.
+MEMO_ENTRIES = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -122,30 +122,20 @@ class Encoder:
     """Text to ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, table: PerfectHash, pattern: str):
-        self.table = table
-        self.split = regex.compile(pattern).findall
-        self.memo = _Memo(table)
-
-    def encode(self, text: str) -> bytes:
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        return b"".join(map(self.memo.__getitem__, self.split(text)))
-
-
-class _Memo(dict):
-    def __init__(self, table: PerfectHash):
-        super().__init__()
         self.whole = table.get
         self.rank_of = table.rank_table().get
+        self.split = regex.compile(pattern).findall
+        self.memo = Memo(self.pre_token, MEMO_ENTRIES)
 
-    def __missing__(self, word: str) -> bytes:
+    def pre_token(self, word: str) -> bytes:
         piece = word.encode("utf-8")
         rank = self.whole(piece)
         ids = [rank] if rank is not None else merge(piece, self.rank_of)
-        out = np.array(ids, dtype="<u4").tobytes()
-        if len(word) < 64:
-            self[word] = out
-        return out
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def encode(self, text: str) -> bytes:
+        self.memo.rest()
+        return b"".join(map(self.memo.__getitem__, self.split(text)))
 
 
 _WORKER: dict[str, Encoder] = {}       # one encoder per vocabulary in a Python worker

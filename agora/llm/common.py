@@ -45,3 +45,28 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]],
             out = fn(batch.to_pydict())
             yield pa.RecordBatch.from_pydict(out, schema=schema)
     return df.mapInArrow(run, ddl)
+
+
+class Memo(dict):
+    """Values of a pure function, two generations deep and bounded.
+
+    A full young generation becomes the old one; what is still asked for moves
+    back up, so frequent keys stay.
+    """
+
+    def __init__(self, compute: Callable, entries: int):
+        super().__init__()
+        self.compute, self.entries, self.old = compute, entries, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
+        return value
+
+    def rest(self) -> None:
+        """To be called between texts: starts a new generation when this one is full."""
+        if len(self) > self.entries:
+            self.old = dict(self)
+            self.clear()

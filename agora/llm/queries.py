@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import bpe, sharding
+from agora.llm import bpe, fertility, sharding
 from agora.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    ranks = bpe.read_ranks(tokenizer_file("byte_bpe_multi_50k.tiktoken"))
+    return fertility.rules(documents(spark, sf_dir), model, ranks, public_tokenizers.PATTERN)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(documents(spark, sf_dir), shards=24)
     return placed.select("doc_id", (F.col("size") + 8).alias("size"), "text_crc32",
@@ -33,6 +41,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_fertility": op6_fertility,
     "op8_sharding": op8_sharding,
 }
 
