@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import bpe, fertility, sharding
+from agora.llm import bpe, fertility, pii, sharding
 from agora.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks = bpe.read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
@@ -40,6 +44,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_pii": op2_pii,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_fertility": op6_fertility,
     "op8_sharding": op8_sharding,
