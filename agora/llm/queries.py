@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import bpe, fertility, pii, sharding
+from agora.llm import bpe, decontaminate, fertility, pii, sharding
 from agora.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.overlaps(documents(spark, sf_dir), benchmark).drop("row")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks = bpe.read_ranks(tokenizer_file("byte_bpe_50k.tiktoken"))
@@ -45,9 +50,12 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
+    "op3_decontaminate": op3_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_fertility": op6_fertility,
     "op8_sharding": op8_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": decontaminate.SQL,
+}
