@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import bpe, decontaminate, fertility, pii, sharding
+from agora.llm import bpe, decontaminate, fertility, pii, sharding, url_filter
 from agora.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,14 +48,29 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op3_decontaminate": op3_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_fertility": op6_fertility,
     "op8_sharding": op8_sharding,
+    "op9_url_filter": op9_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL,
+    "op9_url_filter": url_filter.sql(URL_RULES),
 }
