@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import bpe, decontaminate, fertility, pii, sharding, url_filter
+from agora.llm import (bpe, decontaminate, fertility, pii, sharding, substring_dedup,
+                       url_filter)
 from agora.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(documents(spark, sf_dir))
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(documents(spark, sf_dir))
 
@@ -62,6 +67,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
     "op3_decontaminate": op3_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": substring_dedup.SQL,
     "op3_decontaminate": decontaminate.SQL,
     "op9_url_filter": url_filter.sql(URL_RULES),
 }
