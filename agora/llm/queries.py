@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import (bpe, decontaminate, fertility, pii, sharding, substring_dedup,
-                       url_filter)
-from agora.llm.common import documents
+from agora.llm import (bpe, decontaminate, fertility, pii, quality_mil, sharding,
+                       substring_dedup, url_filter)
+from agora.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +38,18 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def quality_model(docs: DataFrame, spark: SparkSession, sf_dir: str) -> quality_mil.Model:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_mil.learn(docs, labels, remainder(F.col("doc_id"), 4) != 2)
+
+
+def op5_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    scored = quality_mil.score(docs, quality_model(docs, spark, sf_dir))
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"), "n_passages")
+
+
 def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
@@ -71,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op3_decontaminate": op3_decontaminate,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_quality_mil": op5_quality_mil,
     "op6_fertility": op6_fertility,
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
