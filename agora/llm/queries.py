@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import (bpe, decontaminate, fertility, pii, quality_mil, sharding,
-                       substring_dedup, url_filter)
+from agora.llm import (bpe, ctw, decontaminate, fertility, pii, quality_mil,
+                       sharding, substring_dedup, url_filter)
 from agora.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,6 +78,12 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
 
 
+def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ctw.score(documents(spark, sf_dir), remainder(F.col("doc_id"), 7) != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
@@ -87,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op6_fertility": op6_fertility,
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
+    "op10_ctw": op10_ctw,
 }
 
 ORACLE_SQL: dict[str, str] = {
