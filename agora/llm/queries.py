@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import (bpe, ctw, decontaminate, fertility, pii, quality_mil,
+from agora.llm import (bpe, ctw, decontaminate, fertility, ngram_join, pii, quality_mil,
                        sharding, substring_dedup, url_filter)
 from agora.llm.common import documents, remainder
 
@@ -58,6 +58,10 @@ def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.rules(documents(spark, sf_dir), model, ranks, public_tokenizers.PATTERN)
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir), words=4, percent=85)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(documents(spark, sf_dir), shards=24)
     return placed.select("doc_id", (F.col("size") + 8).alias("size"), "text_crc32",
@@ -91,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality_mil": op5_quality_mil,
     "op6_fertility": op6_fertility,
+    "op7_ngram_join": op7_ngram_join,
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_ctw": op10_ctw,
@@ -99,5 +104,6 @@ QUERIES: dict[str, Query] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_substring_dedup": substring_dedup.SQL,
     "op3_decontaminate": decontaminate.SQL,
+    "op7_ngram_join": ngram_join.SQL,
     "op9_url_filter": url_filter.sql(URL_RULES),
 }
