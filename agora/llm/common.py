@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -32,6 +33,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table of its own in the shared checkpoint folder."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]],
                 schema: pa.Schema, ddl: str) -> DataFrame:
     """``mapInArrow`` over columns as Python lists.

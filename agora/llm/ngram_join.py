@@ -111,8 +111,8 @@ def repeated_shingles(rows: DataFrame, n: int) -> np.ndarray:
 def signatures(rows: DataFrame, hot: np.ndarray, n: int, t: int) -> DataFrame:
     """doc_id, size, digest, prefix (rare shingles first) and minimum hashes of every set."""
     shared = rows.sparkSession.sparkContext.broadcast(hot)
-    schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("digest", pa.binary()),
-                        ("prefix", pa.list_(pa.int64())), ("low", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("size", pa.int64()),
+                        ("digest", pa.binary()), ("prefix", pa.list_(pa.int64())), ("low", pa.list_(pa.int64()))])
 
     def run(batches):
         memo, frequent = Memo(_word_hash, MEMO_ENTRIES), shared.value
@@ -130,11 +130,10 @@ def signatures(rows: DataFrame, hot: np.ndarray, n: int, t: int) -> DataFrame:
                 low.append(np.array([(u * m).min() for m in _MIN], dtype=np.uint64).view(np.int64)
                            if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")).cast(pa.int64()),
-                 pa.array(size, pa.int64()), pa.array(digest, pa.binary()), _lists(prefix),
+                [*batch.columns[:2], pa.array(size, pa.int64()), pa.array(digest, pa.binary()), _lists(prefix),
                  _lists(low)], schema=schema)
-    return rows.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, size long, digest binary, prefix array<long>, low array<long>")
+    return rows.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
+        run, "doc_id long, row long, size long, digest binary, prefix array<long>, low array<long>")
 
 
 def whole_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -323,7 +322,11 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
     counts as a link of the other). A NULL id takes part in links and never is
     the least unless all are NULL. Empty tables give no rows.
     """
-    rows = id_text(docs, id_col, text_col)
+    return _join(id_text(docs, id_col, text_col), words, percent).drop("row", "root")
+
+
+def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """``join``'s columns, ``row`` (hash of the text) and ``root``: the component's class."""
     limit = _Limit(percent)
     signed = durable(signatures(rows, repeated_shingles(rows, words), words, percent))
     classes = durable(signed.filter("size > 0").groupBy("digest").agg(
@@ -349,20 +352,43 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
                .withColumn("root", F.coalesce("root", "leader")))
     least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
     groups = (grouped.join(least, "root").join(by_leader, "leader", "left")
-              .select("leader", "component_id",
+              .select("leader", "root", "component_id",
                       (F.col("group_copies") - 1 + F.coalesce("n", F.lit(0))).alias("links")))
     linked = (state.select("c", "leader").join(groups, "leader").join(by_class, "c", "left")
-              .select("c", F.col("component_id").alias("far_id"),
+              .select("c", "root", F.col("component_id").alias("far_id"),
                       (F.col("links") + F.coalesce("n", F.lit(0))).alias("far_links")))
     answer = (classes.select("digest", "c", "copies", "least_id").join(linked, "c", "left")
-              .select("digest", F.coalesce("far_id", "least_id").alias("component_id"),
+              .select("digest", F.coalesce("root", "c").alias("root"), F.coalesce("far_id", "least_id").alias("component_id"),
                       F.coalesce("far_links", F.col("copies") - 1).alias("n_links")))
     # one class may be a third of all rows: salted
-    return (signed.select("doc_id", "size", "digest", _salt("doc_id").alias("salt"))
+    return (signed.select("doc_id", "row", "size", "digest", _salt("doc_id").alias("salt"))
             .join(_spread(answer), ["digest", "salt"], "left")
             .select("doc_id", F.col("size").alias("n_shingles"),
                     F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-                    .alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+                    .alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+                    "row", "root"))
+
+
+def representatives(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` per component: the least id (NULL last), then the least text hash.
+
+    Rows without a word link with nothing and stay. Rows equal in id and text
+    are one document: one of them stays.
+    """
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"),
+                         docs[id_col].cast("long").alias("doc_id"),
+                         F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+                         .alias("row"))
+    found = _join(id_text(docs, id_col, text_col), words, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
+    kept = (found.filter("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("k"))
+            .select("k.doc_id", "k.row")
+            .unionByName(found.filter("root IS NULL").select("doc_id", "row")).distinct())
+    one = packed.groupBy("doc_id", "row").agg(F.first("whole").alias("whole"))
+    stay = one.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+                               & (F.col("d.row") == F.col("k.row")), "left_semi")
+    return stay.select(*[F.col(f"whole.`{c}`").alias(c) for c in docs.columns])
 
 
 SQL = r"""

@@ -88,6 +88,11 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_pii": op2_pii,
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_ctw": op10_ctw,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {

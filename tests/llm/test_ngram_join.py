@@ -86,3 +86,17 @@ def test_frequent_list_does_not_change_links(spark, monkeypatch):
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.join(df).count() == 0
+
+
+def test_representatives(spark):
+    rows = corpus(5)
+    df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows],
+                               "doc_id long, text string, row int, root string")
+    kept = ngram_join.representatives(df, words=4, percent=85)
+    assert kept.columns == df.columns
+    got = kept.collect()
+    full = brute(rows, 85)
+    with_words = {(d, c) for d, n, c, _ in full if n}
+    assert {str(r.doc_id) for r in got if shingle_set(r.text)} == {c for _, c in with_words}
+    assert len([r for r in got if shingle_set(r.text)]) == len({c for _, c in with_words})
+    assert sorted(r.doc_id for r in got if not shingle_set(r.text)) == [2000, 2001, 2002]
