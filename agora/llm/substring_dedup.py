@@ -9,8 +9,9 @@ occurrence is removed.
 
 Scale: one narrow row per run (no text), made again for each of its two uses;
 counting and finding the first occurrence is a map-side combined aggregate;
-only repeated hashes are joined back, salted, since one passage may be in a
-third of all documents. Texts are shuffled once, to meet their spans.
+only repeated hashes are joined back. One passage may be in a third of all
+documents: hashes with at least 1/HOT of all repeated runs (so at most HOT
+hashes, which are broadcast) are salted in that join. Texts are shuffled once, to meet their spans.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.common import id_text, map_batches
+from agora.llm.common import durable, id_text, map_batches
 
 WHITE = " \t\n\x0b\x0c\r"
 SENTENCE = r"[^.!?。！？\n]*[.!?。！？\n][.!?。！？\x20\x09-\x0D]*|[^.!?。！？\n]+"
 # Sentences in a run, and the words it has at least.
 RUNS = {1: 50, 2: 40, 3: 20, 4: 20, 5: 20, 6: 20}
-SALTS = 16
+SALTS, HOT = 16, 1000
 
 _find = re.compile(SENTENCE).findall
 
@@ -77,10 +78,16 @@ def occurrences(docs: DataFrame) -> DataFrame:
 def repeated(occ: DataFrame) -> DataFrame:
     """(doc_id, row, spans): array of (at, k) of the runs that are not the first of their hash."""
     place = F.struct("doc_id", "row", "at")
-    first = (occ.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-             .filter("n > 1").drop("n")
-             .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    hits = (occ.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int"))
+    first = durable(occ.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+                    .filter("n > 1"))
+    total = first.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT >= max(total, HOT)
+    first = first.withColumn("salt", F.explode(F.when(
+        hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+    # the hot hashes are at most HOT rows
+    hot_rows = first.filter(F.col("salt") == 1).select("h1", "h2", F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0)
+    hits = (occ.join(F.broadcast(hot_rows), ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
             .join(first, ["h1", "h2", "salt"])
             .filter(~F.col("first").eqNullSafe(place)))
     return hits.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "k")).alias("spans"))

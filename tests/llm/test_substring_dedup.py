@@ -73,3 +73,12 @@ def test_null_ids_and_empty(spark):
     df = spark.createDataFrame([(None, text), (5, text)], "doc_id long, text string")
     assert {r.doc_id: r.text for r in sd.dedup(df).collect()} == {None: text, 5: ""}
     assert sd.dedup(df.limit(0)).count() == 0
+
+
+def test_hot_hashes_are_salted_with_the_same_result(spark, monkeypatch):
+    docs = fixture()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(sd, "HOT", 20)
+    want = brute(docs)
+    assert sorted((r.doc_id, r.text) for r in sd.dedup(df).collect()) == sorted(
+        (i, want[i, t or ""]) for i, t in docs)
