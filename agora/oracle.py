@@ -34,7 +34,11 @@ SELECT order_id, customer_id, order_status,
                    + INTERVAL 1 HOUR * CAST(k % 11 AS INTEGER) END AS order_delivered_customer_date,
        o_orderdate + INTERVAL 1 DAY * 25 AS order_estimated_delivery_date
 FROM (
-  SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderkey AS k, o_orderdate,
+  SELECT o_orderkey AS order_id, o_orderkey AS k,
+         CASE WHEN o_custkey >= 12 AND (o_custkey % 12 = 0
+                                        OR (o_custkey % 12 = 1 AND o_orderkey % 8 <> 0)
+                                        OR (o_custkey % 12 = 2 AND o_orderkey % 4 <> 0))
+              THEN o_custkey - o_custkey % 12 - 1 ELSE o_custkey END AS customer_id, o_orderdate,
          o_orderdate + INTERVAL 1 HOUR * CAST(o_orderkey % 24 AS INTEGER) AS p,
          CASE WHEN o_orderstatus IN ('F', 'P') THEN
                 CASE WHEN o_orderkey % 29 = 0 THEN 'canceled'
@@ -44,9 +48,6 @@ FROM (
                                        WHEN 2 THEN 'approved' ELSE 'invoiced' END
          END AS order_status
   FROM orders
-  WHERE o_custkey % 12 > 2
-     OR (o_custkey % 12 = 1 AND o_orderkey % 8 = 0)
-     OR (o_custkey % 12 = 2 AND o_orderkey % 4 = 0)
 ) mapped""")
 
 _cte("src_customers", """
@@ -86,17 +87,19 @@ FROM part""")
 
 _cte("src_translation", """
 SELECT DISTINCT lower(p_type) AS product_category_name,
-       concat('en_', lower(p_type)) AS product_category_name_english
-FROM part WHERE p_type <> 'PROMO'""")
+       CASE WHEN lower(p_type) <> 'promo' THEN concat('en_', lower(p_type)) END
+         AS product_category_name_english
+FROM part""")
 
 _cte("src_order_items", """
 SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id,
-       l_suppkey AS seller_id, l_shipdate AS shipping_limit_date,
+       CASE WHEN l_suppkey % 23 = 22 THEN l_suppkey - 1 ELSE l_suppkey END AS seller_id,
+       l_shipdate AS shipping_limit_date,
        CAST(floor(l_extendedprice / CASE l_suppkey % 5 WHEN 0 THEN 100.0 WHEN 1 THEN 400.0
                                         WHEN 2 THEN 1600.0 WHEN 3 THEN 6400.0 ELSE 25600.0 END)
             + 1 AS DOUBLE) AS price,
        CAST(5 + l_quantity * 0.5 AS DOUBLE) AS freight_value
-FROM lineitem WHERE l_suppkey % 23 <> 22""")
+FROM lineitem""")
 
 _cte("src_order_payments", """
 SELECT o_orderkey AS order_id, 1 AS payment_sequential,
@@ -106,10 +109,10 @@ SELECT o_orderkey AS order_id, 1 AS payment_sequential,
        CAST(1 + o_orderkey % 10 AS INTEGER) AS payment_installments,
        CAST(CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice * 0.7)
                  ELSE floor(o_totalprice) END AS DOUBLE) AS payment_value
-FROM orders WHERE o_orderkey % 211 <> 0
+FROM orders
 UNION ALL
 SELECT o_orderkey, 2, 'voucher', 1, CAST(floor(o_totalprice * 0.3) AS DOUBLE)
-FROM orders WHERE o_orderkey % 211 <> 0 AND o_orderkey % 3 = 0""")
+FROM orders WHERE o_orderkey % 3 = 0""")
 
 _cte("src_order_reviews", """
 SELECT o_orderkey * 10 + k AS review_id, o_orderkey AS order_id,
@@ -119,7 +122,7 @@ SELECT o_orderkey * 10 + k AS review_id, o_orderkey AS order_id,
        o_orderdate + INTERVAL 1 DAY * CAST(30 + k AS INTEGER) AS review_creation_date,
        o_orderdate + INTERVAL 1 DAY * CAST(31 + k AS INTEGER) AS review_answer_timestamp
 FROM orders CROSS JOIN (VALUES (0), (1)) copies(k)
-WHERE o_orderkey % 10 <> 9 AND (k = 0 OR o_orderkey % 20 = 0)""")
+WHERE k = 0 OR o_orderkey % 20 = 0""")
 
 # ------------------------------------------------------------------- staging
 _cte("stg_orders", """

@@ -6,11 +6,12 @@ the source values, so sums do not depend on row order. Ids stay BIGINT.
 Each raw table is a narrow projection of one fact or dimension table, so the
 mapping adds no shuffle except the ``distinct`` of the category list.
 
-The key arithmetic (``%``) in the mapping shapes the marketplace, it does not
-sample it: it assigns statuses, payment splits and second reviews, and leaves
-out some orders, items and payments so that customers without orders, sellers
-without sales and orders without payments exist. Every row of the source tables
-is read by every query, and the mapped tables grow linearly with them.
+The key arithmetic (``%``) shapes the marketplace: it assigns statuses,
+payment splits and second reviews, and gives some rows to another owner, so
+that customers without or with few orders and sellers without sales exist. No
+row is left out: every row of a source table is a row of its raw table (or
+two, for split payments and second reviews), and the rare branches that the
+whole tables do not reach are covered by hand-written rows in the tests.
 """
 
 from __future__ import annotations
@@ -37,10 +38,11 @@ def read_source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_orders(orders: DataFrame) -> DataFrame:
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
-    kept = orders.where(
-        (cust % 12 > 2)
-        | ((cust % 12 == 1) & (k % 8 == 0))
-        | ((cust % 12 == 2) & (k % 4 == 0)))
+    # some orders go to the last customer of the dozen before, which leaves
+    # customers with none, one or few
+    moved = (cust >= 12) & ((cust % 12 == 0) | ((cust % 12 == 1) & (k % 8 != 0))
+                            | ((cust % 12 == 2) & (k % 4 != 0)))
+    owner = F.when(moved, cust - cust % 12 - 1).otherwise(cust)
     closed = F.col("o_orderstatus").isin("F", "P")
     status = (F.when(closed & (k % 29 == 0), "canceled")
                .when(closed & (k % 31 == 0), "unavailable")
@@ -51,8 +53,8 @@ def map_orders(orders: DataFrame) -> DataFrame:
                .otherwise("invoiced"))
     purchase = F.col("o_orderdate") + _hours(k % 24)
     st = F.col("order_status")
-    return (kept
-            .select(k.alias("order_id"), cust.alias("customer_id"), status.alias("order_status"),
+    return (orders
+            .select(k.alias("order_id"), owner.alias("customer_id"), status.alias("order_status"),
                     purchase.alias("p"), F.col("o_orderdate"), k.alias("k"))
             .select(
                 "order_id", "customer_id", "order_status",
@@ -87,9 +89,10 @@ def map_sellers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def map_geolocation(nation: DataFrame, region: DataFrame) -> DataFrame:
-    # nation and region are fixed-size dimension tables (25 and 5 rows at every
-    # scale factor): the product below is bounded at 250 rows.
-    pts = (nation.crossJoin(F.broadcast(region.select("r_regionkey")))
+    # two points for each nation and region
+    keys = F.array(*[F.lit(r).cast(region.schema["r_regionkey"].dataType) for r in range(5)])
+    pts = (nation.withColumn("r_regionkey", F.explode(keys))
+           .join(region.select("r_regionkey"), "r_regionkey")
            .withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))))
     return pts.select(
         (F.col("n_nationkey") * 100 + F.col("r_regionkey")).cast("int").alias("geolocation_zip_code_prefix"),
@@ -115,11 +118,11 @@ def map_products(part: DataFrame) -> DataFrame:
 
 
 def map_category_translation(part: DataFrame) -> DataFrame:
-    return (part.where(F.col("p_type") != "PROMO")
-            .select(F.lower("p_type").alias("product_category_name"))
+    """One category (promo) has no English name."""
+    name = F.col("product_category_name")
+    return (part.select(F.lower("p_type").alias("product_category_name"))
             .distinct()
-            .select("product_category_name",
-                    F.concat(F.lit("en_"), F.col("product_category_name"))
+            .select(name, F.when(name != "promo", F.concat(F.lit("en_"), name))
                      .alias("product_category_name_english")))
 
 
@@ -130,11 +133,13 @@ PRICE_DIVISORS = (100.0, 400.0, 1600.0, 6400.0, 25600.0)
 def map_order_items(lineitem: DataFrame) -> DataFrame:
     sk = F.col("l_suppkey")
     divisor = F.element_at(F.array(*[F.lit(d) for d in PRICE_DIVISORS]), (sk % 5 + 1).cast("int"))
-    return (lineitem.where(sk % 23 != 22)
+    # every 23rd seller's items are another seller's, which leaves it without sales
+    seller = F.when(sk % 23 == 22, sk - 1).otherwise(sk)
+    return (lineitem
             .select(F.col("l_orderkey").alias("order_id"),
                     F.col("l_linenumber").alias("order_item_id"),
                     F.col("l_partkey").alias("product_id"),
-                    sk.alias("seller_id"),
+                    seller.alias("seller_id"),
                     F.col("l_shipdate").alias("shipping_limit_date"),
                     (F.floor(F.col("l_extendedprice") / divisor) + 1).cast("double").alias("price"),
                     (F.lit(5.0) + F.col("l_quantity") * 0.5).cast("double").alias("freight_value")))
@@ -151,14 +156,14 @@ PRIORITY_PAYMENT = {
 
 def map_order_payments(orders: DataFrame) -> DataFrame:
     """One payment per order, two (split 70/30, the second a voucher) when
-    order key % 3 = 0; orders with key % 211 = 0 have none. One scan: the
-    second payment is an exploded row, not a second pass over orders."""
+    order key % 3 = 0. One scan: the second payment is an exploded row, not a
+    second pass over orders."""
     k = F.col("o_orderkey")
     split = k % 3 == 0
     ptype = F.lit("credit_card")
     for priority, kind in reversed(list(PRIORITY_PAYMENT.items())):
         ptype = F.when(F.col("o_orderpriority") == priority, kind).otherwise(ptype)
-    rows = (orders.where(k % 211 != 0)
+    rows = (orders
             .withColumn("seq", F.explode(F.when(split, F.array(F.lit(1), F.lit(2)))
                                           .otherwise(F.array(F.lit(1))))))
     first = F.col("seq") == 1
@@ -174,7 +179,7 @@ def map_order_payments(orders: DataFrame) -> DataFrame:
 
 def map_order_reviews(orders: DataFrame) -> DataFrame:
     k = F.col("o_orderkey")
-    rows = (orders.where(k % 10 != 9)
+    rows = (orders
             .withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
             .where((F.col("k") == 0) | (k % 20 == 0)))
     return rows.select(

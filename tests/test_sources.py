@@ -72,12 +72,26 @@ def test_pipeline_build_writes_marts(spark, tmp_path, shop):
 def test_testdata_mapping_counts(spark):
     p = from_testdata(spark, "/root/testdata/sf0.001")
     counts = {t: p.raw[t].count() for t in p.raw}
-    assert counts == {"orders": 1159, "customers": 150, "order_items": 6000,
-                      "order_payments": 1989, "order_reviews": 1425, "products": 200,
-                      "sellers": 10, "product_category_name_translation": 5,
+    assert counts == {"orders": 1500, "customers": 150, "order_items": 6000,
+                      "order_payments": 2000, "order_reviews": 1575, "products": 200,
+                      "sellers": 10, "product_category_name_translation": 6,
                       "geolocation": 250}
 
 
+def test_testdata_mapping_keeps_every_row(spark):
+    from agora.sources.testdata import read_source
+
+    sf = "/root/testdata/sf0.001"
+    p = from_testdata(spark, sf)
+    for raw, source in (("orders", "orders"), ("order_items", "lineitem"), ("products", "part"),
+                        ("customers", "customer"), ("sellers", "supplier")):
+        assert p.raw[raw].count() == read_source(spark, sf, source).count(), raw
+    ids = p.raw["orders"].select("order_id")
+    for raw in ("order_payments", "order_reviews"):          # at least one per order
+        assert ids.join(p.raw[raw], "order_id", "left_anti").count() == 0, raw
+    assert p.dim_customers.where("customer_segment = 'no_orders'").count() > 0
+
+
 def test_invariants_on_testdata(spark):
     p = from_testdata(spark, "/root/testdata/sf0.001")
     assert p.fct_orders.count() == p.stg_orders.count()
