@@ -46,12 +46,13 @@ def trunc_ts(unit: str, ts: str | Column) -> Column:
 
 
 def float_ratio(num: str | Column, den: str | Column) -> Column:
-    """``num::float / den`` as a 32-bit float.
+    """``num::float / den`` as a 32-bit float, for operands of any size.
 
-    Double division rounded once to float equals the 32-bit division for
-    integer operands below 2^24 (counts here).
+    Both sides are rounded to float first, as the 32-bit division does; the
+    double quotient of two floats rounds to the same float as their own.
     """
-    return (col(num).cast("double") / col(den).cast("double")).cast("float")
+    single = [col(c).cast("float").cast("double") for c in (num, den)]
+    return (single[0] / single[1]).cast("float")
 
 
 def to_int(c: str | Column, dtype: T.DataType | None = None) -> Column:
@@ -93,3 +94,15 @@ def weighted_avg(value: str | Column, weight: str | Column) -> Column:
     total = F.sum(v.cast("double") * w)
     n = F.sum(F.when(v.isNotNull(), w))
     return total / n
+
+
+def stable_avg(value: str | Column) -> Column:
+    """Average of doubles that does not depend on the order of the rows.
+
+    A sum of doubles differs in its last bits with the order of its addends,
+    so with partitioning and retries. The values are summed as whole numbers of
+    1e-12, exactly; the result is within 1e-12 of the average.
+    """
+    v = col(value)
+    units = F.floor(v * F.lit(1e12) + F.lit(0.5)).cast("decimal(20,0)")
+    return F.sum(units).cast("double") / F.lit(1e12) / F.count(v)

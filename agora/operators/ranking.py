@@ -1,24 +1,27 @@
 """Global ``row_number`` and ``ntile`` without a single-partition window.
 
 A window with ORDER BY and no PARTITION BY moves every row into one task.
-Here the rows are range-partitioned on the full sort key instead, sorted
-inside each partition, and checkpointed to the shared checkpoint folder, which
-fixes partition contents and order (and survives executor loss). One small
-aggregate then counts rows per partition (one number per range partition, a
-bound set by the partition count, not the data); their running sums become a
-literal offsets array, and a row's global position is its partition's offset
-plus its index inside the partition: a narrow projection over the checkpoint,
-with no join, window or further shuffle.
-
-Ties: the sort key must be total (end it with a unique column) for the result
-to be deterministic; ``order`` NULLs sort last in both directions.
+Here the ordering's own columns alone are range-partitioned on the full sort
+key, sorted inside each partition, and checkpointed to the shared checkpoint
+folder, which fixes partition contents and order (and survives executor loss).
+One small aggregate then counts rows per partition (one number per range
+partition, a bound set by the partition count, not the data); their running
+sums become a literal offsets array, and a row's global position is its
+partition's offset plus its index inside the partition: a narrow projection,
+with no window. The positions are joined back to the rows on the ordering's
+last column, which must be unique and not NULL.
+
+There is one path for every size. The number of range partitions is left to
+the planner (AQE sizes them), or fixed with ``num_partitions``.
+
+Ties: the unique last column breaks them; ``order`` NULLs sort last in both
+directions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,55 +37,22 @@ def sort_columns(order: Sequence[Order]) -> list[Column]:
             for c, d in order]
 
 
-# Rows one range partition is sized for when the partition count is derived
-# from the data (a sorted partition of this size fits an executor's memory).
-ROWS_PER_RANGE_PARTITION = 2_000_000
-
-
-def positions(df: DataFrame, order: Sequence[Order], num_partitions: int | None = None,
-              rows_per_partition: int = ROWS_PER_RANGE_PARTITION,
-              row_count: int | None = None) -> tuple[DataFrame, int]:
-    """``df`` with ``_gpos`` (0-based position in ``order``) and ``_gtotal``, and the row count.
-
-    Without ``num_partitions`` the range partitions number
-    ceil(rows / ``rows_per_partition``), at most ``spark.sql.shuffle.partitions``,
-    so a ranking of a few million rows does not run thousands of tiny tasks
-    and one of billions spreads over the whole cluster. ``row_count``, when
-    already known (a second ordering of the same rows), saves the count.
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+def positions(df: DataFrame, order: Sequence[Order],
+              num_partitions: int | None = None) -> tuple[DataFrame, int]:
+    """The ordering's columns with ``_gpos`` (0-based position) and ``_gtotal``, and the row count."""
+    ensure_checkpoint_dir(df.sparkSession)
     keys = sort_columns(order)
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    staged = df
-    try:
-        if num_partitions:
-            n = num_partitions
-        else:
-            if row_count is None:
-                # the count, the range sample and the shuffle read the input:
-                # keep it for the duration so it is computed once
-                staged = df.persist(StorageLevel.MEMORY_AND_DISK)
-                row_count = staged.count()
-            n = max(1, min(cap, -(-row_count // rows_per_partition)))
-        if n > 1 and staged is df:
-            staged = df.persist(StorageLevel.MEMORY_AND_DISK)  # sampled, then shuffled
-        ranged = (staged.repartitionByRange(n, *keys)
-                        .sortWithinPartitions(*keys)
-                        .checkpoint(eager=True))
-    finally:
-        if staged is not df:
-            staged.unpersist()
+    narrow = df.select(*dict.fromkeys(c for c, _ in order))
+    ranged = (narrow.repartitionByRange(num_partitions, *keys) if num_partitions
+              else narrow.repartitionByRange(*keys))
+    ranged = ranged.sortWithinPartitions(*keys).checkpoint(eager=True)
     pid = F.spark_partition_id()
-    if n == 1 and row_count is not None:
-        offsets, total = [0], row_count
-    else:
-        # rows per range partition: at most n small rows reach the driver
-        counts = dict(ranged.groupBy(pid.alias("p")).count().collect())
-        offsets, total = [], 0
-        for p in range(max(counts, default=-1) + 1):
-            offsets.append(total)
-            total += counts.get(p, 0)
+    # rows per range partition: one small row each reaches the driver
+    counts = dict(ranged.groupBy(pid.alias("p")).count().collect())
+    offsets, total = [], 0
+    for p in range(max(counts, default=-1) + 1):
+        offsets.append(total)
+        total += counts.get(p, 0)
     offset = F.element_at(F.expr(f"array({', '.join(f'{o}L' for o in offsets) or 'CAST(0 AS BIGINT)'})"),
                           pid + 1)
     # monotonically_increasing_id = (partition index << 33) + index in partition
@@ -91,13 +61,6 @@ def positions(df: DataFrame, order: Sequence[Order], num_partitions: int | None
                          F.lit(total).cast("bigint").alias(_TOTAL)), total
 
 
-def with_global_position(df: DataFrame, order: Sequence[Order],
-                         num_partitions: int | None = None,
-                         rows_per_partition: int = ROWS_PER_RANGE_PARTITION) -> DataFrame:
-    """Add ``_gpos`` (0-based position in ``order``) and ``_gtotal`` (row count)."""
-    return positions(df, order, num_partitions, rows_per_partition)[0]
-
-
 def ntile_of(position: Column, total: Column, k: int) -> Column:
     """SQL ``ntile(k)`` bucket (1-based) of a 0-based position among ``total`` rows.
 
@@ -125,23 +88,28 @@ def global_rank(df: DataFrame, order: Sequence[Order], row_number: str | None =
                 ntiles: Mapping[str, int] | None = None,
                 num_partitions: int | None = None) -> DataFrame:
     """Add a global ``row_number`` column and/or ``ntile`` columns over one ordering."""
-    ranked, _ = positions(df, order, num_partitions)
-    return ranked.select(*df.columns, *_rank_columns(row_number, ntiles))
+    return global_ranks(df, [(order, row_number, ntiles)], num_partitions)
 
 
 def global_ranks(df: DataFrame, specs: Sequence[tuple[Sequence[Order], str | None,
                                                        Mapping[str, int] | None]],
                  num_partitions: int | None = None) -> DataFrame:
-    """Several orderings of the same rows, ranked one after the other.
+    """Several orderings of the same rows.
 
     Each spec is ``(order, row_number_name, {ntile_name: k})``. The rows are
-    counted once; each later ordering starts from the previous checkpoint.
+    written to the checkpoint folder once; each ordering reads its own columns
+    of them, and its ranks are joined back on its unique last column.
     """
-    out, total = df, None
+    ensure_checkpoint_dir(df.sparkSession)
+    base = df.checkpoint(eager=True)
+    out, names = base, list(df.columns)
     for order, row_number, ntiles in specs:
-        ranked, total = positions(out, order, num_partitions, row_count=total)
-        out = ranked.select(*out.columns, *_rank_columns(row_number, ntiles))
-    return out
+        ranked, _ = positions(base, order, num_partitions)
+        ranks = _rank_columns(row_number, ntiles)
+        key = order[-1][0]
+        out = out.join(ranked.select(key, *ranks), key, "left")
+        names += [*([row_number] if row_number else []), *(ntiles or {})]
+    return out.select(*names)
 
 
 def global_row_number(df: DataFrame, order: Sequence[Order], name: str = "row_number",

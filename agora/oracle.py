@@ -253,8 +253,11 @@ SELECT customer_id, count(*) AS total_orders,
        count(CASE WHEN order_status = 'delivered' THEN 1 END) AS delivered_orders,
        sum(gross_order_value) AS lifetime_gmv, sum(freight_revenue) AS lifetime_freight,
        avg(gross_order_value) AS avg_order_value,
-       avg(CASE WHEN gross_order_value > 0 THEN freight_revenue / gross_order_value END)
-         AS avg_freight_pct,
+       -- summed as whole numbers of 1e-12: independent of the order of the rows
+       CAST(sum(CAST(floor(CASE WHEN gross_order_value > 0
+                                THEN freight_revenue / gross_order_value END * 1e12 + 0.5)
+                     AS HUGEINT)) AS DOUBLE) / 1e12
+         / count(CASE WHEN gross_order_value > 0 THEN 1 END) AS avg_freight_pct,
        min(purchased_at) AS first_order_at, max(purchased_at) AS last_order_at,
        avg(days_to_deliver) AS avg_days_to_deliver,
        CAST(sum(CASE WHEN is_late_delivery THEN 1 ELSE 0 END) AS BIGINT) AS late_orders,

@@ -30,6 +30,7 @@ from agora.functions.compat import (
     days_between,
     float_ratio,
     hour_of,
+    stable_avg,
     sum_flag,
     trunc_ts,
     weighted_avg,
@@ -43,40 +44,36 @@ from agora.plans.staging import geo_by_zip
 def order_items_summary(items: DataFrame) -> DataFrame:
     """Item count, distinct products and sellers, and sums per order.
 
-    Items collapse to (order, product) pairs carrying their count and sums, so
-    distinct products is a count of pairs; distinct sellers is a count over a
-    narrow (order, seller) distinct. Both are hash aggregates and end
-    partitioned by order_id, so their join (and the join to the orders) needs
-    no further shuffle; no row is expanded per distinct column.
+    Items cross the network once, by order_id; inside that partitioning they
+    collapse to (order, product, seller) and then to the order, whose distinct
+    products and sellers are small sets (an order's items are few). The result
+    stays partitioned by order_id for the joins.
     """
-    by_product = items.groupBy("order_id", "product_id").agg(
+    triples = items.repartition("order_id").groupBy("order_id", "product_id", "seller_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("item_price").alias("items"),
         F.sum("freight_value").alias("freight"),
         F.sum("total_item_value").alias("gross"))
-    per_order = by_product.groupBy("order_id").agg(
+    return triples.groupBy("order_id").agg(
         F.sum("n").alias("item_count"),
-        F.count("product_id").alias("distinct_products"),
+        F.size(F.collect_set("product_id")).cast("bigint").alias("distinct_products"),
+        F.size(F.collect_set("seller_id")).cast("bigint").alias("distinct_sellers"),
         F.sum("items").alias("items_revenue"),
         F.sum("freight").alias("freight_revenue"),
         F.sum("gross").alias("gross_order_value"))
-    sellers = _distinct_count(items, "order_id", "seller_id", "distinct_sellers")
-    return per_order.join(sellers, "order_id", "left").select(
-        "order_id", "item_count", "distinct_products",
-        F.coalesce("distinct_sellers", F.lit(0)).alias("distinct_sellers"),
-        "items_revenue", "freight_revenue", "gross_order_value")
 
 
 def order_payments_summary(payments: DataFrame) -> DataFrame:
     """Payment totals; the primary type is the highest-value payment's type
     (value desc, NULLs last; ties: payment_type asc).
 
-    Payments are first rolled up per (order, type) with numeric buffers only
-    (a hash aggregate); the per-type maximum value decides the primary type,
-    since the largest single payment belongs to the type with the largest
-    maximum. The second level sees one row per (order, type).
+    Payments cross the network once, by order_id. They are first rolled up per
+    (order, type) with numeric buffers only (a hash aggregate); the per-type
+    maximum value decides the primary type, since the largest single payment
+    belongs to the type with the largest maximum. The second level sees one
+    row per (order, type) in the same partition.
     """
-    per_type = payments.groupBy("order_id", "payment_type").agg(
+    per_type = payments.repartition("order_id").groupBy("order_id", "payment_type").agg(
         F.sum("payment_value").alias("type_value"),
         F.max("installments").alias("type_installments"),
         F.max("payment_value").alias("type_top_value"))
@@ -165,7 +162,7 @@ def int_customers_enriched(customers: DataFrame, geo: DataFrame,
         F.sum(gross).alias("lifetime_gmv"),
         F.sum("freight_revenue").alias("lifetime_freight"),
         F.avg(gross).alias("avg_order_value"),
-        F.avg(F.when(gross > 0, F.col("freight_revenue") / gross)).alias("avg_freight_pct"),
+        stable_avg(F.when(gross > 0, F.col("freight_revenue") / gross)).alias("avg_freight_pct"),
         F.min("purchased_at").alias("first_order_at"),
         F.max("purchased_at").alias("last_order_at"),
         F.avg("days_to_deliver").alias("avg_days_to_deliver"),
@@ -193,20 +190,32 @@ def int_customers_enriched(customers: DataFrame, geo: DataFrame,
 
 
 def int_customer_order_history(orders_enriched: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per person (customer_unique_id), canceled/unavailable orders left out."""
-    o = orders_enriched.where(~F.col("order_status").isin("canceled", "unavailable")).alias("o")
-    c = customers.select("customer_id", "customer_unique_id").alias("c")
-    joined = o.join(c, F.col("o.customer_id") == F.col("c.customer_id"), "inner")
-    n_orders = F.countDistinct("o.order_id")
-    agg = joined.groupBy("c.customer_unique_id").agg(
-        n_orders.alias("total_orders"),
-        F.sum("o.gross_order_value").alias("lifetime_value"),
-        F.avg("o.gross_order_value").alias("avg_order_value"),
-        F.min("o.purchased_at").alias("first_order_at"),
-        F.max("o.purchased_at").alias("last_order_at"),
-        F.avg("o.review_score").alias("avg_review_score"),
-        F.avg("o.days_to_deliver").alias("avg_days_to_deliver"),
-        F.sum("o.item_count").alias("total_items_purchased"))
+    """One row per person (customer_unique_id), canceled/unavailable orders left out.
+
+    Orders roll up to the customer before the join, so a customer holding a
+    third of the orders is one row in it; the person's averages are sums over
+    counts. order_id is unique in the order grain (a declared check).
+    """
+    kept = orders_enriched.where(~F.col("order_status").isin("canceled", "unavailable"))
+    averaged = {"gross": F.col("gross_order_value"), "score": F.col("review_score"),
+                "days": F.col("days_to_deliver")}
+    per_customer = kept.groupBy("customer_id").agg(
+        F.count("order_id").alias("orders"),
+        *[F.sum(c.cast("double")).alias(f"{k}_sum") for k, c in averaged.items()],
+        *[F.count(c).alias(f"{k}_n") for k, c in averaged.items()],
+        F.min("purchased_at").alias("first_at"), F.max("purchased_at").alias("last_at"),
+        F.sum("item_count").alias("items"))
+    joined = per_customer.join(customers.select("customer_id", "customer_unique_id"),
+                               "customer_id", "inner")
+    agg = joined.groupBy("customer_unique_id").agg(
+        F.sum("orders").alias("total_orders"),
+        F.sum("gross_sum").alias("lifetime_value"),
+        _mean("gross_sum", "gross_n").alias("avg_order_value"),
+        F.min("first_at").alias("first_order_at"),
+        F.max("last_at").alias("last_order_at"),
+        _mean("score_sum", "score_n").alias("avg_review_score"),
+        _mean("days_sum", "days_n").alias("avg_days_to_deliver"),
+        F.sum("items").alias("total_items_purchased"))
     n = F.col("total_orders")
     return agg.select(
         "customer_unique_id", "total_orders", "lifetime_value", "avg_order_value",

@@ -11,24 +11,29 @@ from agora.operators.ranking import global_ranks
 REVENUE_STATUSES = ("delivered", "shipped", "processing", "approved")
 
 
-def mart_revenue_monthly(items: DataFrame, products_enriched: DataFrame,
+def mart_revenue_monthly(items: DataFrame, categories: DataFrame,
                          orders: DataFrame) -> DataFrame:
     """Revenue by (month, quarter, English category, primary payment type).
 
     Items are attributed to their product's category; an order spanning two
-    categories counts once in each. Items are first collapsed to one row per
-    (order, category) with their sums, so the join to the order grain moves
-    one row per pair, and ``count(distinct order_id)`` over pairs is a count.
+    categories counts once in each. Items collapse to (order, product) pairs
+    before the category join, so a product in a third of all items joins one
+    row per order, and the pairs are then partitioned by order for both their
+    roll-up to (order, category) and the join to the orders.
+    ``categories`` holds (product_id, category_name_english).
     """
-    category = products_enriched.select("product_id", "category_name_english")
-    per_pair = (items.select("order_id", "product_id", "item_price", "freight_value")
-                .join(category, "product_id", "left")
+    pairs = items.repartition("order_id").groupBy("order_id", "product_id").agg(
+        F.sum(F.col("item_price") + F.col("freight_value")).alias("gross"),
+        F.sum("item_price").alias("items"),
+        F.sum("freight_value").alias("freight"))
+    per_pair = (pairs.join(categories.select("product_id", "category_name_english"),
+                           "product_id", "left")
+                .repartition("order_id")
                 .groupBy("order_id",
                          F.coalesce("category_name_english", F.lit("unknown"))
                           .alias("category_name_english"))
-                .agg(F.sum(F.col("item_price") + F.col("freight_value")).alias("gross"),
-                     F.sum("item_price").alias("items"),
-                     F.sum("freight_value").alias("freight")))
+                .agg(F.sum("gross").alias("gross"), F.sum("items").alias("items"),
+                     F.sum("freight").alias("freight")))
     base = (orders.where(F.col("order_status").isin(*REVENUE_STATUSES))
             .select("order_id", "order_month",
                     trunc_ts("quarter", "purchased_at").alias("order_quarter"),
@@ -46,26 +51,20 @@ def mart_revenue_monthly(items: DataFrame, products_enriched: DataFrame,
                         F.col("category_name_english").asc_nulls_last()))
 
 
-def mart_delivery_performance(orders: DataFrame, customer_places: DataFrame,
-                              items: DataFrame) -> DataFrame:
+def mart_delivery_performance(fct_orders: DataFrame, items: DataFrame) -> DataFrame:
     """Delivered orders by (customer state, seller); an order counts once per seller in it.
 
-    ``orders`` is the order grain (the order fact without its customer
-    columns) and ``customer_places`` gives each customer_id its state, as in
-    the fact. The sellers are joined on order_id first, where the order grain
-    is already partitioned, and the state after, so the order rows cross the
-    network once.
+    The order fact already holds each order's customer state, so the order
+    rows are joined to their distinct sellers once, on order_id.
     """
     delivered_at, estimated = F.col("delivered_at"), F.col("estimated_delivery_at")
-    delivered = (orders.where(F.col("order_status") == "delivered")
-                 .select("order_id", "customer_id", "days_to_deliver", "is_late_delivery",
+    delivered = (fct_orders.where(F.col("order_status") == "delivered")
+                 .select("order_id", "customer_state", "days_to_deliver", "is_late_delivery",
                          "review_score", "review_sentiment", "order_month",
                          F.when(delivered_at.isNotNull() & estimated.isNotNull(),
                                 days_between(estimated, delivered_at)).alias("days_late")))
-    order_sellers = items.select("order_id", "seller_id").distinct()
-    states = customer_places.select("customer_id", F.col("state").alias("customer_state"))
-    base = (delivered.join(order_sellers, "order_id", "inner")
-                     .join(states, "customer_id", "left"))
+    order_sellers = items.select("order_id", "seller_id").repartition("order_id").distinct()
+    base = delivered.join(order_sellers, "order_id", "inner")
     late = F.col("is_late_delivery")
     out = base.groupBy("customer_state", "seller_id").agg(
         F.count(F.lit(1)).alias("delivered_orders"),
@@ -93,15 +92,14 @@ def mart_delivery_performance(orders: DataFrame, customer_places: DataFrame,
 def state_concentration(sellers: DataFrame) -> DataFrame:
     """Sellers per state and their share (%) of all sellers.
 
-    The total is one number from a distributed count; it is divided into the
-    per-state counts as a literal, so no window gathers rows into one task.
+    The total is a scalar subquery over the per-state counts: no second pass
+    over the sellers, and no window that gathers rows into one task.
     """
-    total = sellers.count()
     per_state = sellers.groupBy("state").agg(F.count(F.lit(1)).alias("sellers_in_state"))
+    total = per_state.agg(F.sum("sellers_in_state").cast("double")).scalar()
     return per_state.select(
         "state", "sellers_in_state",
-        (F.col("sellers_in_state") * F.lit(100.0) / F.lit(float(total)))
-         .alias("pct_of_all_sellers"))
+        (F.col("sellers_in_state") * F.lit(100.0) / total).alias("pct_of_all_sellers"))
 
 
 SELLER_HEALTH_COLUMNS = (

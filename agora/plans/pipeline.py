@@ -156,18 +156,15 @@ class Pipeline:
     # ----------------------------------------------------------- analytics
     @cached_property
     def mart_revenue_monthly(self) -> DataFrame:
-        # Only (product_id, category_name_english) is read from the products:
-        # the product dimension carries both, and in a build it is already
-        # written. No customer column is read from the orders: the order grain
-        # is the order fact without its row-preserving customer join
-        # (customer_id is unique in customers, a declared check).
+        # Only the category is read from the products, and no customer column
+        # from the orders: the order grain is the order fact without its
+        # row-preserving customer join (customer_id is unique, a declared check).
         return marts.mart_revenue_monthly(self.stg_order_items, self.dim_products,
                                           self.int_orders_enriched)
 
     @cached_property
     def mart_delivery_performance(self) -> DataFrame:
-        return marts.mart_delivery_performance(self.int_orders_enriched, self.customer_places,
-                                               self.stg_order_items)
+        return marts.mart_delivery_performance(self.fct_orders, self.stg_order_items)
 
     @cached_property
     def mart_seller_health(self) -> DataFrame:

@@ -1,10 +1,12 @@
 """CSV scan of the raw marketplace files and the full-refresh load.
 
-Files are read by executors in splits; nothing passes through the driver. The
+Files are read by executors in splits, except reviews: their free text may
+hold line breaks, so a review file is one task each (give a folder of part
+files to spread them). Nothing passes through the driver. The
 header decides the column order; every column is then cast by name to the
 explicit type in :data:`RAW_SCHEMAS` (no inference). Empty fields become NULL,
 zip prefixes such as ``01046`` become the integer 1046, quoted fields may hold
-commas, doubled quotes and line breaks, and a UTF-8 byte-order mark is dropped.
+commas, doubled quotes and (in reviews) line breaks, and a UTF-8 byte-order mark is dropped.
 """
 
 from __future__ import annotations
@@ -23,6 +25,14 @@ from agora.sources.schemas import RAW_FILES, RAW_SCHEMAS
 log = logging.getLogger(__name__)
 
 
+# Tables whose quoted fields may hold line breaks (their files cannot be split).
+MULTI_LINE = ("order_reviews",)
+
+
+def _is_missing(exc: AnalysisException) -> bool:
+    return exc.getCondition() == "PATH_NOT_FOUND"
+
+
 def _typed(df: DataFrame, table: str) -> DataFrame:
     schema = RAW_SCHEMAS[table]
     cols = []
@@ -37,10 +47,10 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read one raw CSV file (or folder of parts) as its typed raw table."""
+    """Read one raw CSV file (or folder of parts, each with a header) as its typed raw table."""
     raw = (spark.read
            .option("header", True)
-           .option("multiLine", True)
+           .option("multiLine", table in MULTI_LINE)
            .option("quote", '"')
            .option("escape", '"')
            .option("mode", "FAILFAST")
@@ -50,14 +60,20 @@ def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
 
 def read_raw_folder(spark: SparkSession, folder: str,
                     files: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """Read every raw table found in ``folder``; a missing file is skipped with a warning."""
+    """Read every raw table found in ``folder``.
+
+    A missing file is skipped with a warning; any other fault (a missing
+    column, say) is an error.
+    """
     tables: dict[str, DataFrame] = {}
     for table, name in (files or RAW_FILES).items():
         path = f"{folder.rstrip('/')}/{name}"
         try:
             df = read_raw_csv(spark, path, table)
-        except AnalysisException as exc:  # path not found
-            log.warning("%s not found, skipping %s (%s)", name, table, exc.getCondition())
+        except AnalysisException as exc:
+            if not _is_missing(exc):
+                raise
+            log.warning("no file for raw table %s: %s", table, path)
             continue
         tables[table] = df
     return tables
@@ -84,17 +100,20 @@ def load_raw(spark: SparkSession, folder: str, target: str,
         (df.observe(obs, F.count(F.lit(1)).alias("rows"))
            .write.mode("overwrite").format(fmt).save(location))
         rows = int(obs.get["rows"])
-        log.info("loaded %-45s (%7d rows)", table, rows)
+        log.info("raw table %s: %d rows at %s", table, rows, location)
         results.append(LoadResult(table, rows, location))
     return results
 
 
 def read_loaded(spark: SparkSession, target: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """Open the tables written by :func:`load_raw`."""
+    """Open the tables written by :func:`load_raw`; a table that was not loaded is left out
+    with a warning."""
     out = {}
     for table in RAW_SCHEMAS:
         try:
             out[table] = spark.read.format(fmt).load(f"{target.rstrip('/')}/{table}")
-        except AnalysisException:
-            continue
+        except AnalysisException as exc:
+            if not _is_missing(exc):
+                raise
+            log.warning("raw table %s was not loaded under %s", table, target)
     return out

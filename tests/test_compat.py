@@ -67,3 +67,16 @@ def test_weighted_avg_equals_plain_avg(spark):
     collapsed = (items.groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
                  .groupBy("k").agg(compat.weighted_avg("v", "n").alias("a")))
     assert sorted(plain.collect()) == sorted(collapsed.collect())
+
+
+def test_float_ratio_of_large_counts(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from agora.functions.compat import float_ratio
+
+    pairs = [(16_777_217, 3), (33_554_433, 33_554_435), (123_456_789_012, 987_654_321_098),
+             (2**53 + 1, 7), (1, 3), (5, 16_777_219)]
+    df = spark.createDataFrame(pairs, "a bigint, b bigint")
+    for r in df.select("a", "b", float_ratio(F.col("a"), F.col("b")).alias("x")).collect():
+        assert np.float32(r.x) == np.float32(r.a) / np.float32(r.b)

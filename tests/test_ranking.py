@@ -50,25 +50,29 @@ def test_bucket_sizes_differ_by_at_most_one(spark):
 
 
 def test_plan_has_no_single_partition_exchange(spark):
+    from agora.operators.ranking import positions
+
     df = _data(spark, 200)
-    got = global_rank(df, [("v", "desc"), ("id", "asc")], row_number="rn", num_partitions=4)
+    order = [("v", "desc"), ("id", "asc")]
+    got = global_rank(df, order, row_number="rn", num_partitions=4)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert "Window" not in plan
-    assert got.rdd.getNumPartitions() == 4
-
+    ranked, total = positions(df, order, num_partitions=4)
+    assert ranked.rdd.getNumPartitions() == 4 and total == 200
+    assert ranked.columns == ["v", "id", "_gpos", "_gtotal"]      # other columns stay behind
 
-def test_partition_count_follows_row_count(spark):
-    from agora.operators.ranking import with_global_position
 
+def test_same_ranks_for_any_number_of_range_partitions(spark):
     df = _data(spark, 503)
-    ranked = with_global_position(df, [("v", "asc"), ("id", "asc")], rows_per_partition=100)
-    assert ranked.rdd.getNumPartitions() == 4      # ceil(503 / 100) capped by 4 shuffle partitions
-    got = ranked.select("id", (F.col("_gpos") + 1).alias("rn"))
-    assert rows(got) == rows(_expected(df, "asc", 5).select("id", "rn"))
+    want = rows(_expected(df, "asc", 5), "id", "rn", "nt")
+    for n in (None, 1, 2, 9):
+        got = global_rank(df, [("v", "asc"), ("id", "asc")], row_number="rn", ntiles={"nt": 5},
+                          num_partitions=n)
+        assert rows(got, "id", "rn", "nt") == want
 
 
-def test_chained_rankings_count_once(spark):
+def test_several_orderings(spark):
     from agora.operators.ranking import global_ranks
 
     df = _data(spark, 503)

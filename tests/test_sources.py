@@ -1,11 +1,13 @@
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from agora.plans.pipeline import MARTS, Pipeline, from_testdata
 from agora.sources import csv as csv_source
 from agora.sources.schemas import RAW_FILES
-from tests.conftest import ts
+from tests.conftest import conf, ts
 
 TRANSLATION = "﻿product_category_name,product_category_name_english\r\nbeleza_saude,health_beauty\r\nartes,art\r\n"
 REVIEWS = (
@@ -159,3 +161,22 @@ def test_build_with_checkpointed_order_grain(spark, tmp_path, shop):
     # the order grain now reads its checkpoint, not the raw tables
     plan = pipe.int_orders_enriched._jdf.queryExecution().executedPlan().toString()
     assert "Scan ExistingRDD" in plan or "ExistingRDD" in plan
+
+
+def test_large_csv_is_read_in_splits(spark, tmp_path):
+    rows = "\n".join(f"o{i},1,credit_card,1,{i}.5" for i in range(40_000))
+    _write(tmp_path, "p.csv",
+           "order_id,payment_sequential,payment_type,payment_installments,payment_value\n" + rows)
+    with conf(spark, **{"spark.sql.files.maxPartitionBytes": "128k",
+                        "spark.sql.files.openCostInBytes": "1k"}):
+        df = csv_source.read_raw_csv(spark, str(tmp_path / "p.csv"), "order_payments")
+        assert df.rdd.getNumPartitions() > 1
+        assert df.count() == 40_000
+
+
+def test_csv_without_a_column_is_an_error(spark, tmp_path):
+    _write(tmp_path, RAW_FILES["sellers"], "seller_id,seller_zip_code_prefix,seller_city\ns1,1,x\n")
+    with pytest.raises(AnalysisException):
+        csv_source.read_raw_folder(spark, str(tmp_path))
+    (tmp_path / "empty").mkdir()
+    assert csv_source.read_raw_folder(spark, str(tmp_path / "empty")) == {}
