@@ -8,17 +8,19 @@ the given test tables through :func:`agora.sources.testdata.raw_tables`;
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from agora import oracle  # noqa: E402
 from agora.operators.dedupe import pick_one  # noqa: E402
-from agora.operators.ranking import global_rank  # noqa: E402
+from agora.operators.ranking import global_rank, positions  # noqa: E402
 from agora.plans import enrich, questions  # noqa: E402
 from agora.plans.pipeline import Pipeline, from_testdata  # noqa: E402
 from agora.operators import quality as dq  # noqa: E402
@@ -69,6 +71,46 @@ def _global_ntile_query(p: Pipeline) -> DataFrame:
                        ntiles={"payment_decile": 10, "payment_septile": 7})
 
 
+def _global_ntile_ranges_query(p: Pipeline) -> DataFrame:
+    """The same operator over a fixed number of range partitions."""
+    orders = p.int_orders_enriched.select("order_id", "freight_revenue")
+    return global_rank(orders, [("freight_revenue", "desc"), ("order_id", "asc")],
+                       row_number="freight_rank", ntiles={"freight_decile": 10},
+                       num_partitions=8)
+
+
+# Output orders of the marts: (model, order made total), row position as a column.
+SORTED = {
+    "sorted_revenue": ("mart_revenue_monthly", [
+        ("order_month", "asc"), ("category_name_english", "asc"), ("primary_payment_type", "asc")]),
+    "sorted_delivery": ("mart_delivery_performance", [
+        ("late_delivery_rate", "desc"), ("customer_state", "asc"), ("seller_id", "asc")]),
+    "sorted_seller_health": ("mart_seller_health", [("revenue_rank", "asc"), ("seller_id", "asc")]),
+    "sorted_rfm": ("rfm_segmentation", [("total_ltv", "desc"), ("rfm_label", "asc")]),
+}
+
+
+def _sorted(model: str, order: list) -> Callable[[Pipeline], DataFrame]:
+    def build(p: Pipeline) -> DataFrame:
+        ranked, _ = positions(p.model(model), order)
+        return ranked.select(*[c for c, _ in order], (F.col("_gpos") + 1).alias("position"))
+    return build
+
+
+def _sorted_sql(model: str, order: list) -> str:
+    columns = ", ".join(c for c, _ in order)
+    keys = ", ".join(f"{c} {d.upper()} NULLS LAST" for c, d in order)
+    return f"SELECT {columns}, row_number() OVER (ORDER BY {keys}) AS position FROM {model}"
+
+
+# The declared date window (off by default) over the staged orders.
+DATE_WINDOW = (dt.date(1995, 1, 1), dt.date(1996, 6, 30))
+
+
+def _windowed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return from_testdata(spark, sf_dir, date_window=DATE_WINDOW).stg_orders
+
+
 def _latest_per_key_query(p: Pipeline) -> DataFrame:
     return pick_one(p.stg_orders, ["customer_id"],
                     [("purchased_at", "desc"), ("order_id", "desc")],
@@ -98,6 +140,8 @@ QUESTIONS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "q_purchase_cohorts": lambda p: questions.purchase_cohorts(p.int_customer_order_history),
     "global_row_number": _global_row_number_query,
     "global_ntile": _global_ntile_query,
+    "global_ntile_ranges": _global_ntile_ranges_query,
+    **{name: _sorted(model, order) for name, (model, order) in SORTED.items()},
     "latest_per_key": _latest_per_key_query,
     "first_by_order": _first_by_order_query,
     "dq_unique": lambda p: dq.run_checks(p, kind="unique"),
@@ -105,6 +149,8 @@ QUESTIONS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "dq_accepted_values": lambda p: dq.run_checks(p, kind="accepted_values"),
     "dq_between": lambda p: dq.run_checks(p, kind="between"),
     "dq_relationships": lambda p: dq.run_checks(p, kind="relationships"),
+    "dq_assert_positive": lambda p: dq.report(dq.AMOUNT_CHECKS, dq.pipeline_resolver(p)),
+    "dq_business_rules": lambda p: dq.run_checks(p, kind="delivered_without_items"),
     "dq_delivered_without_items": lambda p: dq.delivered_without_items(p.fct_orders),
 }
 
@@ -117,6 +163,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _model(name) for name in MODELS}
     out.update({name: _from_pipeline(build) for name, build in QUESTIONS.items()})
+    out["stg_orders_window"] = _windowed_orders
     if llm:
         out.update(llm.QUERIES)
     return out
@@ -189,6 +236,15 @@ SELECT order_id, total_payment_value,
        ntile(10) OVER (ORDER BY total_payment_value ASC NULLS LAST, order_id) AS payment_decile,
        ntile(7) OVER (ORDER BY total_payment_value ASC NULLS LAST, order_id) AS payment_septile
 FROM int_orders_enriched""",
+    "global_ntile_ranges": """
+SELECT order_id, freight_revenue,
+       row_number() OVER (ORDER BY freight_revenue DESC NULLS LAST, order_id) AS freight_rank,
+       ntile(10) OVER (ORDER BY freight_revenue DESC NULLS LAST, order_id) AS freight_decile
+FROM int_orders_enriched""",
+    **{name: _sorted_sql(model, order) for name, (model, order) in SORTED.items()},
+    "stg_orders_window": f"""
+SELECT * FROM stg_orders
+WHERE CAST(purchased_at AS DATE) BETWEEN DATE '{DATE_WINDOW[0]}' AND DATE '{DATE_WINDOW[1]}'""",
     "latest_per_key": """
 SELECT customer_id, order_id, purchased_at, order_status FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id

@@ -2,7 +2,7 @@
 
     python -m agora load  --csv DIR --raw DIR            full refresh of the raw tables
     python -m agora run   --raw DIR [--warehouse DIR]    staging views + core/analytics marts
-    python -m agora test  --raw DIR [--store-failures]   declared data-quality checks
+    python -m agora test  --raw DIR [--warehouse DIR]    declared checks on the built marts
     python -m agora rfm   --raw DIR [--as-of DATE]       RFM segment summary
 
 ``--testdata SF_DIR`` instead of ``--raw`` maps the star-schema test tables.
@@ -46,9 +46,13 @@ def main(argv: list[str] | None = None) -> int:
         src.add_argument("--testdata")
         if name == "run":
             p.add_argument("--warehouse", default=None)
-            p.add_argument("--share", choices=("persist", "checkpoint"), default="persist")
+            p.add_argument("--share", choices=("checkpoint", "persist"), default="checkpoint")
+            p.add_argument("--staging-tables", action="store_true",
+                           help="also write the staging models as tables of schema staging")
         if name == "test":
             p.add_argument("--store-failures", action="store_true")
+            p.add_argument("--rebuild", action="store_true",
+                           help="compute the marts instead of reading what run wrote")
             p.add_argument("--warehouse", default=None)
             p.add_argument("--severity", default=None)
             p.add_argument("--fail-on-error", action="store_true")
@@ -61,25 +65,26 @@ def main(argv: list[str] | None = None) -> int:
 
     if args.command == "load":
         for result in csv_source.load_raw(spark, args.csv, args.raw):
-            print(f"loaded {result.table:<45} ({result.rows:>9,} rows) -> {result.location}")
+            print(f"{result.table}: {result.rows} rows in {result.location}")
         return 0
     pipe = _pipeline(spark, args)
     if args.command == "run":
-        for name, where in pipe.build(spark, args.warehouse, share=args.share).items():
-            print(f"built {name:<30} {pipe.timings[name]:7.1f}s -> {where}")
+        for name, where in pipe.build(spark, args.warehouse, share=args.share,
+                                      staging_tables=args.staging_tables).items():
+            print(f"{name}: {where} ({pipe.timings.get(name, 0.0):.1f} s)")
         return 0
     if args.command == "test":
         from agora.operators import quality
 
-        report = pipe.check(spark, store_failures=args.store_failures,
-                            warehouse=args.warehouse, severity=args.severity)
-        rows = report.orderBy("model", "column_name", "test").collect()  # one row per check
-        for r in rows:
-            print(f"{r.status:5s} {r.test:16s} {r.model}.{r.column_name} failures={r.failures}")
-        failed = sum(1 for r in rows if r.failures)
-        print(f"{len(rows)} checks, {failed} with failures")
+        if not args.rebuild:
+            pipe.use_built(spark, args.warehouse)
+        results = pipe.check(spark, store_failures=args.store_failures,
+                             warehouse=args.warehouse, severity=args.severity)
+        for r in sorted(results, key=lambda r: (r.model, r.column_name, r.test)):
+            print(f"{r.status}: {r.test}({r.model}.{r.column_name}) {r.failures}")
+        print(f"checks: {len(results)}, with failures: {sum(1 for r in results if r.failures)}")
         if args.fail_on_error:
-            quality.raise_on_error(report)
+            quality.raise_on_error(results)
         return 0
     if args.command == "rfm":
         pipe.rfm_as_of = dt.datetime.fromisoformat(args.as_of) if args.as_of else None

@@ -49,9 +49,12 @@ def float_ratio(num: str | Column, den: str | Column) -> Column:
     """``num::float / den`` as a 32-bit float, for operands of any size.
 
     Both sides are rounded to float first, as the 32-bit division does; the
-    double quotient of two floats rounds to the same float as their own.
+    double quotient of two floats rounds to the same float as their own. The
+    product with one keeps the optimizer from merging the casts, which would
+    skip that rounding.
     """
-    single = [col(c).cast("float").cast("double") for c in (num, den)]
+    one = F.lit(1.0).cast("float")
+    single = [(col(c).cast("float") * one).cast("double") for c in (num, den)]
     return (single[0] / single[1]).cast("float")
 
 

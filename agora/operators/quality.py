@@ -7,11 +7,13 @@ Check kinds and what counts as a failure (one row of the failing-rows query):
 * ``accepted_values``: each distinct non-null value outside the list;
 * ``between``: each row outside ``[min, max]`` (either end optional; NULL passes);
 * ``relationships``: each non-null child row whose key is missing in the parent;
-* ``assert_positive``: each row with a negative value (zero passes).
+* ``assert_positive``: each row with a negative value (zero passes);
+* ``delivered_without_items``: each delivered order whose item count is zero.
 
-The report reads every table once for all its row-level checks (one
-aggregate with a conditional count per check), once per unique key (a
-grouped count), and once per relationship (a left-anti join).
+The report reads every table once for all its row-level checks (only the
+violations are exploded and counted; rows that pass are never copied), once
+per unique key (a grouped count), and once per relationship (the child's
+distinct keys with their counts, anti-joined to the parent's).
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROW_LEVEL = ("not_null", "accepted_values", "between", "assert_positive")
-FAILURES_SCHEMA = "audit"
+ROW_LEVEL = ("not_null", "accepted_values", "between", "assert_positive",
+             "delivered_without_items")
 
 
 @dataclass(frozen=True)
@@ -153,6 +155,7 @@ def _checks() -> list[Check]:
     add("fct_orders", "review_score", "between", min_value=1, max_value=5)
     add("fct_orders", "review_sentiment", "accepted_values",
         values=("positive", "neutral", "negative"))
+    add("fct_orders", "item_count", "delivered_without_items")
     # analytics marts
     for col in ("order_month", "order_quarter", "category_name_english"):
         add("mart_revenue_monthly", col, "not_null")
@@ -185,6 +188,11 @@ def _checks() -> list[Check]:
 
 CHECKS: tuple[Check, ...] = tuple(_checks())
 
+# The sign check over the item amounts (a generic test; no model declares it).
+AMOUNT_CHECKS: tuple[Check, ...] = tuple(
+    Check("stg_order_items", column, "assert_positive")
+    for column in ("item_price", "freight_value", "total_item_value"))
+
 
 # ---------------------------------------------------------- violation frames
 def _violation(check: Check) -> Column:
@@ -202,6 +210,8 @@ def _violation(check: Check) -> Column:
         return c.isNotNull() & cond
     if check.kind == "assert_positive":
         return c.isNotNull() & (c < 0)
+    if check.kind == "delivered_without_items":
+        return F.coalesce((F.col("order_status") == "delivered") & (c == 0), F.lit(False))
     raise ValueError(check.kind)
 
 
@@ -244,7 +254,7 @@ def assert_positive(df: DataFrame, column: str) -> DataFrame:
 
 def delivered_without_items(fct: DataFrame) -> DataFrame:
     """Delivered orders that have no line item."""
-    return (fct.where((F.col("order_status") == "delivered") & (F.col("item_count") == 0))
+    return (fct.where(_violation(Check("", "item_count", "delivered_without_items")))
                .select("order_id", "order_status", "item_count"))
 
 
@@ -277,6 +287,34 @@ def _finish(rows: DataFrame) -> DataFrame:
         F.when(F.col("failures") == 0, "pass").otherwise(F.col("severity")).alias("status"))
 
 
+def _row_level(df: DataFrame, group: Sequence[Check]) -> DataFrame:
+    """Report rows of one table's row-level checks: one scan, violations only."""
+    found = F.array(*[F.when(_violation(check), F.struct(
+        F.lit(i).alias("i"),
+        # a value outside its list is one failure however often it occurs
+        (F.col(check.column).cast("string") if check.kind == "accepted_values"
+         else F.lit(None).cast("string")).alias("value"))) for i, check in enumerate(group)])
+    each = (df.select(F.explode(F.filter(found, lambda x: x.isNotNull())).alias("x"))
+            .groupBy("x.i", "x.value").agg(F.count(F.lit(1)).alias("n")))
+    listed = [i for i, check in enumerate(group) if check.kind == "accepted_values"]
+    per_check = each.groupBy("i").agg(
+        F.sum(F.when(F.col("i").isin(listed), 1).otherwise(F.col("n"))).alias("n"))
+    # one row per check of this table, also for those without a violation
+    counts = per_check.agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("m"))
+    rows = F.array(*[_report_row(check, F.coalesce(F.col("m")[i], F.lit(0)))
+                     for i, check in enumerate(group)])
+    return counts.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def _orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """One row ``n``: child rows without a parent, from the child's keys and their counts."""
+    keys = (child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key"))
+            .agg(F.count(F.lit(1)).alias("n")))
+    parents = parent.select(F.col(field).alias("_key")).distinct()
+    return keys.join(parents, "_key", "left_anti").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def report(checks: Sequence[Check], resolve: Callable[[Check, str], DataFrame]) -> DataFrame:
     """One row per check: model, column, test, args, severity, failures, status."""
     parts: list[DataFrame] = []
@@ -284,24 +322,17 @@ def report(checks: Sequence[Check], resolve: Callable[[Check, str], DataFrame])
     for check in checks:
         if check.kind in ROW_LEVEL:
             by_model.setdefault((check.model, check.source), []).append(check)
-    for (_, _), group in by_model.items():
-        df = resolve(group[0], group[0].model)
-        aggs = []
-        for i, check in enumerate(group):
-            if check.kind == "accepted_values":
-                # one failure per distinct bad value
-                aggs.append(F.countDistinct(F.when(_violation(check), F.col(check.column)))
-                            .alias(f"f{i}"))
-            else:
-                aggs.append(F.count(F.when(_violation(check), F.lit(1))).alias(f"f{i}"))
-        counts = df.agg(*aggs)
-        rows = F.array(*[_report_row(ch, F.col(f"f{i}")) for i, ch in enumerate(group)])
-        parts.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
+    for group in by_model.values():
+        parts.append(_row_level(resolve(group[0], group[0].model), group))
     for check in checks:
-        if check.kind in ("unique", "relationships"):
-            failing = violations(check, resolve)
-            parts.append(failing.agg(F.count(F.lit(1)).alias("n"))
-                         .select(_report_row(check, F.col("n")).alias("r")).select("r.*"))
+        if check.kind == "unique":
+            failing = violations(check, resolve).agg(F.count(F.lit(1)).alias("n"))
+        elif check.kind == "relationships":
+            failing = _orphans(resolve(check, check.model), check.column,
+                               resolve(check, check.to_model), check.to_field)
+        else:
+            continue
+        parts.append(failing.select(_report_row(check, F.col("n")).alias("r")).select("r.*"))
     if not parts:
         raise ValueError("no checks selected")
     out = parts[0]
@@ -323,23 +354,33 @@ ORDER_GRAIN_CONSUMERS = ("dim_customers", "dim_products", "dim_sellers", "fct_or
                          "mart_seller_health")
 
 
-def run_checks(pipeline, kind: str | None = None, models: Sequence[str] | None = None,
-               share_orders: bool = True,
-               severity: str | Mapping[str, str] | None = None) -> DataFrame:
-    """Report over the declared checks (optionally one kind / some models).
+def select_checks(kind: str | None = None, models: Sequence[str] | None = None,
+                  severity: str | Mapping[str, str] | None = None) -> list[Check]:
+    """The declared checks of one kind and/or some models, with their severity.
 
     ``severity`` overrides the default ``warn``: one value for every check, or
     a mapping from model name to severity (e.g. ``error`` for the marts).
-    When several checked models read the order-grain table, it is first
-    checkpointed once (``share_orders``) so the report's branches read it
-    instead of each recomputing it.
     """
     chosen = [c for c in CHECKS
               if (kind is None or c.kind == kind) and (models is None or c.model in models)]
     if severity is not None:
         chosen = [replace(c, severity=severity if isinstance(severity, str)
                           else severity.get(c.model, c.severity)) for c in chosen]
-    consumers = {c.model for c in chosen if c.model in ORDER_GRAIN_CONSUMERS}
+    return chosen
+
+
+def run_checks(pipeline, kind: str | None = None, models: Sequence[str] | None = None,
+               share_orders: bool = True,
+               severity: str | Mapping[str, str] | None = None) -> DataFrame:
+    """Report over the declared checks (optionally one kind / some models).
+
+    When several checked models read the order-grain table and are not built
+    tables, it is first checkpointed once (``share_orders``) so the report's
+    branches read it instead of each recomputing it.
+    """
+    chosen = select_checks(kind, models, severity)
+    consumers = {c.model for c in chosen if c.model in ORDER_GRAIN_CONSUMERS
+                 and c.model not in pipeline.built}
     if share_orders and len(consumers) > 1 and "int_orders_enriched" not in pipeline.__dict__:
         pipeline.share_orders("checkpoint")
     return report(chosen, pipeline_resolver(pipeline))
@@ -349,32 +390,34 @@ class DataQualityError(Exception):
     """Raised when a check of severity ``error`` has failures."""
 
 
-def raise_on_error(report: DataFrame) -> DataFrame:
-    """Fail when any ``error``-severity check failed; return the report otherwise.
-
-    Collects only the failing error rows (at most one per declared check).
-    """
-    failed = report.where((F.col("severity") == "error") & (F.col("failures") > 0)).collect()
+def raise_on_error(results: Sequence) -> Sequence:
+    """Fail when any ``error``-severity check in the report rows failed; return them otherwise."""
+    failed = [r for r in results if r.severity == "error" and r.failures > 0]
     if failed:
         lines = ", ".join(f"{r.test}({r.model}.{r.column_name})={r.failures}" for r in failed)
         raise DataQualityError(f"{len(failed)} failing checks: {lines}")
-    return report
+    return results
 
 
-def store_failures(pipeline, spark: SparkSession, schema: str = FAILURES_SCHEMA,
-                   warehouse: str | None = None) -> dict[str, str]:
-    """Write the failing rows of every failing check (full refresh per check)."""
-    from agora.sources.sinks import write_table
+def store_failures(pipeline, spark: SparkSession, results: Sequence, warehouse: str | None = None,
+                   schema: str | None = None) -> dict[str, str]:
+    """Write the failing rows of every check in ``results`` (collected report rows).
+
+    Full refresh per check: a check that passes leaves an empty table, so no
+    failures of an earlier run stay behind.
+    """
+    from agora.sources.sinks import FAILURES_SCHEMA, write_table
 
+    schema = schema or FAILURES_SCHEMA
     resolve = pipeline_resolver(pipeline)
+    failures = {(r.model, r.column_name, r.test, r.args): r.failures for r in results}
     written = {}
-    summary = run_checks(pipeline).where(F.col("failures") > 0).select(
-        "model", "column_name", "test").collect()  # one row per failing check
-    failing = {(r.model, r.column_name, r.test) for r in summary}
     for check in CHECKS:
-        if (check.model, check.column, check.kind) not in failing:
+        n = failures.get((check.model, check.column, check.kind, check.args))
+        if n is None:
             continue
+        found = violations(check, resolve)
         name = f"{check.kind}_{check.model}_{check.column}"
         path = None if warehouse is None else f"{warehouse.rstrip('/')}/{schema}/{name}"
-        written[name] = write_table(spark, violations(check, resolve), name, schema, path)
+        written[name] = write_table(spark, found if n else found.limit(0), name, schema, path)
     return written

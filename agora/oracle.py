@@ -602,20 +602,31 @@ def check_sql(check: "Check") -> str:
         body = (f"count(*) AS failures FROM {table} child WHERE child.{col} IS NOT NULL AND NOT "
                 f"EXISTS (SELECT 1 FROM {check.to_model} parent "
                 f"WHERE parent.{check.to_field} = child.{col})")
+    elif check.kind == "assert_positive":
+        body = f"count(*) AS failures FROM {table} WHERE {col} < 0"
+    elif check.kind == "delivered_without_items":
+        body = f"count(*) AS failures FROM {table} WHERE order_status = 'delivered' AND {col} = 0"
     else:
         raise ValueError(check.kind)
     return head + body
 
 
+def report_sql(checks) -> str:
+    """DuckDB SQL of a whole report."""
+    union = "\nUNION ALL\n".join(check_sql(c) for c in checks)
+    return with_clause(f"SELECT model, column_name, test, args, severity, failures, "
+                       f"CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status "
+                       f"FROM (\n{union}\n) checks")
+
+
 def dq_oracle_sql() -> dict[str, str]:
     """One query per check kind: the report rows of its declared checks."""
     out = {}
     for kind in ("unique", "not_null", "accepted_values", "between", "relationships"):
-        union = "\nUNION ALL\n".join(check_sql(c) for c in quality.CHECKS if c.kind == kind)
-        final = (f"SELECT model, column_name, test, args, severity, failures, "
-                 f"CASE WHEN failures = 0 THEN 'pass' ELSE severity END AS status "
-                 f"FROM (\n{union}\n) checks")
-        out[f"dq_{kind}"] = with_clause(final)
+        out[f"dq_{kind}"] = report_sql([c for c in quality.CHECKS if c.kind == kind])
+    out["dq_assert_positive"] = report_sql(quality.AMOUNT_CHECKS)
+    out["dq_business_rules"] = report_sql(
+        [c for c in quality.CHECKS if c.kind == "delivered_without_items"])
     out["dq_delivered_without_items"] = with_clause(
         "SELECT order_id, order_status, item_count FROM fct_orders "
         "WHERE order_status = 'delivered' AND item_count = 0")

@@ -2,15 +2,14 @@
 
 ``Pipeline`` builds each model once (memoized DataFrame), so every consumer of
 a model shares one plan. The order-grain table feeds five consumers; in a
-full build it is materialized once (persisted, or checkpointed to the shared
-checkpoint folder) and released afterwards.
+full build it is materialized once (checkpointed to the shared checkpoint
+folder, or persisted) and released afterwards.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import time
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -44,8 +43,8 @@ class Pipeline:
 
     ``date_window`` optionally keeps orders purchased within [start, end]
     (inclusive) for partial loads; by default every order is kept.
-    ``num_partitions`` sets the range partitions of the global rankings
-    (default: ``spark.sql.shuffle.partitions``).
+    ``num_partitions`` fixes the range partitions of the global rankings
+    (default: sized by the planner).
     """
 
     raw: dict[str, DataFrame]
@@ -55,6 +54,7 @@ class Pipeline:
     rfm_recency_desc: bool = False
     _materialized: list[DataFrame] = field(default_factory=list, repr=False)
     timings: dict[str, float] = field(default_factory=dict, repr=False)
+    built: set[str] = field(default_factory=set, repr=False)  # models read from written tables
 
     # ------------------------------------------------------------- staging
     @cached_property
@@ -179,12 +179,12 @@ class Pipeline:
         return getattr(self, name)
 
     # -------------------------------------------------------- materialize
-    def share_orders(self, how: str = "persist") -> DataFrame:
+    def share_orders(self, how: str = "checkpoint") -> DataFrame:
         """Compute the order-grain table once for all its consumers.
 
-        ``persist`` keeps it in executor memory/disk (recomputed from lineage
-        if an executor is lost); ``checkpoint`` writes it to the shared
-        checkpoint folder and cuts the lineage.
+        ``checkpoint`` writes it to the shared checkpoint folder and cuts the
+        lineage; ``persist`` keeps it in executor memory/disk (recomputed from
+        lineage if an executor is lost).
         """
         orders = self.int_orders_enriched
         if how == "checkpoint":
@@ -201,58 +201,87 @@ class Pipeline:
             df.unpersist()
         self._materialized.clear()
 
+    def _forget(self) -> None:
+        """Drop every model built or shared so far: the next use starts from the raw tables."""
+        self.release()
+        for name in (*LAYERS, "rfm_segmentation", "customer_places", "latest_review_scores", "geo"):
+            self.__dict__.pop(name, None)
+        self.built.clear()
+
+    @staticmethod
+    def _path(warehouse: str | None, name: str) -> str | None:
+        schema = sinks.LAYER_SCHEMAS[LAYERS[name]]
+        return None if warehouse is None else f"{warehouse.rstrip('/')}/{schema}/{name}"
+
     def build(self, spark: SparkSession, warehouse: str | None = None,
-              names: tuple[str, ...] = MARTS, share: str = "persist") -> dict[str, str]:
-        """Register staging views and write the marts (full refresh).
+              names: tuple[str, ...] = MARTS, share: str = "checkpoint",
+              staging_tables: bool = False) -> dict[str, str]:
+        """Register staging views and write the marts (full refresh from the raw tables).
 
         With ``warehouse`` the marts are written as ``<warehouse>/<schema>/<name>``
-        files, else as catalog tables ``<schema>.<name>``. As with table
-        materialization, a mart written earlier in the build is read back from
-        its table by the marts after it (``fct_orders`` by the revenue and
-        delivery marts, ``dim_sellers`` by seller health), which cuts their
-        lineage at a durable table instead of recomputing it.
+        files, else as catalog tables ``<schema>.<name>``. A mart written
+        earlier in the build is read back from its table by the marts after it
+        (``dim_products`` by the revenue mart, ``fct_orders`` by the delivery
+        mart, ``dim_sellers`` by seller health), which cuts their lineage at a
+        durable table instead of recomputing it.
+
+        The staging views belong to the session (Spark keeps views across
+        sessions only as SQL text); ``staging_tables`` also writes them as
+        tables of the ``staging`` schema, for later sessions.
         """
+        self._forget()
+        written = {}
         for name, layer in LAYERS.items():
             if layer == "staging":
                 sinks.register_view(self.model(name), name)
-        for name in (*MARTS, "rfm_segmentation"):
-            self.__dict__.pop(name, None)  # rebuild from the raw tables
+                if staging_tables:
+                    written[name] = sinks.write_table(spark, self.model(name), name,
+                                                      sinks.LAYER_SCHEMAS[layer],
+                                                      self._path(warehouse, name))
         self.share_orders(share)
-        written = {}
         try:
             for name in names:
                 started = time.perf_counter()
                 schema = sinks.LAYER_SCHEMAS[LAYERS[name]]
-                path = None if warehouse is None else f"{warehouse.rstrip('/')}/{schema}/{name}"
-                written[name] = sinks.write_table(spark, self.model(name), name, schema, path)
-                self.__dict__[name] = sinks.read_table(spark, written[name])
+                written[name] = sinks.write_table(spark, self.model(name), name, schema,
+                                                  self._path(warehouse, name))
+                self._read_built(spark, name, written[name])
                 self.timings[name] = time.perf_counter() - started
         finally:
             self.release()
         return written
 
+    def _read_built(self, spark: SparkSession, name: str, location: str) -> None:
+        self.__dict__[name] = sinks.read_table(spark, location)
+        self.built.add(name)
+
+    def use_built(self, spark: SparkSession, warehouse: str | None = None,
+                  names: tuple[str, ...] = MARTS) -> None:
+        """Read the marts from the tables an earlier build wrote (a missing one is an error)."""
+        for name in names:
+            schema = sinks.LAYER_SCHEMAS[LAYERS[name]]
+            self._read_built(spark, name, self._path(warehouse, name) or f"`{schema}`.`{name}`")
 
     def check(self, spark: SparkSession, kind: str | None = None,
               store_failures: bool = False, warehouse: str | None = None,
-              severity: str | dict[str, str] | None = None) -> DataFrame:
-        """Run the declared data-quality checks; optionally store failing rows.
+              severity: str | dict[str, str] | None = None) -> list:
+        """Run the declared data-quality checks once; optionally store failing rows.
 
-        Returns the report (one row per check; severity ``warn`` unless
-        overridden). With ``store_failures`` the failing rows of each failing
-        check are written to the ``audit`` schema (or under ``warehouse``), as
-        full refreshes. ``quality.raise_on_error(report)`` fails the run on
+        Returns the report rows (one per check; severity ``warn`` unless
+        overridden). With ``store_failures`` the failing rows of every check
+        run are written to the ``audit`` schema (or under ``warehouse``), as
+        full refreshes. ``quality.raise_on_error(rows)`` fails the run on
         failing ``error`` checks.
         """
         from agora.operators import quality
 
+        results = quality.run_checks(self, kind=kind, severity=severity).collect()
         if store_failures:
-            quality.store_failures(self, spark, quality.FAILURES_SCHEMA, warehouse)
-        return quality.run_checks(self, kind=kind, severity=severity)
+            quality.store_failures(self, spark, results, warehouse)
+        return results
 
 
 def from_testdata(spark: SparkSession, sf_dir: str, **kwargs) -> Pipeline:
     from agora.sources.testdata import raw_tables
     return Pipeline(raw_tables(spark, sf_dir), **kwargs)
 
-
-ModelBuilder = Callable[[Pipeline], DataFrame]

@@ -59,5 +59,3 @@ RAW_FILES: dict[str, str] = {
     "product_category_name_translation": "product_category_name_translation.csv",
     "geolocation": "olist_geolocation_dataset.csv",
 }
-
-RAW_TABLES = tuple(RAW_SCHEMAS)

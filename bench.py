@@ -2,9 +2,11 @@
 
 Runs at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` (default 8): one warm-up pass over all queries, then ``$BENCH_RUNS``
-(default 5) timed runs per query, each on a freshly built plan and forced by
-a ``noop`` write (every column computed, nothing collected). Prints one JSON
-line with the median seconds per query; ``value`` is their sum.
+(default 5) timed rounds, each starting with another query so that none always
+runs first or after the same one. Every run is on a freshly built plan and
+forced by a ``noop`` write (every column computed, nothing collected). Prints
+one JSON line with the median seconds per query; ``value`` is their sum, and
+``minimum`` and ``spread`` show how much of a change is noise.
 """
 
 from __future__ import annotations
@@ -45,20 +47,23 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="agora-bench",
                           shuffle_partitions=partitions,
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    medians, spreads = {}, {}
     for build in HEADLINE.values():  # warm-up pass over every query (JIT, caches)
         _run(spark, sf_dir, build)
-    for name, build in HEADLINE.items():
-        times = [_run(spark, sf_dir, build) for _ in range(runs)]
-        medians[name] = round(statistics.median(times), 3)
-        spreads[name] = round(max(times) - min(times), 3)
+    names = list(HEADLINE)
+    times: dict[str, list[float]] = {name: [] for name in names}
+    for turn in range(runs):
+        first = turn % len(names)
+        for name in names[first:] + names[:first]:
+            times[name].append(_run(spark, sf_dir, HEADLINE[name]))
+    medians = {name: round(statistics.median(t), 3) for name, t in times.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "headline_marts_median_sum",
         "value": round(sum(medians.values()), 3),
         "unit": "sec",
         "queries": medians,
-        "spread": spreads,
+        "minimum": {name: round(min(t), 3) for name, t in times.items()},
+        "spread": {name: round(max(t) - min(t), 3) for name, t in times.items()},
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "config": {"master": f"local[{cpus}]", "shuffle_partitions": partitions,
                    "spark": spark.version, "runs": runs, "aqe": True},

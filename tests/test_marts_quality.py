@@ -109,9 +109,9 @@ def test_declared_checks_inventory():
     kinds = {}
     for c in dq.CHECKS:
         kinds[c.kind] = kinds.get(c.kind, 0) + 1
-    assert len(dq.CHECKS) == 115
+    assert len(dq.CHECKS) == 116
     assert kinds == {"unique": 14, "not_null": 54, "accepted_values": 15, "between": 30,
-                     "relationships": 2}
+                     "relationships": 2, "delivered_without_items": 1}
 
 
 def test_declared_checks_on_shop(shop):
@@ -123,26 +123,54 @@ def test_declared_checks_on_shop(shop):
     assert dq.delivered_without_items(shop.fct_orders).count() == 0
 
 
-def test_store_failures_writes_failing_rows(spark, tmp_path):
+def test_failures_are_refreshed_also_on_pass(spark, tmp_path):
     from agora.plans.pipeline import Pipeline
-    from tests.fixtures import shop_pipeline
+    from tests.fixtures import raw, shop_pipeline
 
+    where = str(tmp_path)
+    name = "between_dim_sellers_one_star_rate"
     pipe = shop_pipeline(spark)
-    written = dq.store_failures(pipe, spark, warehouse=str(tmp_path))
-    assert "between_dim_sellers_one_star_rate" in written
-    stored = spark.read.parquet(written["between_dim_sellers_one_star_rate"])
+    results = pipe.check(spark, kind="between", store_failures=True, warehouse=where)
+    assert {r.test for r in results} == {"between"} and len(results) == 30
+    stored = spark.read.parquet(f"{where}/audit/{name}")
     assert rows(stored, "seller_id", "one_star_rate") == [("s1", 2.0)]
-    assert all(not name.startswith("unique_") for name in written)
-    report = Pipeline(dict(pipe.raw)).check(spark, kind="not_null")
-    assert report.count() == 54
+    assert not (tmp_path / "audit" / "unique_dim_sellers_seller_id").exists()  # other kinds not run
+    tables = dict(pipe.raw)
+    tables["order_reviews"] = raw(spark, "order_reviews", [])
+    Pipeline(tables).check(spark, kind="between", store_failures=True, warehouse=where)
+    assert spark.read.parquet(f"{where}/audit/{name}").count() == 0
+
+
+def test_checks_on_built_tables(spark, tmp_path):
+    from agora.plans.pipeline import Pipeline
+    from tests.fixtures import shop_pipeline
+
+    pipe = shop_pipeline(spark)
+    written = pipe.build(spark, warehouse=str(tmp_path))
+    bad = spark.read.parquet(written["fct_orders"]).withColumn("item_count", F.lit(0).cast("bigint"))
+    rows_in = bad.collect()
+    spark.createDataFrame(rows_in, bad.schema).write.mode("overwrite").parquet(written["fct_orders"])
+    again = Pipeline(dict(pipe.raw))
+    again.use_built(spark, warehouse=str(tmp_path))
+    found = {r.test: r.failures for r in again.check(spark, kind="delivered_without_items")}
+    assert found == {"delivered_without_items": 2}     # the written rows, not a rebuild
+
+
+def test_row_level_checks_expand_nothing(spark, table):
+    checks = [dq.Check("t", c, "accepted_values", values=v)
+              for c, v in (("k", (1, 2)), ("s", ("a",)), ("n", (0, 3)))]
+    report = dq.report(checks, lambda check, name: table)
+    assert "Expand" not in report._jdf.queryExecution().executedPlan().toString()
+    assert {r.column_name: r.failures for r in report.collect()} == {"k": 1, "s": 2, "n": 2}
 
 
 def test_severity_override_and_raise(shop):
-    report = dq.run_checks(shop, kind="between",
-                           severity={"dim_sellers": "error", "mart_seller_health": "error"})
-    sev = {(r.model, r.column_name): (r.severity, r.status) for r in report.collect()}
+    results = dq.run_checks(shop, kind="between", severity={
+        "dim_sellers": "error", "mart_seller_health": "error"}).collect()
+    sev = {(r.model, r.column_name): (r.severity, r.status) for r in results}
     assert sev[("dim_sellers", "one_star_rate")] == ("error", "error")
     assert sev[("fct_orders", "gross_order_value")] == ("warn", "pass")
     with pytest.raises(dq.DataQualityError, match="one_star_rate"):
-        dq.raise_on_error(report)
-    assert dq.raise_on_error(dq.run_checks(shop, kind="unique", severity="error")).count() == 14
+        dq.raise_on_error(results)
+    fine = dq.run_checks(shop, kind="unique", severity="error").collect()
+    assert len(dq.raise_on_error(fine)) == 14

@@ -39,3 +39,37 @@ def test_hot_product_join_is_split(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
     assert "isSkewJoin=true" in plan or "skew=true" in plan
     assert got == want
+
+
+def _shuffles(df) -> int:
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("Initial Plan")[-1].count("Exchange hashpartitioning")
+
+
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
+def test_order_grain_shuffles_each_table_once(spark):
+    with conf(spark, **NO_BROADCAST):
+        df = from_testdata(spark, SF).int_orders_enriched
+        assert _shuffles(df) <= 4          # orders, items, payments, reviews
+        scans = df._jdf.queryExecution().executedPlan().toString().count("/lineitem.parquet")
+        assert scans == 1
+
+
+def test_hot_customer_is_one_row_before_the_join(spark):
+    raw = dict(from_testdata(spark, SF).raw)
+    hot = F.col("order_id") % 3 == 0
+    raw["orders"] = raw["orders"].withColumn(
+        "customer_id", F.when(hot, F.lit(7).cast("bigint")).otherwise(F.col("customer_id")))
+    pipe = Pipeline(raw)
+    got = {r.customer_unique_id: r for r in pipe.int_customer_order_history.collect()}
+    kept = pipe.int_orders_enriched.where("order_status NOT IN ('canceled', 'unavailable')")
+    of_seven = kept.where("customer_id IN (6, 7)").agg(
+        F.count("order_id"), F.sum("gross_order_value"), F.avg("review_score")).first()
+    assert (got[6].total_orders, got[6].lifetime_value, got[6].avg_review_score) == tuple(of_seven)
+    with conf(spark, **NO_BROADCAST):      # default skew ratios: nothing depends on a split
+        plan = Pipeline(raw).int_customer_order_history._jdf.queryExecution().executedPlan().toString()
+    join = plan.index("SortMergeJoin")
+    assert "HashAggregate(keys=[customer_id" in plan[join:]    # aggregated below the join
