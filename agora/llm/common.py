@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,24 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_to_unique(many: DataFrame, one: DataFrame, on: list[str], weight: str, spread: Column,
+                   how: str = "inner", salts: int = 16, hot: int = 1000) -> DataFrame:
+    """``many`` joined to ``one``, which is unique on the columns ``on`` and is read twice.
+
+    ``weight`` counts a key's rows in ``many``. Keys with at least 1/``hot`` of
+    the total weight (so at most ``hot`` of them, which are broadcast) are
+    salted by ``spread``, a hash over ``many``; ``weight`` is dropped.
+    """
+    total = one.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * hot >= max(total, hot)
+    salted = one.withColumn("_salt", F.explode(F.when(
+        is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    keys = salted.filter(F.col("_salt") == 1).select(*on, F.lit(True).alias("_hot"))
+    salt = F.when(F.col("_hot"), F.pmod(spread, F.lit(salts)).cast("int")).otherwise(0)
+    return (many.join(F.broadcast(keys), on, "left").withColumn("_salt", salt).drop("_hot")
+            .join(salted.drop(weight), [*on, "_salt"], how).drop("_salt"))
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]],
                 schema: pa.Schema, ddl: str) -> DataFrame:
     """``mapInArrow`` over columns as Python lists.
@@ -56,6 +75,43 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]],
     return df.mapInArrow(run, ddl)
 
 
+# Base of the word hash, a random table of byte values, their seed.
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[32, 9, 10, 11, 12, 13]] = True
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (runs without ASCII white space) and the words of each text.
+
+    A word's hash is a polynomial over the random values of its bytes, from
+    prefix sums over all texts at once, then mixed with its length.
+    """
+    sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+    data = np.frombuffer(b"\n".join([*texts, b""]), dtype=np.uint8)
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
+    white = _WHITE[data]
+    edge = np.flatnonzero(white[1:] != white[:-1]) + 1
+    if not white[0]:
+        edge = np.concatenate(([0], edge))
+    starts, ends = edge[0::2], edge[1::2]           # the data ends with white space
+    lengths = (ends - starts).astype(np.uint64)
+    power = np.full(len(data), _BASE, dtype=np.uint64)
+    power[0] = 1
+    power = np.cumprod(power)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * power)))
+    # divided by the power at its start, a word's sum does not depend on its place
+    inverse = np.full(len(data), pow(int(_BASE), -1, 2**64), dtype=np.uint64)
+    inverse[0] = 1
+    h = (sums[ends] - sums[starts]) * np.cumprod(inverse)[starts]
+    h = (h ^ (h >> np.uint64(32)) ^ lengths) * np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    bounds = np.cumsum(sizes + 1)
+    return h, np.diff(np.searchsorted(starts, bounds), prepend=0)
+
+
 class Memo(dict):
     """Values of a pure function, two generations deep and bounded.
 
