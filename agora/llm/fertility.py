@@ -102,20 +102,42 @@ class Measure:
         self.fallback = np.array([self.pieces.is_byte(i) for i in range(n)])
         self.symbol = np.array([not any(c.isalnum() for c in self.pieces.id_to_piece(i))
                                 for i in range(n)]) & ~self.fallback
+        self.starts = np.array([self.pieces.id_to_piece(i).startswith("\u2581") for i in range(n)])
+        self.spaced = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
         self.bytes_of = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=dict(ranks),
                                           special_tokens={})
         self.limit = n
         self.scripts: list[str] = []
         self.memo = Memo(lambda word: self.learn([word])[0], MEMO_ENTRIES)
 
+    def piece_ids(self, words: list[str]) -> list[list[int]]:
+        """Piece ids of each word, from one call: a word's first piece alone starts with the mark."""
+        ids = np.array(self.pieces.encode(" ".join(words)), dtype=np.intc)
+        at = np.flatnonzero(self.starts[ids]) if len(ids) else ids
+        if len(at) != len(words) or len(at) and at[0]:      # a word that normalises to none or two
+            return self.pieces.encode(words, num_threads=1)
+        ids, ends = ids.tolist(), [*at[1:].tolist(), len(ids)]
+        return [ids[i:j] for i, j in zip(at.tolist(), ends)]
+
+    def byte_counts(self, words: list[str]) -> list[int]:
+        """Byte-level tokens of each word after a space; only a word's first token has the space."""
+        ids = self.bytes_of.encode_ordinary("".join(" " + w for w in words))
+        at = np.flatnonzero(self.spaced[ids]) if ids else np.zeros(0, int)
+        if len(at) != len(words) or len(at) and at[0]:
+            return [len(self.bytes_of.encode_ordinary(" " + w)) for w in words]
+        return np.diff(np.append(at, len(ids))).tolist()
+
     def learn(self, words: list[str]) -> list[bytes]:
         """A word's piece ids, then limit + its byte-level tokens, then -1 - its script's number."""
         out = []
-        for word, ids in zip(words, self.pieces.encode(words, num_threads=1)):
+        if not words:
+            return out
+        for word, ids, n in zip(words, self.piece_ids(words), self.byte_counts(words)):
             script = script_of(word)
             if script not in self.scripts:
                 self.scripts.append(script)
-            ids.append(self.limit + len(self.bytes_of.encode_ordinary(" " + word)))
+            ids.append(self.limit + n)
             ids.append(-1 - self.scripts.index(script))
             out.append(array("i", ids).tobytes())
         return out

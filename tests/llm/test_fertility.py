@@ -40,6 +40,21 @@ def test_base_measures(text):
     assert fertility.duplicate_lines(text) == dups
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(min_size=1, max_size=8).filter(lambda w: len(w.encode().split()) == 1
+                                                       and not w.encode()[:1].isspace()
+                                                       and not w.encode()[-1:].isspace()), max_size=8))
+def test_words_encoded_together_as_alone(model, words):
+    m = fertility.Measure(*MODELS.setdefault(0, model), public_tokenizers.PATTERN) \
+        if 1 not in MODELS else MODELS[1]
+    MODELS[1] = m
+    assert m.piece_ids(words) == [m.pieces.encode(w) for w in words]
+    assert m.byte_counts(words) == [len(m.bytes_of.encode_ordinary(" " + w)) for w in words]
+
+
+MODELS: dict = {}
+
+
 def prose(rng, n=120):
     vocab = ["the", "house", "of", "water", "small", "garden", "people", "under", "light",
              "morning", "river", "stone", "and", "walks", "again", "quiet", "letter", "winter"]
