@@ -5,10 +5,13 @@ difference D(x, y) <= (1 - t) / (1 + t) * (|x| + |y|) =: lim(x) + lim(y).
 
 1. Equal sets are one class with a multiplicity.
 2. Inverted lists hold each class's prefix only (rare shingles first, by
-   counts of repeated shingles); two linked classes share a prefix shingle
-   whose positions i, j satisfy i + j <= lim(x) + lim(y). Lists are cut into
-   blocks by set size and position, and blocks that cannot hold such a pair
-   are skipped without reading their entries.
+   counts of repeated shingles), long enough for two linked classes to share
+   SHARED of its shingles (all, of smaller sets). A class leaves out of the
+   lists up to OMIT of its shingles with long lists; what two linked classes
+   still share first stands at positions i, j with i + j <= lim(x) + lim(y) +
+   2 (shingles left out by x and y). Lists are cut into blocks by set size and
+   position, and blocks that cannot hold such a pair are skipped without
+   reading their entries.
 3. D is a metric, so answers are derived from a similar set's answers. A class
    y with D(p, y) <= lim(y) follows its leader p: all followers of one leader
    link with each other, unseen. For leaders p, q the known D(p, q), D(p, y),
@@ -26,27 +29,27 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agora.llm.common import Memo, durable, id_text
+from agora.llm.common import durable, id_text, join_to_unique, word_hashes
 from agora.llm.components import components
 
-MEMO_ENTRIES = 300_000
 SALTS = 8
 HOT_LEAST, HOT_ENTRIES = 32, 262_144     # documents of a frequent shingle; entries of their list
 BITMAP_BITS = 1 << 23
+SHARED = 8                               # prefix shingles that linked sets have in common
+OMIT, LONG = 3, 12                       # shingles a class may leave out, length of a long list
+KEYS, AGREE = 3, 4                       # minimum hashes that find leaders, and those that must agree
 # Odd multipliers of the shingle hash and of the minimum hashes.
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_MIN = tuple(np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93))
+_MIN = tuple(np.uint64(m) for m in (
+    0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
+    0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D))
 
 
 # ---------------------------------------------------------------- sets
 
-def _word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
 def shingles(words: np.ndarray, n: int) -> np.ndarray:
     """Sorted distinct hashes of the n-word shingles of word hashes; fewer words are one shingle."""
     if not len(words):
@@ -59,13 +62,20 @@ def shingles(words: np.ndarray, n: int) -> np.ndarray:
     return np.unique(h.view(np.int64))
 
 
-def _each_set(batch: pa.RecordBatch, memo: Memo, n: int):
+def _each_set(batch: pa.RecordBatch, n: int):
+    """The shingle set of every text, hashed about 1 MB of text at a time."""
     texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-    for text in texts:
-        memo.rest()
-        words = text.encode("utf-8").lower().split()
-        yield shingles(np.fromiter(map(memo.__getitem__, words), dtype=np.uint64,
-                                   count=len(words)), n)
+    part, size = [], 0
+    for i, text in enumerate(texts):
+        part.append(text.encode("utf-8").lower())
+        size += len(part[-1])
+        if size > 1_000_000 or i == len(texts) - 1:
+            words, counts = word_hashes(part)
+            at = 0
+            for c in counts.tolist():
+                yield shingles(words[at:at + c], n)
+                at += c
+            part, size = [], 0
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -85,9 +95,9 @@ def repeated_shingles(rows: DataFrame, n: int) -> np.ndarray:
     orders prefixes: any list gives the same links.
     """
     def run(batches):
-        memo, held, size = Memo(_word_hash, MEMO_ENTRIES), [], 0
+        held, size = [], 0
         for batch in batches:
-            for s in _each_set(batch, memo, n):
+            for s in _each_set(batch, n):
                 held.append(s)
                 size += len(s)
                 if size > 4_000_000:
@@ -109,39 +119,47 @@ def repeated_shingles(rows: DataFrame, n: int) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, hot: np.ndarray, n: int, t: int) -> DataFrame:
-    """doc_id, size, digest, prefix (rare shingles first) and minimum hashes of every set."""
+    """doc_id, row, size, digest, rare (its shingles outside ``hot``), prefix (those first) and
+    minimum hashes of every set."""
     shared = rows.sparkSession.sparkContext.broadcast(hot)
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("size", pa.int64()),
-                        ("digest", pa.binary()), ("prefix", pa.list_(pa.int64())), ("low", pa.list_(pa.int64()))])
+                        ("digest", pa.binary()), ("rare", pa.int64()),
+                        ("prefix", pa.list_(pa.int64())), ("low", pa.list_(pa.int64()))])
 
     def run(batches):
-        memo, frequent = Memo(_word_hash, MEMO_ENTRIES), shared.value
+        frequent = shared.value
         for batch in batches:
-            size, digest, prefix, low = [], [], [], []
-            for s in _each_set(batch, memo, n):
+            size, digest, rare, prefix, low = [], [], [], [], []
+            for s in _each_set(batch, n):
                 size.append(len(s))
                 digest.append(_digest(s))
-                first = len(s) - -(-t * len(s) // 100) + 1 if len(s) else 0
-                if len(frequent):
+                least = -(-t * len(s) // 100)          # shingles a linked set has in common
+                first = len(s) - least + min(SHARED, least)
+                u = s.view(np.uint64)
+                rare.append(len(s))
+                if len(frequent) and len(s):
                     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    s = s[np.argsort(frequent[at] == s, kind="stable")]
+                    often = frequent[at] == s
+                    rare[-1] = len(s) - int(often.sum())
+                    s = np.concatenate((s[~often], s[often]))
                 prefix.append(s[:first])
-                u = s.view(np.uint64)
                 low.append(np.array([(u * m).min() for m in _MIN], dtype=np.uint64).view(np.int64)
                            if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(size, pa.int64()), pa.array(digest, pa.binary()), _lists(prefix),
-                 _lists(low)], schema=schema)
+                [*batch.columns[:2], pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
+                 pa.array(rare, pa.int64()), _lists(prefix), _lists(low)], schema=schema)
     return rows.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
-        run, "doc_id long, row long, size long, digest binary, prefix array<long>, low array<long>")
+        run, "doc_id long, row long, size long, digest binary, rare long, prefix array<long>, "
+        "low array<long>")
 
 
-def whole_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(digest, tokens) of the sets whose digest is in ``wanted``.
+def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) -> DataFrame:
+    """(c, tokens): the whole sets of the classes ``some`` (c), written once.
 
     A bitmap of the wanted digests (fixed size) drops most others before the
     shuffle; the join drops the rest.
     """
+    wanted = durable(classes.select("digest", "c").join(some, "c", "left_semi"))
     bit = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long") % BITMAP_BITS
     words = (wanted.select(bit.alias("bit"))
              .groupBy(F.shiftright("bit", 6).alias("word"))
@@ -152,10 +170,10 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     schema = pa.schema([("digest", pa.binary()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches):
-        memo, table, sent = Memo(_word_hash, MEMO_ENTRIES), shared.value, set()
+        table, sent = shared.value, set()
         for batch in batches:
             digests, sets = [], []
-            for s in _each_set(batch, memo, n):
+            for s in _each_set(batch, n):
                 digest = _digest(s)
                 b = _bit(digest)
                 if table[b >> 6] >> (b & 63) & 1 and digest not in sent:
@@ -164,9 +182,9 @@ def whole_sets(rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     sets.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), _lists(sets)],
                                              schema=schema)
-    return (rows.select("text").mapInArrow(run, "digest binary, tokens array<long>")
-            .groupBy("digest").agg(F.first("tokens").alias("tokens"))
-            .join(wanted, "digest", "left_semi"))
+    found = (rows.select("text").mapInArrow(run, "digest binary, tokens array<long>")
+             .groupBy("digest").agg(F.first("tokens").alias("tokens")))
+    return durable(found.join(wanted, "digest").select("c", "tokens"))
 
 
 def _bit(digest: bytes) -> int:
@@ -201,45 +219,77 @@ def _difference(pairs: DataFrame, sets: DataFrame, a: str, b: str, out: str) ->
                            ).drop("_l", "_r")
 
 
-def leaders(classes: DataFrame, sets: DataFrame, limit: _Limit) -> DataFrame:
+def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int) -> DataFrame:
     """(c, size, copies, leader, far): every class's leader, and D to it.
 
-    In each round the classes with the same minimum hash compare themselves
-    with one of them, which has most followers so far.
+    Of the classes that share one of its first minimum hashes and agree in most
+    of all of them, a class aims at the first; a class that aims at none is a
+    leader. Each class is compared with one leader, the one it aims at or that
+    class's own, and follows it if D is small enough.
     """
-    state = durable(classes.select("c", "size", "copies", "low", F.col("c").alias("leader"),
-                                   F.lit(0).cast("long").alias("far")))
-    for r in range(len(_MIN)):
-        heads = state.filter("leader = c").join(
-            state.filter("leader <> c").groupBy("leader").agg(F.count("*").alias("following"))
-            .withColumnRenamed("leader", "c"), "c", "left")
-        heads = heads.select("c", "size", F.element_at("low", r + 1).alias("key"),
-                             F.coalesce("following", F.lit(0)).alias("following"))
-        pivots = (heads.groupBy("key").agg(
-            F.max(F.struct("following", (-F.col("c")).alias("first"))).alias("top"),
-            F.count("*").alias("n")).filter("n > 1")
-            .select("key", (-F.col("top.first")).alias("pivot")))
-        tries = (heads.filter("following = 0").withColumn("salt", _salt("c"))
-                 .join(_spread(pivots), ["key", "salt"]).filter("c <> pivot")
-                 .select("c", "size", "pivot"))
-        joined = (_difference(tries, sets, "pivot", "c", "far")
-                  .filter(limit.far * F.col("far") <= limit.near * F.col("size"))
-                  .select("c", F.col("pivot").alias("to"), F.col("far").alias("to_far")))
-        state = durable(state.join(joined, "c", "left").select(
-            "c", "size", "copies", "low", F.coalesce("to", "leader").alias("leader"),
-            F.coalesce("to_far", "far").alias("far")))
-    return state.drop("low")
-
-
-def candidates(postings: DataFrame, state: DataFrame, limit: _Limit, t: int) -> DataFrame:
+    low = classes.select("c", "low")
+    keyed = low.select("c", F.posexplode("low").alias("r", "key")).filter(F.col("r") < KEYS)
+    pivots = (keyed.groupBy("r", "key").agg(F.min("c").alias("to"), F.count("*").alias("n"))
+              .filter("n > 1").drop("n"))
+    aims = (keyed.withColumn("salt", _salt("c")).join(_spread(pivots), ["r", "key", "salt"])
+            .filter("to < c").select("c", "to").distinct())
+    aims = durable(_agreeing(aims, low).groupBy("c").agg(F.min("to").alias("to")))
+    over = aims.select(F.col("c").alias("to"), F.col("to").alias("top"))
+    tries = aims.join(over, "to", "left").select("c", F.coalesce("top", "to").alias("to"))
+    lead = tries.select("to").distinct().join(aims.select(F.col("c").alias("to")), "to", "left_anti")
+    tries = durable(_agreeing(tries.join(lead, "to"), low))
+    sets = whole_sets(rows, classes, tries.select("c").union(tries.select("to")).distinct(), words)
+    close = (_difference(tries, sets, "to", "c", "far")
+             .join(classes.select("c", "size"), "c")
+             .filter(limit.far * F.col("far") <= limit.near * F.col("size"))
+             .select("c", "to", "far"))
+    return durable(classes.select("c", "size", "copies").join(close, "c", "left").select(
+        "c", "size", "copies", F.coalesce("to", "c").alias("leader"),
+        F.coalesce("far", F.lit(0)).cast("long").alias("far")))
+
+
+def _agreeing(pairs: DataFrame, low: DataFrame) -> DataFrame:
+    """(c, to) pairs of which at least AGREE minimum hashes are equal."""
+    both = pairs.join(low.withColumnRenamed("low", "_c"), "c").join(
+        low.select(F.col("c").alias("to"), F.col("low").alias("_t")), "to")
+    same = F.zip_with("_c", "_t", lambda x, y: (x == y).cast("int"))
+    return both.filter(F.aggregate(same, F.lit(0), lambda n, x: n + x) >= AGREE).select("c", "to")
+
+
+def common_entries(classes: DataFrame) -> DataFrame:
+    """(c, token, pos, n) of the prefix shingles that n >= 2 classes hold, written once."""
+    entries = classes.select("c", F.posexplode("prefix").alias("pos", "token"))
+    common = durable(entries.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
+    both = join_to_unique(entries, common.withColumn("list", F.col("n")), ["token"], "n",
+                          F.xxhash64("c"))
+    return durable(both.select("c", "token", "pos", F.col("list").alias("n")))
+
+
+def listed(entries: DataFrame, classes: DataFrame, t: int) -> DataFrame:
+    """(c, token, size, pos): the inverted lists' entries; pos is less by twice what c leaves out."""
+    entries = entries.join(classes.select("c", "size", "rare"), "c")
+    # a set can spare some if all it may link with share SHARED shingles with it
+    enough = F.col("size") * t * t >= SHARED * 10_000
+    spare = (F.col("n") >= LONG) & (F.col("pos") < F.col("rare")) & enough
+    by_length = Window.partitionBy("c").orderBy(F.desc("spare"), F.desc("n"), "token")
+    ranked = (entries.withColumn("spare", spare)
+              .withColumn("out", (F.row_number().over(by_length) <= OMIT) & F.col("spare"))
+              .withColumn("left_out", F.count(F.when(F.col("out"), 1))
+                          .over(Window.partitionBy("c"))))
+    return ranked.filter(~F.col("out")).select(
+        "c", "token", "size", (F.col("pos") - 2 * F.col("left_out")).alias("pos"))
+
+
+def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> DataFrame:
     """Distinct leader pairs (p < q) some of whose classes may link, from blocks of inverted lists."""
-    entries = (postings.join(state.select("c", "leader"), "c")
+    common = common_entries(classes)
+    entries = (listed(common, classes, t).join(state.select("c", "leader"), "c")
                .groupBy("token", "leader")
                .agg(F.min("pos").alias("pos"), F.min("size").alias("least"),
                     F.max("size").alias("most")))
     # blocks of a list: by size (a band is one factor of t) and by position
     band = F.floor(F.log("least") / np.log(100 / t)).cast("long")
-    block = F.floor(F.log2(F.col("pos") + 1)).cast("int")
+    block = F.floor(F.log2(F.greatest("pos", F.lit(0)) + 1)).cast("int")
     lists = durable(
         entries.withColumn("band", band).withColumn("block", block)
         .groupBy("token", "band", "block", _salt("leader").alias("part"))
@@ -256,21 +306,38 @@ def candidates(postings: DataFrame, state: DataFrame, limit: _Limit, t: int) ->
                    <= limit.near * (F.col(f"{x}.most") + F.col(f"{y}.most"))))
     blocks = a.join(b, (F.col("a.token") == F.col("b.token")) & (key("a") <= key("b"))
                     & close("a", "b"))
-    pairs = (blocks.select(F.explode("a.entries").alias("x"), F.col("b.entries").alias("ys"))
-             .select("x", F.explode("ys").alias("y"))
-             .filter((F.col("x.leader") != F.col("y.leader")) & close("x", "y")))
-    return pairs.select(F.least("x.leader", "y.leader").alias("p"),
-                        F.greatest("x.leader", "y.leader").alias("q")).distinct()
-
-
-def cross_links(pairs: DataFrame, state: DataFrame, sets: DataFrame, limit: _Limit
+    # the pairs of a block, filtered as they are made
+    ys = F.filter(F.col("ys"), lambda y: (
+        F.when(F.col("same"), F.col("x.leader") < y["leader"]).otherwise(F.lit(True))
+        & (100 * F.col("x.most") >= t * y["least"]) & (100 * y["most"] >= t * F.col("x.least"))
+        & (limit.far * (F.col("x.pos") + y["pos"]) <= limit.near * (F.col("x.most") + y["most"]))))
+    pairs = (blocks.select(F.explode("a.entries").alias("x"), F.col("b.entries").alias("ys"),
+                           (key("a") == key("b")).alias("same"))
+             .select("x.leader", F.explode(ys).alias("y")))
+    pairs = durable(pairs.select(F.least("leader", "y.leader").alias("p"),
+                                 F.greatest("leader", "y.leader").alias("q")).distinct())
+    # two leaders without followers: their prefixes share enough, or they do not link
+    followed = state.filter("leader <> c").select(F.col("leader").alias("c")).distinct()
+    need = F.least(F.lit(SHARED), F.ceil(F.col("size") * t / 100))
+    alone = (common.groupBy("c").agg(F.collect_list("token").alias("held"))
+             .join(classes.select("c", need.alias("need")), "c").join(followed, "c", "left_anti"))
+    side = lambda k: alone.select(F.col("c").alias(k), F.col("held").alias(f"{k}_held"),
+                                  F.col("need").alias(f"{k}_need"))
+    both = pairs.join(side("p"), "p", "left").join(side("q"), "q", "left")
+    shared = F.size(F.array_intersect("p_held", "q_held"))
+    return both.filter(F.col("p_need").isNull() | F.col("q_need").isNull()
+                       | (shared >= F.least("p_need", "q_need"))).select("p", "q")
+
+
+def cross_links(pairs: DataFrame, state: DataFrame, fetch, limit: _Limit
                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links between groups: (p, q) edges, (leader, n) and (c, n) link counts.
 
     With a(y) = far D(p, y) - near |y| and b(y) = far D(p, y) + near |y|:
     y, z link if far D(p, q) + a(y) + a(z) <= 0, and do not if far D(p, q) >
     b(y) + b(z). The bounds are tried on whole groups, then on a class and a
-    group, then on two classes; what is still open is compared.
+    group, then on two classes; what is still open is compared. ``fetch`` gives
+    the whole sets of some classes.
     """
     members = state.select("c", "size", "copies", "leader",
                            (limit.far * F.col("far") - limit.near * F.col("size")).alias("a"),
@@ -281,6 +348,8 @@ def cross_links(pairs: DataFrame, state: DataFrame, sets: DataFrame, limit: _Lim
     def side(df: DataFrame, key: str, prefix: str) -> DataFrame:
         return df.select(F.col("leader").alias(key), *[F.col(c).alias(f"{prefix}_{c}")
                                                        for c in df.columns if c != "leader"])
+    pairs = durable(pairs)
+    sets = fetch(pairs.select(F.col("p").alias("c")).union(pairs.select("q")).distinct())
     known = _difference(pairs, sets, "p", "q", "d").withColumn("d", limit.far * F.col("d"))
     known = (known.join(side(groups, "p", "gp"), "p").join(side(groups, "q", "gq"), "q")
              .filter("d <= gp_b + gq_b"))
@@ -295,9 +364,12 @@ def cross_links(pairs: DataFrame, state: DataFrame, sets: DataFrame, limit: _Lim
             .filter("d <= y_b + z_b").withColumn("sure", F.expr("d + y_a + z_a <= 0")))
     twos = durable(twos.select("p", "q", "y_c", "y_size", "y_copies", "z_c", "z_size", "z_copies",
                                "sure"))
-    open_pairs = _difference(twos.filter("NOT sure"), sets, "y_c", "z_c", "e").filter(
-        limit.far * F.col("e") <= limit.near * (F.col("y_size") + F.col("z_size"))).drop("e")
-    single = durable(twos.filter("sure").unionByName(open_pairs))
+    single, still = twos.filter("sure"), twos.filter("NOT sure")
+    if not still.isEmpty():
+        sets = fetch(still.select(F.col("y_c").alias("c")).union(still.select("z_c")).distinct())
+        near = _difference(still, sets, "y_c", "z_c", "e").filter(
+            limit.far * F.col("e") <= limit.near * (F.col("y_size") + F.col("z_size"))).drop("e")
+        single = durable(single.unionByName(near))
     edges = (whole.select("p", "q").unionByName(every.select("p", "q"))
              .unionByName(single.select("p", "q")).distinct())
     by_leader = (whole.select(F.col("p").alias("leader"), F.col("gq_copies").alias("n"))
@@ -328,24 +400,18 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
 def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
     """``join``'s columns, ``row`` (hash of the text) and ``root``: the component's class."""
     limit = _Limit(percent)
-    signed = durable(signatures(rows, repeated_shingles(rows, words), words, percent))
+    signed = signatures(rows, repeated_shingles(rows, words), words, percent)
     classes = durable(signed.filter("size > 0").groupBy("digest").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("least_id"),
-        F.first("size").alias("size"), F.first("prefix").alias("prefix"),
+        F.first("size").alias("size"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"),
         F.first("low").alias("low")))
     classes = classes.withColumn("c", F.monotonically_increasing_id())   # fixed by the checkpoint
-    postings = classes.select("c", "size", F.posexplode("prefix").alias("pos", "token"))
-    common = postings.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    postings = durable(postings.withColumn("salt", _salt("c")).join(_spread(common), ["token", "salt"])
-                       .drop("salt"))
-    near = durable(classes.join(postings.select("c").distinct(), "c", "left_semi").drop("prefix"))
-    sets = durable(whole_sets(rows, near.select("digest"), words)
-                   .join(near.select("digest", "c"), "digest").select("c", "tokens"))
-    state = leaders(near, sets, limit)
+    state = leaders(rows, classes, limit, words)
     edges, by_leader, by_class = cross_links(
-        candidates(postings, state, limit, percent), state, sets, limit)
+        candidates(classes, state, limit, percent), state,
+        lambda some: whole_sets(rows, classes, some, words), limit)
     roots = components(edges.select(F.col("p").alias("u"), F.col("q").alias("v")))
-    grouped = (state.join(near.select("c", "least_id"), "c")
+    grouped = (state.join(classes.select("c", "least_id"), "c")
                .groupBy("leader").agg(F.sum("copies").alias("group_copies"),
                                       F.min("least_id").alias("least_id"))
                .join(roots.withColumnRenamed("node", "leader"), "leader", "left")
@@ -358,15 +424,16 @@ def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
               .select("c", "root", F.col("component_id").alias("far_id"),
                       (F.col("links") + F.coalesce("n", F.lit(0))).alias("far_links")))
     answer = (classes.select("digest", "c", "copies", "least_id").join(linked, "c", "left")
-              .select("digest", F.coalesce("root", "c").alias("root"), F.coalesce("far_id", "least_id").alias("component_id"),
+              .select("digest", "copies", F.coalesce("root", "c").alias("root"), F.coalesce("far_id", "least_id").alias("component_id"),
                       F.coalesce("far_links", F.col("copies") - 1).alias("n_links")))
-    # one class may be a third of all rows: salted
-    return (signed.select("doc_id", "row", "size", "digest", _salt("doc_id").alias("salt"))
-            .join(_spread(answer), ["digest", "salt"], "left")
-            .select("doc_id", F.col("size").alias("n_shingles"),
-                    F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-                    .alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                    "row", "root"))
+    # the sets' digests are made again: cheaper than keeping the prefixes for it
+    members = signed.select("doc_id", "row", "size", "digest")
+    whole = join_to_unique(members, durable(answer), ["digest"], "copies",
+                           F.xxhash64("doc_id", "row"), how="left")
+    return whole.select(
+        "doc_id", F.col("size").alias("n_shingles"),
+        F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+        .alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), "row", "root")
 
 
 def representatives(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id",

@@ -83,6 +83,29 @@ def test_frequent_list_does_not_change_links(spark, monkeypatch):
                   for r in got) == brute(rows, 85)
 
 
+def test_word_hashes():
+    from agora.llm.common import word_hashes
+
+    rng = random.Random(8)
+    vocab = ["a", "b", "ab", "ba", "aa", "aaa", "é", "w" * 300, "\x00", "\x00\x00"]
+    texts = [" ".join(rng.choice(vocab) + rng.choice(["", "\t", "\n \r"])
+                      for _ in range(rng.randint(0, 30))) for _ in range(200)] + ["", " \n"]
+    hashes, counts = word_hashes([t.encode() for t in texts])
+    words = [w for t in texts for w in t.encode().split()]
+    assert counts.tolist() == [len(t.encode().split()) for t in texts]
+    assert len(set(zip(words, hashes.tolist()))) == len(set(words)) == len(set(hashes.tolist()))
+    assert word_hashes([])[1].tolist() == [] and word_hashes([b""])[1].tolist() == [0]
+
+
+def test_long_lists_are_left_out_with_the_same_result(spark, monkeypatch):
+    rows = corpus(6)
+    monkeypatch.setattr(ngram_join, "LONG", 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.join(df, percent=75).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links)
+                  for r in got) == brute(rows, 75)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.join(df).count() == 0
