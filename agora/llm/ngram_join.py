@@ -43,27 +43,26 @@ OMIT, LONG = 3, 12                       # shingles a class may leave out, lengt
 KEYS, AGREE = 3, 4                       # minimum hashes that find leaders, and those that must agree
 # Odd multipliers of the shingle hash and of the minimum hashes.
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_MIN = tuple(np.uint64(m) for m in (
-    0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
-    0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D))
+_MIN = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
+                 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D], dtype=np.uint64)
 
 
 # ---------------------------------------------------------------- sets
 
-def shingles(words: np.ndarray, n: int) -> np.ndarray:
-    """Sorted distinct hashes of the n-word shingles of word hashes; fewer words are one shingle."""
-    if not len(words):
-        return np.zeros(0, dtype=np.int64)
-    k = min(n, len(words))
-    h = np.full(len(words) - k + 1, k, dtype=np.uint64)
-    for i in range(k):
+def _mixed(words: np.ndarray, k: int) -> np.ndarray:
+    """Hash of every run of k word hashes."""
+    h = np.full(max(0, len(words) - k + 1), k, dtype=np.uint64)
+    for i in range(k if len(h) else 0):
         h = (h ^ words[i:len(words) - k + 1 + i]) * _MULT
         h ^= h >> np.uint64(29)
-    return np.unique(h.view(np.int64))
+    return h.view(np.int64)
 
 
 def _each_set(batch: pa.RecordBatch, n: int):
-    """The shingle set of every text, hashed about 1 MB of text at a time."""
+    """Sorted distinct hashes of every text's n-word shingles, hashed about 1 MB of text at a time.
+
+    Fewer words than n are one shingle.
+    """
     texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
     part, size = [], 0
     for i, text in enumerate(texts):
@@ -71,9 +70,11 @@ def _each_set(batch: pa.RecordBatch, n: int):
         size += len(part[-1])
         if size > 1_000_000 or i == len(texts) - 1:
             words, counts = word_hashes(part)
+            every = _mixed(words, n)
             at = 0
             for c in counts.tolist():
-                yield shingles(words[at:at + c], n)
+                yield (np.unique(every[at:at + c - n + 1]) if c >= n
+                       else _mixed(words[at:at + c], c) if c else every[:0])
                 at += c
             part, size = [], 0
 
@@ -143,8 +144,8 @@ def signatures(rows: DataFrame, hot: np.ndarray, n: int, t: int) -> DataFrame:
                     rare[-1] = len(s) - int(often.sum())
                     s = np.concatenate((s[~often], s[often]))
                 prefix.append(s[:first])
-                low.append(np.array([(u * m).min() for m in _MIN], dtype=np.uint64).view(np.int64)
-                           if len(s) else np.zeros(0, np.int64))
+                low.append((u[:, None] * _MIN).min(axis=0).view(np.int64) if len(s)
+                           else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
                  pa.array(rare, pa.int64()), _lists(prefix), _lists(low)], schema=schema)
@@ -153,6 +154,21 @@ def signatures(rows: DataFrame, hot: np.ndarray, n: int, t: int) -> DataFrame:
         "low array<long>")
 
 
+def digests(rows: DataFrame, n: int) -> DataFrame:
+    """doc_id, row, size and digest of every set."""
+    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("size", pa.int64()),
+                        ("digest", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            found = [(len(s), _digest(s)) for s in _each_set(batch, n)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array([k for k, _ in found], pa.int64()),
+                 pa.array([d for _, d in found], pa.binary())], schema=schema)
+    return rows.select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(
+        run, "doc_id long, row long, size long, digest binary")
+
+
 def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) -> DataFrame:
     """(c, tokens): the whole sets of the classes ``some`` (c), written once.
 
@@ -219,23 +235,29 @@ def _difference(pairs: DataFrame, sets: DataFrame, a: str, b: str, out: str) ->
                            ).drop("_l", "_r")
 
 
-def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int) -> DataFrame:
-    """(c, size, copies, leader, far): every class's leader, and D to it.
+def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int
+            ) -> tuple[DataFrame, DataFrame]:
+    """(c, size, copies, leader, far): every class's leader, and D to it; and the sets compared.
 
     Of the classes that share one of its first minimum hashes and agree in most
-    of all of them, a class aims at the first; a class that aims at none is a
-    leader. Each class is compared with one leader, the one it aims at or that
+    of all of them, a class aims at the one with fewest rare shingles (the text
+    the others are copies of has none of their edits; ties: the first); a class
+    that aims at none is a leader. Each class is compared with one leader, the one it aims at or that
     class's own, and follows it if D is small enough.
     """
     low = classes.select("c", "low")
-    keyed = low.select("c", F.posexplode("low").alias("r", "key")).filter(F.col("r") < KEYS)
-    pivots = (keyed.groupBy("r", "key").agg(F.min("c").alias("to"), F.count("*").alias("n"))
+    keyed = classes.select(F.struct("rare", "c").alias("me"),
+                           F.posexplode("low").alias("r", "key")).filter(F.col("r") < KEYS)
+    pivots = (keyed.groupBy("r", "key").agg(F.min("me").alias("top"), F.count("*").alias("n"))
               .filter("n > 1").drop("n"))
-    aims = (keyed.withColumn("salt", _salt("c")).join(_spread(pivots), ["r", "key", "salt"])
-            .filter("to < c").select("c", "to").distinct())
-    aims = durable(_agreeing(aims, low).groupBy("c").agg(F.min("to").alias("to")))
+    aims = (keyed.withColumn("salt", _salt("me")).join(_spread(pivots), ["r", "key", "salt"])
+            .filter("top < me").select(F.col("me.c").alias("c"), F.col("top.c").alias("to"),
+                                       F.col("top.rare").alias("rare")).distinct())
+    aims = durable(_agreeing(aims, low).groupBy("c").agg(F.min(F.struct("rare", "to")).alias("top"))
+                   .select("c", F.col("top.to").alias("to")))
     over = aims.select(F.col("c").alias("to"), F.col("to").alias("top"))
     tries = aims.join(over, "to", "left").select("c", F.coalesce("top", "to").alias("to"))
+    # a class aimed at may itself aim elsewhere: only those that do not are leaders
     lead = tries.select("to").distinct().join(aims.select(F.col("c").alias("to")), "to", "left_anti")
     tries = durable(_agreeing(tries.join(lead, "to"), low))
     sets = whole_sets(rows, classes, tries.select("c").union(tries.select("to")).distinct(), words)
@@ -245,15 +267,17 @@ def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int) -> D
              .select("c", "to", "far"))
     return durable(classes.select("c", "size", "copies").join(close, "c", "left").select(
         "c", "size", "copies", F.coalesce("to", "c").alias("leader"),
-        F.coalesce("far", F.lit(0)).cast("long").alias("far")))
+        F.coalesce("far", F.lit(0)).cast("long").alias("far"))), sets
 
 
 def _agreeing(pairs: DataFrame, low: DataFrame) -> DataFrame:
-    """(c, to) pairs of which at least AGREE minimum hashes are equal."""
+    """The (c, to) pairs of which at least AGREE minimum hashes are equal."""
+    columns = pairs.columns
     both = pairs.join(low.withColumnRenamed("low", "_c"), "c").join(
         low.select(F.col("c").alias("to"), F.col("low").alias("_t")), "to")
     same = F.zip_with("_c", "_t", lambda x, y: (x == y).cast("int"))
-    return both.filter(F.aggregate(same, F.lit(0), lambda n, x: n + x) >= AGREE).select("c", "to")
+    return both.filter(F.aggregate(same, F.lit(0), lambda n, x: n + x) >= AGREE).select(
+        *columns)
 
 
 def common_entries(classes: DataFrame) -> DataFrame:
@@ -266,7 +290,10 @@ def common_entries(classes: DataFrame) -> DataFrame:
 
 
 def listed(entries: DataFrame, classes: DataFrame, t: int) -> DataFrame:
-    """(c, token, size, pos): the inverted lists' entries; pos is less by twice what c leaves out."""
+    """(c, token, size, pos, prev): the inverted lists' entries.
+
+    pos is less by twice what c leaves out; prev is c's entry before this one.
+    """
     entries = entries.join(classes.select("c", "size", "rare"), "c")
     # a set can spare some if all it may link with share SHARED shingles with it
     enough = F.col("size") * t * t >= SHARED * 10_000
@@ -276,8 +303,10 @@ def listed(entries: DataFrame, classes: DataFrame, t: int) -> DataFrame:
               .withColumn("out", (F.row_number().over(by_length) <= OMIT) & F.col("spare"))
               .withColumn("left_out", F.count(F.when(F.col("out"), 1))
                           .over(Window.partitionBy("c"))))
+    by_place = Window.partitionBy("c").orderBy("pos")
     return ranked.filter(~F.col("out")).select(
-        "c", "token", "size", (F.col("pos") - 2 * F.col("left_out")).alias("pos"))
+        "c", "token", "size", (F.col("pos") - 2 * F.col("left_out")).alias("pos"),
+        F.lag("token").over(by_place).alias("prev"))
 
 
 def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> DataFrame:
@@ -286,14 +315,15 @@ def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> D
     entries = (listed(common, classes, t).join(state.select("c", "leader"), "c")
                .groupBy("token", "leader")
                .agg(F.min("pos").alias("pos"), F.min("size").alias("least"),
-                    F.max("size").alias("most")))
+                    F.max("size").alias("most"),
+                    F.when(F.count("*") == 1, F.min("prev")).alias("prev")))
     # blocks of a list: by size (a band is one factor of t) and by position
     band = F.floor(F.log("least") / np.log(100 / t)).cast("long")
     block = F.floor(F.log2(F.greatest("pos", F.lit(0)) + 1)).cast("int")
     lists = durable(
         entries.withColumn("band", band).withColumn("block", block)
         .groupBy("token", "band", "block", _salt("leader").alias("part"))
-        .agg(F.collect_list(F.struct("leader", "pos", "least", "most")).alias("entries"),
+        .agg(F.collect_list(F.struct("leader", "pos", "least", "most", "prev")).alias("entries"),
              F.min("pos").alias("pos"), F.min("least").alias("least"),
              F.max("most").alias("most")))
     a, b = lists.alias("a"), lists.alias("b")
@@ -306,9 +336,11 @@ def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> D
                    <= limit.near * (F.col(f"{x}.most") + F.col(f"{y}.most"))))
     blocks = a.join(b, (F.col("a.token") == F.col("b.token")) & (key("a") <= key("b"))
                     & close("a", "b"))
-    # the pairs of a block, filtered as they are made
+    # the pairs of a block, filtered as they are made; a pair that also shares the
+    # entry before is made there
     ys = F.filter(F.col("ys"), lambda y: (
         F.when(F.col("same"), F.col("x.leader") < y["leader"]).otherwise(F.lit(True))
+        & ~F.coalesce(F.col("x.prev") == y["prev"], F.lit(False))
         & (100 * F.col("x.most") >= t * y["least"]) & (100 * y["most"] >= t * F.col("x.least"))
         & (limit.far * (F.col("x.pos") + y["pos"]) <= limit.near * (F.col("x.most") + y["most"]))))
     pairs = (blocks.select(F.explode("a.entries").alias("x"), F.col("b.entries").alias("ys"),
@@ -329,7 +361,7 @@ def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> D
                        | (shared >= F.least("p_need", "q_need"))).select("p", "q")
 
 
-def cross_links(pairs: DataFrame, state: DataFrame, fetch, limit: _Limit
+def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, fetch, limit: _Limit
                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links between groups: (p, q) edges, (leader, n) and (c, n) link counts.
 
@@ -337,7 +369,7 @@ def cross_links(pairs: DataFrame, state: DataFrame, fetch, limit: _Limit
     y, z link if far D(p, q) + a(y) + a(z) <= 0, and do not if far D(p, q) >
     b(y) + b(z). The bounds are tried on whole groups, then on a class and a
     group, then on two classes; what is still open is compared. ``fetch`` gives
-    the whole sets of some classes.
+    the whole sets of some classes, ``compared`` holds those of the groups.
     """
     members = state.select("c", "size", "copies", "leader",
                            (limit.far * F.col("far") - limit.near * F.col("size")).alias("a"),
@@ -366,7 +398,8 @@ def cross_links(pairs: DataFrame, state: DataFrame, fetch, limit: _Limit
                                "sure"))
     single, still = twos.filter("sure"), twos.filter("NOT sure")
     if not still.isEmpty():
-        sets = fetch(still.select(F.col("y_c").alias("c")).union(still.select("z_c")).distinct())
+        # a class in a group was compared with its leader, one without is in ``pairs``
+        sets = sets.union(compared).groupBy("c").agg(F.first("tokens").alias("tokens"))
         near = _difference(still, sets, "y_c", "z_c", "e").filter(
             limit.far * F.col("e") <= limit.near * (F.col("y_size") + F.col("z_size"))).drop("e")
         single = durable(single.unionByName(near))
@@ -406,9 +439,9 @@ def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
         F.first("size").alias("size"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"),
         F.first("low").alias("low")))
     classes = classes.withColumn("c", F.monotonically_increasing_id())   # fixed by the checkpoint
-    state = leaders(rows, classes, limit, words)
+    state, compared = leaders(rows, classes, limit, words)
     edges, by_leader, by_class = cross_links(
-        candidates(classes, state, limit, percent), state,
+        candidates(classes, state, limit, percent), state, compared,
         lambda some: whole_sets(rows, classes, some, words), limit)
     roots = components(edges.select(F.col("p").alias("u"), F.col("q").alias("v")))
     grouped = (state.join(classes.select("c", "least_id"), "c")
@@ -427,8 +460,7 @@ def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
               .select("digest", "copies", F.coalesce("root", "c").alias("root"), F.coalesce("far_id", "least_id").alias("component_id"),
                       F.coalesce("far_links", F.col("copies") - 1).alias("n_links")))
     # the sets' digests are made again: cheaper than keeping the prefixes for it
-    members = signed.select("doc_id", "row", "size", "digest")
-    whole = join_to_unique(members, durable(answer), ["digest"], "copies",
+    whole = join_to_unique(digests(rows, words), durable(answer), ["digest"], "copies",
                            F.xxhash64("doc_id", "row"), how="left")
     return whole.select(
         "doc_id", F.col("size").alias("n_shingles"),
