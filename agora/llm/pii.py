@@ -269,8 +269,8 @@ def sanitise(docs: DataFrame, window: int = 64, min_contexts: int = 2, generalis
     """``docs`` with personal data in ``text_col`` replaced by its kind, disclosing terms
     generalised to their shape or removed; all other columns as they are.
 
-    Rows without personal data pass unchanged (NULL text stays NULL); only
-    rows with some are joined with their term spans.
+    Rows without personal data pass unchanged (NULL text stays NULL). Spans
+    are kept per (id, text), so rows equal in both are cleaned alike.
     """
     rows = id_text(docs, id_col, text_col)
     found = contexts(rows, window)
