@@ -60,6 +60,13 @@ def join_to_unique(many: DataFrame, one: DataFrame, on: list[str], weight: str,
             .join(salted.drop(weight), [*on, "_salt"], how).drop("_salt"))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``rows`` at a time: what a worker holds as Python objects stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]],
                 schema: pa.Schema, ddl: str) -> DataFrame:
     """``mapInArrow`` over columns as Python lists.
@@ -69,7 +76,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[dict], dict]],
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
+        for batch in slices(batches):
             out = fn(batch.to_pydict())
             yield pa.RecordBatch.from_pydict(out, schema=schema)
     return df.mapInArrow(run, ddl)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agora.llm.common import durable, id_text, join_to_unique, word_hashes
+from agora.llm.common import durable, id_text, join_to_unique, slices, word_hashes
 from agora.llm.components import components
 
 SALTS = 8
@@ -97,11 +97,11 @@ def repeated_shingles(rows: DataFrame, n: int) -> np.ndarray:
     """
     def run(batches):
         held, size = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for s in _each_set(batch, n):
                 held.append(s)
                 size += len(s)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield report(held)
                     held, size = [], 0
         yield report(held)
@@ -129,7 +129,7 @@ def signatures(rows: DataFrame, hot: np.ndarray, n: int, t: int) -> DataFrame:
 
     def run(batches):
         frequent = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             size, digest, rare, prefix, low = [], [], [], [], []
             for s in _each_set(batch, n):
                 size.append(len(s))
@@ -160,7 +160,7 @@ def digests(rows: DataFrame, n: int) -> DataFrame:
                         ("digest", pa.binary())])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             found = [(len(s), _digest(s)) for s in _each_set(batch, n)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array([k for k, _ in found], pa.int64()),
@@ -187,7 +187,7 @@ def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) ->
 
     def run(batches):
         table, sent = shared.value, set()
-        for batch in batches:
+        for batch in slices(batches):
             digests, sets = [], []
             for s in _each_set(batch, n):
                 digest = _digest(s)
