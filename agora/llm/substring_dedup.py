@@ -3,6 +3,9 @@
 Every run of several consecutive sentences that is long enough in words is
 hashed to 128 bits: three to six sentences of 20 words together (more than
 three only where fewer from one end do not reach 20), two of 40, or one of 50.
+Where sentences are shorter still (menus, lists, shouting), a run takes as many
+as reach 20 words from its first or its last sentence. In scripts without spaces
+characters count as parts of words.
 All runs of all documents are grouped by hash; the first occurrence (by document
 id, text hash, position) stays, and every sentence covered by any other
 occurrence is removed.
@@ -32,9 +35,15 @@ WHITE = " \t\n\x0b\x0c\r"
 SENTENCE = r"[^.!?。！？\n]*[.!?。！？\n][.!?。！？\x20\x09-\x0D]*|[^.!?。！？\n]+"
 # Sentences in a run, and the words it has at least.
 RUNS = {1: 50, 2: 40, 3: 20, 4: 20, 5: 20, 6: 20}
+# Beyond the last of RUNS its words hold for any number of sentences.
+MOST, LEAST = max(RUNS.items())
+# Characters of scripts without spaces, and how many of them count as a word.
+UNSPACED = {"[\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]": 2,
+            "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]": 4}
 SALTS, HOT = 16, 1000
 
 _find = re.compile(SENTENCE).findall
+_unspaced = [(re.compile(chars).findall, per) for chars, per in UNSPACED.items()]
 
 
 def sentences(text: str) -> list[str]:
@@ -42,10 +51,40 @@ def sentences(text: str) -> list[str]:
     return _find(text)
 
 
+def length(sentence: str) -> int:
+    """Words of a sentence, and what its characters of scripts without spaces count for."""
+    words = len(sentence.encode("utf-8").split())
+    if sentence.isascii():
+        return words
+    return words + sum(len(find(sentence)) // per for find, per in _unspaced)
+
+
+def long_runs(total: list[int]) -> list[tuple[int, int]]:
+    """(first sentence, sentences) of the runs of more than MOST sentences that reach LEAST words
+    only as a whole, counted from one end; ``total`` holds the words before each sentence and all.
+    At most two start or end at a sentence.
+    """
+    out, stop = [], 0
+    for i in range(len(total) - 1):             # the fewest from sentence i on
+        while stop < len(total) and total[stop] - total[i] < LEAST:
+            stop += 1
+        if stop == len(total):
+            break
+        if stop - i > MOST:
+            out.append((i, stop - i))
+    i = -1
+    for stop in range(1, len(total)):           # the fewest up to sentence stop - 1
+        while total[stop] - total[i + 1] >= LEAST:
+            i += 1
+        if i >= 0 and stop - i > MOST and total[stop - 1] - total[i] >= LEAST:
+            out.append((i, stop - i))
+    return out
+
+
 def runs(text: str) -> list[tuple[int, int, int, int]]:
     """(h1, h2, first sentence, sentences) of every run that is long enough."""
     pieces = sentences(text)
-    words = [len(s.encode("utf-8").split()) for s in pieces]
+    words = [length(s) for s in pieces]
     marks = [xxhash.xxh3_128_digest(s.strip(WHITE)) for s in pieces]
     out = []
     total = [0, *itertools.accumulate(words)]
@@ -55,6 +94,9 @@ def runs(text: str) -> list[tuple[int, int, int, int]]:
                                                      or total[i + k] - total[i + 1] < least):
                 h = xxhash.xxh3_128_digest(bytes([k]) + b"".join(marks[i:i + k]))
                 out.append((*struct.unpack("<qq", h), i, k))
+    for i, k in long_runs(total):
+        h = xxhash.xxh3_128_digest(k.to_bytes(4, "little") + b"".join(marks[i:i + k]))
+        out.append((*struct.unpack("<qq", h), i, k))
     return out
 
 

@@ -82,3 +82,41 @@ def test_hot_hashes_are_salted_with_the_same_result(spark, monkeypatch):
     want = brute(docs)
     assert sorted((r.doc_id, r.text) for r in sd.dedup(df).collect()) == sorted(
         (i, want[i, t or ""]) for i, t in docs)
+
+
+def long_brute(words):
+    """(first, sentences) of the runs of more than six that lose their 20 words without an end."""
+    return sorted((i, k) for i in range(len(words)) for k in range(7, len(words) - i + 1)
+                  if sum(words[i:i + k]) >= 20
+                  and (sum(words[i:i + k - 1]) < 20 or sum(words[i + 1:i + k]) < 20))
+
+
+@given(st.lists(st.integers(0, 6), max_size=60))
+def test_long_runs(words):
+    total = [sum(words[:i]) for i in range(len(words) + 1)]
+    got = sd.long_runs(total)
+    assert sorted(got) == long_brute(words)
+    assert len(got) <= 2 * len(words)
+
+
+def test_short_sentences_and_scripts_without_spaces(spark):
+    rng = random.Random(3)
+    new = lambda: "w" + str(rng.randrange(10**9))
+    menu = "".join(" ".join(new() for _ in range(1 + i % 3)) + rng.choice([".\n", "!! ", "\n"])
+                   for i in range(30))                                 # 60 words
+    shout = "".join(f"{new()}!! " for _ in range(150))
+    han = "".join("".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(30)) + "。"
+                  for _ in range(4))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2F)) for _ in range(300))
+    own = lambda: " ".join(new() for _ in range(30)) + ".\n"
+    docs = [(0, menu), (1, menu), (2, shout), (3, shout), (4, han), (5, han), (6, thai), (7, thai)]
+    before, after = own(), own()
+    docs += [(8, before + menu + after), (9, before + shout[:600]), (10, "One. Two. Three.\n" * 3),
+             (11, "One. Two. Three.\n" * 3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in sd.dedup(df).collect()}
+    assert [got[i] for i in (0, 2, 4, 6)] == [menu, shout, han, thai]
+    assert [got[i] for i in (1, 3, 5, 7)] == [""] * 4
+    assert got[8] == before + after and got[9].startswith(before)
+    assert len(got[9]) < len(before) + 15                             # what was cut within a word
+    assert got[10] == got[11] == docs[10][1]                          # under 20 words stay
