@@ -29,7 +29,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.overlaps(documents(spark, sf_dir), benchmark).drop("row")
+    return decontaminate.overlaps(documents(spark, sf_dir), benchmark, stretches=True).drop("row")
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
