@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.llm import (bpe, ctw, decontaminate, fertility, ngram_join, pii, quality_mil,
-                       sharding, substring_dedup, url_filter)
+from agora.llm import (bpe, ctw, decontaminate, fertility, langid, lexical, ngram_join, pii,
+                       prefix_trie, quality_mil, sharding, substring_dedup, url_filter)
 from agora.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,25 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+                        k=50)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv_id")
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"),
+                            base=conv - conv % 100, taken=remainder(conv, 6))
+
+
+def op13_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.learn(docs, remainder(F.col("doc_id"), 3) != 1)
+    predicted = langid.predict(docs, model)
+    return predicted.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
+                            "lang_pred", "score", "rejected")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -104,6 +123,9 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_ctw": op10_ctw,
+    "op11_lexical": op11_lexical,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_langid": op13_langid,
     "pipeline": pipeline,
 }
 
@@ -112,4 +134,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL,
     "op7_ngram_join": ngram_join.SQL,
     "op9_url_filter": url_filter.sql(URL_RULES),
+    "op11_lexical": lexical.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
