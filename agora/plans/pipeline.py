@@ -218,39 +218,49 @@ class Pipeline:
               staging_tables: bool = False) -> dict[str, str]:
         """Register staging views and write the marts (full refresh from the raw tables).
 
-        With ``warehouse`` the marts are written as ``<warehouse>/<schema>/<name>``
-        files, else as catalog tables ``<schema>.<name>``. A mart written
-        earlier in the build is read back from its table by the marts after it
-        (``dim_products`` by the revenue mart, ``fct_orders`` by the delivery
-        mart, ``dim_sellers`` by seller health), which cuts their lineage at a
-        durable table instead of recomputing it.
+        With ``warehouse`` the marts are written under ``<warehouse>/<schema>/<name>``,
+        else as catalog tables ``<schema>.<name>``. Every mart is written to a
+        version of its own first, and a mart written earlier in the build is read
+        back from it by the marts after it (``dim_products`` by the revenue mart,
+        ``fct_orders`` by the delivery mart, ``dim_sellers`` by seller health),
+        which cuts their lineage at a durable table instead of recomputing it.
+        After the last one is written all are published; a build that fails
+        before leaves the earlier tables as they were.
 
         The staging views belong to the session (Spark keeps views across
         sessions only as SQL text); ``staging_tables`` also writes them as
         tables of the ``staging`` schema, for later sessions.
         """
         self._forget()
-        written = {}
-        for name, layer in LAYERS.items():
-            if layer == "staging":
-                sinks.register_view(self.model(name), name)
-                if staging_tables:
-                    written[name] = sinks.write_table(spark, self.model(name), name,
-                                                      sinks.LAYER_SCHEMAS[layer],
-                                                      self._path(warehouse, name))
-        self.share_orders(share)
+        staged: dict[str, sinks.Staged] = {}
         try:
+            for name, layer in LAYERS.items():
+                if layer == "staging":
+                    sinks.register_view(self.model(name), name)
+                    if staging_tables:
+                        self._stage(spark, staged, name, warehouse)
+            self.share_orders(share)
             for name in names:
                 started = time.perf_counter()
-                schema = sinks.LAYER_SCHEMAS[LAYERS[name]]
-                written[name] = sinks.write_table(spark, self.model(name), name, schema,
-                                                  self._path(warehouse, name))
-                self._read_built(spark, name, written[name])
+                self._stage(spark, staged, name, warehouse)
+                self.__dict__[name] = spark.read.parquet(staged[name].location)
                 self.timings[name] = time.perf_counter() - started
+        except BaseException:
+            sinks.discard(spark, list(staged.values()))
+            raise
         finally:
             self.release()
+        written = dict(zip(staged, sinks.publish(spark, list(staged.values()))))
+        for name in names:
+            self._read_built(spark, name, written[name])
         return written
 
+    def _stage(self, spark: SparkSession, staged: dict[str, sinks.Staged], name: str,
+               warehouse: str | None) -> None:
+        staged[name] = sinks.stage_table(spark, self.model(name), name,
+                                         sinks.LAYER_SCHEMAS[LAYERS[name]],
+                                         self._path(warehouse, name))
+
     def _read_built(self, spark: SparkSession, name: str, location: str) -> None:
         self.__dict__[name] = sinks.read_table(spark, location)
         self.built.add(name)

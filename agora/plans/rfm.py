@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from agora.functions.compat import days_between, round_half_away
@@ -48,8 +48,11 @@ def rfm_scores(dim_customers: DataFrame, as_of: dt.datetime | None = None,
         F.col("lifetime_gmv").alias("monetary"))
     # Recency is the day count back from one date, so its ascending order is
     # the descending order of the last order's day (ties alike): the quintile
-    # needs no as-of date, and the date is read afterwards from the ranked,
-    # checkpointed table instead of a separate pass over the whole input.
+    # needs no as-of date, and the date is observed while the ranked rows are
+    # written instead of in a pass of its own.
+    latest = Observation()
+    if as_of is None:
+        base = base.observe(latest, F.max("last_order_at").alias("at"))
     r_dir = "asc" if recency_desc else "desc"
     scored = global_ranks(base, [
         ([("_last_day", r_dir), ("customer_id", "asc")], None, {"r_score": 5}),
@@ -57,7 +60,7 @@ def rfm_scores(dim_customers: DataFrame, as_of: dt.datetime | None = None,
         ([("monetary", "asc"), ("customer_id", "asc")], None, {"m_score": 5}),
     ], num_partitions=num_partitions)
     if as_of is None:
-        as_of = scored.agg(F.max("last_order_at")).first()[0]
+        as_of = latest.get["at"]
     scored = scored.withColumn(
         "recency_days", days_between("last_order_at", _ntz_literal(as_of)))
     r, f, m = F.col("r_score"), F.col("f_score"), F.col("m_score")

@@ -1,8 +1,8 @@
 """CSV scan of the raw marketplace files and the full-refresh load.
 
-Files are read by executors in splits, except reviews: their free text may
-hold line breaks, so a review file is one task each (give a folder of part
-files to spread them). Nothing passes through the driver. The
+Files are read by executors in splits. The free text of reviews may hold line
+breaks, so their records are cut by quote parity (:mod:`agora.sources.records`),
+which works on any split. No row passes through the driver. The
 header decides the column order; every column is then cast by name to the
 explicit type in :data:`RAW_SCHEMAS` (no inference). Empty fields become NULL,
 zip prefixes such as ``01046`` become the integer 1046, quoted fields may hold
@@ -20,19 +20,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora.functions.compat import to_int
+from agora.sources.records import records
 from agora.sources.schemas import RAW_FILES, RAW_SCHEMAS
+from agora.sources.sinks import discard, is_missing, publish, read_table, stage_table
 
 log = logging.getLogger(__name__)
 
 
-# Tables whose quoted fields may hold line breaks (their files cannot be split).
+# Tables whose quoted fields may hold line breaks.
 MULTI_LINE = ("order_reviews",)
 
 
-def _is_missing(exc: AnalysisException) -> bool:
-    return exc.getCondition() == "PATH_NOT_FOUND"
-
-
 def _typed(df: DataFrame, table: str) -> DataFrame:
     schema = RAW_SCHEMAS[table]
     cols = []
@@ -47,17 +45,23 @@ def _typed(df: DataFrame, table: str) -> DataFrame:
 
 
 def read_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read one raw CSV file (or folder of parts, each with a header) as its typed raw table."""
-    raw = (spark.read
-           .option("header", True)
-           .option("multiLine", table in MULTI_LINE)
-           .option("quote", '"')
-           .option("escape", '"')
-           .option("mode", "FAILFAST")
-           .csv(path))
+    """Read one raw CSV file (or folder of parts, each with a header) as its typed raw table.
+
+    The parts of a folder have their columns in one order.
+    """
+    options = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+    raw = spark.read.options(**options).option("header", True).csv(path)
+    if table in MULTI_LINE:
+        header = T.StructType([T.StructField(c, T.StringType()) for c in raw.columns])
+        parsed = F.from_csv("record", F.lit(_ddl(header)), options)
+        raw = records(spark, path).select(parsed.alias("r")).select("r.*")
     return _typed(raw, table)
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def read_raw_folder(spark: SparkSession, folder: str,
                     files: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Read every raw table found in ``folder``.
@@ -71,7 +75,7 @@ def read_raw_folder(spark: SparkSession, folder: str,
         try:
             df = read_raw_csv(spark, path, table)
         except AnalysisException as exc:
-            if not _is_missing(exc):
+            if not is_missing(exc):
                 raise
             log.warning("no file for raw table %s: %s", table, path)
             continue
@@ -90,18 +94,25 @@ def load_raw(spark: SparkSession, folder: str, target: str,
              files: dict[str, str] | None = None, fmt: str = "parquet") -> list[LoadResult]:
     """Full refresh: each CSV found replaces its table under ``target``.
 
-    Re-running gives the same tables (overwrite). The row count of each table
-    is observed on the write itself, so the data is read once.
+    Re-running gives the same tables. All files are written to new versions
+    first and published together, so a load that fails leaves every earlier
+    table as it was. The row count of each table is observed on the write
+    itself, so the data is read once.
     """
-    results = []
-    for table, df in read_raw_folder(spark, folder, files).items():
-        obs = Observation(f"load_{table}")
-        location = f"{target.rstrip('/')}/{table}"
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-           .write.mode("overwrite").format(fmt).save(location))
-        rows = int(obs.get["rows"])
-        log.info("raw table %s: %d rows at %s", table, rows, location)
-        results.append(LoadResult(table, rows, location))
+    staged, rows = {}, {}
+    try:
+        for table, df in read_raw_folder(spark, folder, files).items():
+            obs = Observation(f"load_{table}")
+            staged[table] = stage_table(spark, df.observe(obs, F.count(F.lit(1)).alias("rows")),
+                                        table, None, f"{target.rstrip('/')}/{table}", fmt)
+            rows[table] = int(obs.get["rows"])
+    except BaseException:
+        discard(spark, list(staged.values()))
+        raise
+    results = [LoadResult(table, rows[table], location)
+               for table, location in zip(staged, publish(spark, list(staged.values())))]
+    for r in results:
+        log.info("raw table %s: %d rows at %s", r.table, r.rows, r.location)
     return results
 
 
@@ -111,9 +122,9 @@ def read_loaded(spark: SparkSession, target: str, fmt: str = "parquet") -> dict[
     out = {}
     for table in RAW_SCHEMAS:
         try:
-            out[table] = spark.read.format(fmt).load(f"{target.rstrip('/')}/{table}")
+            out[table] = read_table(spark, f"{target.rstrip('/')}/{table}", fmt)
         except AnalysisException as exc:
-            if not _is_missing(exc):
+            if not is_missing(exc):
                 raise
             log.warning("raw table %s was not loaded under %s", table, target)
     return out

@@ -183,3 +183,118 @@ def test_csv_without_a_column_is_an_error(spark, tmp_path):
         csv_source.read_raw_folder(spark, str(tmp_path))
     (tmp_path / "empty").mkdir()
     assert csv_source.read_raw_folder(spark, str(tmp_path / "empty")) == {}
+
+
+def _review_file(folder, name, n, eol="\n"):
+    """Reviews whose messages hold line breaks, doubled quotes and commas; some long ones."""
+    import random
+
+    rnd = random.Random(11)
+    parts = ["plain", '""quoted""', "a,b", "", f"line{eol}break", f"{eol}{eol}", '""', "x" * 300,
+             f'""{eol}""']
+    lines = [REVIEWS.splitlines()[0]]
+    for i in range(n):
+        message = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 6)))
+        if i % 97 == 0:
+            message += eol.join(["long"] * 900)          # longer than a split
+        lines.append(f'r{i},o{i},{i % 5 + 1},"t{i}","{message}",2018-01-18 00:00:00,')
+        if i % 50 == 0:
+            lines.append("")
+    return _write(folder, name, eol.join(lines) + (eol if n % 2 else ""))
+
+
+@pytest.mark.parametrize("eol,n", [("\n", 400), ("\r\n", 301)])
+def test_review_file_is_read_in_splits(spark, tmp_path, eol, n):
+    path = _review_file(str(tmp_path), "reviews.csv", n, eol)
+    want = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
+            .option("escape", '"').csv(path).collect())
+    with conf(spark, **{"spark.sql.files.maxPartitionBytes": "3k",
+                        "spark.sql.files.openCostInBytes": "1"}):
+        df = csv_source.read_raw_csv(spark, path, "order_reviews")
+        got = df.collect()
+        assert df.rdd.getNumPartitions() > 8
+    assert len(got) == n
+    key = "review_comment_message"
+    assert sorted((r.review_id, r.review_comment_title, r[key]) for r in got if r[key]) == \
+        sorted((r.review_id, r.review_comment_title, r[key]) for r in want if r[key])
+    assert sorted(r.review_id for r in got) == sorted(r.review_id for r in want)
+
+
+def test_folder_of_review_parts_and_faults(spark, tmp_path):
+    from agora.sources.records import split_states
+
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    for i in range(3):
+        _review_file(str(folder), f"p{i}.csv", 40)
+    assert csv_source.read_raw_csv(spark, str(folder), "order_reviews").count() == 120
+    # split 2 lies wholly inside the record that begins in split 1
+    splits = [("f", 0, 3, True, True), ("f", 10, 2, False, False), ("f", 20, 2, True, True)]
+    assert split_states(splits) == {("f", 0): None, ("f", 10): 0, ("f", 20): 0}
+    _write(str(tmp_path), "odd.csv", REVIEWS + 'r3,o3,1,"open,,2018-01-18 00:00:00,\n')
+    with pytest.raises(ValueError):
+        csv_source.read_raw_csv(spark, str(tmp_path / "odd.csv"), "order_reviews")
+    _write(str(tmp_path), "short.csv", REVIEWS + "r3,o3\n")
+    with pytest.raises(Exception):
+        csv_source.read_raw_csv(spark, str(tmp_path / "short.csv"), "order_reviews").collect()
+
+
+def test_failed_load_leaves_the_earlier_tables(spark, tmp_path):
+    src, target = str(tmp_path / "csv"), str(tmp_path / "raw")
+    os.makedirs(src)
+    _write(src, RAW_FILES["product_category_name_translation"], TRANSLATION)
+    _write(src, RAW_FILES["sellers"], SELLERS)
+    csv_source.load_raw(spark, src, target)
+    before = csv_source.read_loaded(spark, target)["sellers"].collect()
+    _write(src, RAW_FILES["sellers"], SELLERS.replace("s1", "s2"))
+    # the last file of the load is broken: nothing is switched
+    _write(src, RAW_FILES["product_category_name_translation"], TRANSLATION + "a,b,c,d\n")
+    with pytest.raises(Exception):
+        csv_source.load_raw(spark, src, target)
+    tables = csv_source.read_loaded(spark, target)
+    assert tables["sellers"].collect() == before
+    assert tables["product_category_name_translation"].count() == 2
+    assert len([f for f in os.listdir(f"{target}/sellers") if f.startswith("v-")]) == 1
+    _write(src, RAW_FILES["product_category_name_translation"], TRANSLATION)
+    csv_source.load_raw(spark, src, target)
+    assert csv_source.read_loaded(spark, target)["sellers"].first().seller_id == "s2"
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_failed_build_leaves_the_earlier_tables(spark, tmp_path, shop, monkeypatch, catalog):
+    from agora.plans import marts as mart_builders
+
+    warehouse = None if catalog else str(tmp_path / "wh")
+    names = ("fct_orders", "dim_sellers", "mart_seller_health")
+    Pipeline(dict(shop.raw)).build(spark, warehouse, names=names)
+
+    def fct():
+        pipe = Pipeline({})
+        pipe.use_built(spark, warehouse, names=names)
+        return sorted(r.order_id for r in pipe.fct_orders.collect())
+    want = fct()
+    raw = dict(shop.raw)
+    raw["orders"] = raw["orders"].where("order_id <> 'o1'")
+    with monkeypatch.context() as m:
+        m.setattr(mart_builders, "mart_seller_health", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            Pipeline(raw).build(spark, warehouse, names=names)
+    assert fct() == want
+    Pipeline(raw).build(spark, warehouse, names=names)
+    assert fct() == [o for o in want if o != "o1"]
+
+
+def test_versions_published_and_removed(spark, tmp_path):
+    from agora.sources import sinks
+
+    path = str(tmp_path / "t")
+    opened = []
+    for i in range(4):
+        sinks.write_table(spark, spark.range(i + 1), "t", None, path)
+        opened.append(sinks.read_table(spark, path))
+    assert [df.count() for df in opened[2:]] == [3, 4]       # the version before stays readable
+    assert len([f for f in os.listdir(path) if f.startswith("v-")]) == 2
+    # a catalog table whose columns change
+    sinks.write_table(spark, spark.range(3), "pub", "audit")
+    sinks.write_table(spark, spark.range(5).selectExpr("id", "id * 2 AS twice"), "pub", "audit")
+    assert spark.table("audit.pub").columns == ["id", "twice"] and spark.table("audit.pub").count() == 5
