@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agora.operators.skew import left_lookup
+
 
 def customer_segment(total_orders) -> F.Column:
     return (F.when(total_orders == 0, "no_orders")
@@ -90,18 +92,18 @@ FCT_ORDERS_COLUMNS = (
     "days_to_deliver", "is_late_delivery", "review_score", "review_sentiment")
 
 
-def fct_orders(orders_enriched: DataFrame, customer_places: DataFrame) -> DataFrame:
+def fct_orders(orders_enriched: DataFrame, customer_places: DataFrame,
+               orders: DataFrame | None = None) -> DataFrame:
     """Order fact with the customer's state and city.
 
     ``customer_places`` is any table with one row per customer_id holding its
     resolved ``state`` and ``city`` (the enriched customer table, or just the
-    customers joined to their zip point, which is all the fact needs).
+    customers joined to their zip point, which is all the fact needs). A customer
+    with a third of the orders is spread by its weight, counted on ``orders``
+    (any table of the same orders; default the order grain itself).
     """
-    o = orders_enriched.alias("o")
     c = customer_places.select(
         "customer_id", F.col("state").alias("customer_state"),
-        F.col("city").alias("customer_city")).alias("c")
-    joined = o.join(c, F.col("o.customer_id") == F.col("c.customer_id"), "left")
-    return joined.select(*[
-        F.col(f"c.{name}") if name in ("customer_state", "customer_city") else F.col(f"o.{name}")
-        for name in FCT_ORDERS_COLUMNS])
+        F.col("city").alias("customer_city"))
+    joined = left_lookup(orders_enriched, c, "customer_id", spread=F.col("order_id"), keys=orders)
+    return joined.select(*FCT_ORDERS_COLUMNS)

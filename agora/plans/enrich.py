@@ -41,39 +41,52 @@ from agora.plans.staging import geo_by_zip
 
 # ---------------------------------------------------------------- order grain
 
-def order_items_summary(items: DataFrame) -> DataFrame:
+def order_items_summary(items: DataFrame, distinct_counts: bool = True) -> DataFrame:
     """Item count, distinct products and sellers, and sums per order.
 
-    Items cross the network once, by order_id; inside that partitioning they
-    collapse to (order, product, seller) and then to the order, whose distinct
-    products and sellers are small sets (an order's items are few). The result
-    stays partitioned by order_id for the joins.
+    Both levels combine map-side, so an order of any size is a few rows per task
+    and no set of products or sellers is held: each item is one row tagged with
+    its product, which carries the sums, and one tagged with its seller; they
+    collapse to (order, tag, value), and the order counts its distinct values.
+    Without ``distinct_counts`` the sums are one aggregate.
     """
-    triples = items.repartition("order_id").groupBy("order_id", "product_id", "seller_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("item_price").alias("items"),
-        F.sum("freight_value").alias("freight"),
-        F.sum("total_item_value").alias("gross"))
-    return triples.groupBy("order_id").agg(
+    if not distinct_counts:
+        return items.groupBy("order_id").agg(
+            F.count(F.lit(1)).alias("item_count"),
+            F.sum("item_price").alias("items_revenue"),
+            F.sum("freight_value").alias("freight_revenue"),
+            F.sum("total_item_value").alias("gross_order_value"))
+    measures = ("item_price", "freight_value", "total_item_value")
+    types = {c: items.schema[c].dataType for c in ("product_id", "seller_id", *measures)}
+    no_product, no_seller = (F.lit(None).cast(types[c]) for c in ("product_id", "seller_id"))
+    tagged = items.select("order_id", F.explode(F.array(
+        F.struct(F.lit(1).alias("item"), F.col("product_id").alias("product"),
+                 no_seller.alias("seller"), *[F.col(m).alias(m) for m in measures]),
+        F.struct(F.lit(0).alias("item"), no_product.alias("product"),
+                 F.col("seller_id").alias("seller"),
+                 *[F.lit(None).cast(types[m]).alias(m) for m in measures]))).alias("t")
+    ).select("order_id", "t.*")
+    values = tagged.groupBy("order_id", "item", "product", "seller").agg(
+        F.sum("item").alias("n"), *[F.sum(m).alias(m) for m in measures])
+    return values.groupBy("order_id").agg(
         F.sum("n").alias("item_count"),
-        F.size(F.collect_set("product_id")).cast("bigint").alias("distinct_products"),
-        F.size(F.collect_set("seller_id")).cast("bigint").alias("distinct_sellers"),
-        F.sum("items").alias("items_revenue"),
-        F.sum("freight").alias("freight_revenue"),
-        F.sum("gross").alias("gross_order_value"))
+        F.count("product").alias("distinct_products"),
+        F.count("seller").alias("distinct_sellers"),
+        F.sum("item_price").alias("items_revenue"),
+        F.sum("freight_value").alias("freight_revenue"),
+        F.sum("total_item_value").alias("gross_order_value"))
 
 
 def order_payments_summary(payments: DataFrame) -> DataFrame:
     """Payment totals; the primary type is the highest-value payment's type
     (value desc, NULLs last; ties: payment_type asc).
 
-    Payments cross the network once, by order_id. They are first rolled up per
-    (order, type) with numeric buffers only (a hash aggregate); the per-type
-    maximum value decides the primary type, since the largest single payment
-    belongs to the type with the largest maximum. The second level sees one
-    row per (order, type) in the same partition.
+    Payments are first rolled up per (order, type), map-side, with numeric
+    buffers only (a hash aggregate); the per-type maximum value decides the
+    primary type, since the largest single payment belongs to the type with the
+    largest maximum. The second level sees one row per (order, type).
     """
-    per_type = payments.repartition("order_id").groupBy("order_id", "payment_type").agg(
+    per_type = payments.groupBy("order_id", "payment_type").agg(
         F.sum("payment_value").alias("type_value"),
         F.max("installments").alias("type_installments"),
         F.max("payment_value").alias("type_top_value"))
@@ -87,10 +100,14 @@ def order_payments_summary(payments: DataFrame) -> DataFrame:
 
 
 def int_orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                        reviews: DataFrame) -> DataFrame:
-    """One row per order with item, payment and review measures and calendar keys."""
+                        reviews: DataFrame, distinct_counts: bool = True) -> DataFrame:
+    """One row per order with item, payment and review measures and calendar keys.
+
+    ``distinct_counts=False`` leaves ``distinct_products`` and ``distinct_sellers`` out, for
+    consumers that need the sums only.
+    """
     o = orders.alias("o")
-    i = order_items_summary(items).alias("i")
+    i = order_items_summary(items, distinct_counts).alias("i")
     p = order_payments_summary(payments).alias("p")
     r = reviews.select("order_id", "review_score", "sentiment").alias("r")
     joined = (o.join(i, F.col("o.order_id") == F.col("i.order_id"), "left")
@@ -104,8 +121,8 @@ def int_orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame
             "shipped_at", "delivered_at", "estimated_delivery_at", "days_to_deliver",
             "is_late_delivery")],
         F.coalesce("i.item_count", zero).alias("item_count"),
-        F.coalesce("i.distinct_products", zero).alias("distinct_products"),
-        F.coalesce("i.distinct_sellers", zero).alias("distinct_sellers"),
+        *[F.coalesce(f"i.{c}", zero).alias(c) for c in ("distinct_products", "distinct_sellers")
+          if distinct_counts],
         F.coalesce("i.items_revenue", zero).cast("double").alias("items_revenue"),
         F.coalesce("i.freight_revenue", zero).cast("double").alias("freight_revenue"),
         F.coalesce("i.gross_order_value", zero).cast("double").alias("gross_order_value"),

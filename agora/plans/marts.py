@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from agora.functions.compat import days_between, float_ratio, sum_flag, trunc_ts
 from agora.operators.ranking import global_ranks
+from agora.operators.skew import left_lookup
 
 REVENUE_STATUSES = ("delivered", "shipped", "processing", "approved")
 
@@ -16,19 +17,17 @@ def mart_revenue_monthly(items: DataFrame, categories: DataFrame,
     """Revenue by (month, quarter, English category, primary payment type).
 
     Items are attributed to their product's category; an order spanning two
-    categories counts once in each. Items collapse to (order, product) pairs
-    before the category join, so a product in a third of all items joins one
-    row per order, and the pairs are then partitioned by order for both their
-    roll-up to (order, category) and the join to the orders.
-    ``categories`` holds (product_id, category_name_english).
+    categories counts once in each. Items collapse map-side to (order, product)
+    pairs before the category join, in which a product that is in a third of
+    all items is spread by its weight; the pairs roll up to (order, category)
+    before they meet the orders. ``categories`` holds (product_id, category_name_english).
     """
-    pairs = items.repartition("order_id").groupBy("order_id", "product_id").agg(
+    pairs = items.groupBy("order_id", "product_id").agg(
         F.sum(F.col("item_price") + F.col("freight_value")).alias("gross"),
         F.sum("item_price").alias("items"),
         F.sum("freight_value").alias("freight"))
-    per_pair = (pairs.join(categories.select("product_id", "category_name_english"),
-                           "product_id", "left")
-                .repartition("order_id")
+    per_pair = (left_lookup(pairs, categories.select("product_id", "category_name_english"),
+                            "product_id", spread=F.col("order_id"), keys=items)
                 .groupBy("order_id",
                          F.coalesce("category_name_english", F.lit("unknown"))
                           .alias("category_name_english"))
@@ -63,7 +62,7 @@ def mart_delivery_performance(fct_orders: DataFrame, items: DataFrame) -> DataFr
                          "review_score", "review_sentiment", "order_month",
                          F.when(delivered_at.isNotNull() & estimated.isNotNull(),
                                 days_between(estimated, delivered_at)).alias("days_late")))
-    order_sellers = items.select("order_id", "seller_id").repartition("order_id").distinct()
+    order_sellers = items.select("order_id", "seller_id").distinct()
     base = delivered.join(order_sellers, "order_id", "inner")
     late = F.col("is_late_delivery")
     out = base.groupBy("customer_state", "seller_id").agg(

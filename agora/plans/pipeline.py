@@ -55,6 +55,7 @@ class Pipeline:
     _materialized: list[DataFrame] = field(default_factory=list, repr=False)
     timings: dict[str, float] = field(default_factory=dict, repr=False)
     built: set[str] = field(default_factory=set, repr=False)  # models read from written tables
+    _orders_shared: bool = field(default=False, repr=False)
 
     # ------------------------------------------------------------- staging
     @cached_property
@@ -113,14 +114,22 @@ class Pipeline:
         return enrich.int_orders_enriched(self.stg_orders, self.stg_order_items,
                                           self.stg_order_payments, self.latest_review_scores)
 
+    @property
+    def order_sums(self) -> DataFrame:
+        """The order grain for consumers that read no distinct count: the shared table, if any."""
+        if self._orders_shared:
+            return self.int_orders_enriched
+        return enrich.int_orders_enriched(self.stg_orders, self.stg_order_items,
+                                          self.stg_order_payments, self.latest_review_scores,
+                                          distinct_counts=False)
+
     @cached_property
     def customer_places(self) -> DataFrame:
         return enrich.customer_locations(self.stg_customers, self.geo)
 
     @cached_property
     def int_customers_enriched(self) -> DataFrame:
-        return enrich.int_customers_enriched(self.stg_customers, self.geo,
-                                             self.int_orders_enriched)
+        return enrich.int_customers_enriched(self.stg_customers, self.geo, self.order_sums)
 
     @cached_property
     def int_products_enriched(self) -> DataFrame:
@@ -151,7 +160,7 @@ class Pipeline:
 
     @cached_property
     def fct_orders(self) -> DataFrame:
-        return core.fct_orders(self.int_orders_enriched, self.customer_places)
+        return core.fct_orders(self.int_orders_enriched, self.customer_places, self.stg_orders)
 
     # ----------------------------------------------------------- analytics
     @cached_property
@@ -159,8 +168,7 @@ class Pipeline:
         # Only the category is read from the products, and no customer column
         # from the orders: the order grain is the order fact without its
         # row-preserving customer join (customer_id is unique, a declared check).
-        return marts.mart_revenue_monthly(self.stg_order_items, self.dim_products,
-                                          self.int_orders_enriched)
+        return marts.mart_revenue_monthly(self.stg_order_items, self.dim_products, self.order_sums)
 
     @cached_property
     def mart_delivery_performance(self) -> DataFrame:
@@ -194,6 +202,7 @@ class Pipeline:
             shared = orders.persist(StorageLevel.MEMORY_AND_DISK)
             self._materialized.append(shared)
         self.__dict__["int_orders_enriched"] = shared
+        self._orders_shared = True
         return shared
 
     def release(self) -> None:
@@ -207,6 +216,7 @@ class Pipeline:
         for name in (*LAYERS, "rfm_segmentation", "customer_places", "latest_review_scores", "geo"):
             self.__dict__.pop(name, None)
         self.built.clear()
+        self._orders_shared = False
 
     @staticmethod
     def _path(warehouse: str | None, name: str) -> str | None:
