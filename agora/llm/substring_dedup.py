@@ -11,8 +11,8 @@ id, text hash, position) stays, and every sentence covered by any other
 occurrence is removed.
 
 Scale: one narrow row per run (no text), made again for each of its two uses;
-counting and finding the first occurrence is a map-side combined aggregate;
-only repeated hashes are joined back. One passage may be in a third of all
+counting and finding the smallest id is a map-side combined hash aggregate of
+numbers; only repeated hashes are joined back. One passage may be in a third of all
 documents: hashes with at least 1/HOT of all repeated runs (so at most HOT
 hashes, which are broadcast) are salted in that join. Texts are shuffled once, to meet their spans.
 """
@@ -26,7 +26,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agora.llm.common import durable, id_text, map_batches
@@ -118,10 +118,15 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def repeated(occ: DataFrame) -> DataFrame:
-    """(doc_id, row, spans): array of (at, k) of the runs that are not the first of their hash."""
-    place = F.struct("doc_id", "row", "at")
-    first = durable(occ.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-                    .filter("n > 1"))
+    """(doc_id, row, spans): array of (at, k) of the runs that are not the first of their hash.
+
+    All buffers are fixed-width numbers, so the aggregate over all runs is a hash
+    aggregate: it gives the smallest id a hash occurs in. Which run of that id is
+    the first is decided among the repeated runs only.
+    """
+    first = durable(occ.groupBy("h1", "h2").agg(
+        F.count("*").alias("n"), F.count("doc_id").alias("ids"), F.min("doc_id").alias("least"))
+        .filter("n > 1").select("h1", "h2", "n", (F.col("n") > F.col("ids")).alias("null_first"), "least"))
     total = first.agg(F.sum("n")).first()[0] or 0
     hot = F.col("n") * HOT >= max(total, HOT)
     first = first.withColumn("salt", F.explode(F.when(
@@ -129,10 +134,17 @@ def repeated(occ: DataFrame) -> DataFrame:
     # the hot hashes are at most HOT rows
     hot_rows = first.filter(F.col("salt") == 1).select("h1", "h2", F.lit(True).alias("hot"))
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0)
+    in_first = F.when(F.col("null_first"), F.col("doc_id").isNull()).otherwise(
+        F.col("doc_id") == F.col("least"))
     hits = (occ.join(F.broadcast(hot_rows), ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
             .join(first, ["h1", "h2", "salt"])
-            .filter(~F.col("first").eqNullSafe(place)))
-    return hits.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "k")).alias("spans"))
+            .select("h1", "h2", "doc_id", "row", "at", "k", in_first.alias("in_first")))
+    # runs of one id and hash: few but in a text that repeats itself, and never more than its runs
+    place = Window.partitionBy("h1", "h2").orderBy("row", "at")
+    again = (hits.filter("in_first").withColumn("i", F.dense_rank().over(place)).filter("i > 1")
+             .select("doc_id", "row", "at", "k"))
+    gone = hits.filter("NOT in_first").select("doc_id", "row", "at", "k").unionByName(again)
+    return gone.groupBy("doc_id", "row").agg(F.collect_list(F.struct("at", "k")).alias("spans"))
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> tuple[str, int, int, str]:
@@ -192,6 +204,9 @@ def _run_sql(k: int, least: int) -> str:
 
 
 _RUN_SQL = " UNION ALL ".join(_run_sql(k, least) for k, least in RUNS.items())
+_UNSPACED_SQL = (
+    r"[\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}]",
+    r"[\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}]")
 SQL = rf"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{SENTENCE}') AS pieces FROM documents),
@@ -199,9 +214,27 @@ doc AS (
   SELECT doc_id, pieces,
          list_transform(pieces, lambda s: trim(s, chr(32) || chr(9) || chr(10) || chr(11)
                                                   || chr(12) || chr(13))) AS marks,
-         list_transform(pieces, lambda s: len(regexp_extract_all(s, '[^\x20\x09-\x0D]+'))) AS words
+         list_transform(pieces, lambda s: len(regexp_extract_all(s, '[^\x20\x09-\x0D]+'))
+           + len(regexp_extract_all(s, '{_UNSPACED_SQL[0]}')) // 2
+           + len(regexp_extract_all(s, '{_UNSPACED_SQL[1]}')) // 4) AS words
   FROM split),
-run AS ({_RUN_SQL}),
+-- words before each boundary of sentences
+edge AS (
+  SELECT doc_id, j, coalesce(sum(w) OVER (PARTITION BY doc_id ORDER BY j
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS t
+  FROM (SELECT doc_id, unnest(list_append(words, 0)) AS w, unnest(range(0, len(words) + 1)) AS j FROM doc)),
+first_stop AS (SELECT doc_id, t, min(j) AS stop FROM edge GROUP BY doc_id, t),
+last_start AS (SELECT doc_id, t, max(j) AS start FROM edge GROUP BY doc_id, t),
+-- runs of more than {MOST} sentences: as few as reach {LEAST} words from one end
+long_run AS (
+  SELECT e.doc_id, e.j AS pos, s.stop - e.j AS k
+  FROM edge e ASOF JOIN first_stop s ON e.doc_id = s.doc_id AND e.t + {LEAST} <= s.t
+  UNION
+  SELECT e.doc_id, s.start, e.j - s.start
+  FROM edge e ASOF JOIN last_start s ON e.doc_id = s.doc_id AND e.t - {LEAST} >= s.t),
+run AS ({_RUN_SQL} UNION ALL
+  SELECT doc_id, pos, k, list_slice(marks, pos + 1, pos + k) FROM long_run JOIN doc USING (doc_id)
+  WHERE k > {MOST}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY k, h ORDER BY doc_id, pos) AS rn FROM run),
 gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + k)) AS i FROM ranked WHERE rn > 1),
 piece AS (

@@ -13,20 +13,20 @@ def test_sentences_join_to_the_text(text):
 
 
 def brute(docs):
-    """Kept text per (id, text) from all runs in order of first occurrence."""
+    """Kept text per (id, text) from all runs, of any number of sentences, in order of first occurrence."""
     seen, out = {}, {}
     distinct = sorted({(i, t or "") for i, t in docs},
                       key=lambda r: (r[0] is not None, r[0] or 0))
     runs = []
     for n, (i, text) in enumerate(distinct):
         pieces = sd.sentences(text)
+        words = [sd.length(s) for s in pieces]
         for at in range(len(pieces)):
-            for k, least in sd.RUNS.items():
-                part = pieces[at:at + k]
-                size = lambda part: sum(len(s.split()) for s in part)
-                if len(part) == k and size(part) >= least and (
-                        k < 4 or min(size(part[1:]), size(part[:-1])) < least):
-                    runs.append((n, at, k, tuple(s.strip() for s in part)))
+            for k in range(1, len(pieces) - at + 1):
+                size = sum(words[at:at + k])
+                if size >= sd.RUNS.get(k, 20) and (
+                        k < 4 or min(size - words[at], size - words[at + k - 1]) < 20):
+                    runs.append((n, at, k, tuple(s.strip(sd.WHITE) for s in pieces[at:at + k])))
     gone = set()
     for n, at, k, key in sorted(runs, key=lambda r: r[:2]):
         if seen.setdefault(key, (n, at)) != (n, at):
@@ -120,3 +120,23 @@ def test_short_sentences_and_scripts_without_spaces(spark):
     assert got[8] == before + after and got[9].startswith(before)
     assert len(got[9]) < len(before) + 15                             # what was cut within a word
     assert got[10] == got[11] == docs[10][1]                          # under 20 words stay
+    want = brute(docs)
+    assert all(got[i] == want[i, t] for i, t in docs)
+
+
+def test_sql_states_the_same_rule(spark):
+    """Long runs, scripts without spaces, repeats inside a text."""
+    import duckdb
+
+    rng = random.Random(8)
+    pool = [" ".join(f"w{rng.randrange(9)}" for _ in range(rng.randint(0, 4))) + rng.choice([".\n", "! ", "\n"])
+            for _ in range(12)] + ["漢字" * 9 + "。", "กขค" * 20 + "\n"]
+    docs = [(i, "".join(rng.choice(pool) for _ in range(rng.randint(0, 40)))) for i in range(40)]
+    docs += [(40, None), (41, ""), (42, docs[3][1] * 3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.execute(sd.SQL).fetchall()
+    assert sorted(map(tuple, sd.dedup(df).collect())) == sorted(want)
+    kept = brute(docs)
+    assert all(text == kept[i, dict(docs)[i] or ""] for i, _, _, _, text in want)
