@@ -17,8 +17,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+BATCH_BYTES = "8m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` for this session, unless it sets its own size.
+
+    Rows are whole texts: a batch is held by the JVM, the worker and its results at once.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) in ("67108864b", "64m", "67108864"):          # Spark's default
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only ``doc_id`` (long) and ``text`` (NULL: empty); other columns are not read."""
+    bound_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 

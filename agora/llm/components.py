@@ -4,7 +4,8 @@ Each round points every edge at the smallest neighbour of one end, so the edge
 count never grows, and the number of rounds is logarithmic in practice. A
 node with very many neighbours sends one partial minimum per task, and the
 join that hands its minimum back to its edges is salted. Every round is
-written to the shared checkpoint folder; only the number of edges and a
+a table in the shared folder (a checkpoint would keep the estimated size of its
+plan, which squares with every round); only the number of edges and a
 checksum of them reach the driver.
 """
 
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.common import durable
+from agora.llm.common import written
 
 SALTS = 8
 
@@ -37,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     NULL ends, loops and repeated edges are ignored; no edges give no rows.
     """
-    e = durable(edges.select("u", "v").filter("u <> v")
+    e = written(edges.select("u", "v").filter("u <> v")
                 .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = _state(e)
     while before[0]:
@@ -45,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = (_with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").distinct())
         small = _with_least(large)
-        e = durable(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = written(small.select(F.col("v").alias("u"), F.col("m").alias("v"))
                     .unionByName(small.select("u", F.col("m").alias("v")))
                     .filter("u <> v").distinct())
         after = _state(e)

@@ -12,16 +12,22 @@ difference D(x, y) <= (1 - t) / (1 + t) * (|x| + |y|) =: lim(x) + lim(y).
    2 (shingles left out by x and y). Lists are cut into blocks by set size and
    position, and blocks that cannot hold such a pair are skipped without
    reading their entries.
-3. D is a metric, so answers are derived from a similar set's answers. A class
-   y with D(p, y) <= lim(y) follows its leader p: all followers of one leader
-   link with each other, unseen. For leaders p, q the known D(p, q), D(p, y),
-   D(q, z) bound D(y, z) from both sides; only pairs that the bounds leave open
-   are compared.
-
-So a group of n near copies costs n comparisons (with its leader), and its n^2
-links are counted, not listed. Everything is DataFrame work but the making of
-the sets (mapInArrow, row by row). Broadcast: a list of frequent shingles and a
-bitmap, both of bounded size; neither changes the result.
+3. Answers are derived from a similar set's answers. A class y near a leader p
+   is a member of its group and known by its difference dy = y ^ p alone: D(y, z)
+   = |dy ^ dz|. With a(y) = far |dy| - near |y|, y and z link when a(y) + a(z) <=
+   2 far |dy & dz|. So members link unseen where a(y) + a(z) <= 0 (all that lie
+   within lim(y) of p do) and are only counted, from the group's numbers of
+   members by a; all others must share shingles of their differences, and these
+   few, not the sets, are indexed. Edits of near copies seldom coincide.
+4. Between groups, D is a metric: for leaders p, q the known D(p, q), |dy|, |dz|
+   bound D(y, z) from both sides; only pairs that the bounds leave open are
+   compared. Groups whose members' prefixes share nothing are never paired.
+
+So a group of n near copies costs n comparisons (with its leader) and the pairs
+whose edits coincide; its n^2 links are counted, not listed. Everything is
+DataFrame work but the making of the sets (mapInArrow, row by row). Broadcast: a
+list of frequent shingles and a bitmap, both of bounded size; neither changes
+the result.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agora.llm.common import durable, id_text, join_to_unique, slices, word_hashes
+from agora.llm.common import id_text, join_to_unique, slices, word_hashes, written
 from agora.llm.components import components
 
 SALTS = 8
@@ -41,6 +47,7 @@ BITMAP_BITS = 1 << 23
 SHARED = 8                               # prefix shingles that linked sets have in common
 OMIT, LONG = 3, 12                       # shingles a class may leave out, length of a long list
 KEYS, AGREE = 3, 4                       # minimum hashes that find leaders, and those that must agree
+NEAR = 5                                 # a member differs from its leader by at most so many lim(y)
 # Odd multipliers of the shingle hash and of the minimum hashes.
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIN = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93,
@@ -111,7 +118,7 @@ def repeated_shingles(rows: DataFrame, n: int) -> np.ndarray:
                                  return_counts=True)
         return pa.RecordBatch.from_pydict({"token": found[count > 1], "n": count[count > 1]}, schema)
     schema = pa.schema([("token", pa.int64()), ("n", pa.int64())])
-    counts = durable(rows.select("text").mapInArrow(run, "token long, n long")
+    counts = written(rows.select("text").mapInArrow(run, "token long, n long")
                      .groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_LEAST))
     total = counts.agg(F.sum("n")).first()[0] or 0
     # at most total / (total / HOT_ENTRIES) = HOT_ENTRIES shingles pass
@@ -175,7 +182,7 @@ def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) ->
     A bitmap of the wanted digests (fixed size) drops most others before the
     shuffle; the join drops the rest.
     """
-    wanted = durable(classes.select("digest", "c").join(some, "c", "left_semi"))
+    wanted = written(classes.select("digest", "c").join(some, "c", "left_semi"))
     bit = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long") % BITMAP_BITS
     words = (wanted.select(bit.alias("bit"))
              .groupBy(F.shiftright("bit", 6).alias("word"))
@@ -200,7 +207,7 @@ def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) ->
                                              schema=schema)
     found = (rows.select("text").mapInArrow(run, "digest binary, tokens array<long>")
              .groupBy("digest").agg(F.first("tokens").alias("tokens")))
-    return durable(found.join(wanted, "digest").select("c", "tokens"))
+    return written(found.join(wanted, "digest").select("c", "tokens"))
 
 
 def _bit(digest: bytes) -> int:
@@ -236,14 +243,16 @@ def _difference(pairs: DataFrame, sets: DataFrame, a: str, b: str, out: str) ->
 
 
 def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int
-            ) -> tuple[DataFrame, DataFrame]:
-    """(c, size, copies, leader, far): every class's leader, and D to it; and the sets compared.
+            ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every class's group: (c, size, copies, leader, far, a, node), far being D to the leader;
+    the differences (c, diff) of the members; and the sets compared.
 
     Of the classes that share one of its first minimum hashes and agree in most
     of all of them, a class aims at the one with fewest rare shingles (the text
     the others are copies of has none of their edits; ties: the first); a class
     that aims at none is a leader. Each class is compared with one leader, the one it aims at or that
-    class's own, and follows it if D is small enough.
+    class's own, and joins its group if D is at most NEAR lim. Members within lim of the
+    leader are one node with it, as they link with each other; any other is a node of its own.
     """
     low = classes.select("c", "low")
     keyed = classes.select(F.struct("rare", "c").alias("me"),
@@ -253,21 +262,31 @@ def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int
     aims = (keyed.withColumn("salt", _salt("me")).join(_spread(pivots), ["r", "key", "salt"])
             .filter("top < me").select(F.col("me.c").alias("c"), F.col("top.c").alias("to"),
                                        F.col("top.rare").alias("rare")).distinct())
-    aims = durable(_agreeing(aims, low).groupBy("c").agg(F.min(F.struct("rare", "to")).alias("top"))
+    aims = written(_agreeing(aims, low).groupBy("c").agg(F.min(F.struct("rare", "to")).alias("top"))
                    .select("c", F.col("top.to").alias("to")))
     over = aims.select(F.col("c").alias("to"), F.col("to").alias("top"))
     tries = aims.join(over, "to", "left").select("c", F.coalesce("top", "to").alias("to"))
     # a class aimed at may itself aim elsewhere: only those that do not are leaders
     lead = tries.select("to").distinct().join(aims.select(F.col("c").alias("to")), "to", "left_anti")
-    tries = durable(_agreeing(tries.join(lead, "to"), low))
+    tries = written(_agreeing(tries.join(lead, "to"), low))
     sets = whole_sets(rows, classes, tries.select("c").union(tries.select("to")).distinct(), words)
-    close = (_difference(tries, sets, "to", "c", "far")
-             .join(classes.select("c", "size"), "c")
-             .filter(limit.far * F.col("far") <= limit.near * F.col("size"))
-             .select("c", "to", "far"))
-    return durable(classes.select("c", "size", "copies").join(close, "c", "left").select(
+    # a leader of very many has its set salted
+    weighed = tries.groupBy("to").agg(F.count("*").alias("n"))
+    led = written(sets.withColumnRenamed("c", "to").withColumnRenamed("tokens", "_l").join(weighed, "to"))
+    both = join_to_unique(tries.join(sets.withColumnRenamed("tokens", "_r"), "c"), led, ["to"], "n",
+                          F.xxhash64("c"))
+    close = written(both.select("c", "to", F.array_union(F.array_except("_l", "_r"),
+                                                         F.array_except("_r", "_l")).alias("diff"))
+                    .withColumn("far", F.size("diff").cast("long"))
+                    .join(classes.select("c", "size"), "c")
+                    .filter(limit.far * F.col("far") <= NEAR * limit.near * F.col("size"))
+                    .select("c", "to", "far", "diff"))
+    state = (classes.select("c", "size", "copies").join(close.drop("diff"), "c", "left").select(
         "c", "size", "copies", F.coalesce("to", "c").alias("leader"),
-        F.coalesce("far", F.lit(0)).cast("long").alias("far"))), sets
+        F.coalesce("far", F.lit(0)).cast("long").alias("far"))
+        .withColumn("a", limit.far * F.col("far") - limit.near * F.col("size"))
+        .withColumn("node", F.when(F.col("a") <= 0, F.col("leader")).otherwise(F.col("c"))))
+    return written(state), close.select("c", "diff"), sets
 
 
 def _agreeing(pairs: DataFrame, low: DataFrame) -> DataFrame:
@@ -283,10 +302,10 @@ def _agreeing(pairs: DataFrame, low: DataFrame) -> DataFrame:
 def common_entries(classes: DataFrame) -> DataFrame:
     """(c, token, pos, n) of the prefix shingles that n >= 2 classes hold, written once."""
     entries = classes.select("c", F.posexplode("prefix").alias("pos", "token"))
-    common = durable(entries.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
+    common = written(entries.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1"))
     both = join_to_unique(entries, common.withColumn("list", F.col("n")), ["token"], "n",
                           F.xxhash64("c"))
-    return durable(both.select("c", "token", "pos", F.col("list").alias("n")))
+    return written(both.select("c", "token", "pos", F.col("list").alias("n")))
 
 
 def listed(entries: DataFrame, classes: DataFrame, t: int) -> DataFrame:
@@ -320,7 +339,7 @@ def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> D
     # blocks of a list: by size (a band is one factor of t) and by position
     band = F.floor(F.log("least") / np.log(100 / t)).cast("long")
     block = F.floor(F.log2(F.greatest("pos", F.lit(0)) + 1)).cast("int")
-    lists = durable(
+    lists = written(
         entries.withColumn("band", band).withColumn("block", block)
         .groupBy("token", "band", "block", _salt("leader").alias("part"))
         .agg(F.collect_list(F.struct("leader", "pos", "least", "most", "prev")).alias("entries"),
@@ -346,7 +365,7 @@ def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> D
     pairs = (blocks.select(F.explode("a.entries").alias("x"), F.col("b.entries").alias("ys"),
                            (key("a") == key("b")).alias("same"))
              .select("x.leader", F.explode(ys).alias("y")))
-    pairs = durable(pairs.select(F.least("leader", "y.leader").alias("p"),
+    pairs = written(pairs.select(F.least("leader", "y.leader").alias("p"),
                                  F.greatest("leader", "y.leader").alias("q")).distinct())
     # two leaders without followers: their prefixes share enough, or they do not link
     followed = state.filter("leader <> c").select(F.col("leader").alias("c")).distinct()
@@ -361,9 +380,64 @@ def candidates(classes: DataFrame, state: DataFrame, limit: _Limit, t: int) -> D
                        | (shared >= F.least("p_need", "q_need"))).select("p", "q")
 
 
+def group_links(state: DataFrame, diffs: DataFrame, limit: _Limit) -> tuple[DataFrame, DataFrame]:
+    """Links inside groups: (u, v) edges of nodes, and (c, n) link counts of classes."""
+    members = written(state.join(state.filter("leader <> c").select("leader").distinct(),
+                                 "leader", "left_semi"))
+    # sure: a(y) + a(z) <= 0. Copies by a, summed up to -a of every a that occurs
+    by_a = written(members.groupBy("leader", "a").agg(F.sum("copies").alias("w")))
+    points = by_a.select("leader", F.col("a").alias("v"), "w", F.lit(0).alias("ask")).unionByName(
+        by_a.select("leader", (-F.col("a")).alias("v"), F.lit(0).cast("long").alias("w"),
+                    F.lit(1).alias("ask")))
+    upto = (Window.partitionBy("leader").orderBy("v", "ask")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    sums = (points.withColumn("sure", F.sum("w").over(upto)).filter("ask = 1")
+            .select("leader", (-F.col("v")).alias("a"), "sure"))
+    # a class counts itself where 2 a <= 0
+    own = members.join(sums, ["leader", "a"]).select("c", (
+        F.col("sure") - F.when(F.col("a") <= 0, F.col("copies")).otherwise(0)).alias("n"))
+    least = by_a.groupBy("leader").agg(F.min("a").alias("least"))
+    linked = (by_a.join(least, "leader").filter("a > 0 AND a + least <= 0").select("leader", "a"))
+    edges = members.join(linked, ["leader", "a"]).select(F.col("node").alias("u"), F.col("leader").alias("v"))
+    # all others: at least one beyond lim, and shared shingles in the differences
+    entry = diffs.join(members.select("c", "leader", "a"), "c").select(
+        "leader", F.explode("diff").alias("token"), "c", "a", F.size("diff").alias("n"))
+    common = written(entry.groupBy("leader", "token").agg(F.count("*").alias("w")).filter("w > 1"))
+    held = join_to_unique(entry, common.withColumn("list", F.col("w")), ["leader", "token"], "w",
+                          F.xxhash64("c"))
+    # rare ones first; shingles in one difference only stand before them
+    place = Window.partitionBy("c").orderBy("list", "token")
+    left = (F.col("n") - (F.col("n") - F.count("*").over(Window.partitionBy("c")))
+            - F.row_number().over(place) + 1)
+    held = written(held.select("leader", "token", "c", "a", left.alias("left")))
+    # of two beyond lim, what is left from the shared shingle on must be enough; each by itself first
+    apart = held.filter(f"a > 0 AND 2 * {limit.far} * left >= a + 1")
+    x, y = apart.alias("x"), apart.alias("y")
+    enough = F.col("x.a") + F.col("y.a") <= 2 * limit.far * F.least("x.left", "y.left")
+    same = (F.col("x.leader") == F.col("y.leader")) & (F.col("x.token") == F.col("y.token"))
+    two = x.join(y, same & (F.col("x.c") < F.col("y.c")) & enough)
+    near = held.filter("a <= 0").alias("y")
+    one = held.filter("a > 0").alias("x").join(
+        near, same & enough & (F.col("x.a") + F.col("y.a") > 0))
+    pairs = two.select("x.c", F.col("y.c").alias("z")).unionByName(
+        one.select("x.c", F.col("y.c").alias("z"))).distinct()
+    side = members.select("c", "a", "copies", "node").join(diffs, "c")
+    both = (pairs.join(side, "c").join(side.select(*[F.col(k).alias("z" if k == "c" else f"z_{k}")
+                                                     for k in side.columns]), "z")
+            .filter(F.col("a") + F.col("z_a")
+                    <= 2 * limit.far * F.size(F.array_intersect("diff", "z_diff")))
+            .select("c", "z", "copies", "z_copies", "node", "z_node"))
+    both = written(both)
+    edges = edges.unionByName(both.select(F.col("node").alias("u"), F.col("z_node").alias("v"))).distinct()
+    counts = (own.unionByName(both.select("c", F.col("z_copies").alias("n")))
+              .unionByName(both.select(F.col("z").alias("c"), F.col("copies").alias("n")))
+              .groupBy("c").agg(F.sum("n").alias("n")))
+    return written(edges), written(counts)
+
+
 def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, fetch, limit: _Limit
                 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links between groups: (p, q) edges, (leader, n) and (c, n) link counts.
+    """Links between groups: (u, v) edges of nodes, (leader, n) and (c, n) link counts.
 
     With a(y) = far D(p, y) - near |y| and b(y) = far D(p, y) + near |y|:
     y, z link if far D(p, q) + a(y) + a(z) <= 0, and do not if far D(p, q) >
@@ -371,8 +445,7 @@ def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, fetch,
     group, then on two classes; what is still open is compared. ``fetch`` gives
     the whole sets of some classes, ``compared`` holds those of the groups.
     """
-    members = state.select("c", "size", "copies", "leader",
-                           (limit.far * F.col("far") - limit.near * F.col("size")).alias("a"),
+    members = state.select("c", "size", "copies", "leader", "node", "a",
                            (limit.far * F.col("far") + limit.near * F.col("size")).alias("b"))
     groups = members.groupBy("leader").agg(F.sum("copies").alias("copies"), F.max("a").alias("a"),
                                            F.max("b").alias("b"))
@@ -380,40 +453,45 @@ def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, fetch,
     def side(df: DataFrame, key: str, prefix: str) -> DataFrame:
         return df.select(F.col("leader").alias(key), *[F.col(c).alias(f"{prefix}_{c}")
                                                        for c in df.columns if c != "leader"])
-    pairs = durable(pairs)
+    pairs = written(pairs)
     sets = fetch(pairs.select(F.col("p").alias("c")).union(pairs.select("q")).distinct())
     known = _difference(pairs, sets, "p", "q", "d").withColumn("d", limit.far * F.col("d"))
     known = (known.join(side(groups, "p", "gp"), "p").join(side(groups, "q", "gq"), "q")
              .filter("d <= gp_b + gq_b"))
-    known = durable(known.withColumn("all", F.expr("d + gp_a + gq_a <= 0")))
+    known = written(known.withColumn("all", F.expr("d + gp_a + gq_a <= 0")))
     whole = known.filter("all")
     # one class y of p against all of q
-    ones = durable(known.filter("NOT all").join(side(members, "p", "y"), "p")
+    ones = written(known.filter("NOT all").join(side(members, "p", "y"), "p")
                    .filter("d <= y_b + gq_b")
                    .withColumn("every", F.expr("d + y_a + gq_a <= 0")))
     every = ones.filter("every")
     twos = (ones.filter("NOT every").join(side(members, "q", "z"), "q")
             .filter("d <= y_b + z_b").withColumn("sure", F.expr("d + y_a + z_a <= 0")))
-    twos = durable(twos.select("p", "q", "y_c", "y_size", "y_copies", "z_c", "z_size", "z_copies",
-                               "sure"))
+    twos = written(twos.select("p", "q", "y_c", "y_node", "y_size", "y_copies", "z_c", "z_node",
+                               "z_size", "z_copies", "sure"))
     single, still = twos.filter("sure"), twos.filter("NOT sure")
     if not still.isEmpty():
         # a class in a group was compared with its leader, one without is in ``pairs``
         sets = sets.union(compared).groupBy("c").agg(F.first("tokens").alias("tokens"))
         near = _difference(still, sets, "y_c", "z_c", "e").filter(
             limit.far * F.col("e") <= limit.near * (F.col("y_size") + F.col("z_size"))).drop("e")
-        single = durable(single.unionByName(near))
-    edges = (whole.select("p", "q").unionByName(every.select("p", "q"))
-             .unionByName(single.select("p", "q")).distinct())
+        single = written(single.unionByName(near))
+    # a group all of which links with something else is one component with its leader's node
+    joined = (whole.select(F.col("p").alias("leader")).unionByName(whole.select(F.col("q").alias("leader")))
+              .unionByName(every.select(F.col("q").alias("leader"))).distinct())
+    edges = (whole.select(F.col("p").alias("u"), F.col("q").alias("v"))
+             .unionByName(every.select(F.col("y_node").alias("u"), F.col("q").alias("v")))
+             .unionByName(single.select(F.col("y_node").alias("u"), F.col("z_node").alias("v")))
+             .unionByName(members.filter("node <> leader").join(joined, "leader", "left_semi")
+                          .select(F.col("node").alias("u"), F.col("leader").alias("v"))).distinct())
     by_leader = (whole.select(F.col("p").alias("leader"), F.col("gq_copies").alias("n"))
                  .unionByName(whole.select(F.col("q").alias("leader"), F.col("gp_copies").alias("n")))
                  .unionByName(every.select(F.col("q").alias("leader"), F.col("y_copies").alias("n")))
                  .groupBy("leader").agg(F.sum("n").alias("n")))
     by_class = (every.select(F.col("y_c").alias("c"), F.col("gq_copies").alias("n"))
                 .unionByName(single.select(F.col("y_c").alias("c"), F.col("z_copies").alias("n")))
-                .unionByName(single.select(F.col("z_c").alias("c"), F.col("y_copies").alias("n")))
-                .groupBy("c").agg(F.sum("n").alias("n")))
-    return edges, by_leader, by_class
+                .unionByName(single.select(F.col("z_c").alias("c"), F.col("y_copies").alias("n"))))
+    return written(edges), written(by_leader), written(by_class)
 
 
 def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -434,33 +512,40 @@ def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
     """``join``'s columns, ``row`` (hash of the text) and ``root``: the component's class."""
     limit = _Limit(percent)
     signed = signatures(rows, repeated_shingles(rows, words), words, percent)
-    classes = durable(signed.filter("size > 0").groupBy("digest").agg(
+    classes = written(signed.filter("size > 0").groupBy("digest").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("least_id"),
         F.first("size").alias("size"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"),
-        F.first("low").alias("low")))
-    classes = classes.withColumn("c", F.monotonically_increasing_id())   # fixed by the checkpoint
-    state, compared = leaders(rows, classes, limit, words)
+        F.first("low").alias("low"))
+        .withColumn("c", F.monotonically_increasing_id()))               # fixed by the table
+    state, diffs, compared = leaders(rows, classes, limit, words)
+    inside, own_n = group_links(state, diffs, limit)
     edges, by_leader, by_class = cross_links(
         candidates(classes, state, limit, percent), state, compared,
         lambda some: whole_sets(rows, classes, some, words), limit)
-    roots = components(edges.select(F.col("p").alias("u"), F.col("q").alias("v")))
-    grouped = (state.join(classes.select("c", "least_id"), "c")
-               .groupBy("leader").agg(F.sum("copies").alias("group_copies"),
-                                      F.min("least_id").alias("least_id"))
-               .join(roots.withColumnRenamed("node", "leader"), "leader", "left")
-               .withColumn("root", F.coalesce("root", "leader")))
-    least = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    groups = (grouped.join(least, "root").join(by_leader, "leader", "left")
-              .select("leader", "root", "component_id",
-                      (F.col("group_copies") - 1 + F.coalesce("n", F.lit(0))).alias("links")))
-    linked = (state.select("c", "leader").join(groups, "leader").join(by_class, "c", "left")
+    roots = components(edges.unionByName(inside))
+    nodes = written(state.join(classes.select("c", "least_id"), "c")
+                    .groupBy("node").agg(F.min("least_id").alias("least_id"), F.count("*").alias("n"))
+                    .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    # few roots hold very many nodes, few nodes and groups very many classes
+    least = written(nodes.groupBy("root").agg(F.min("least_id").alias("component_id"),
+                                              F.count("*").alias("w")))
+    nodes = written(join_to_unique(nodes.select("node", "root", "n"), least, ["root"], "w",
+                                   F.xxhash64("node")))
+    counts = (by_class.unionByName(own_n).groupBy("c").agg(F.sum("n").alias("n")))
+    linked = written(join_to_unique(state.select("c", "leader", "node", "copies"), nodes, ["node"], "n",
+                                    F.xxhash64("c")))
+    weighed = written(by_leader.join(state.groupBy("leader").agg(F.count("*").alias("w")), "leader")
+                      .withColumnRenamed("n", "links"))
+    linked = (join_to_unique(linked, weighed, ["leader"], "w", F.xxhash64("c"), how="left")
+              .join(counts, "c", "left")
               .select("c", "root", F.col("component_id").alias("far_id"),
-                      (F.col("links") + F.coalesce("n", F.lit(0))).alias("far_links")))
+                      (F.col("copies") - 1 + F.coalesce("links", F.lit(0)) + F.coalesce("n", F.lit(0)))
+                      .alias("far_links")))
     answer = (classes.select("digest", "c", "copies", "least_id").join(linked, "c", "left")
               .select("digest", "copies", F.coalesce("root", "c").alias("root"), F.coalesce("far_id", "least_id").alias("component_id"),
                       F.coalesce("far_links", F.col("copies") - 1).alias("n_links")))
     # the sets' digests are made again: cheaper than keeping the prefixes for it
-    whole = join_to_unique(digests(rows, words), durable(answer), ["digest"], "copies",
+    whole = join_to_unique(digests(rows, words), written(answer), ["digest"], "copies",
                            F.xxhash64("doc_id", "row"), how="left")
     return whole.select(
         "doc_id", F.col("size").alias("n_shingles"),

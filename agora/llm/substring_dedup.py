@@ -136,7 +136,7 @@ def repeated(occ: DataFrame) -> DataFrame:
     salt = F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).otherwise(0)
     in_first = F.when(F.col("null_first"), F.col("doc_id").isNull()).otherwise(
         F.col("doc_id") == F.col("least"))
-    hits = (occ.join(F.broadcast(hot_rows), ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
+    hits = durable(occ.join(F.broadcast(hot_rows), ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
             .join(first, ["h1", "h2", "salt"])
             .select("h1", "h2", "doc_id", "row", "at", "k", in_first.alias("in_first")))
     # runs of one id and hash: few but in a text that repeats itself, and never more than its runs
