@@ -49,6 +49,8 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--share", choices=("checkpoint", "persist"), default="checkpoint")
             p.add_argument("--staging-tables", action="store_true",
                            help="also write the staging models as tables of schema staging")
+            p.add_argument("--check", action="store_true",
+                           help="count the row-level checks while writing, then run all checks")
         if name == "test":
             p.add_argument("--store-failures", action="store_true")
             p.add_argument("--rebuild", action="store_true",
@@ -70,8 +72,13 @@ def main(argv: list[str] | None = None) -> int:
     pipe = _pipeline(spark, args)
     if args.command == "run":
         for name, where in pipe.build(spark, args.warehouse, share=args.share,
-                                      staging_tables=args.staging_tables).items():
+                                      staging_tables=args.staging_tables,
+                                      check=args.check).items():
             print(f"{name}: {where} ({pipe.timings.get(name, 0.0):.1f} s)")
+        if args.check:
+            for r in pipe.check(spark):
+                if r.failures:
+                    print(f"{r.status}: {r.test}({r.model}.{r.column_name}) {r.failures}")
         return 0
     if args.command == "test":
         from agora.operators import quality

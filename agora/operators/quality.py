@@ -13,7 +13,14 @@ Check kinds and what counts as a failure (one row of the failing-rows query):
 The report reads every table once for all its row-level checks (only the
 violations are exploded and counted; rows that pass are never copied), once
 per unique key (a grouped count), and once per relationship (the child's
-distinct keys with their counts, anti-joined to the parent's).
+distinct keys with their counts, anti-joined to the parent's). Row-level checks
+of a mart can also be counted while it is written (:func:`counters`,
+``Pipeline.build(check=True)``); the report then takes those counts and reads
+the mart for them no more.
+
+Stored failures are written in one pass per table: every row is fanned out to
+(check, value) once, tagged with the check, for all checks of the table, and
+the table's failures are one write partitioned by check (:func:`failures`).
 """
 
 from __future__ import annotations
@@ -315,10 +322,39 @@ def _orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> Da
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
-def report(checks: Sequence[Check], resolve: Callable[[Check, str], DataFrame]) -> DataFrame:
-    """One row per check: model, column, test, args, severity, failures, status."""
+CheckKey = tuple[str, str, str, str]
+
+
+def key_of(check) -> CheckKey:
+    """Identity of a check (or of its report row)."""
+    if isinstance(check, Check):
+        return check.model, check.column, check.kind, check.args
+    return check.model, check.column_name, check.test, check.args
+
+
+def counters(model: str) -> dict[Check, Column]:
+    """Aggregates that count the violating rows of a model's row-level checks, to be observed
+    on its write."""
+    return {c: F.sum(F.when(_violation(c), 1).otherwise(0)) for c in CHECKS
+            if c.model == model and not c.source and c.kind in ROW_LEVEL}
+
+
+def report(checks: Sequence[Check], resolve: Callable[[Check, str], DataFrame],
+           known: Mapping[CheckKey, int] | None = None) -> DataFrame:
+    """One row per check: model, column, test, args, severity, failures, status.
+
+    ``known`` holds failures counted before (while the tables were written).
+    """
     parts: list[DataFrame] = []
     by_model: dict[tuple[str, bool], list[Check]] = {}
+    known = {} if known is None else known
+    counted = [c for c in checks if key_of(c) in known]
+    if counted:
+        spark = SparkSession.active()
+        parts.append(spark.createDataFrame(
+            [(c.model, c.column, c.kind, c.args, c.severity, known[key_of(c)]) for c in counted],
+            "model string, column_name string, test string, args string, severity string, failures long"))
+    checks = [c for c in checks if key_of(c) not in known]
     for check in checks:
         if check.kind in ROW_LEVEL:
             by_model.setdefault((check.model, check.source), []).append(check)
@@ -383,7 +419,7 @@ def run_checks(pipeline, kind: str | None = None, models: Sequence[str] | None =
                  and c.model not in pipeline.built}
     if share_orders and len(consumers) > 1 and "int_orders_enriched" not in pipeline.__dict__:
         pipeline.share_orders("checkpoint")
-    return report(chosen, pipeline_resolver(pipeline))
+    return report(chosen, pipeline_resolver(pipeline), pipeline.counted)
 
 
 class DataQualityError(Exception):
@@ -399,25 +435,74 @@ def raise_on_error(results: Sequence) -> Sequence:
     return results
 
 
+FAILURE_COLUMNS = "model string, check string, row string, value string, n_records long"
+
+
+def check_name(check: Check) -> str:
+    """Folder-safe name of a check within its model."""
+    return f"{check.kind}_{check.column}"
+
+
+def failures(checks: Sequence[Check], df: DataFrame,
+             parent: Callable[[Check], DataFrame]) -> DataFrame:
+    """Failing rows of all ``checks`` of one table, from one scan of it.
+
+    (model, check, row, value, n_records): a row-level failure is the ``row`` as
+    JSON with the ``value`` of the checked column; a value outside its list, a
+    repeated key and a key without a parent are the value and its number of rows.
+    Passing rows are fanned out only where a check needs every key (unique,
+    relationships), as (check, key), combined map-side.
+    """
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    nothing = F.lit(None).cast("string")
+    tags = []
+    for i, c in enumerate(checks):
+        value = F.col(c.column).cast("string")
+        grouped = c.kind in ("unique", "relationships", "accepted_values")
+        found = F.col(c.column).isNotNull() if c.kind in ("unique", "relationships") else _violation(c)
+        tags.append(F.when(found, F.struct(
+            F.lit(i).alias("i"), (nothing if grouped else whole).alias("row"), value.alias("value"))))
+    fan = df.select(F.explode(F.filter(F.array(*tags), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    counted = fan.groupBy("i", "row", "value").agg(F.count(F.lit(1)).alias("n_records"))
+    unique_ids = [i for i, c in enumerate(checks) if c.kind == "unique"]
+    found = counted.where(~F.col("i").isin(unique_ids) | (F.col("n_records") > 1))
+    related = [(i, c) for i, c in enumerate(checks) if c.kind == "relationships"]
+    if related:
+        keys = None
+        for i, c in related:
+            each = parent(c).select(F.lit(i).alias("i"), F.col(c.to_field).cast("string").alias("value"))
+            keys = each if keys is None else keys.unionByName(each)
+        found = found.join(keys.distinct(), ["i", "value"], "left_anti")
+    names = F.array(*[F.lit(check_name(c)) for c in checks])
+    return found.select(F.lit(checks[0].model).alias("model"), F.element_at(names, F.col("i") + 1).alias("check"),
+                        "row", "value", "n_records")
+
+
 def store_failures(pipeline, spark: SparkSession, results: Sequence, warehouse: str | None = None,
                    schema: str | None = None) -> dict[str, str]:
     """Write the failing rows of every check in ``results`` (collected report rows).
 
-    Full refresh per check: a check that passes leaves an empty table, so no
-    failures of an earlier run stay behind.
+    One table per checked table, written in one pass and partitioned by check. A
+    full refresh: a run in which everything passes leaves an empty table, so no
+    failures of an earlier run stay behind. Returns its place by table.
     """
-    from agora.sources.sinks import FAILURES_SCHEMA, write_table
+    from agora.sources.sinks import FAILURES_SCHEMA, publish, stage_table
 
     schema = schema or FAILURES_SCHEMA
     resolve = pipeline_resolver(pipeline)
-    failures = {(r.model, r.column_name, r.test, r.args): r.failures for r in results}
-    written = {}
+    counts = {key_of(r): r.failures for r in results}
+    by_table: dict[tuple[str, bool], list[Check]] = {}
     for check in CHECKS:
-        n = failures.get((check.model, check.column, check.kind, check.args))
-        if n is None:
-            continue
-        found = violations(check, resolve)
-        name = f"{check.kind}_{check.model}_{check.column}"
+        if key_of(check) in counts:
+            by_table.setdefault((check.model, check.source), []).append(check)
+    staged = {}
+    for (model, source), checks in by_table.items():
+        name = f"{'source_' if source else ''}{model}_failures"
         path = None if warehouse is None else f"{warehouse.rstrip('/')}/{schema}/{name}"
-        written[name] = write_table(spark, found if n else found.limit(0), name, schema, path)
-    return written
+        failing = [c for c in checks if counts[key_of(c)]]
+        found = (failures(failing, resolve(failing[0], model), lambda c: resolve(c, c.to_model))
+                 if failing else spark.createDataFrame([], FAILURE_COLUMNS))
+        # at most one file per check and task of the few failing rows
+        staged[name] = stage_table(spark, found.select("model", "row", "value", "n_records", "check"),
+                                   name, schema, path, partition_by=["check"] if failing else [])
+    return dict(zip(staged, publish(spark, list(staged.values()))))

@@ -21,7 +21,9 @@ Shape of the plans, with scale in mind:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agora.functions.compat import (
@@ -100,19 +102,32 @@ def order_payments_summary(payments: DataFrame) -> DataFrame:
 
 
 def int_orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                        reviews: DataFrame, distinct_counts: bool = True) -> DataFrame:
+                        reviews: DataFrame, distinct_counts: bool = True,
+                        hot: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """One row per order with item, payment and review measures and calendar keys.
 
     ``distinct_counts=False`` leaves ``distinct_products`` and ``distinct_sellers`` out, for
-    consumers that need the sums only.
+    consumers that need the sums only. ``hot`` holds the rows of orders that are
+    stored apart, of at most 1000 orders, by ``items``, ``payments`` and ``reviews``: those
+    are rolled up by themselves and looked up, and what is bucketed by order_id meets
+    in place.
     """
-    o = orders.alias("o")
-    i = order_items_summary(items, distinct_counts).alias("i")
-    p = order_payments_summary(payments).alias("p")
-    r = reviews.select("order_id", "review_score", "sentiment").alias("r")
-    joined = (o.join(i, F.col("o.order_id") == F.col("i.order_id"), "left")
-               .join(p, F.col("o.order_id") == F.col("p.order_id"), "left")
-               .join(r, F.col("o.order_id") == F.col("r.order_id"), "left"))
+    summaries = {"i": ("items", items, lambda df: order_items_summary(df, distinct_counts)),
+                 "p": ("payments", payments, order_payments_summary),
+                 "r": ("reviews", reviews,
+                       lambda df: df.select("order_id", "review_score", "sentiment"))}
+    joined, apart = orders.alias("o"), set()
+    for alias, (name, rows, summary) in summaries.items():
+        sides = [(alias, summary(rows))]
+        if hot and name in hot:                             # an order is in one of the two
+            apart.add(alias)
+            sides.append((f"{alias}_hot", F.broadcast(summary(hot[name]))))
+        for side, df in sides:
+            joined = joined.join(df.alias(side), F.col("o.order_id") == F.col(f"{side}.order_id"), "left")
+
+    def of(column: str) -> Column:
+        alias, name = column.split(".")
+        return F.coalesce(column, f"{alias}_hot.{name}") if alias in apart else F.col(column)
     zero = F.lit(0)
     purchased = F.col("o.purchased_at")
     return joined.select(
@@ -120,18 +135,18 @@ def int_orders_enriched(orders: DataFrame, items: DataFrame, payments: DataFrame
             "order_id", "customer_id", "order_status", "purchased_at", "approved_at",
             "shipped_at", "delivered_at", "estimated_delivery_at", "days_to_deliver",
             "is_late_delivery")],
-        F.coalesce("i.item_count", zero).alias("item_count"),
-        *[F.coalesce(f"i.{c}", zero).alias(c) for c in ("distinct_products", "distinct_sellers")
+        F.coalesce(of("i.item_count"), zero).alias("item_count"),
+        *[F.coalesce(of(f"i.{c}"), zero).alias(c) for c in ("distinct_products", "distinct_sellers")
           if distinct_counts],
-        F.coalesce("i.items_revenue", zero).cast("double").alias("items_revenue"),
-        F.coalesce("i.freight_revenue", zero).cast("double").alias("freight_revenue"),
-        F.coalesce("i.gross_order_value", zero).cast("double").alias("gross_order_value"),
-        F.coalesce("p.total_payment_value", zero).cast("double").alias("total_payment_value"),
-        F.col("p.primary_payment_type").alias("primary_payment_type"),
-        F.coalesce("p.max_installments", F.lit(1)).alias("max_installments"),
-        F.coalesce("p.payment_methods_used", zero).alias("payment_methods_used"),
-        F.col("r.review_score").alias("review_score"),
-        F.col("r.sentiment").alias("review_sentiment"),
+        F.coalesce(of("i.items_revenue"), zero).cast("double").alias("items_revenue"),
+        F.coalesce(of("i.freight_revenue"), zero).cast("double").alias("freight_revenue"),
+        F.coalesce(of("i.gross_order_value"), zero).cast("double").alias("gross_order_value"),
+        F.coalesce(of("p.total_payment_value"), zero).cast("double").alias("total_payment_value"),
+        of("p.primary_payment_type").alias("primary_payment_type"),
+        F.coalesce(of("p.max_installments"), F.lit(1)).alias("max_installments"),
+        F.coalesce(of("p.payment_methods_used"), zero).alias("payment_methods_used"),
+        of("r.review_score").alias("review_score"),
+        of("r.sentiment").alias("review_sentiment"),
         trunc_ts("month", purchased).alias("order_month"),
         trunc_ts("week", purchased).alias("order_week"),
         day_of_week_sun0(purchased).alias("purchase_day_of_week"),

@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from agora.plans import core, enrich, marts, rfm, staging
@@ -34,6 +34,8 @@ LAYERS = {
     "mart_revenue_monthly": "analytics", "mart_delivery_performance": "analytics",
     "mart_seller_health": "analytics",
 }
+# Tables written partitioned by month; the models read from them have no such column.
+BY_MONTH = ("stg_orders", "fct_orders")
 MARTS = tuple(name for name, layer in LAYERS.items() if layer in ("core", "analytics"))
 
 
@@ -56,15 +58,16 @@ class Pipeline:
     timings: dict[str, float] = field(default_factory=dict, repr=False)
     built: set[str] = field(default_factory=set, repr=False)  # models read from written tables
     _orders_shared: bool = field(default=False, repr=False)
+    # failures of row-level checks counted while their marts were written
+    counted: dict[tuple, int] = field(default_factory=dict, repr=False)
 
     # ------------------------------------------------------------- staging
     @cached_property
     def stg_orders(self) -> DataFrame:
-        out = staging.stg_orders(self.raw["orders"])
-        if self.date_window is not None:
-            start, end = self.date_window
-            out = out.where(F.to_date("purchased_at").between(F.lit(start), F.lit(end)))
-        return out
+        raw = self.raw["orders"]
+        if self.date_window is not None:                    # reads its months of a partitioned table
+            raw = sinks.in_window(raw, "order_purchase_timestamp", *self.date_window)
+        return staging.stg_orders(raw)
 
     @cached_property
     def stg_customers(self) -> DataFrame:
@@ -111,17 +114,28 @@ class Pipeline:
     # -------------------------------------------------------- intermediate
     @cached_property
     def int_orders_enriched(self) -> DataFrame:
-        return enrich.int_orders_enriched(self.stg_orders, self.stg_order_items,
-                                          self.stg_order_payments, self.latest_review_scores)
+        return self._order_grain(distinct_counts=True)
+
+    def _order_grain(self, distinct_counts: bool) -> DataFrame:
+        """The order grain; facts of hot orders that are stored apart are rolled up apart."""
+        facts = {"items": ("order_items", staging.stg_order_items),
+                 "payments": ("order_payments", staging.stg_order_payments),
+                 "reviews": ("order_reviews", staging.latest_review_scores)}
+        whole = {"items": lambda: self.stg_order_items, "payments": lambda: self.stg_order_payments,
+                 "reviews": lambda: self.latest_review_scores}
+        parts = {name: build(self.raw[f"{table}_cold"]) if f"{table}_cold" in self.raw else whole[name]()
+                 for name, (table, build) in facts.items()}
+        hot = {name: build(self.raw[f"{table}_hot"]) for name, (table, build) in facts.items()
+               if f"{table}_hot" in self.raw}
+        return enrich.int_orders_enriched(self.stg_orders, parts["items"], parts["payments"],
+                                          parts["reviews"], distinct_counts, hot)
 
     @property
     def order_sums(self) -> DataFrame:
         """The order grain for consumers that read no distinct count: the shared table, if any."""
         if self._orders_shared:
             return self.int_orders_enriched
-        return enrich.int_orders_enriched(self.stg_orders, self.stg_order_items,
-                                          self.stg_order_payments, self.latest_review_scores,
-                                          distinct_counts=False)
+        return self._order_grain(distinct_counts=False)
 
     @cached_property
     def customer_places(self) -> DataFrame:
@@ -216,6 +230,7 @@ class Pipeline:
         for name in (*LAYERS, "rfm_segmentation", "customer_places", "latest_review_scores", "geo"):
             self.__dict__.pop(name, None)
         self.built.clear()
+        self.counted.clear()
         self._orders_shared = False
 
     @staticmethod
@@ -225,7 +240,7 @@ class Pipeline:
 
     def build(self, spark: SparkSession, warehouse: str | None = None,
               names: tuple[str, ...] = MARTS, share: str = "checkpoint",
-              staging_tables: bool = False) -> dict[str, str]:
+              staging_tables: bool = False, check: bool = False) -> dict[str, str]:
         """Register staging views and write the marts (full refresh from the raw tables).
 
         With ``warehouse`` the marts are written under ``<warehouse>/<schema>/<name>``,
@@ -235,7 +250,11 @@ class Pipeline:
         ``fct_orders`` by the delivery mart, ``dim_sellers`` by seller health),
         which cuts their lineage at a durable table instead of recomputing it.
         After the last one is written all are published; a build that fails
-        before leaves the earlier tables as they were.
+        before leaves the earlier tables as they were. With ``check`` the row-level
+        checks of each mart are counted on its write (``counted``), and the
+        checks that follow read the marts only for keys. The order grain is
+        checked for repeated order ids, which later models rely on, in any case:
+        a build with one raises ``DataQualityError`` and publishes nothing.
 
         The staging views belong to the session (Spark keeps views across
         sessions only as SQL text); ``staging_tables`` also writes them as
@@ -249,11 +268,11 @@ class Pipeline:
                     sinks.register_view(self.model(name), name)
                     if staging_tables:
                         self._stage(spark, staged, name, warehouse)
-            self.share_orders(share)
+            self._require_unique_orders(self.share_orders(share))
             for name in names:
                 started = time.perf_counter()
-                self._stage(spark, staged, name, warehouse)
-                self.__dict__[name] = spark.read.parquet(staged[name].location)
+                self._stage(spark, staged, name, warehouse, check)
+                self.__dict__[name] = spark.read.parquet(staged[name].location).drop(sinks.MONTH)
                 self.timings[name] = time.perf_counter() - started
         except BaseException:
             sinks.discard(spark, list(staged.values()))
@@ -265,14 +284,39 @@ class Pipeline:
             self._read_built(spark, name, written[name])
         return written
 
+    @staticmethod
+    def _require_unique_orders(orders: DataFrame) -> None:
+        from agora.operators.quality import DataQualityError, unique
+
+        repeated = unique(orders, "order_id").limit(1).collect()
+        if repeated:
+            raise DataQualityError(f"order_id {repeated[0].unique_field} is repeated in the orders")
+
     def _stage(self, spark: SparkSession, staged: dict[str, sinks.Staged], name: str,
-               warehouse: str | None) -> None:
-        staged[name] = sinks.stage_table(spark, self.model(name), name,
-                                         sinks.LAYER_SCHEMAS[LAYERS[name]],
-                                         self._path(warehouse, name))
+               warehouse: str | None, check: bool = False) -> None:
+        from agora.operators import quality
+
+        df = self.model(name)
+        counters = quality.counters(name) if check else {}
+        seen = Observation()
+        if counters:
+            df = df.observe(seen, *[c.alias(f"c{i}") for i, c in enumerate(counters.values())])
+        months = name in BY_MONTH
+        staged[name] = sinks.stage_table(
+            spark, sinks.by_month(df, "purchased_at") if months else df, name,
+            sinks.LAYER_SCHEMAS[LAYERS[name]], self._path(warehouse, name),
+            partition_by=[sinks.MONTH] if months else [])
+        for i, c in enumerate(counters):
+            n = int(seen.get[f"c{i}"] or 0)
+            # rows outside a list say nothing of how many values they hold, unless there are none
+            if n == 0 or c.kind != "accepted_values":
+                self.counted[quality.key_of(c)] = n
 
     def _read_built(self, spark: SparkSession, name: str, location: str) -> None:
-        self.__dict__[name] = sinks.read_table(spark, location)
+        df = sinks.read_table(spark, location)
+        if name in BY_MONTH and self.date_window is not None:
+            df = sinks.in_window(df, "purchased_at", *self.date_window)
+        self.__dict__[name] = df.drop(sinks.MONTH)
         self.built.add(name)
 
     def use_built(self, spark: SparkSession, warehouse: str | None = None,

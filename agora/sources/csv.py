@@ -12,6 +12,7 @@ commas, doubled quotes and (in reviews) line breaks, and a UTF-8 byte-order mark
 from __future__ import annotations
 
 import logging
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -20,13 +21,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agora.functions.compat import to_int
+from agora.operators.skew import hot_keys
 from agora.sources.records import records
 from agora.sources.schemas import RAW_FILES, RAW_SCHEMAS
-from agora.sources.sinks import discard, is_missing, publish, read_table, stage_table
+from agora.sources.sinks import (
+    MONTH, by_month, discard, is_missing, publish, read_table, stage_table)
 
 log = logging.getLogger(__name__)
 
 
+# Rows of a table below which no order is set apart.
+HOT_LEAST = 100_000
+
+# Tables partitioned by month, and the timestamp that decides it.
+BY_MONTH = {"orders": "order_purchase_timestamp"}
+
 # Tables whose quoted fields may hold line breaks.
 MULTI_LINE = ("order_reviews",)
 
@@ -96,15 +105,19 @@ def load_raw(spark: SparkSession, folder: str, target: str,
 
     Re-running gives the same tables. All files are written to new versions
     first and published together, so a load that fails leaves every earlier
-    table as it was. The row count of each table is observed on the write
-    itself, so the data is read once.
+    table as it was. Orders are partitioned by the month of their purchase, so
+    that a date window reads its months only. The row count of each table is
+    observed on the write itself, so the data is read once.
     """
     staged, rows = {}, {}
     try:
         for table, df in read_raw_folder(spark, folder, files).items():
             obs = Observation(f"load_{table}")
-            staged[table] = stage_table(spark, df.observe(obs, F.count(F.lit(1)).alias("rows")),
-                                        table, None, f"{target.rstrip('/')}/{table}", fmt)
+            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+            months = table in BY_MONTH
+            staged[table] = stage_table(
+                spark, by_month(df, BY_MONTH[table]) if months else df, table, None,
+                f"{target.rstrip('/')}/{table}", fmt, [MONTH] if months else [])
             rows[table] = int(obs.get["rows"])
     except BaseException:
         discard(spark, list(staged.values()))
@@ -128,3 +141,59 @@ def read_loaded(spark: SparkSession, target: str, fmt: str = "parquet") -> dict[
                 raise
             log.warning("raw table %s was not loaded under %s", table, target)
     return out
+
+
+# ------------------------------------------------------------ co-partitioned storage
+
+# Fact tables that meet on order_id.
+BY_ORDER = ("orders", "order_items", "order_payments", "order_reviews")
+HOT = "_hot"
+
+
+def load_bucketed(spark: SparkSession, raw: Mapping[str, DataFrame], buckets: int,
+                  database: str = "raw") -> dict[str, DataFrame]:
+    """The fact tables bucketed and sorted by order_id, as catalog tables published together.
+
+    Joins and roll-ups on order_id over them need no exchange. A bucket holds
+    whole orders, so the rows of an order with at least 1/1000 of a table (of
+    which there are at most 1000) go to a side table ``<table>_hot`` that is dealt
+    evenly; it is written only where such orders exist. Returns :func:`read_bucketed`.
+    """
+    staged = []
+    try:
+        for table in BY_ORDER:
+            df, rest = raw[table], raw[table]
+            if table != "orders":                           # unique there
+                keys = ([r.order_id for r in hot_keys(df, "order_id").collect()]
+                        if df.count() >= HOT_LEAST else [])
+                is_hot = F.col("order_id").isin(keys) if keys else F.lit(False)
+                rest = df.where(~F.coalesce(is_hot, F.lit(False)))
+                if keys:
+                    staged.append(stage_table(spark, df.where(is_hot), table + HOT, database))
+                else:
+                    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+                    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}{HOT}`")
+            staged.append(stage_table(spark, rest.repartition(buckets, "order_id"), table, database,
+                                      bucket_by=(buckets, "order_id")))
+    except BaseException:
+        discard(spark, staged)
+        raise
+    publish(spark, staged)
+    return read_bucketed(spark, raw, database)
+
+
+def read_bucketed(spark: SparkSession, raw: Mapping[str, DataFrame],
+                  database: str = "raw") -> dict[str, DataFrame]:
+    """``raw`` with its fact tables read from the bucketed ones.
+
+    A table with hot orders is there three times: whole, and its parts as
+    ``<table>_cold`` (bucketed) and ``<table>_hot``.
+    """
+    out = dict(raw)
+    for table in BY_ORDER:
+        cold = spark.table(f"`{database}`.`{table}`")
+        out[table] = cold
+        if spark.catalog.tableExists(f"{database}.{table}{HOT}"):
+            hot = spark.table(f"`{database}`.`{table}{HOT}`")
+            out[table], out[f"{table}_cold"], out[f"{table}{HOT}"] = cold.unionByName(hot), cold, hot
+    return out

@@ -15,6 +15,7 @@ readers that opened it; older ones are removed after the switch.
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 import uuid
 from collections.abc import Sequence
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Schema of each layer, and of stored test failures.
 LAYER_SCHEMAS = {
@@ -91,6 +93,8 @@ def _remove_older(spark: SparkSession, path: str, keep: set[str | None]) -> None
 def discard(spark: SparkSession, staged: Sequence[Staged]) -> None:
     """Remove versions that were written but not published."""
     for s in staged:
+        if s.bucketed:
+            spark.sql(f"DROP TABLE IF EXISTS {s.own_table}")
         fs, folder = _file_system(spark, s.location)
         fs.delete(folder, True)
 
@@ -105,6 +109,11 @@ class Staged:
     fmt: str
     table: str | None                   # catalog name, if it is a catalog table
     partition_by: tuple[str, ...] = ()
+    bucketed: bool = False              # written as a catalog table of the version's own name
+
+    @property
+    def own_table(self) -> str:
+        return f"{self.table[:-1]}_{self.version.replace('-', '_')}`"
 
     @property
     def location(self) -> str:
@@ -113,8 +122,15 @@ class Staged:
 
 def stage_table(spark: SparkSession, df: DataFrame, name: str, schema: str | None,
                 path: str | None = None, fmt: str = "parquet",
-                partition_by: Sequence[str] = ()) -> Staged:
-    """First phase: ``df`` in a new version folder of ``path``, or of the catalog table."""
+                partition_by: Sequence[str] = (),
+                bucket_by: tuple[int, str] | None = None) -> Staged:
+    """First phase: ``df`` in a new version folder of ``path``, or of the catalog table.
+
+    ``bucket_by`` is (buckets, column); rows are sorted by the column in each bucket. Only
+    the catalog knows buckets, so such a table has no ``path`` of its own.
+    """
+    if bucket_by and path:
+        raise ValueError("a bucketed table is a catalog table")
     table = None
     if path is None:
         database = schema_name(spark, schema)
@@ -127,13 +143,18 @@ def stage_table(spark: SparkSession, df: DataFrame, name: str, schema: str | Non
     writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(f"{path}/{version}")
-    return Staged(path, version, fmt, table, tuple(partition_by))
+    staged = Staged(path, version, fmt, table, tuple(partition_by), bool(bucket_by))
+    if bucket_by:
+        (writer.bucketBy(*bucket_by).sortBy(bucket_by[1]).option("path", staged.location)
+         .saveAsTable(staged.own_table))
+    else:
+        writer.save(staged.location)
+    return staged
 
 
 def _publish_catalog(spark: SparkSession, s: Staged) -> str | None:
     """Point the catalog table at the version; returns the version before."""
-    written = spark.read.format(s.fmt).load(s.location)
+    written = spark.table(s.own_table) if s.bucketed else spark.read.format(s.fmt).load(s.location)
     before = None
     if spark.catalog.tableExists(s.table.replace("`", "")):
         old = spark.table(s.table)
@@ -142,11 +163,14 @@ def _publish_catalog(spark: SparkSession, s: Staged) -> str | None:
         before = facts.get("Location", "").rstrip("/").rsplit("/", 1)[-1]
         partitioned = any(r.col_name == "# Partition Information" for r in rows)
         if (old.schema == written.schema and facts.get("Type") == "EXTERNAL"
-                and not (partitioned or s.partition_by)):
+                and not (partitioned or s.partition_by or s.bucketed)):
             spark.sql(f"ALTER TABLE {s.table} SET LOCATION '{s.location}'")
             spark.catalog.refreshTable(s.table)
             return before
-        spark.sql(f"DROP TABLE {s.table}")                  # its columns changed
+        spark.sql(f"DROP TABLE {s.table}")                  # its columns or layout changed
+    if s.bucketed:
+        spark.sql(f"ALTER TABLE {s.own_table} RENAME TO {s.table}")
+        return before
     spark.catalog.createTable(s.table.replace("`", ""), path=s.location, source=s.fmt)
     if s.partition_by:
         spark.catalog.recoverPartitions(s.table.replace("`", ""))
@@ -186,5 +210,25 @@ def read_table(spark: SparkSession, location: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(version or location)
 
 
+# ---------------------------------------------------------------- partitions by month
+
+MONTH = "purchase_month"                # partition column: year * 100 + month (0: no date)
+
+
+def by_month(df: DataFrame, timestamp: str) -> DataFrame:
+    """``df`` with the partition column of its timestamps, rebalanced so that a month is few files."""
+    at = F.col(timestamp)
+    month = F.coalesce(F.year(at) * 100 + F.month(at), F.lit(0)).cast("int")
+    return df.withColumn(MONTH, month).hint("rebalance", MONTH)
+
+
+def in_window(df: DataFrame, timestamp: str, start: dt.date, end: dt.date) -> DataFrame:
+    """Rows whose timestamp is within [start, end], days included; of a table partitioned by
+    month only the folders of the window are read."""
+    if MONTH in df.columns:
+        df = df.where(F.col(MONTH).between(start.year * 100 + start.month, end.year * 100 + end.month))
+    return df.where(F.to_date(timestamp).between(F.lit(start), F.lit(end)))
+
+
 def is_missing(exc: AnalysisException) -> bool:
     return exc.getCondition() == "PATH_NOT_FOUND"

@@ -124,21 +124,75 @@ def test_declared_checks_on_shop(shop):
 
 
 def test_failures_are_refreshed_also_on_pass(spark, tmp_path):
+    import json
+
     from agora.plans.pipeline import Pipeline
+    from agora.sources.sinks import read_table
     from tests.fixtures import raw, shop_pipeline
 
     where = str(tmp_path)
-    name = "between_dim_sellers_one_star_rate"
+    name = f"{where}/audit/dim_sellers_failures"
     pipe = shop_pipeline(spark)
     results = pipe.check(spark, kind="between", store_failures=True, warehouse=where)
     assert {r.test for r in results} == {"between"} and len(results) == 30
-    stored = spark.read.parquet(f"{where}/audit/{name}")
-    assert rows(stored, "seller_id", "one_star_rate") == [("s1", 2.0)]
-    assert not (tmp_path / "audit" / "unique_dim_sellers_seller_id").exists()  # other kinds not run
+    stored = read_table(spark, name).where("check = 'between_one_star_rate'").collect()
+    assert [(json.loads(r.row)["seller_id"], r.value, r.n_records) for r in stored] == [("s1", "2.0", 1)]
     tables = dict(pipe.raw)
     tables["order_reviews"] = raw(spark, "order_reviews", [])
     Pipeline(tables).check(spark, kind="between", store_failures=True, warehouse=where)
-    assert spark.read.parquet(f"{where}/audit/{name}").count() == 0
+    assert read_table(spark, name).where("check = 'between_one_star_rate'").count() == 0
+
+
+def test_failures_of_all_checks_from_one_scan(spark, table):
+    parent = spark.createDataFrame([(1,), (3,)], "k int")
+    checks = [dq.Check("t", "k", "unique"), dq.Check("t", "k", "not_null"),
+              dq.Check("t", "s", "accepted_values", values=("a", "b")),
+              dq.Check("t", "x", "between", min_value=0, max_value=1),
+              dq.Check("t", "n", "assert_positive"),
+              dq.Check("t", "k", "relationships", to_model="p", to_field="k")]
+    found = dq.failures(checks, table, lambda c: parent)
+    got = {tuple(r) for r in found.select("check", "value", "n_records").collect()}
+    assert got == {("accepted_values_s", "zz", 2), ("assert_positive_n", "-1", 1), ("between_x", "-0.1", 1),
+                   ("between_x", "2.0", 1), ("relationships_k", "2", 1), ("unique_k", "1", 2),
+                   ("not_null_k", None, 1)}
+    table.write.mode("overwrite").saveAsTable("scan_once")
+    plan = dq.failures(checks, spark.table("scan_once"), lambda c: parent)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.split("Initial Plan")[-1].count("FileScan") == 1
+    # the report counts the same failures
+    report = dq.report(checks, lambda check, name: parent if name == "p" else table)
+    by_check = {f"{r.test}_{r.column_name}": r.failures for r in report.collect()}
+    stored = found.groupBy("check").agg(F.count("*").alias("n"), F.sum("n_records").alias("r"))
+    for r in stored.collect():
+        assert by_check[r.check] == (r.r if r.check.startswith("relationships") else r.n)
+
+
+def test_checks_counted_on_the_write_need_no_scan(spark, tmp_path):
+    from agora.plans.pipeline import Pipeline
+    from tests.fixtures import shop_pipeline
+
+    pipe = shop_pipeline(spark)
+    pipe.build(spark, warehouse=str(tmp_path), check=True)
+    again = Pipeline(dict(pipe.raw))
+    again.use_built(spark, warehouse=str(tmp_path))
+    key = lambda rs: sorted(tuple(r) for r in rs)
+    assert key(pipe.check(spark)) == key(again.check(spark))
+    between = [c for c in dq.CHECKS if c.kind == "between" and not c.source]
+    marts_only = [c for c in between if dq.key_of(c) in pipe.counted]
+    assert len(marts_only) > 20
+    plan = dq.report(marts_only, dq.pipeline_resolver(pipe), pipe.counted)
+    assert "FileScan" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_build_stops_at_a_repeated_order(spark, tmp_path):
+    from agora.plans.pipeline import Pipeline
+    from tests.fixtures import shop_pipeline
+
+    tables = dict(shop_pipeline(spark).raw)
+    tables["orders"] = tables["orders"].union(tables["orders"].where("order_id = 'o1'"))
+    with pytest.raises(dq.DataQualityError, match="o1"):
+        Pipeline(tables).build(spark, warehouse=str(tmp_path), names=("fct_orders",))
+    assert not (tmp_path / "core").exists() or not list((tmp_path / "core" / "fct_orders").glob("_current"))
 
 
 def test_checks_on_built_tables(spark, tmp_path):

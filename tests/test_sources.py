@@ -298,3 +298,77 @@ def test_versions_published_and_removed(spark, tmp_path):
     sinks.write_table(spark, spark.range(3), "pub", "audit")
     sinks.write_table(spark, spark.range(5).selectExpr("id", "id * 2 AS twice"), "pub", "audit")
     assert spark.table("audit.pub").columns == ["id", "twice"] and spark.table("audit.pub").count() == 5
+
+
+def _orders_by_month(months):
+    header = ",".join(["order_id", "customer_id", "order_status", "order_purchase_timestamp",
+                       "order_approved_at", "order_delivered_carrier_date",
+                       "order_delivered_customer_date", "order_estimated_delivery_date"])
+    return header + "\n" + "\n".join(
+        f"o{m}{i},c{i},delivered,{2017 + m // 12}-{m % 12 + 1:02d}-{i + 1:02d} 10:00:00,,,,"
+        for m in range(months) for i in range(5)) + "\nox,c1,created,,,,,\n"
+
+
+def test_date_window_reads_its_months_only(spark, tmp_path):
+    import datetime as dt
+    import re
+
+    src, target = str(tmp_path / "csv"), str(tmp_path / "raw")
+    os.makedirs(src)
+    _write(src, RAW_FILES["orders"], _orders_by_month(18))
+    csv_source.load_raw(spark, src, target)
+    raw = csv_source.read_loaded(spark, target)
+    assert Pipeline(raw).stg_orders.count() == 91
+    assert "purchase_month" not in Pipeline(raw).stg_orders.columns
+    pipe = Pipeline(raw, date_window=(dt.date(2017, 11, 3), dt.date(2018, 1, 2)))
+    df = pipe.stg_orders
+    assert sorted(r.order_id for r in df.collect()) == sorted(
+        [f"o10{i}" for i in range(2, 5)] + [f"o11{i}" for i in range(5)] + ["o120", "o121"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*purchase_month", plan)
+    files = df.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {re.search(r"purchase_month=(\d+)", r.f)[1] for r in files} == {"201711", "201712", "201801"}
+    # the written order fact too
+    fct = spark.range(36).select(F.col("id").alias("order_id"), F.make_timestamp_ntz(
+        F.lit(2017) + F.floor(F.col("id") / 12).cast("int"), (F.col("id") % 12 + 1).cast("int"),
+        F.lit(5), F.lit(0), F.lit(0), F.lit(0.0)).alias("purchased_at"))
+    from agora.sources import sinks
+    where = sinks.write_table(spark, sinks.by_month(fct, "purchased_at"), "fct_orders", "core",
+                              f"{tmp_path}/wh/core/fct_orders", partition_by=[sinks.MONTH])
+    built = Pipeline({}, date_window=(dt.date(2018, 2, 1), dt.date(2018, 3, 31)))
+    built.use_built(spark, f"{tmp_path}/wh", names=("fct_orders",))
+    assert sorted(r.order_id for r in built.fct_orders.collect()) == [13, 14] and where
+    assert built.fct_orders.columns == ["order_id", "purchased_at"]
+    assert "purchase_month" in built.fct_orders._jdf.queryExecution().executedPlan().toString()
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    return plan.count("Exchange ")
+
+
+def test_order_grain_of_bucketed_tables_needs_no_exchange(spark, monkeypatch):
+    plain = from_testdata(spark, "/root/testdata/sf0.001")
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        raw = csv_source.load_bucketed(spark, plain.raw, buckets=4)
+        stored = Pipeline(raw)
+        assert _exchanges(stored.int_orders_enriched) == 0
+        want = sorted(map(str, plain.int_orders_enriched.collect()))
+        assert sorted(map(str, stored.int_orders_enriched.collect())) == want
+        # a third of the items in one order: its rows lie apart and are spread
+        tables = dict(plain.raw)
+        tables["order_items"] = tables["order_items"].withColumn(
+            "order_id", F.when(F.col("order_item_id") % 3 == 0, 7).otherwise(F.col("order_id")).cast("bigint"))
+        monkeypatch.setattr(csv_source, "HOT_LEAST", 3000)
+        skewed = Pipeline(csv_source.load_bucketed(spark, tables, buckets=4))
+        assert {"order_items_cold", "order_items_hot"} <= set(skewed.raw)
+        assert "order_payments_hot" not in skewed.raw
+        hot = skewed.raw["order_items_hot"]
+        assert hot.where("order_id = 7").count() == tables["order_items"].where("order_id = 7").count()
+        assert hot.count() + skewed.raw["order_items_cold"].count() == 6000
+        want = sorted(map(str, Pipeline(tables).int_orders_enriched.collect()))
+        assert sorted(map(str, skewed.int_orders_enriched.collect())) == want
+        monkeypatch.undo()
+        again = csv_source.load_bucketed(spark, plain.raw, buckets=8)       # published anew
+        assert "order_items_hot" not in again and again["order_items"].count() == 6000
