@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from agora.plans import core, enrich, marts, rfm, staging
+from agora.plans import core, enrich, marts, rfm, staging, staging_views
 from agora.session import ensure_checkpoint_dir
 from agora.sources import sinks
 
@@ -240,7 +240,8 @@ class Pipeline:
 
     def build(self, spark: SparkSession, warehouse: str | None = None,
               names: tuple[str, ...] = MARTS, share: str = "checkpoint",
-              staging_tables: bool = False, check: bool = False) -> dict[str, str]:
+              staging_tables: bool = False, check: bool = False,
+              raw_database: str | None = None) -> dict[str, str]:
         """Register staging views and write the marts (full refresh from the raw tables).
 
         With ``warehouse`` the marts are written under ``<warehouse>/<schema>/<name>``,
@@ -256,12 +257,15 @@ class Pipeline:
         checked for repeated order ids, which later models rely on, in any case:
         a build with one raises ``DataQualityError`` and publishes nothing.
 
-        The staging views belong to the session (Spark keeps views across
-        sessions only as SQL text); ``staging_tables`` also writes them as
-        tables of the ``staging`` schema, for later sessions.
+        The staging views belong to the session, as any DataFrame's; over raw
+        tables of the catalog database ``raw_database`` they are created as catalog
+        views of the ``staging`` schema, which later sessions read too.
+        ``staging_tables`` writes the staging models as tables instead.
         """
         self._forget()
         staged: dict[str, sinks.Staged] = {}
+        if raw_database and not staging_tables:
+            staging_views.create_views(spark, raw_database, sinks.LAYER_SCHEMAS["staging"])
         try:
             for name, layer in LAYERS.items():
                 if layer == "staging":

@@ -99,9 +99,11 @@ class LoadResult:
     location: str
 
 
-def load_raw(spark: SparkSession, folder: str, target: str,
-             files: dict[str, str] | None = None, fmt: str = "parquet") -> list[LoadResult]:
-    """Full refresh: each CSV found replaces its table under ``target``.
+def load_raw(spark: SparkSession, folder: str, target: str | None,
+             files: dict[str, str] | None = None, fmt: str = "parquet",
+             database: str = "raw") -> list[LoadResult]:
+    """Full refresh: each CSV found replaces its table under ``target`` (None: in the
+    catalog, as ``<database>.<table>``).
 
     Re-running gives the same tables. All files are written to new versions
     first and published together, so a load that fails leaves every earlier
@@ -116,8 +118,8 @@ def load_raw(spark: SparkSession, folder: str, target: str,
             df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
             months = table in BY_MONTH
             staged[table] = stage_table(
-                spark, by_month(df, BY_MONTH[table]) if months else df, table, None,
-                f"{target.rstrip('/')}/{table}", fmt, [MONTH] if months else [])
+                spark, by_month(df, BY_MONTH[table]) if months else df, table, database,
+                f"{target.rstrip('/')}/{table}" if target else None, fmt, [MONTH] if months else [])
             rows[table] = int(obs.get["rows"])
     except BaseException:
         discard(spark, list(staged.values()))
@@ -129,17 +131,19 @@ def load_raw(spark: SparkSession, folder: str, target: str,
     return results
 
 
-def read_loaded(spark: SparkSession, target: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+def read_loaded(spark: SparkSession, target: str | None, fmt: str = "parquet",
+                database: str = "raw") -> dict[str, DataFrame]:
     """Open the tables written by :func:`load_raw`; a table that was not loaded is left out
     with a warning."""
     out = {}
     for table in RAW_SCHEMAS:
         try:
-            out[table] = read_table(spark, f"{target.rstrip('/')}/{table}", fmt)
+            out[table] = read_table(spark, f"{target.rstrip('/')}/{table}" if target
+                                    else f"`{database}`.`{table}`", fmt)
         except AnalysisException as exc:
             if not is_missing(exc):
                 raise
-            log.warning("raw table %s was not loaded under %s", table, target)
+            log.warning("raw table %s was not loaded under %s", table, target or database)
     return out
 
 

@@ -45,7 +45,10 @@ def schema_name(spark: SparkSession, custom: str | None) -> str:
 
 
 def register_view(df: DataFrame, name: str) -> None:
-    """View materialization: a lazily evaluated, session-scoped name."""
+    """View materialization of any DataFrame: a lazily evaluated, session-scoped name.
+
+    Over raw tables in the catalog, ``plans.staging_views`` creates views that outlive it.
+    """
     df.createOrReplaceTempView(name)
 
 
@@ -231,4 +234,4 @@ def in_window(df: DataFrame, timestamp: str, start: dt.date, end: dt.date) -> Da
 
 
 def is_missing(exc: AnalysisException) -> bool:
-    return exc.getCondition() == "PATH_NOT_FOUND"
+    return exc.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")

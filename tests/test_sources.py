@@ -372,3 +372,37 @@ def test_order_grain_of_bucketed_tables_needs_no_exchange(spark, monkeypatch):
         monkeypatch.undo()
         again = csv_source.load_bucketed(spark, plain.raw, buckets=8)       # published anew
         assert "order_items_hot" not in again and again["order_items"].count() == 6000
+
+
+def test_staging_views_outlive_the_session(spark, tmp_path):
+    from agora.plans.staging_views import VIEWS
+    from agora.sources import sinks
+
+    plain = from_testdata(spark, "/root/testdata/sf0.001")
+    for table, df in plain.raw.items():
+        sinks.write_table(spark, df, table, "raw_views")
+    raw = {t: spark.table(f"raw_views.{t}") for t in plain.raw}
+    pipe = Pipeline(raw)
+    pipe.build(spark, names=("fct_orders",), raw_database="raw_views")
+    later = spark.newSession()
+    for name in VIEWS:
+        got, want = later.table(f"staging.{name}"), plain.model(name)
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema], name
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    # a view follows its raw table to the next version
+    sinks.write_table(spark, plain.raw["sellers"].limit(3), "sellers", "raw_views")
+    assert spark.newSession().table("staging.stg_sellers").count() == 3
+    for name in VIEWS:
+        spark.sql(f"DROP VIEW staging.{name}")
+
+
+def test_load_into_the_catalog(spark, tmp_path):
+    src = str(tmp_path)
+    _write(src, RAW_FILES["orders"], _orders_by_month(3))
+    _write(src, RAW_FILES["sellers"], SELLERS)
+    for _ in range(2):                                      # a full refresh each
+        csv_source.load_raw(spark, src, None, database="raw_cat")
+    tables = csv_source.read_loaded(spark, None, database="raw_cat")
+    assert set(tables) == {"orders", "sellers"}
+    assert tables["orders"].count() == 16 and tables["sellers"].count() == 1
+    assert tables["orders"].where("purchase_month = 201702").count() == 5
