@@ -560,7 +560,7 @@ def representatives(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     Rows without a word link with nothing and stay. Rows equal in id and text
     are one document: one of them stays.
     """
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"),
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
                          docs[id_col].cast("long").alias("doc_id"),
                          F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
                          .alias("row"))

@@ -275,7 +275,7 @@ def sanitise(docs: DataFrame, window: int = 64, min_contexts: int = 2, generalis
     rows = id_text(docs, id_col, text_col)
     found = contexts(rows, window)
     terms = term_spans(rows, found, min_contexts, generalise_at)
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"),
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
                          docs[id_col].cast("long").alias("doc_id"),
                          F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
     base = found.filter(F.size("spans") > 0).select(

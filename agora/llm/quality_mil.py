@@ -9,8 +9,7 @@ attention unit weighs it,
 and the label is predicted from the weighted representation sum_k a_k h_k.
 
 Fitting: at most ``sample_docs`` labelled documents, the first by a hash of
-their id, with at most ``sample_passages`` evenly spaced passages each; both
-bounds are parameters, so what reaches the driver is bounded. Scoring reads
+their id, each with all its passages (a few numbers each). Scoring reads
 every passage of every document where the document lies; nothing is shuffled.
 """
 
@@ -23,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.common import id_text, map_batches
+from agora.llm.common import bound_batches, id_text, map_batches
 
 PASSAGE_WORDS = 64
 FEATURES = ("words", "mean_len", "dev_len", "max_len", "distinct", "distinct_pairs", "upper",
@@ -174,7 +173,7 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, hidden: int = 16, gate: int
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "quality",
-          sample_docs: int = 6000, sample_passages: int = 64, id_col: str = "doc_id",
+          sample_docs: int = 6000, id_col: str = "doc_id",
           text_col: str = "text") -> Model:
     """A model of the labelled documents for which ``usable`` (over column ``doc_id``) holds.
 
@@ -193,10 +192,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column, label_col: str = "
         def run(cols):
             out = []
             for text in cols["text"]:
-                x = encode(text)
-                if len(x) > sample_passages:
-                    x = x[np.linspace(0, len(x) - 1, sample_passages).astype(int)]
-                out.append(x.astype("<f4").tobytes())
+                out.append(encode(text).astype("<f4").tobytes())
             return {"doc_id": cols["doc_id"], "y": cols["y"], "x": out}
         return run
     sample = map_batches(rows.select("doc_id", "text", "y"), make, pa.schema(
@@ -235,12 +231,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text"
               ) -> DataFrame:
-    """The rows of ``docs`` scored at ``threshold`` or above; all columns as they are."""
+    """The rows of ``docs`` scored at ``threshold`` or above; all columns as they are.
+
+    NULL text is empty text; repeated rows share their score; an empty table keeps none.
+    """
+    bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def quality(texts):
         import pandas as pd
-        bags = [encode(t or "") for t in texts]
-        return pd.Series(shared.value.score(bags) if bags else [], dtype="float64")
+        scores = []
+        for at in range(0, len(texts), 256):
+            scores += shared.value.score([encode(t or "") for t in texts.iloc[at:at + 256]]).tolist()
+        return pd.Series(scores, dtype="float64")
     return docs.filter(quality(F.coalesce(docs[text_col].cast("string"), F.lit(""))) >= threshold)
