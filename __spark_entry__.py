@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,13 +25,16 @@ from agora.operators.ranking import global_rank, positions  # noqa: E402
 from agora.plans import enrich, questions  # noqa: E402
 from agora.plans.pipeline import Pipeline, from_testdata  # noqa: E402
 from agora.operators import quality as dq  # noqa: E402
-
-# The training-data operators are optional: their queries are added when the
-# subpackage is there (an error inside it is not swallowed).
-if os.path.exists(os.path.join(os.path.dirname(os.path.abspath(__file__)),
-                               "agora", "llm", "queries.py")):
+from agora.session import ensure_checkpoint_dir  # noqa: E402
+from agora.sources import csv as csv_source  # noqa: E402
+from agora.sources.schemas import RAW_FILES  # noqa: E402
+from agora.sources.sinks import read_table  # noqa: E402
+
+# The training-data operators are optional: their queries are added when the subpackage
+# can be imported.
+try:
     from agora.llm import queries as llm
-else:
+except ImportError:
     llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -122,6 +126,79 @@ def _first_by_order_query(p: Pipeline) -> DataFrame:
         "order_id", "primary_payment_type")
 
 
+# Storage: what is written to the shared folder is read back.
+def _folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/storage-{uuid.uuid4().hex}"
+
+
+def _csv_folder(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], folder: str) -> str:
+    """Raw tables as CSV folders under their file names; reviews get texts with breaks and quotes."""
+    raw = from_testdata(spark, sf_dir).raw
+    for table in tables:
+        df = raw[table]
+        if table == "order_reviews":
+            df = df.withColumn("review_comment_message", F.concat(
+                F.lit('said "ok",\nno '), F.col("review_id").cast("string")))
+        (df.write.option("header", True).option("quoteAll", True).option("escape", '"')
+         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{folder}/{RAW_FILES[table]}"))
+    return folder
+
+
+def _load(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> tuple[list, dict[str, DataFrame]]:
+    folder = _folder(spark)
+    source = _csv_folder(spark, sf_dir, tables, f"{folder}/csv")
+    results = csv_source.load_raw(spark, source, f"{folder}/raw")
+    return results, csv_source.read_loaded(spark, f"{folder}/raw")
+
+
+def _loaded_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with line breaks in their texts, from CSV in splits to the raw table and back."""
+    return _load(spark, sf_dir, ("order_reviews",))[1]["order_reviews"].select(
+        F.col("review_id").cast("bigint"), F.col("order_id").cast("bigint"), "review_score",
+        "review_comment_message", "review_creation_date", "review_answer_timestamp")
+
+
+def _loaded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table as the full-refresh load counts them; files that are missing are skipped."""
+    results, _ = _load(spark, sf_dir, ("customers", "sellers", "products"))
+    return spark.createDataFrame([(r.table, r.rows) for r in results], "table_name string, n_rows long")
+
+
+def _built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order fact built, published and read back by another pipeline."""
+    warehouse = _folder(spark)
+    from_testdata(spark, sf_dir).build(spark, warehouse, names=("fct_orders",))
+    later = Pipeline({})
+    later.use_built(spark, warehouse, names=("fct_orders",))
+    return later.fct_orders
+
+
+def _bucketed_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order grain from fact tables bucketed by order_id, with hot orders apart."""
+    raw = csv_source.load_bucketed(spark, from_testdata(spark, sf_dir).raw, buckets=8,
+                                   database=f"stored_{uuid.uuid4().hex[:8]}")
+    return Pipeline(raw).int_orders_enriched
+
+
+def _stored_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing orders of the business rule, stored by check and read back."""
+    pipe = from_testdata(spark, sf_dir)
+    results = dq.run_checks(pipe, kind="delivered_without_items").collect()
+    written = dq.store_failures(pipe, spark, results, _folder(spark))
+    return read_table(spark, written["fct_orders_failures"]).select(
+        "model", "check", F.get_json_object("row", "$.order_id").cast("bigint").alias("order_id"),
+        "value", "n_records")
+
+
+STORAGE: dict[str, Query] = {
+    "loaded_reviews": _loaded_reviews,
+    "loaded_counts": _loaded_counts,
+    "built_fct_orders": _built_fact,
+    "bucketed_order_grain": _bucketed_grain,
+    "stored_failures": _stored_failures,
+}
+
+
 QUESTIONS: dict[str, Callable[[Pipeline], DataFrame]] = {
     "q_gmv_by_month": lambda p: questions.gmv_trend(p.mart_revenue_monthly, "month"),
     "q_gmv_by_quarter": lambda p: questions.gmv_trend(p.mart_revenue_monthly, "quarter"),
@@ -164,6 +241,7 @@ def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: _model(name) for name in MODELS}
     out.update({name: _from_pipeline(build) for name, build in QUESTIONS.items()})
     out["stg_orders_window"] = _windowed_orders
+    out.update(STORAGE)
     if llm:
         out.update(llm.QUERIES)
     return out
@@ -251,6 +329,20 @@ SELECT customer_id, order_id, purchased_at, order_status FROM (
                                ORDER BY purchased_at DESC NULLS LAST, order_id DESC) AS rn
   FROM stg_orders) ranked WHERE rn = 1""",
     "first_by_order": "SELECT order_id, primary_payment_type FROM order_payments_agg",
+    "loaded_reviews": """
+SELECT review_id, order_id, review_score, 'said "ok",' || chr(10) || 'no ' || review_id
+         AS review_comment_message, review_creation_date, review_answer_timestamp
+FROM src_order_reviews""",
+    "loaded_counts": """
+SELECT 'customers' AS table_name, count(*) AS n_rows FROM src_customers
+UNION ALL SELECT 'sellers', count(*) FROM src_sellers
+UNION ALL SELECT 'products', count(*) FROM src_products""",
+    "built_fct_orders": "SELECT * FROM fct_orders",
+    "bucketed_order_grain": "SELECT * FROM int_orders_enriched",
+    "stored_failures": """
+SELECT 'fct_orders' AS model, 'delivered_without_items_item_count' AS check, order_id,
+       CAST(item_count AS VARCHAR) AS value, CAST(1 AS BIGINT) AS n_records
+FROM fct_orders WHERE order_status = 'delivered' AND item_count = 0""",
 }
 
 

@@ -209,21 +209,33 @@ SELECT zip_code_prefix, state, city, lat, lng FROM (
 ) ranked WHERE rn = 1""")
 
 # -------------------------------------------------------------- intermediate
-_cte("order_items_agg", """
-SELECT order_id, count(*) AS item_count,
-       count(DISTINCT product_id) AS distinct_products,
-       count(DISTINCT seller_id) AS distinct_sellers,
-       sum(item_price) AS items_revenue, sum(freight_value) AS freight_revenue,
-       sum(total_item_value) AS gross_order_value
-FROM stg_order_items GROUP BY order_id""")
+def _distinct_per_order(column: str) -> str:
+    return (f"(SELECT order_id, count({column}) AS n FROM "
+            f"(SELECT DISTINCT order_id, {column} FROM stg_order_items) pairs GROUP BY order_id)")
+
+
+# one row per order: the sums of its items, and the sizes of its two sets of pairs
+_cte("order_items_agg", f"""
+SELECT t.order_id, t.n AS item_count, p.n AS distinct_products, s.n AS distinct_sellers,
+       t.price AS items_revenue, t.freight AS freight_revenue, t.both_values AS gross_order_value
+FROM (SELECT order_id, count(*) AS n, sum(item_price) AS price, sum(freight_value) AS freight,
+             sum(total_item_value) AS both_values
+      FROM stg_order_items GROUP BY order_id) t
+JOIN {_distinct_per_order("product_id")} p ON p.order_id IS NOT DISTINCT FROM t.order_id
+JOIN {_distinct_per_order("seller_id")} s ON s.order_id IS NOT DISTINCT FROM t.order_id""")
+
+# one row per order and payment type, then per order: the type with the largest payment leads
+_cte("order_type_payments", """
+SELECT order_id, payment_type, sum(payment_value) AS value, max(payment_value) AS top,
+       max(installments) AS installments
+FROM stg_order_payments GROUP BY ALL""")
 
 _cte("order_payments_agg", """
-SELECT order_id, sum(payment_value) AS total_payment_value,
-       max(installments) AS max_installments,
-       first(payment_type ORDER BY payment_value DESC NULLS LAST, payment_type ASC NULLS LAST)
+SELECT order_id, sum(value) AS total_payment_value, max(installments) AS max_installments,
+       list_extract(list(payment_type ORDER BY top DESC NULLS LAST, payment_type NULLS LAST), 1)
          AS primary_payment_type,
-       count(DISTINCT payment_type) AS payment_methods_used
-FROM stg_order_payments GROUP BY order_id""")
+       count(payment_type) AS payment_methods_used
+FROM order_type_payments GROUP BY order_id""")
 
 _cte("int_orders_enriched", """
 SELECT o.order_id, o.customer_id, o.order_status, o.purchased_at, o.approved_at, o.shipped_at,
@@ -482,56 +494,65 @@ SELECT state, count(*) AS sellers_in_state,
        CAST(count(*) AS DOUBLE) * 100.0 / sum(count(*)) OVER () AS pct_of_all_sellers
 FROM dim_sellers GROUP BY state""")
 
-_cte("mart_seller_health", """
-SELECT r.seller_id, r.state, r.city, r.seller_lat, r.seller_lng, r.seller_tier, r.quality_tier,
-       r.is_risk_seller, r.revenue_rank, r.review_rank, r.revenue_decile,
-       r.revenue_rank <= 10 AS is_top_10_seller,
-       r.total_orders, r.total_items_sold, r.distinct_products, r.total_revenue,
-       r.avg_item_price, r.avg_days_to_deliver, r.late_delivery_rate, r.avg_review_score,
-       r.one_star_reviews, r.five_star_reviews, r.one_star_rate,
-       sc.sellers_in_state, sc.pct_of_all_sellers AS pct_sellers_in_state
-FROM (
-  SELECT *,
-         row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, seller_id) AS revenue_rank,
-         row_number() OVER (ORDER BY avg_review_score DESC NULLS LAST, seller_id) AS review_rank,
-         ntile(10) OVER (ORDER BY total_revenue DESC NULLS LAST, seller_id) AS revenue_decile
-  FROM dim_sellers WHERE total_orders > 0
-) r LEFT JOIN state_concentration sc ON r.state = sc.state""")
-
-_cte("rfm_scored", """
-SELECT *,
-       ntile(5) OVER (ORDER BY recency_days ASC NULLS LAST, customer_id) AS r_score,
-       ntile(5) OVER (ORDER BY frequency ASC NULLS LAST, customer_id) AS f_score,
-       ntile(5) OVER (ORDER BY monetary ASC NULLS LAST, customer_id) AS m_score
-FROM (
-  SELECT customer_id,
-         datediff('day', last_order_at,
-                  (SELECT max(last_order_at) FROM dim_customers
-                   WHERE customer_segment <> 'no_orders')) AS recency_days,
-         total_orders AS frequency, lifetime_gmv AS monetary
-  FROM dim_customers WHERE customer_segment <> 'no_orders'
-) base""")
-
-_cte("rfm_labeled", """
-SELECT *,
-       CAST(r_score AS VARCHAR) || CAST(f_score AS VARCHAR) || CAST(m_score AS VARCHAR) AS rfm_segment,
-       round((r_score + f_score + m_score) / 3.0, 2) AS rfm_avg,
-       CASE WHEN r_score >= 4 AND f_score >= 4 THEN 'Champions'
-            WHEN r_score >= 3 AND f_score >= 3 THEN 'Loyal Customers'
-            WHEN r_score >= 4 AND f_score <= 2 THEN 'Recent Customers'
-            WHEN r_score >= 3 AND f_score <= 3 AND m_score >= 3 THEN 'Potential Loyalists'
-            WHEN r_score <= 2 AND f_score >= 4 THEN 'At Risk'
-            WHEN r_score <= 2 AND f_score <= 2 AND m_score <= 2 THEN 'Lost'
-            ELSE 'Needs Attention' END AS rfm_label
-FROM rfm_scored""")
-
-_cte("rfm_segmentation", """
-SELECT rfm_label, count(*) AS customer_count,
-       round(avg(recency_days), 1) AS avg_recency_days,
-       round(avg(frequency), 2) AS avg_orders,
-       round(avg(monetary), 2) AS avg_ltv,
-       round(sum(monetary), 2) AS total_ltv
-FROM rfm_labeled GROUP BY rfm_label""")
+def _places(table: str, key: str, order: str) -> str:
+    """(key, place) of a table's rows: places 1, 2, ... in the order given."""
+    return (f"(SELECT unnest(list({key} ORDER BY {order}, {key})) AS {key}, "
+            f"unnest(range(1, count(*) + 1)) AS place FROM {table})")
+
+
+def _tile(place: str, total: str, k: int) -> str:
+    """The one of ``k`` buckets, the first ones a row larger, that a place falls into."""
+    whole, over = f"({total} // {k})", f"({total} % {k})"
+    head = f"({over} * ({whole} + 1))"
+    return (f"CASE WHEN {place} <= {head} THEN ({place} - 1) // ({whole} + 1) + 1 "
+            f"ELSE {over} + ({place} - 1 - {head}) // greatest({whole}, 1) + 1 END")
+
+
+_cte("ranked_sellers", "SELECT * FROM dim_sellers WHERE total_orders > 0")
+_cte("seller_total", "SELECT count(*) AS n FROM ranked_sellers")
+_cte("mart_seller_health", f"""
+SELECT d.seller_id, d.state, d.city, d.seller_lat, d.seller_lng, d.seller_tier, d.quality_tier,
+       d.is_risk_seller, rev.place AS revenue_rank, score.place AS review_rank,
+       {_tile("rev.place", "total.n", 10)} AS revenue_decile, rev.place <= 10 AS is_top_10_seller,
+       d.total_orders, d.total_items_sold, d.distinct_products, d.total_revenue,
+       d.avg_item_price, d.avg_days_to_deliver, d.late_delivery_rate, d.avg_review_score,
+       d.one_star_reviews, d.five_star_reviews, d.one_star_rate,
+       c.sellers_in_state, c.pct_of_all_sellers AS pct_sellers_in_state
+FROM {_places("ranked_sellers", "seller_id", "total_revenue DESC NULLS LAST")} rev
+JOIN {_places("ranked_sellers", "seller_id", "avg_review_score DESC NULLS LAST")} score USING (seller_id)
+JOIN ranked_sellers d USING (seller_id) LEFT JOIN state_concentration c ON c.state = d.state,
+     seller_total total""")
+
+# recency in days before the latest of all last orders
+_cte("buyers", """
+SELECT customer_id, total_orders AS frequency, lifetime_gmv AS monetary,
+       datediff('day', last_order_at, max(last_order_at) OVER ()) AS recency_days
+FROM dim_customers WHERE customer_segment <> 'no_orders'""")
+_cte("buyer_total", "SELECT count(*) AS n FROM buyers")
+_cte("rfm_scored", f"""
+SELECT b.*, {_tile("r.place", "total.n", 5)} AS r_score, {_tile("f.place", "total.n", 5)} AS f_score,
+       {_tile("m.place", "total.n", 5)} AS m_score
+FROM buyers b JOIN {_places("buyers", "customer_id", "recency_days NULLS LAST")} r USING (customer_id)
+JOIN {_places("buyers", "customer_id", "frequency NULLS LAST")} f USING (customer_id)
+JOIN {_places("buyers", "customer_id", "monetary NULLS LAST")} m USING (customer_id), buyer_total total""")
+
+# Conditions of the labels, the first that holds decides.
+RFM_LABELS = (
+    ("Champions", "r_score >= 4 AND f_score >= 4"),
+    ("Loyal Customers", "r_score >= 3 AND f_score >= 3"),
+    ("Recent Customers", "r_score >= 4 AND f_score <= 2"),
+    ("Potential Loyalists", "r_score >= 3 AND f_score <= 3 AND m_score >= 3"),
+    ("At Risk", "r_score <= 2 AND f_score >= 4"),
+    ("Lost", "r_score <= 2 AND f_score <= 2 AND m_score <= 2"),
+)
+_RFM_LABEL = "coalesce({}, 'Needs Attention')".format(
+    ", ".join(f"if({condition}, '{label}', NULL)" for label, condition in RFM_LABELS))
+
+_cte("rfm_segmentation", f"""
+SELECT {_RFM_LABEL} AS rfm_label, count(*) AS customer_count,
+       round(avg(recency_days), 1) AS avg_recency_days, round(avg(frequency), 2) AS avg_orders,
+       round(avg(monetary), 2) AS avg_ltv, round(sum(monetary), 2) AS total_ltv
+FROM rfm_scored GROUP BY 1""")
 
 
 # --------------------------------------------------------------- assembly
