@@ -28,6 +28,8 @@ Rule = tuple[str, str, str]              # (allow | block, host, path)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = "(?s)^.*?://([^/?#]*)([^?#]*)"
 _QUERY = "(?s)^.*?://[^?#]*[?]([^#]*)"
+# Spellings of & in an attribute, tracking parameters.
+AMPERSAND = "(?i)&(amp|#38|#x26);"
 TRACKING = "^(utm_[^=]*|gclid|fbclid|ref)(=|$)"
 _CANONICAL = ("""(?is)<link[^>]*rel=["']?canonical["']?[^>]*href=["']?([^"' >]+)""",
               """(?is)<link[^>]*href=["']?([^"' >]+)["']?[^>]*rel=["']?canonical["']?[ />]""")
@@ -60,16 +62,27 @@ def node_of(url: Column) -> Column:
     query = F.array_join(F.array_sort(F.filter(
         F.split(F.regexp_extract(url, _QUERY, 1), "&"), lambda x: ~x.rlike(TRACKING))), "&")
     return F.when(F.contains(url, F.lit("://")), F.concat(
-        host_of(url), F.regexp_replace(path_of(url), "/+$", ""), F.lit("?"), query))
+        host_of(url), F.regexp_replace(_resolved(path_of(url)), "/+$", ""), F.lit("?"), query))
+
+
+def _resolved(path: Column) -> Column:
+    """The path without its ``.`` and ``..`` segments."""
+    segments = F.aggregate(
+        F.split(path, "/"), F.expr("CAST(array() AS array<string>)"),
+        lambda held, x: F.when(x == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(1))))
+        .when(x == ".", held).otherwise(F.concat(held, F.array(x))))
+    return F.when(F.contains(path, F.lit("/.")), F.array_join(segments, "/")).otherwise(path)
 
 
 def _target(url: Column, link: Column) -> Column:
-    """The absolute url of a link on the page at ``url``; NULL without a link."""
-    link = F.trim(link)
+    """The absolute url of a link on the page at ``url``, as a browser reads it; NULL without a link."""
+    link = F.regexp_replace(F.trim(link), AMPERSAND, "&")
     folder = F.regexp_replace(path_of(url), "[^/]*$", "")
     absolute = (F.when(F.contains(link, F.lit("://")), link)
                 .when(link.startswith("//"), F.concat(F.lit("http:"), link))
                 .when(link.startswith("/"), F.concat(F.lit("http://"), host_of(url), link))
+                .when(link.startswith("?"), F.concat(F.lit("http://"), host_of(url), path_of(url), link))
+                .when(link.startswith("#"), url)
                 .otherwise(F.concat(F.lit("http://"), host_of(url),
                                     F.when(folder == "", "/").otherwise(folder), link)))
     return F.when(link != "", absolute)
@@ -116,8 +129,11 @@ def judge(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_
                .agg(F.bool_or(F.col("ruled") == "allow").alias("allow")))
     blocked = of_root.filter("NOT allow").select("root")
     # nodes of blocked components: a root's own node, and every node joined to it
-    nodes = (blocked.select(F.col("root").alias("node"))
-             .unionByName(roots.join(blocked, "root", "left_semi").select("node")).distinct())
+    # one component may hold a third of all nodes: salted
+    spread = blocked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    below = (roots.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+             .join(spread, ["root", "salt"], "left_semi").select("node"))
+    nodes = blocked.select(F.col("root").alias("node")).unionByName(below).distinct()
     salted = nodes.select("node", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"),
                           F.lit(True).alias("hit"))
     return (judged.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
@@ -137,13 +153,21 @@ def sql(rules: Sequence[Rule]) -> str:
                  f"'{_QUERY}', 1), '&'), lambda x: NOT regexp_matches(x, '{TRACKING}'))), '&')")
         return (f"CASE WHEN contains({url}, '://') THEN "
                 f"translate(regexp_extract({url}, '{_PARTS}', 1), '{_UPPER}', '{_LOWER}') || "
-                f"regexp_replace(regexp_extract({url}, '{_PARTS}', 2), '/+$', '') || '?' || "
-                f"{query} END")
+                f"regexp_replace({resolved(url)}, '/+$', '') || '?' || {query} END")
+
+    def resolved(url: str) -> str:
+        path = f"regexp_extract({url}, '{_PARTS}', 2)"
+        segments = (f"list_reduce(list_transform(string_split({path}, '/'), lambda x: [x]), lambda a, x: "
+                    "CASE WHEN x[1] = '..' THEN a[1:greatest(len(a) - 1, 1)] WHEN x[1] = '.' THEN a "
+                    "ELSE list_concat(a, x) END)")
+        return f"CASE WHEN contains({path}, '/.') THEN array_to_string({segments}, '/') ELSE {path} END"
 
-    link = "trim(link, ' ')"
+    link = f"regexp_replace(trim(link, ' '), '{AMPERSAND}', '&', 'g')"
     target = (f"CASE WHEN contains({link}, '://') THEN {link} "
               f"WHEN {link} LIKE '//%' THEN 'http:' || {link} "
               f"WHEN {link} LIKE '/%' THEN 'http://' || host || {link} "
+              f"WHEN {link} LIKE '?%' THEN 'http://' || host || path || {link} "
+              f"WHEN {link} LIKE '#%' THEN url "
               f"ELSE 'http://' || host || coalesce(nullif(regexp_replace(path, '[^/]*$', ''), ''), "
               f"'/') || {link} END")
     values = ", ".join(f"('{w}', '{h}', '{p}')" for w, h, p in rules)
