@@ -66,7 +66,7 @@ def _mixed(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def _each_set(batch: pa.RecordBatch, n: int):
-    """Sorted distinct hashes of every text's n-word shingles, hashed about 1 MB of text at a time.
+    """Sorted distinct hashes of every text's n-word shingles, hashed about 250 kB of text at a time.
 
     Fewer words than n are one shingle.
     """
@@ -75,7 +75,7 @@ def _each_set(batch: pa.RecordBatch, n: int):
     for i, text in enumerate(texts):
         part.append(text.encode("utf-8").lower())
         size += len(part[-1])
-        if size > 1_000_000 or i == len(texts) - 1:
+        if size > 250_000 or i == len(texts) - 1:
             words, counts = word_hashes(part)
             every = _mixed(words, n)
             at = 0
@@ -108,7 +108,7 @@ def repeated_shingles(rows: DataFrame, n: int) -> np.ndarray:
             for s in _each_set(batch, n):
                 held.append(s)
                 size += len(s)
-                if size > 2_000_000:
+                if size > 500_000:
                     yield report(held)
                     held, size = [], 0
         yield report(held)
@@ -205,8 +205,10 @@ def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) ->
                     sets.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), _lists(sets)],
                                              schema=schema)
+    # a task sends a set once, so nothing is combined before the shuffle: whole sets are
+    # sorted where no Python worker runs beside
     found = (rows.select("text").mapInArrow(run, "digest binary, tokens array<long>")
-             .groupBy("digest").agg(F.first("tokens").alias("tokens")))
+             .repartition("digest").groupBy("digest").agg(F.first("tokens").alias("tokens")))
     return written(found.join(wanted, "digest").select("c", "tokens"))
 
 
