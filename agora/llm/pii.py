@@ -19,10 +19,10 @@ frequent entity or term is pre-aggregated and its join salted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agora.llm.common import durable, id_text
+from agora.llm.common import durable, id_text, join_to_unique
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -125,57 +125,104 @@ def contexts(docs: DataFrame, window: int = 64) -> DataFrame:
     ``left`` and ``right`` are up to ``window`` code points beside a span, without
     a word cut by the window's edge.
     """
-    def around(s: Column) -> Column:
-        text = F.col("text")
-        left = F.substring(text, F.greatest(s["start"] - window, F.lit(0)) + 1,
-                           F.least(s["start"], F.lit(window)))
-        right = F.substring(text, s["end"] + 1, F.lit(window))
+    def around(s: Column, whole: Column) -> Column:
+        first, size = F.greatest(s["start"] - window, F.lit(0)), whole["size"]
+        left = _between(whole["chunks"], first, s["start"])
+        right = _between(whole["chunks"], s["end"], F.least(s["end"] + window, size))
         left = F.when(s["start"] > window, F.regexp_replace(left, r"^[^\x20\x09-\x0D]+", "")
                       ).otherwise(left)
-        right = F.when(F.length(text) - s["end"] > window,
-                       F.regexp_replace(right, r"[^\x20\x09-\x0D]+$", "")).otherwise(right)
+        right = F.when(size - s["end"] > window, F.regexp_replace(right, r"[^\x20\x09-\x0D]+$", "")
+                       ).otherwise(right)
         return F.struct(s["start"].alias("start"), s["no"].alias("no"), s["end"].alias("end"),
                         F.lower(F.when(s["no"] == 0, s["value"]).otherwise(_digits(s["value"])))
                         .alias("entity"), left.alias("left"), right.alias("right"))
+    # bound as a lambda's variable: made once for a text, and only if it has spans
+    each = F.get(F.transform(F.array(_chunked(F.col("text"))), lambda whole: F.transform(
+        "spans", lambda s: around(s, whole))), F.lit(0))
+    none = F.expr("CAST(array() AS array<struct<start:int,no:int,end:int,entity:string,"
+                  "left:string,right:string>>)")
     return durable(base_spans(docs).select(
-        "doc_id", _row().alias("row"), F.transform("spans", around).alias("spans")))
+        "doc_id", _row().alias("row"), F.when(F.size("spans") > 0, each).otherwise(none).alias("spans")))
+
+
+CHUNK = 4096
+
+
+def _chunked(text: Column) -> Column:
+    """A text's length and its chunks of ``CHUNK`` code points.
+
+    A substring is found by counting from the start of its text; from chunks, many
+    substrings of a long text do not cost their number times its length.
+    """
+    size = F.length(text)
+    return F.struct(size.alias("size"), F.transform(
+        F.sequence(F.lit(0), F.floor(size / CHUNK).cast("int")),
+        lambda j: F.substring(text, j * CHUNK + 1, F.lit(CHUNK))).alias("chunks"))
+
+
+def _between(chunks: Column, start: Column, end: Column) -> Column:
+    """The code points from ``start`` up to ``end``."""
+    k = F.floor(start / CHUNK).cast("int")
+    some = F.array_join(F.slice(chunks, k + 1, F.floor(end / CHUNK).cast("int") - k + 1), "")
+    return F.substring(some, start - k * CHUNK + 1, end - start)
 
 
 def corpus_words(docs: DataFrame) -> DataFrame:
-    """``term`` (lower-case) and its count ``n`` in all documents."""
-    return (docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-                        .alias("term"))
-            .groupBy("term").agg(F.count("*").alias("n")))
+    """``term`` (each word lowered by itself) and its count ``n`` in all documents."""
+    words = (docs.select(F.explode(F.regexp_extract_all("text", F.lit(TERM), F.lit(0))).alias("word"))
+             .groupBy("word").agg(F.count("*").alias("n")))
+    return words.groupBy(F.lower("word").alias("term")).agg(F.sum("n").alias("n"))
+
+
+def _beside_spans(words: DataFrame, found: DataFrame) -> DataFrame:
+    """The ``words`` (doc_id, row, start, end, ...) that overlap no span of ``found``.
+
+    Words and spans of a text are put in one order once: a word is overlapped if a
+    span that starts no later ends behind its start, or one that starts no
+    earlier starts before its end.
+    """
+    spans = found.select("doc_id", "row", F.explode("spans").alias("s")).select(
+        "doc_id", "row", F.col("s.start").alias("start"), F.col("s.start").alias("from"),
+        F.col("s.end").alias("to"))
+    rows = words.withColumn("is_word", F.lit(1)).unionByName(
+        spans.withColumn("is_word", F.lit(0)), allowMissingColumns=True)
+    text = Window.partitionBy("doc_id", "row")
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    rising = text.orderBy("start", "is_word").rowsBetween(*so_far)
+    falling = text.orderBy(F.desc("start"), "is_word").rowsBetween(*so_far)
+    return (rows.withColumn("reach", F.max("to").over(rising))
+            .withColumn("next", F.min("from").over(falling)).filter("is_word = 1")
+            .filter("NOT (coalesce(reach > start, false) OR coalesce(next < end, false))")
+            .select(*words.columns))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, min_contexts: int, at: float
                      ) -> tuple[DataFrame, DataFrame]:
     """Term occurrences near entities, and the (no, entity, term) pairs that disclose."""
-    near = found.select("doc_id", "row", F.explode("spans").alias("s"),
-                        F.col("spans").alias("all")).select("doc_id", "row", "s.*", "all")
+    near = found.select("doc_id", "row", F.explode("spans").alias("s")).select("doc_id", "row", "s.*")
     sides = []
     for side in ("left", "right"):
         words = find(near, side, TERM, "words")
         shift = F.col("start") - F.length("left") if side == "left" else F.col("end")
         sides.append(words.select(
-            "doc_id", "row", "no", "entity", "all",
+            "doc_id", "row", "no", "entity",
             F.xxhash64("left", "right").alias("context"), shift.alias("shift"),
             F.explode("words").alias("w")))
     near = sides[0].unionByName(sides[1]).select(
         "doc_id", "row", "no", "entity", "context", F.lower("w.value").alias("term"),
         (F.col("w.start") + F.col("shift")).alias("start"),
-        (F.col("w.end") + F.col("shift")).alias("end"), "all")
-    near = near.filter(~F.exists("all", lambda s: (s["start"] < F.col("end"))
-                                 & (s["end"] > F.col("start")))).drop("all")
+        (F.col("w.end") + F.col("shift")).alias("end"))
+    near = durable(_beside_spans(near, found))
     key = ["no", "entity", "term"]
     pairs = (near.groupBy(*key, "context").agg(F.count("*").alias("n"))
              .groupBy(*key).agg(F.sum("n").alias("n_near"), F.count("*").alias("contexts")))
     entities = pairs.groupBy("no", "entity").agg(F.sum("n_near").alias("n_entity"))
     words = corpus_words(docs)
     total = words.agg(F.sum("n").alias("total"))        # one row
-    flagged = (pairs.filter(F.col("contexts") >= min_contexts)
-               .join(entities, ["no", "entity"])
-               .join(words, "term")
+    often = durable(pairs.filter(F.col("contexts") >= min_contexts).join(entities, ["no", "entity"]))
+    # a word may be near a third of all entities
+    counts = durable(words.join(often.groupBy("term").agg(F.count("*").alias("pairs")), "term"))
+    flagged = (join_to_unique(often, counts, ["term"], "pairs", F.xxhash64("no", "entity"))
                .join(F.broadcast(total))
                .withColumn("pmi", F.log2(F.col("n_near") / F.col("n_entity")
                                          / (F.col("n") / F.col("total"))))
@@ -247,21 +294,34 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def _clean(text: Column, spans_col: Column, remove_at: float) -> Column:
-    """Text with spans replaced left to right; overlapping spans are replaced as one."""
+    """Text with spans replaced left to right; overlapping spans are replaced as one.
+
+    Pieces are made span by span and joined once, so nothing grows with every span.
+    """
     shape = lambda w: (F.when(w.rlike(r"^\p{N}+$"), "[NUMBER]")
                        .when(w.rlike(r"^\p{Lu}"), "[NAME]").otherwise("[WORD]"))
 
-    def step(acc: Column, s: Column) -> Column:
-        word = F.substring(text, s["start"] + 1, s["end"] - s["start"])
-        put = (F.when(s["no"] < 4, F.concat(F.lit("["), F.upper(_label(s["no"])), F.lit("]")))
-               .when(s["disclosure"] >= remove_at, "").otherwise(shape(word)))
-        gap = F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"])
-        return F.struct(
-            F.greatest(acc["pos"], s["end"]).alias("pos"),
-            F.when(s["start"] >= acc["pos"], F.concat(acc["out"], gap, put))
-            .otherwise(acc["out"]).alias("out"))
-    done = F.aggregate(spans_col, F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step)
-    return F.concat(done["out"], F.substring(text, done["pos"] + 1, F.length(text)))
+    # the end of all spans before the i-th: maxima of whole chunks of 64, then of its own
+    ends = F.transform(spans_col, lambda s: s["end"])
+    chunks = F.transform(F.sequence(F.lit(0), F.shiftright(F.size(spans_col), 6)),
+                         lambda j: F.array_max(F.slice(ends, j * 64 + 1, F.lit(64))))
+
+    def build(b: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            before = F.coalesce(F.greatest(
+                F.array_max(F.slice(b["chunks"], F.lit(1), F.shiftright(i, 6))),
+                F.array_max(F.slice(b["ends"], i - i % 64 + 1, i % 64))), F.lit(0))
+            word = _between(b["text"]["chunks"], s["start"], s["end"])
+            put = (F.when(s["no"] < 4, F.concat(F.lit("["), F.upper(_label(s["no"])), F.lit("]")))
+                   .when(s["disclosure"] >= remove_at, "").otherwise(shape(word)))
+            gap = _between(b["text"]["chunks"], before, s["start"])
+            return F.when(s["start"] >= before, F.concat(gap, put)).otherwise("")
+        rest = F.coalesce(F.array_max(b["ends"]), F.lit(0))
+        return F.concat(F.array_join(F.transform(spans_col, piece), ""),
+                        F.substring(text, rest + 1, b["text"]["size"]))
+    # bound as a lambda's variable, so that the arrays are made once
+    bound = F.struct(ends.alias("ends"), chunks.alias("chunks"), _chunked(text).alias("text"))
+    return F.get(F.transform(F.array(bound), build), F.lit(0))
 
 
 def sanitise(docs: DataFrame, window: int = 64, min_contexts: int = 2, generalise_at: float = 0.8,

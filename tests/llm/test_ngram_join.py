@@ -123,3 +123,41 @@ def test_representatives(spark):
     assert {str(r.doc_id) for r in got if shingle_set(r.text)} == {c for _, c in with_words}
     assert len([r for r in got if shingle_set(r.text)]) == len({c for _, c in with_words})
     assert sorted(r.doc_id for r in got if not shingle_set(r.text)) == [2000, 2001, 2002]
+
+
+def test_a_wide_group_makes_few_pairs(spark, monkeypatch):
+    """500 copies with edits far apart (median Jaccard about 0.6): links are right, and pairs
+    are made where edits coincide, not for all."""
+    rng = random.Random(21)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 500):
+        w = list(base)
+        for at in rng.sample(range(300), rng.choice([1, 2, 8, 9, 10, 11])):
+            w[at] = f"e{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    sets = [shingle_set(t) for _, t in rows]
+    sample = sorted(len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+                    for a, b in (rng.sample(range(500), 2) for _ in range(400)))
+    assert 0.5 < sample[200] < 0.75
+    made = []
+    plain = ngram_join.written
+
+    def counted(df):
+        out = plain(df)
+        if {"z", "y_c", "p"} & set(out.columns):
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(ngram_join, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.join(df).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links)
+                  for r in got) == brute(rows, 85)
+    # of 124,750 pairs: those of members whose minimum hashes miss the leader, and a few
+    assert max(made) * 8 < 500 * 499 // 2
+
+
+def test_column_names_with_dots(spark):
+    rows = corpus(7)
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, `a.b` int")
+    assert ngram_join.representatives(df, words=4, percent=85).columns == ["doc_id", "text", "a.b"]

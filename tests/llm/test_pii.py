@@ -103,3 +103,82 @@ def test_sanitise(spark):
     assert by_id[104] is None and by_id[105] == ""
     assert sorted(str(r.text) for r in got if r.doc_id is None) == ["None", "call [PHONE]"]
     assert all(by_id[i] == t for i, t in enumerate(FILLER))
+
+
+def brute_terms(docs, window=64, min_contexts=2, at=0.8):
+    """Term spans by the definition: {(doc index): {(start, end): disclosure}}."""
+    import math
+    from collections import Counter, defaultdict
+
+    import regex
+
+    term, edge = regex.compile(pii.TERM), r"[^\x20\x09-\x0D]+"
+    total, contexts, near, places = Counter(), defaultdict(set), Counter(), defaultdict(list)
+    for text in docs:
+        total.update(w.lower() for w in term.findall(text))
+    for d, text in enumerate(docs):
+        spans = brute(text)
+        for a, no, b in spans:
+            left, right = text[max(0, a - window):a], text[b:b + window]
+            if a > window:
+                left = re.sub("^" + edge, "", left)
+            if len(text) - b > window:
+                right = re.sub(edge + "$", "", right)
+            value = text[a:b] if no == 0 else re.sub("[^0-9]", "", text[a:b])
+            for side, shift in ((left, a - len(left)), (right, b)):
+                for m in term.finditer(side):
+                    x, y = m.start() + shift, m.end() + shift
+                    if not any(p < y and q > x for p, _, q in spans):
+                        key = (no, value.lower(), m[0].lower())
+                        near[key] += 1
+                        contexts[key].add((left, right))
+                        places[d].append((x, y, key))
+    words, entities = sum(total.values()), Counter()
+    for (no, entity, _), n in near.items():
+        entities[no, entity] += n
+    found = {}
+    for key, n in near.items():
+        e = entities[key[:2]]
+        ic = -math.log2(e / words)
+        if len(contexts[key]) >= min_contexts and ic > 0:
+            score = math.log2(n / e / (total[key[2]] / words)) / ic
+            if score >= at:
+                found[key] = score
+    return {d: {(x, y) for x, y, key in some if key in found} for d, some in places.items()}
+
+
+def test_disclosure_by_brute_force(spark):
+    import random
+
+    rng = random.Random(6)
+    common = [f"word{i}" for i in range(30)] + ["İstanbul", "ẞtraße", "ÀÉ"]
+    people = [f"p{i}@ex{i % 7}.org" for i in range(12)] + ["+1 415 555 2671", "10.0.0.1", "4111111111111111"]
+    own = {p: [f"Secret{i}", f"code{i % 5}", "İzmir" if i == 3 else f"alias{i}"]
+           for i, p in enumerate(people)}
+    docs = []
+    for _ in range(120):
+        words = rng.choices(common, k=rng.randint(0, 25))
+        for p in rng.choices(people, k=rng.randint(0, 2)):
+            at = rng.randint(0, len(words))
+            words[at:at] = [rng.choice(own[p]), p, rng.choice(own[p] + common)]
+        docs.append(rng.choice([" ", "  ", ", "]).join(words))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    want = brute_terms(docs)
+    got = {r.doc_id: {(t.start, t.end) for t in r.terms} for r in pii.spans(df).collect()}
+    assert all(got[d] == want.get(d, set()) for d in range(len(docs)))
+    assert sum(map(len, got.values())) > 40
+    assert any("İzmir" == docs[d][a:b] for d, some in got.items() for a, b in some)
+
+
+def test_twenty_thousand_spans_in_one_text(spark):
+    import time
+
+    text = " ".join(f"user{i % 500} mail{i}@a{i % 90}.org," for i in range(20_000))
+    df = spark.createDataFrame([(1, text, 0), (2, "plain", 0)], "doc_id long, text string, `a.b` int")
+    started = time.time()
+    assert {r.doc_id: r.n_email for r in pii.report(df).collect()} == {1: 20_000, 2: 0}
+    clean = pii.sanitise(df)
+    assert clean.columns == ["doc_id", "text", "a.b"]
+    by_id = {r.doc_id: r.text for r in clean.collect()}
+    assert by_id[1].count("[EMAIL]") == 20_000 and "@" not in by_id[1] and by_id[2] == "plain"
+    assert time.time() - started < 180
