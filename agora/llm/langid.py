@@ -37,6 +37,7 @@ from agora.llm.common import slices
 
 DIM = 8192                              # buckets of n-grams
 SAMPLE = 1000                           # documents of a language that clusters are fitted on
+PARTS = 64                              # parts that a language's least hashes are sought in
 CLUSTERS = 4                            # centroids of a language, at most
 LANGUAGES = 1000                        # languages a model may have
 ROUNDS = 12                             # of the clustering
@@ -120,9 +121,12 @@ def inverse_frequencies(train: DataFrame) -> np.ndarray:
 def _sample(train: DataFrame, size: int) -> DataFrame:
     """(lang, text) of the ``size`` least hashed ids of each language, one row an id."""
     keyed = train.withColumn("h", F.xxhash64("doc_id"))
-    order = Window.partitionBy("lang").orderBy("h")
-    cut = (keyed.select("lang", "h").distinct().withColumn("i", F.row_number().over(order))
-           .filter(F.col("i") <= size).groupBy("lang").agg(F.max("h").alias("cut")))
+    parts = keyed.select("lang", "h").distinct().withColumn("part", F.pmod("h", F.lit(PARTS)))
+    # a language may hold most rows: the least of each part first, then of all parts
+    for key in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*key).orderBy("h")
+        parts = parts.withColumn("i", F.row_number().over(order)).filter(F.col("i") <= size)
+    cut = parts.groupBy("lang").agg(F.max("h").alias("cut"))
     return (keyed.join(F.broadcast(cut), "lang").filter("h <= cut")
             .groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text"))
 
