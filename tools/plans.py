@@ -50,9 +50,8 @@ def main(argv: list[str]) -> None:
            "generated by `python tools/plans.py`. Attribute lists are removed. Broadcasts shown",
            "here were chosen by the planner or by AQE from measured sizes; at larger scale",
            "the same joins run as sort-merge joins. Rankings read their checkpointed range",
-           "partitions (`Scan ExistingRDD`). The one `BroadcastNestedLoopJoin` is the test-table",
-           "mapping of the zip points (nation x region, 250 rows at every scale factor), not a",
-           "mart; `SortAggregate` appears where an aggregate buffer holds a string or struct",
+           "partitions (`Scan ExistingRDD`).",
+           "`SortAggregate` appears where an aggregate buffer holds a string or struct",
            "(latest review, primary payment type, first zip point, max of payment type).",
            ""]
     for name in QUERIES:
