@@ -152,24 +152,30 @@ def read_loaded(spark: SparkSession, target: str | None, fmt: str = "parquet",
 # Fact tables that meet on order_id.
 BY_ORDER = ("orders", "order_items", "order_payments", "order_reviews")
 HOT = "_hot"
+# Most rows of a table that a bucket is meant to hold: one task rolls up and joins a bucket.
+BUCKET_ROWS = 250_000
 
 
 def load_bucketed(spark: SparkSession, raw: Mapping[str, DataFrame], buckets: int,
                   database: str = "raw") -> dict[str, DataFrame]:
     """The fact tables bucketed and sorted by order_id, as catalog tables published together.
 
-    Joins and roll-ups on order_id over them need no exchange. A bucket holds
+    Joins and roll-ups on order_id over them need no exchange. There are at least
+    ``buckets`` of them, and more where the largest table has over ``BUCKET_ROWS`` rows for
+    each: what a task holds does not grow with the tables. A bucket holds
     whole orders, so the rows of an order with at least 1/1000 of a table (of
     which there are at most 1000) go to a side table ``<table>_hot`` that is dealt
     evenly; it is written only where such orders exist. Returns :func:`read_bucketed`.
     """
     staged = []
+    rows = {table: raw[table].count() for table in BY_ORDER}
+    buckets = max(buckets, -(-max(rows.values()) // BUCKET_ROWS))
     try:
         for table in BY_ORDER:
             df, rest = raw[table], raw[table]
             if table != "orders":                           # unique there
                 keys = ([r.order_id for r in hot_keys(df, "order_id").collect()]
-                        if df.count() >= HOT_LEAST else [])
+                        if rows[table] >= HOT_LEAST else [])
                 is_hot = F.col("order_id").isin(keys) if keys else F.lit(False)
                 rest = df.where(~F.coalesce(is_hot, F.lit(False)))
                 if keys:

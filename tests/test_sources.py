@@ -374,6 +374,24 @@ def test_order_grain_of_bucketed_tables_needs_no_exchange(spark, monkeypatch):
         assert "order_items_hot" not in again and again["order_items"].count() == 6000
 
 
+def test_buckets_grow_with_the_tables(spark, monkeypatch):
+    """A bucket holds a bounded number of rows however large the tables are."""
+    plain = from_testdata(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(csv_source, "BUCKET_ROWS", 500)
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        raw = csv_source.load_bucketed(spark, plain.raw, buckets=2, database="grown")
+        facts = {r.col_name: r.data_type
+                 for r in spark.sql("DESCRIBE TABLE EXTENDED grown.order_items").collect()}
+        assert facts["Num Buckets"] == "12"                 # 6000 items
+        part = raw["order_items"].groupBy(F.input_file_name()).count().collect()
+        assert max(r["count"] for r in part) < 1000
+        stored = Pipeline(raw)
+        assert _exchanges(stored.int_orders_enriched) == 0
+        want = sorted(map(str, plain.int_orders_enriched.collect()))
+        assert sorted(map(str, stored.int_orders_enriched.collect())) == want
+
+
 def test_staging_views_outlive_the_session(spark, tmp_path):
     from agora.plans.staging_views import VIEWS
     from agora.sources import sinks
