@@ -201,14 +201,16 @@ class Pipeline:
         return getattr(self, name)
 
     # -------------------------------------------------------- materialize
-    def share_orders(self, how: str = "checkpoint") -> DataFrame:
+    def share_orders(self, how: str = "checkpoint", distinct_counts: bool = True) -> DataFrame:
         """Compute the order-grain table once for all its consumers.
 
+        ``distinct_counts=False``, for consumers that read none, leaves them out.
+
         ``checkpoint`` writes it to the shared checkpoint folder and cuts the
         lineage; ``persist`` keeps it in executor memory/disk (recomputed from
         lineage if an executor is lost).
         """
-        orders = self.int_orders_enriched
+        orders = self.int_orders_enriched if distinct_counts else self._order_grain(False)
         if how == "checkpoint":
             ensure_checkpoint_dir(orders.sparkSession)
             shared = orders.checkpoint(eager=True)
@@ -219,6 +221,13 @@ class Pipeline:
         self._orders_shared = True
         return shared
 
+    def share(self, name: str) -> DataFrame:
+        """Compute a model once, to the shared checkpoint folder, for those built on it."""
+        df = self.model(name)
+        ensure_checkpoint_dir(df.sparkSession)
+        self.__dict__[name] = df.checkpoint(eager=True)
+        return self.__dict__[name]
+
     def release(self) -> None:
         for df in self._materialized:
             df.unpersist()
@@ -343,7 +352,9 @@ class Pipeline:
         """
         from agora.operators import quality
 
-        results = quality.run_checks(self, kind=kind, severity=severity).collect()
+        # the failing rows are whole rows of the models
+        results = quality.run_checks(self, kind=kind, severity=severity,
+                                     keep_shared=store_failures).collect()
         if store_failures:
             quality.store_failures(self, spark, results, warehouse)
         return results

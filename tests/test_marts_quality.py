@@ -228,3 +228,28 @@ def test_severity_override_and_raise(shop):
         dq.raise_on_error(results)
     fine = dq.run_checks(shop, kind="unique", severity="error").collect()
     assert len(dq.raise_on_error(fine)) == 14
+
+
+def test_a_report_shares_what_its_checks_read(spark, monkeypatch):
+    """The order grain of a report holds no distinct counts and the sellers are computed once;
+    the pipeline keeps whole models."""
+    from agora.plans.core import DISTINCT_COUNTS, FCT_ORDERS_COLUMNS
+    from agora.plans.pipeline import Pipeline
+    from tests.fixtures import shop_pipeline
+
+    pipe, shared = shop_pipeline(spark), []
+    share_orders, share = Pipeline.share_orders, Pipeline.share
+    monkeypatch.setattr(Pipeline, "share_orders",
+                        lambda self, *args: shared.append(share_orders(self, *args)))
+    monkeypatch.setattr(Pipeline, "share",
+                        lambda self, name: shared.append(share(self, name)))
+    for kind in ("between", "not_null", "accepted_values"):
+        got = dq.run_checks(pipe, kind=kind)
+        orders, sellers = shared[-2:]
+        assert "order_id" in orders.columns and not set(DISTINCT_COUNTS) & set(orders.columns)
+        assert sellers.columns == pipe.dim_sellers.columns
+        want = dq.run_checks(shop_pipeline(spark), kind=kind, share_orders=False)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        pipe = shop_pipeline(spark)
+    dq.run_checks(pipe, kind="between")
+    assert pipe.fct_orders.columns == list(FCT_ORDERS_COLUMNS)
