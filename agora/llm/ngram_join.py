@@ -272,23 +272,65 @@ def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int
     lead = tries.select("to").distinct().join(aims.select(F.col("c").alias("to")), "to", "left_anti")
     tries = written(_agreeing(tries.join(lead, "to"), low))
     sets = whole_sets(rows, classes, tries.select("c").union(tries.select("to")).distinct(), words)
+    close = _near(tries, sets, classes, limit)
+    state = classes.select("c", "size", "copies").join(close.drop("diff"), "c", "left").select(
+        "c", "size", "copies", F.coalesce("to", "c").alias("leader"),
+        F.coalesce("far", F.lit(0)).cast("long").alias("far"))
+    return written(_placed(state, limit)), close.select("c", "diff"), sets
+
+
+def _near(tries: DataFrame, sets: DataFrame, classes: DataFrame, limit: _Limit) -> DataFrame:
+    """(c, to, far, diff) of the (c, to) pairs whose D is at most NEAR lim(c)."""
     # a leader of very many has its set salted
     weighed = tries.groupBy("to").agg(F.count("*").alias("n"))
     led = written(sets.withColumnRenamed("c", "to").withColumnRenamed("tokens", "_l").join(weighed, "to"))
     both = join_to_unique(tries.join(sets.withColumnRenamed("tokens", "_r"), "c"), led, ["to"], "n",
                           F.xxhash64("c"))
-    close = written(both.select("c", "to", F.array_union(F.array_except("_l", "_r"),
-                                                         F.array_except("_r", "_l")).alias("diff"))
-                    .withColumn("far", F.size("diff").cast("long"))
-                    .join(classes.select("c", "size"), "c")
-                    .filter(limit.far * F.col("far") <= NEAR * limit.near * F.col("size"))
-                    .select("c", "to", "far", "diff"))
-    state = (classes.select("c", "size", "copies").join(close.drop("diff"), "c", "left").select(
-        "c", "size", "copies", F.coalesce("to", "c").alias("leader"),
-        F.coalesce("far", F.lit(0)).cast("long").alias("far"))
-        .withColumn("a", limit.far * F.col("far") - limit.near * F.col("size"))
-        .withColumn("node", F.when(F.col("a") <= 0, F.col("leader")).otherwise(F.col("c"))))
-    return written(state), close.select("c", "diff"), sets
+    return written(both.select("c", "to", F.array_union(F.array_except("_l", "_r"),
+                                                        F.array_except("_r", "_l")).alias("diff"))
+                   .withColumn("far", F.size("diff").cast("long"))
+                   .join(classes.select("c", "size"), "c")
+                   .filter(limit.far * F.col("far") <= NEAR * limit.near * F.col("size"))
+                   .select("c", "to", "far", "diff"))
+
+
+def _placed(state: DataFrame, limit: _Limit) -> DataFrame:
+    """Classes (c, size, copies, leader, far) with a and node."""
+    return (state.withColumn("a", limit.far * F.col("far") - limit.near * F.col("size"))
+            .withColumn("node", F.when(F.col("a") <= 0, F.col("leader")).otherwise(F.col("c"))))
+
+
+def adopted(classes: DataFrame, state: DataFrame, diffs: DataFrame, pairs: DataFrame,
+            sets: DataFrame, limit: _Limit) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``state``, ``diffs`` and the leader ``pairs`` after groups took in what `leaders` missed.
+
+    A leader without followers whose minimum hashes missed a group near it would be compared with
+    all of that group's members. Its pair with the group's leader shows it: of the leaders
+    with followers it is paired with, it is compared with the one with most, and is a
+    member like others if D is at most NEAR lim. A pair of leaders becomes the pair of
+    their groups.
+    """
+    led = written(state.filter("leader <> c").groupBy("leader").agg(F.count("*").alias("n")))
+    both = pairs.select(F.col("p").alias("c"), F.col("q").alias("to")).union(
+        pairs.select(F.col("q"), F.col("p")))
+    tries = written(both.join(led.select(F.col("leader").alias("to"), "n"), "to")
+                    .join(led.select(F.col("leader").alias("c")), "c", "left_anti")
+                    .groupBy("c").agg(F.max(F.struct("n", "to")).alias("top"))
+                    .select("c", F.col("top.to").alias("to")))
+    if tries.isEmpty():
+        return state, diffs, pairs
+    close = _near(tries, sets, classes, limit)
+    taken = close.select("c", "to", F.col("far").alias("d"))
+    state = state.join(taken, "c", "left").select(
+        "c", "size", "copies", F.coalesce("to", "leader").alias("leader"),
+        F.coalesce("d", "far").alias("far"))
+    into = lambda k: taken.select(F.col("c").alias(k), F.col("to").alias(f"{k}_to"))
+    moved = (pairs.join(into("p"), "p", "left").join(into("q"), "q", "left")
+             .select(F.coalesce("p_to", "p").alias("p"), F.coalesce("q_to", "q").alias("q"))
+             .filter("p <> q").select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"))
+             .distinct())
+    return (written(_placed(state, limit)), diffs.unionByName(close.select("c", "diff")),
+            written(moved))
 
 
 def _agreeing(pairs: DataFrame, low: DataFrame) -> DataFrame:
@@ -437,15 +479,15 @@ def group_links(state: DataFrame, diffs: DataFrame, limit: _Limit) -> tuple[Data
     return written(edges), written(counts)
 
 
-def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, fetch, limit: _Limit
-                ) -> tuple[DataFrame, DataFrame, DataFrame]:
+def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, sets: DataFrame,
+                limit: _Limit) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links between groups: (u, v) edges of nodes, (leader, n) and (c, n) link counts.
 
     With a(y) = far D(p, y) - near |y| and b(y) = far D(p, y) + near |y|:
     y, z link if far D(p, q) + a(y) + a(z) <= 0, and do not if far D(p, q) >
     b(y) + b(z). The bounds are tried on whole groups, then on a class and a
-    group, then on two classes; what is still open is compared. ``fetch`` gives
-    the whole sets of some classes, ``compared`` holds those of the groups.
+    group, then on two classes; what is still open is compared. ``sets`` holds
+    the whole sets of the leaders paired, ``compared`` those of the groups.
     """
     members = state.select("c", "size", "copies", "leader", "node", "a",
                            (limit.far * F.col("far") + limit.near * F.col("size")).alias("b"))
@@ -455,8 +497,6 @@ def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, fetch,
     def side(df: DataFrame, key: str, prefix: str) -> DataFrame:
         return df.select(F.col("leader").alias(key), *[F.col(c).alias(f"{prefix}_{c}")
                                                        for c in df.columns if c != "leader"])
-    pairs = written(pairs)
-    sets = fetch(pairs.select(F.col("p").alias("c")).union(pairs.select("q")).distinct())
     known = _difference(pairs, sets, "p", "q", "d").withColumn("d", limit.far * F.col("d"))
     known = (known.join(side(groups, "p", "gp"), "p").join(side(groups, "q", "gq"), "q")
              .filter("d <= gp_b + gq_b"))
@@ -520,10 +560,12 @@ def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
         F.first("low").alias("low"))
         .withColumn("c", F.monotonically_increasing_id()))               # fixed by the table
     state, diffs, compared = leaders(rows, classes, limit, words)
+    pairs = written(candidates(classes, state, limit, percent))
+    sets = whole_sets(rows, classes,
+                      pairs.select(F.col("p").alias("c")).union(pairs.select("q")).distinct(), words)
+    state, diffs, pairs = adopted(classes, state, diffs, pairs, sets, limit)
     inside, own_n = group_links(state, diffs, limit)
-    edges, by_leader, by_class = cross_links(
-        candidates(classes, state, limit, percent), state, compared,
-        lambda some: whole_sets(rows, classes, some, words), limit)
+    edges, by_leader, by_class = cross_links(pairs, state, compared, sets, limit)
     roots = components(edges.unionByName(inside))
     nodes = written(state.join(classes.select("c", "least_id"), "c")
                     .groupBy("node").agg(F.min("least_id").alias("least_id"), F.count("*").alias("n"))

@@ -157,6 +157,32 @@ def test_a_wide_group_makes_few_pairs(spark, monkeypatch):
     assert max(made) * 8 < 500 * 499 // 2
 
 
+def test_members_that_miss_their_leader_make_no_pairs_with_its_group(spark, monkeypatch):
+    """400 copies near one text, some of which miss it by their minimum hashes: their
+    links with the others are counted, not compared one by one."""
+    rng = random.Random(22)
+    base = [f"b{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 400):
+        w = list(base)
+        for at in rng.sample(range(200), rng.choice([4, 5, 6, 7])):
+            w[at] = f"e{rng.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    made = []
+    plain = ngram_join._difference
+
+    def counted(pairs, sets, a, b, out):
+        if a == "y_c":
+            made.append(pairs.count())
+        return plain(pairs, sets, a, b, out)
+    monkeypatch.setattr(ngram_join, "_difference", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.join(df).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links)
+                  for r in got) == brute(rows, 85)
+    assert sum(made) < 2000
+
+
 def test_column_names_with_dots(spark):
     rows = corpus(7)
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, `a.b` int")
