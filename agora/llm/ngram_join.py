@@ -230,6 +230,12 @@ def _spread(df: DataFrame) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
+def _rows(df: DataFrame, *rows: dict[str, str]) -> DataFrame:
+    """Each of ``rows`` (name: column) for every row of ``df``, which is read once for all of them."""
+    each = F.array(*[F.struct(*[F.col(c).alias(k) for k, c in row.items()]) for row in rows])
+    return df.select(F.explode(each).alias("_row")).select("_row.*")
+
+
 def _salt(*cols: str) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(SALTS)).cast("int")
 
@@ -271,7 +277,7 @@ def leaders(rows: DataFrame, classes: DataFrame, limit: _Limit, words: int
     # a class aimed at may itself aim elsewhere: only those that do not are leaders
     lead = tries.select("to").distinct().join(aims.select(F.col("c").alias("to")), "to", "left_anti")
     tries = written(_agreeing(tries.join(lead, "to"), low))
-    sets = whole_sets(rows, classes, tries.select("c").union(tries.select("to")).distinct(), words)
+    sets = whole_sets(rows, classes, _rows(tries, {"c": "c"}, {"c": "to"}).distinct(), words)
     close = _near(tries, sets, classes, limit)
     state = classes.select("c", "size", "copies").join(close.drop("diff"), "c", "left").select(
         "c", "size", "copies", F.coalesce("to", "c").alias("leader"),
@@ -311,8 +317,7 @@ def adopted(classes: DataFrame, state: DataFrame, diffs: DataFrame, pairs: DataF
     their groups.
     """
     led = written(state.filter("leader <> c").groupBy("leader").agg(F.count("*").alias("n")))
-    both = pairs.select(F.col("p").alias("c"), F.col("q").alias("to")).union(
-        pairs.select(F.col("q"), F.col("p")))
+    both = _rows(pairs, {"c": "p", "to": "q"}, {"c": "q", "to": "p"})
     tries = written(both.join(led.select(F.col("leader").alias("to"), "n"), "to")
                     .join(led.select(F.col("leader").alias("c")), "c", "left_anti")
                     .groupBy("c").agg(F.max(F.struct("n", "to")).alias("top"))
@@ -473,8 +478,7 @@ def group_links(state: DataFrame, diffs: DataFrame, limit: _Limit) -> tuple[Data
             .select("c", "z", "copies", "z_copies", "node", "z_node"))
     both = written(both)
     edges = edges.unionByName(both.select(F.col("node").alias("u"), F.col("z_node").alias("v"))).distinct()
-    counts = (own.unionByName(both.select("c", F.col("z_copies").alias("n")))
-              .unionByName(both.select(F.col("z").alias("c"), F.col("copies").alias("n")))
+    counts = (own.unionByName(_rows(both, {"c": "c", "n": "z_copies"}, {"c": "z", "n": "copies"}))
               .groupBy("c").agg(F.sum("n").alias("n")))
     return written(edges), written(counts)
 
@@ -519,20 +523,18 @@ def cross_links(pairs: DataFrame, state: DataFrame, compared: DataFrame, sets: D
             limit.far * F.col("e") <= limit.near * (F.col("y_size") + F.col("z_size"))).drop("e")
         single = written(single.unionByName(near))
     # a group all of which links with something else is one component with its leader's node
-    joined = (whole.select(F.col("p").alias("leader")).unionByName(whole.select(F.col("q").alias("leader")))
+    joined = (_rows(whole, {"leader": "p"}, {"leader": "q"})
               .unionByName(every.select(F.col("q").alias("leader"))).distinct())
     edges = (whole.select(F.col("p").alias("u"), F.col("q").alias("v"))
              .unionByName(every.select(F.col("y_node").alias("u"), F.col("q").alias("v")))
              .unionByName(single.select(F.col("y_node").alias("u"), F.col("z_node").alias("v")))
              .unionByName(members.filter("node <> leader").join(joined, "leader", "left_semi")
                           .select(F.col("node").alias("u"), F.col("leader").alias("v"))).distinct())
-    by_leader = (whole.select(F.col("p").alias("leader"), F.col("gq_copies").alias("n"))
-                 .unionByName(whole.select(F.col("q").alias("leader"), F.col("gp_copies").alias("n")))
+    by_leader = (_rows(whole, {"leader": "p", "n": "gq_copies"}, {"leader": "q", "n": "gp_copies"})
                  .unionByName(every.select(F.col("q").alias("leader"), F.col("y_copies").alias("n")))
                  .groupBy("leader").agg(F.sum("n").alias("n")))
     by_class = (every.select(F.col("y_c").alias("c"), F.col("gq_copies").alias("n"))
-                .unionByName(single.select(F.col("y_c").alias("c"), F.col("z_copies").alias("n")))
-                .unionByName(single.select(F.col("z_c").alias("c"), F.col("y_copies").alias("n"))))
+                .unionByName(_rows(single, {"c": "y_c", "n": "z_copies"}, {"c": "z_c", "n": "y_copies"})))
     return written(edges), written(by_leader), written(by_class)
 
 
@@ -561,8 +563,7 @@ def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
         .withColumn("c", F.monotonically_increasing_id()))               # fixed by the table
     state, diffs, compared = leaders(rows, classes, limit, words)
     pairs = written(candidates(classes, state, limit, percent))
-    sets = whole_sets(rows, classes,
-                      pairs.select(F.col("p").alias("c")).union(pairs.select("q")).distinct(), words)
+    sets = whole_sets(rows, classes, _rows(pairs, {"c": "p"}, {"c": "q"}).distinct(), words)
     state, diffs, pairs = adopted(classes, state, diffs, pairs, sets, limit)
     inside, own_n = group_links(state, diffs, limit)
     edges, by_leader, by_class = cross_links(pairs, state, compared, sets, limit)
@@ -610,9 +611,10 @@ def representatives(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                          .alias("row"))
     found = _join(id_text(docs, id_col, text_col), words, percent)
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row")
-    kept = (found.filter("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("k"))
-            .select("k.doc_id", "k.row")
-            .unionByName(found.filter("root IS NULL").select("doc_id", "row")).distinct())
+    # a row without a word is a group of its own; one grouping, so the sets are made once more only
+    alone = [F.when(F.col("root").isNull(), F.col(c)) for c in ("doc_id", "row")]
+    kept = (found.groupBy("root", *alone).agg(F.min(place).alias("k"))
+            .select("k.doc_id", "k.row"))
     one = packed.groupBy("doc_id", "row").agg(F.first("whole").alias("whole"))
     stay = one.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
                                & (F.col("d.row") == F.col("k.row")), "left_semi")

@@ -187,3 +187,14 @@ def test_column_names_with_dots(spark):
     rows = corpus(7)
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, `a.b` int")
     assert ngram_join.representatives(df, words=4, percent=85).columns == ["doc_id", "text", "a.b"]
+
+
+def test_representatives_make_the_digests_once(spark, capsys):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, ""), (3, ""), (4, None), (None, "g h"), (5, " ")]
+    kept = ngram_join.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept.explain()
+    plan = capsys.readouterr().out
+    # one grouping of linked rows and rows without a word; twice in the branches of a union before
+    assert plan.count("MapInArrow") == 1
+    got = sorted((str(r.doc_id), r.text or "") for r in kept.collect())
+    assert got == [("1", "a b c d e f"), ("3", ""), ("4", ""), ("5", " "), ("None", "g h")]

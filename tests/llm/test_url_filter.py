@@ -5,6 +5,7 @@ import random
 import duckdb
 
 from agora.llm import url_filter
+from agora.llm.common import written
 from agora.llm.components import components
 from agora.llm.queries import URL_RULES
 
@@ -31,6 +32,20 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_plans_of_a_round_stay_small(spark, monkeypatch, capsys):
+    plans = []
+
+    def seen(df):
+        df.explain()
+        plans.append(capsys.readouterr().out)
+        return written(df)
+    monkeypatch.setattr("agora.llm.components.written", seen)
+    components(spark.createDataFrame([(k, k + 1) for k in range(9)], "u long, v long"))
+    # the edges' table is read for the edges and for their least ends; 16 times when unions repeated it
+    assert [p.count("FileScan") for p in plans] == [0] + [2] * (len(plans) - 1)
+    assert len(plans) > 2
+
+
 LINK = '<link rel="canonical" href="{}">'
 REFRESH = '<meta http-equiv="refresh" content="0; url={}">'
 PAGES = [
