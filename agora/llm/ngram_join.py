@@ -65,6 +65,14 @@ def _mixed(words: np.ndarray, k: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    s = np.sort(hashes)
+    first = np.ones(len(s), dtype=bool)
+    np.not_equal(s[1:], s[:-1], out=first[1:])
+    return s[first]
+
+
 def _each_set(batch: pa.RecordBatch, n: int):
     """Sorted distinct hashes of every text's n-word shingles, hashed about 250 kB of text at a time.
 
@@ -80,7 +88,7 @@ def _each_set(batch: pa.RecordBatch, n: int):
             every = _mixed(words, n)
             at = 0
             for c in counts.tolist():
-                yield (np.unique(every[at:at + c - n + 1]) if c >= n
+                yield (_distinct(every[at:at + c - n + 1]) if c >= n
                        else _mixed(words[at:at + c], c) if c else every[:0])
                 at += c
             part, size = [], 0
@@ -151,7 +159,7 @@ def signatures(rows: DataFrame, hot: np.ndarray, n: int, t: int) -> DataFrame:
                     rare[-1] = len(s) - int(often.sum())
                     s = np.concatenate((s[~often], s[often]))
                 prefix.append(s[:first])
-                low.append((u[:, None] * _MIN).min(axis=0).view(np.int64) if len(s)
+                low.append((_MIN[:, None] * u).min(axis=1).view(np.int64) if len(s)
                            else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(size, pa.int64()), pa.array(digest, pa.binary()),
@@ -179,12 +187,11 @@ def digests(rows: DataFrame, n: int) -> DataFrame:
 def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) -> DataFrame:
     """(c, tokens): the whole sets of the classes ``some`` (c), written once.
 
-    A bitmap of the wanted digests (fixed size) drops most others before the
-    shuffle; the join drops the rest.
+    A class's set is made of one of its texts. A bitmap of the wanted texts (fixed size)
+    drops most others before their sets are made; the join drops the rest.
     """
-    wanted = written(classes.select("digest", "c").join(some, "c", "left_semi"))
-    bit = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long") % BITMAP_BITS
-    words = (wanted.select(bit.alias("bit"))
+    wanted = written(classes.select("digest", "c", "text_hash").join(some, "c", "left_semi"))
+    words = (wanted.select(F.col("text_hash").bitwiseAND(F.lit(BITMAP_BITS - 1)).alias("bit"))
              .groupBy(F.shiftright("bit", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("bits")).toArrow())
     bitmap = np.zeros(BITMAP_BITS >> 6, dtype=np.int64)
@@ -195,28 +202,24 @@ def whole_sets(rows: DataFrame, classes: DataFrame, some: DataFrame, n: int) ->
     def run(batches):
         table, sent = shared.value, set()
         for batch in slices(batches):
-            digests, sets = [], []
-            for s in _each_set(batch, n):
-                digest = _digest(s)
-                b = _bit(digest)
-                if table[b >> 6] >> (b & 63) & 1 and digest not in sent:
-                    sent.add(digest)             # copies in one task are sent once
-                    digests.append(digest)
-                    sets.append(s)
+            rows, bit = batch.column(0).to_pylist(), batch.column(0).to_numpy() & (BITMAP_BITS - 1)
+            digests, sets, some = [], [], []
+            for i in np.flatnonzero(table[bit >> 6] >> (bit & 63) & 1).tolist():
+                if rows[i] not in sent:          # copies in one task are sent once
+                    sent.add(rows[i])
+                    some.append(i)
+            for s in _each_set(batch.take(pa.array(some, pa.int64())), n):
+                digests.append(_digest(s))
+                sets.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), _lists(sets)],
                                              schema=schema)
-    # a task sends a set once, so nothing is combined before the shuffle: whole sets are
+    # a task sends a text's set once, so nothing is combined before the shuffle: whole sets are
     # sorted where no Python worker runs beside
-    found = (rows.select("text").mapInArrow(run, "digest binary, tokens array<long>")
+    found = (rows.select(F.xxhash64("text").alias("row"), "text").mapInArrow(run, "digest binary, tokens array<long>")
              .repartition("digest").groupBy("digest").agg(F.first("tokens").alias("tokens")))
     return written(found.join(wanted, "digest").select("c", "tokens"))
 
 
-def _bit(digest: bytes) -> int:
-    """The digest's place in the bitmap: its first bytes."""
-    return int.from_bytes(digest[:4], "big") % BITMAP_BITS
-
-
 # ---------------------------------------------------------------- links
 
 class _Limit:
@@ -559,7 +562,7 @@ def _join(rows: DataFrame, words: int, percent: int) -> DataFrame:
     classes = written(signed.filter("size > 0").groupBy("digest").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("least_id"),
         F.first("size").alias("size"), F.first("rare").alias("rare"), F.first("prefix").alias("prefix"),
-        F.first("low").alias("low"))
+        F.first("low").alias("low"), F.min("row").alias("text_hash"))
         .withColumn("c", F.monotonically_increasing_id()))               # fixed by the table
     state, diffs, compared = leaders(rows, classes, limit, words)
     pairs = written(candidates(classes, state, limit, percent))

@@ -198,3 +198,39 @@ def test_representatives_make_the_digests_once(spark, capsys):
     assert plan.count("MapInArrow") == 1
     got = sorted((str(r.doc_id), r.text or "") for r in kept.collect())
     assert got == [("1", "a b c d e f"), ("3", ""), ("4", ""), ("5", " "), ("None", "g h")]
+
+
+def test_whole_sets_are_made_of_the_wanted_texts_only(spark, monkeypatch, tmp_path):
+    rng = random.Random(23)
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(60))) for i in range(200)]
+    near = rows[0][1].split()
+    near[30] = "other"
+    rows += [(200, " ".join(near)), (201, rows[0][1]), (202, rows[0][1].upper())]
+    plain, folder = ngram_join._each_set, str(tmp_path)
+
+    def counted(batch, n):
+        import uuid
+        with open(f"{folder}/{uuid.uuid4().hex}", "w") as f:
+            f.write("x" * batch.num_rows)
+        return plain(batch, n)
+    monkeypatch.setattr(ngram_join, "_each_set", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.join(df, percent=80).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links)
+                  for r in got) == brute(rows, 80)
+    made = sum(f.stat().st_size for f in tmp_path.iterdir())
+    # shingle counts, signatures and digests of all; whole sets of a few (of all, twice, before)
+    assert 3 * len(rows) <= made < 3 * len(rows) + 40
+
+
+def test_word_hashes_of_any_length_are_alike():
+    import numpy as np
+    from agora.llm import common
+
+    words = [b"a", b"bc", b"def" * 9]
+    alone = [common.word_hashes([w])[0][0] for w in words]
+    for times in (1, 40, 60_000):                  # within and beyond the powers that are kept
+        hashes, counts = common.word_hashes([b" ".join(words * times), b"", b"bc"])
+        assert counts.tolist() == [3 * times, 0, 1]
+        assert np.array_equal(hashes, np.array([*alone * times, alone[1]]))
+    assert len(common._kept_powers[0]) <= common._POWERS_KEPT
