@@ -219,7 +219,7 @@ def test_whole_sets_are_made_of_the_wanted_texts_only(spark, monkeypatch, tmp_pa
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id), r.n_links)
                   for r in got) == brute(rows, 80)
     made = sum(f.stat().st_size for f in tmp_path.iterdir())
-    # shingle counts, signatures and digests of all; whole sets of a few (of all, twice, before)
+    # shingle counts, signatures and digests of all; whole sets of a few (of all before: 812)
     assert 3 * len(rows) <= made < 3 * len(rows) + 40
 
 
